@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shiftmetrics.plans import grinding
+from shiftmetrics.plans import calibration, grinding
 
 Plan = Callable[..., DataFrame]
 
@@ -28,6 +28,10 @@ REPORT_QUERIES: dict[str, Plan] = {
     "mill_hours_current": grinding.mill_hours_current,                   # Q15
     "silo_kg_grinding_current": grinding.silo_kg_grinding_current,       # Q16
     "silo_kg_disinfection_current": grinding.silo_kg_disinfection_current,  # Q17
+    "granulate_by_product": calibration.granulate_by_product,            # Q09
+    "calibration_oee": calibration.calibration_oee,                      # Q11
+    "granulate_current": calibration.granulate_current,                  # Q18
+    "calibration_oee_current": calibration.calibration_oee_current,      # Q19
 }
 
 ALL_QUERIES: dict[str, Plan] = {**REPORT_QUERIES}
