@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shiftmetrics.plans import calibration, grinding
+from shiftmetrics.plans import calibration, disinfection, grinding
 
 Plan = Callable[..., DataFrame]
 
@@ -32,6 +32,10 @@ REPORT_QUERIES: dict[str, Plan] = {
     "calibration_oee": calibration.calibration_oee,                      # Q11
     "granulate_current": calibration.granulate_current,                  # Q18
     "calibration_oee_current": calibration.calibration_oee_current,      # Q19
+    "disinfections_vinc": disinfection.disinfections_vinc,               # Q10
+    "disinfections_grinding": disinfection.disinfections_grinding,       # Q12
+    "disinfections_grinding_current": disinfection.disinfections_grinding_current,  # Q20
+    "disinfections_vinc_current": disinfection.disinfections_vinc_current,          # Q21
 }
 
 ALL_QUERIES: dict[str, Plan] = {**REPORT_QUERIES}
