@@ -1 +1,175 @@
-QUERIES: dict[str, str] = {}
+"""Oracle SQL for activity, calendar, operator-level keys and the mart."""
+
+from oracle.sql import TZ, q
+
+ACTIVITY_CTES = f"""
+bounds AS (
+  SELECT report_date,
+         (report_date + INTERVAL 6 HOUR) AT TIME ZONE {TZ} AS start_06,
+         (report_date + INTERVAL 8 HOUR) AT TIME ZONE {TZ} AS start_08,
+         (report_date + INTERVAL 1 DAY + INTERVAL 6 HOUR) AT TIME ZONE {TZ} AS end_06,
+         (report_date + INTERVAL 1 DAY + INTERVAL 8 HOUR) AT TIME ZONE {TZ} AS end_08
+  FROM dates
+),
+calibracao_samples AS (
+  SELECT report_date, ts, id, total FROM (
+    SELECT b.report_date, g.ts, g.id, g.total,
+           row_number() OVER (PARTITION BY b.report_date ORDER BY g.ts DESC, g.id DESC) AS rn
+    FROM bounds b JOIN counters g ON g.ts < b.start_06 AND g.total IS NOT NULL
+  ) WHERE rn = 1
+),
+calibracao_intervalo AS (
+  SELECT b.report_date, g.ts, g.id, g.total
+  FROM bounds b JOIN counters g ON g.ts >= b.start_06 AND g.ts <= b.end_06 AND g.total IS NOT NULL
+),
+calibracao_deltas AS (
+  SELECT report_date, total - lag(total) OVER (PARTITION BY report_date ORDER BY ts, id) AS delta_total
+  FROM (SELECT * FROM calibracao_samples UNION ALL SELECT * FROM calibracao_intervalo)
+),
+activity AS (
+  SELECT b.report_date,
+    EXISTS (SELECT 1 FROM md m WHERE m.ts >= b.start_08 AND m.ts < b.end_08
+              AND (COALESCE(m.running, 0) = 1 OR COALESCE(m.loaded, 0) = 1)) AS md_active,
+    EXISTS (SELECT 1 FROM calibracao_deltas c WHERE c.report_date = b.report_date
+              AND c.delta_total >= 10) AS counter_active,
+    EXISTS (SELECT 1 FROM machines v WHERE v.ts >= b.start_08 AND v.ts < b.end_08
+              AND v.state IN ('Funcionamento', 'Carga', 'Descarga')) AS vapex_active,
+    (SELECT CAST(max(c.delta_total) AS DOUBLE) FROM calibracao_deltas c
+      WHERE c.report_date = b.report_date) AS max_counter_step
+  FROM bounds b
+)"""
+
+REPORT_ACTIVITY = q("""
+SELECT report_date, md_active, counter_active, vapex_active, max_counter_step,
+       (md_active OR counter_active OR vapex_active) AS has_production
+FROM activity""", ACTIVITY_CTES)
+
+QUERIES = {
+    "report_activity": REPORT_ACTIVITY,
+}
+
+
+def grid_cells(shifts: str, table: str) -> str:
+    return q(f"""
+SELECT s.report_date, s.shift,
+       strftime(s.start_ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS start_utc,
+       strftime(s.end_ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS end_utc,
+       (epoch_us(s.end_ts) - epoch_us(s.start_ts)) // 1000000 AS length_s,
+       (SELECT count(*) FROM {table} x WHERE x.ts >= s.start_ts AND x.ts < s.end_ts) AS n_samples
+FROM {shifts} s""")
+
+
+WINDOW_CLAMP = q("""
+SELECT report_date, shift, strftime(end_eff AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS end_eff_utc,
+       epoch_us(end_eff) - epoch_us(start_ts) AS eff_us
+FROM day_shifts_eff""")
+
+CARRY_IN_LATEST = q("""
+SELECT report_date, shift, silo_id, strftime(ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f') AS carry_ts,
+       id, state, kg
+FROM (
+  SELECT s.report_date, s.shift, x.silo_id, x.ts, x.id, x.state, x.kg,
+         row_number() OVER (PARTITION BY s.report_date, s.shift, x.silo_id ORDER BY x.ts DESC, x.id DESC) AS rn
+  FROM day_shifts s JOIN silos_a x ON x.ts < s.start_ts AND x.ts >= s.start_ts - INTERVAL 12 HOUR
+) WHERE rn = 1""")
+
+COUNTER_ASOF = q("""
+SELECT report_date, shift, asof_id, total, p1_2 FROM (
+  SELECT s.report_date, s.shift,
+         (SELECT g.id FROM counters g WHERE g.ts <= s.start_ts ORDER BY g.ts DESC, g.id DESC LIMIT 1) AS asof_id,
+         (SELECT g.total FROM counters g WHERE g.ts <= s.start_ts ORDER BY g.ts DESC, g.id DESC LIMIT 1) AS total,
+         (SELECT g.p1_2 FROM counters g WHERE g.ts <= s.start_ts ORDER BY g.ts DESC, g.id DESC LIMIT 1) AS p1_2
+  FROM cal_shifts s
+) WHERE asof_id IS NOT NULL""")
+
+
+def _segment_durations() -> str:
+    from oracle.sql import SEG_US, samples_with_baseline
+    rows = samples_with_baseline("day_shifts_eff", "screws", "freq", end="end_eff", entity="sf_id",
+                                 where="x.sf_id IN (1, 2, 3, 4, 5)", base_where="x.sf_id IN (1, 2, 3, 4, 5)",
+                                 extra="s.start_ts, s.end_eff")
+    return q(f"""
+SELECT report_date, shift, sf_id, CAST(sum(dur) AS BIGINT) AS covered_us, count(*) AS n_segments
+FROM (SELECT *, {SEG_US} AS dur FROM seg WHERE {SEG_US} > 0)
+GROUP BY report_date, shift, sf_id""", f"""
+smp AS ({rows}
+),
+seg AS (
+  SELECT *, lead(ts) OVER (PARTITION BY report_date, shift, sf_id ORDER BY ts, id) AS next_at FROM smp
+)""")
+
+
+def _state_time() -> str:
+    from oracle.calibration_sql import CAL_BOUNDS, state_time
+    return q("SELECT report_date, shift, prod_us, idle_us, off_us FROM time_by_shift",
+             state_time("cal_shifts", CAL_BOUNDS))
+
+
+CYCLE_ISLANDS = q("""
+SELECT report_date, machine_id, count(*) AS n_cycles,
+       CAST(sum(CASE WHEN theoretical_min > 45 THEN 1 ELSE 0 END) AS BIGINT) AS n_valid,
+       CAST(sum(theoretical_min) AS BIGINT) AS sum_theoretical,
+       CAST(sum(operation_id) AS BIGINT) AS sum_operation
+FROM (
+  SELECT report_date, machine_id, grp, min(operation_id) AS operation_id, max(theoretical_min) AS theoretical_min
+  FROM (
+    SELECT *, sum(CASE WHEN prev_op IS DISTINCT FROM operation_id THEN 1 ELSE 0 END)
+                OVER (PARTITION BY report_date, machine_id ORDER BY ts, record_id) AS grp
+    FROM (
+      SELECT d.report_date, m.*,
+             lag(m.operation_id) OVER (PARTITION BY d.report_date, m.machine_id ORDER BY m.ts, m.record_id) AS prev_op
+      FROM machines m CROSS JOIN dates d
+      WHERE (m.ts AT TIME ZONE 'Europe/Lisbon') >= d.report_date - INTERVAL 12 HOUR
+        AND (m.ts AT TIME ZONE 'Europe/Lisbon') < d.report_date + INTERVAL 36 HOUR
+        AND m.operation_id IS NOT NULL
+    )
+  )
+  GROUP BY report_date, machine_id, grp
+)
+GROUP BY report_date, machine_id""")
+
+CALENDAR_CTES = f"""
+cal AS (
+  SELECT CAST(unnest(generate_series((SELECT min(report_date) FROM dates) - INTERVAL 31 DAY,
+                                     (SELECT max(report_date) FROM dates) + INTERVAL 31 DAY,
+                                     INTERVAL 1 DAY)) AS DATE) AS day
+),
+cal_flags AS (
+  SELECT day, isodow(day) <= 5 AS is_weekday, day IN (SELECT day FROM holidays) AS is_holiday FROM cal
+),
+cal_op AS (SELECT *, is_weekday AND NOT is_holiday AS is_operational FROM cal_flags),
+calendar AS (
+  SELECT d.report_date, c.is_weekday, c.is_holiday, c.is_operational,
+         (SELECT max(x.day) FROM cal_op x WHERE x.is_operational AND x.day < d.report_date) AS previous_operational_day,
+         (SELECT min(x.day) FROM cal_op x WHERE x.is_operational AND x.day > d.report_date) AS next_operational_day,
+         (d.report_date + INTERVAL 1 DAY + INTERVAL 8 HOUR + INTERVAL 15 MINUTE) AT TIME ZONE {TZ} AS ready_at
+  FROM dates d JOIN cal_op c ON c.day = d.report_date
+)"""
+
+OPERATIONAL_CALENDAR = q("""
+SELECT report_date, is_weekday, is_holiday, is_operational, previous_operational_day, next_operational_day,
+       CAST(GREATEST(60, date_diff('day', report_date, next_operational_day) * 86400) AS BIGINT) AS seconds_to_next_operational,
+       strftime(ready_at AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS ready_at_utc,
+       strftime(report_date, '%d/%m/%Y') AS report_label,
+       strftime(report_date + INTERVAL 1 DAY, '%d/%m/%Y') AS snapshot_label,
+       'Atual 00-08 (' || strftime(report_date + INTERVAL 1 DAY, '%d/%m') || ')' AS current_label
+FROM calendar""", CALENDAR_CTES)
+
+REPORT_DAYS = q("""
+SELECT c.report_date, c.is_operational, a.md_active OR a.counter_active OR a.vapex_active AS has_production,
+       c.is_operational OR a.md_active OR a.counter_active OR a.vapex_active AS send,
+       (SELECT now_ts FROM nowv) >= c.ready_at AS is_ready
+FROM calendar c JOIN activity a ON a.report_date = c.report_date""", CALENDAR_CTES + "," + ACTIVITY_CTES)
+
+QUERIES.update({
+    "shift_grid_day": grid_cells("day_shifts", "md"),
+    "shift_grid_calibration": grid_cells("cal_shifts", "remill"),
+    "window_clamp": WINDOW_CLAMP,
+    "carry_in_latest": CARRY_IN_LATEST,
+    "counter_asof": COUNTER_ASOF,
+    "segment_durations": _segment_durations(),
+    "calibration_state_time": _state_time(),
+    "cycle_islands": CYCLE_ISLANDS,
+    "operational_calendar": OPERATIONAL_CALENDAR,
+    "report_days": REPORT_DAYS,
+})

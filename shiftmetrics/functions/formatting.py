@@ -66,9 +66,9 @@ def kg_text(kg: Column) -> Column:
 
 
 def pct_text(p: Column) -> Column:
-    """``73.6 %``; NULL -> ``0 %``."""
-    return F.when(p.isNull(), F.lit("0 %")).otherwise(
-        F.format_string("%.1f %%", F.bround(p.cast("double"), 1)))
+    """``73.6 %``; NULL -> ``0 %`` (I14).  Inputs are already rounded to one
+    decimal by the queries, so the text needs no further rounding."""
+    return F.when(p.isNull(), F.lit("0 %")).otherwise(F.format_string("%.1f %%", p.cast("double")))
 
 
 def oee_status(p: Column, ok: float = 80.0, warning: float = 70.0) -> Column:

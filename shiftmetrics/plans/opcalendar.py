@@ -83,3 +83,16 @@ def previous_calendar_day(as_of_utc, tz: str) -> object:
 
 __all__ = ["holidays_frame", "operational_calendar", "report_days", "previous_calendar_day",
            "timedelta"]
+
+
+def calendar_query(t, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Registered form of ``operational_calendar`` (instant as text)."""
+    cal = operational_calendar(scope, t.holidays, cfg)
+    return cal.withColumn("ready_at_utc", F.date_format("ready_at_utc", "yyyy-MM-dd HH:mm:ss"))
+
+
+def report_days_query(t, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Registered form of ``report_days``: calendar + activity (Q01) + readiness."""
+    from shiftmetrics.plans.activity import report_activity
+    cal = operational_calendar(scope, t.holidays, cfg)
+    return report_days(cal, report_activity(t, scope, cfg), scope.as_of)

@@ -11,11 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shiftmetrics.plans import calibration, disinfection, grinding
+from shiftmetrics.plans import activity, blocks, calibration, disinfection, grinding, opcalendar
 
 Plan = Callable[..., DataFrame]
 
 REPORT_QUERIES: dict[str, Plan] = {
+    "report_activity": activity.report_activity,                         # Q01
     "md_runtime": grinding.md_runtime,                                   # Q02
     "mill_hours": grinding.mill_hours,                                   # Q03
     "silo_kg_grinding": grinding.silo_kg_grinding,                       # Q04
@@ -38,4 +39,17 @@ REPORT_QUERIES: dict[str, Plan] = {
     "disinfections_vinc_current": disinfection.disinfections_vinc_current,          # Q21
 }
 
-ALL_QUERIES: dict[str, Plan] = {**REPORT_QUERIES}
+BLOCK_QUERIES: dict[str, Plan] = {
+    "shift_grid_day": blocks.shift_grid_day,                             # B3
+    "shift_grid_calibration": blocks.shift_grid_calibration,             # B4
+    "window_clamp": blocks.window_clamp,                                 # B6
+    "carry_in_latest": blocks.carry_in_latest,                           # J1
+    "counter_asof": blocks.counter_asof,                                 # J2
+    "segment_durations": blocks.segment_durations,                       # J6
+    "calibration_state_time": blocks.calibration_state_time_q,           # J5
+    "cycle_islands": blocks.cycle_islands,                               # J8
+    "operational_calendar": opcalendar.calendar_query,                   # B9-B14, B16
+    "report_days": opcalendar.report_days_query,                         # B15
+}
+
+ALL_QUERIES: dict[str, Plan] = {**REPORT_QUERIES, **BLOCK_QUERIES}
