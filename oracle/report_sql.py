@@ -74,7 +74,7 @@ FROM (
 ) WHERE rn = 1""")
 
 COUNTER_ASOF = q("""
-SELECT report_date, shift, asof_id, total, p1_2 FROM (
+SELECT report_date, shift, asof_id, CAST(total AS DOUBLE) AS total, CAST(p1_2 AS DOUBLE) AS p1_2 FROM (
   SELECT s.report_date, s.shift,
          (SELECT g.id FROM counters g WHERE g.ts <= s.start_ts ORDER BY g.ts DESC, g.id DESC LIMIT 1) AS asof_id,
          (SELECT g.total FROM counters g WHERE g.ts <= s.start_ts ORDER BY g.ts DESC, g.id DESC LIMIT 1) AS total,

@@ -75,7 +75,8 @@ def counter_asof(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
                            boundary_lo=lo, boundary_hi=hi)
     a = a.select(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("b") / 3).cast("int")).alias("report_date"),
                  (F.pmod(F.col("b"), F.lit(3)) + 1).cast("int").alias("shift"),
-                 F.col("v.row_id").alias("asof_id"), F.col("v.total").alias("total"), F.col("v.p1_2").alias("p1_2"))
+                 F.col("v.row_id").alias("asof_id"), F.col("v.total").cast("double").alias("total"),
+                 F.col("v.p1_2").cast("double").alias("p1_2"))
     return scope.keep(a)
 
 

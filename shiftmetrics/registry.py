@@ -53,3 +53,12 @@ BLOCK_QUERIES: dict[str, Plan] = {
 }
 
 ALL_QUERIES: dict[str, Plan] = {**REPORT_QUERIES, **BLOCK_QUERIES}
+
+from shiftmetrics.plans import report as _report  # noqa: E402
+
+MART_QUERIES: dict[str, Plan] = {
+    "format_values": _report.granulate_cells,                            # K3, I13, I14
+    "status_thresholds": _report.calibration_oee_cells,                  # K4, I12, I15, I16
+    "report_cells": _report.report_cells,                                # K1-K7
+}
+ALL_QUERIES.update(MART_QUERIES)
