@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import interval, to_local
-from shiftmetrics.operators.carry import _valid_ranges, latest
+from shiftmetrics.operators.carry import _scope_day_bounds, _valid_ranges, latest
 from shiftmetrics.plans.scope import Scope
 
 
@@ -35,8 +35,8 @@ def counter_steps(counters: DataFrame, value: str, *, scope: Scope, day_start: t
     s = s.withColumn("d", F.datediff(loc.cast("date"), F.lit("1970-01-01")))
     s = s.withColumn("at_edge", loc == loc.cast("date").cast("timestamp_ntz"))
 
-    lo = scope.dates.select(F.datediff(F.min("report_date"), F.lit("1970-01-01"))).scalar()
-    hi = scope.dates.select(F.datediff(F.max("report_date"), F.lit("1970-01-01"))).scalar() + 1
+    lo, hi = _scope_day_bounds(scope)
+    hi = hi + 1
     last = s.groupBy("d").agg(latest(F.col("v")).alias("v"))
     prev = _valid_ranges(last, [], "d", lo, hi, offset=1)
     prev = prev.select("d", F.lit(None).cast(s.schema["ts"].dataType).alias("ts"),

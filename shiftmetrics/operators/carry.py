@@ -21,7 +21,7 @@ timestamps (the reference leaves ties undefined).
 from __future__ import annotations
 
 import math
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -145,6 +145,10 @@ def daily_snapshot(samples: DataFrame, *, scope: Scope, entity: str, value: str,
 
 
 def _scope_day_bounds(scope: Scope) -> tuple[Column, Column]:
+    """Days since epoch of the first and last report date (literals when known)."""
+    if scope.first is not None and scope.last is not None:
+        epoch = date(1970, 1, 1)
+        return F.lit((scope.first - epoch).days), F.lit((scope.last - epoch).days)
     d = scope.dates.select(F.datediff("report_date", F.lit("1970-01-01")).alias("d"))
     return d.select(F.min("d")).scalar(), d.select(F.max("d")).scalar()
 

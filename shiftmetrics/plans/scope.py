@@ -27,6 +27,11 @@ from shiftmetrics.functions.timegrid import to_local
 MAX_SCOPE_DAYS = 100_000
 
 
+def ntz_literal(ts: datetime) -> Column:
+    """A ``timestamp_ntz`` literal that no session or process zone can shift."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 @dataclass(frozen=True)
 class Scope:
     dates: DataFrame                 # column ``report_date`` (DATE)
@@ -45,26 +50,37 @@ class Scope:
             raise ValueError(f"scope of {n} days is outside 1..{MAX_SCOPE_DAYS}")
         if as_of is None:
             as_of = datetime.now(timezone.utc)
-        if as_of.tzinfo is not None:
+        if getattr(as_of, "tzinfo", None) is not None:
             as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
         dates = (spark.range(n)
                  .select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("report_date")))
-        return cls(dates, F.lit(as_of).cast("timestamp_ntz"), first, last, tz)
+        return cls(dates, ntz_literal(as_of), first, last, tz)
 
     @classmethod
-    def spanning(cls, samples: DataFrame, ts: str = "ts", tz: str = LOCAL_TZ,
-                 as_of: Column | None = None) -> "Scope":
+    def spanning(cls, samples: DataFrame, ts: str = "ts", tz: str = LOCAL_TZ) -> "Scope":
         """Every local date touched by ``samples``; "now" is their latest instant.
 
-        Built lazily: one global min/max aggregate feeds a ``sequence`` of
-        dates, and ``as_of`` is a scalar subquery.
+        One global aggregate (three scalars, partially aggregated per task)
+        fixes the span; the scope is then literal, so its timestamp bounds
+        reach the Parquet scans as pushed filters and no plan recomputes
+        the span.
         """
+        loc = to_local(F.col(ts), tz)
+        row = samples.agg(F.min(loc).cast("date").alias("lo"), F.max(loc).cast("date").alias("hi"),
+                          F.max(ts).alias("now")).first()
+        if row is None or row["lo"] is None:
+            raise ValueError("no samples to span")
+        return cls.for_range(samples.sparkSession, row["lo"], row["hi"], as_of=row["now"], tz=tz)
+
+    @classmethod
+    def spanning_lazy(cls, samples: DataFrame, ts: str = "ts", tz: str = LOCAL_TZ) -> "Scope":
+        """As ``spanning`` but without any action: dates from a ``sequence``
+        over one aggregate and ``as_of`` as a scalar subquery (no literal
+        pruning bounds)."""
         span = samples.select(to_local(F.col(ts), tz).alias("_loc")).agg(
             F.min("_loc").cast("date").alias("_lo"), F.max("_loc").cast("date").alias("_hi"))
         dates = span.select(F.explode(F.sequence("_lo", "_hi")).alias("report_date"))
-        if as_of is None:
-            as_of = samples.select(F.max(ts)).scalar()
-        return cls(dates, as_of, None, None, tz)
+        return cls(dates, samples.select(F.max(ts)).scalar(), None, None, tz)
 
     # -- helpers --------------------------------------------------------------
     def date_dim(self) -> DataFrame:
@@ -94,9 +110,9 @@ class Scope:
         if self.first is None or self.last is None:
             return cond
         if lo is not None:
-            cond = cond & (c >= F.lit(self._instant(self.first, -lo - timedelta(hours=1))))
+            cond = cond & (c >= ntz_literal(self._instant(self.first, -lo - timedelta(hours=1))))
         if hi is not None:
-            cond = cond & (c <= F.lit(self._instant(self.last, hi + timedelta(hours=1))))
+            cond = cond & (c <= ntz_literal(self._instant(self.last, hi + timedelta(hours=1))))
         return cond
 
 
