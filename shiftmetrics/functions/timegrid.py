@@ -126,18 +126,17 @@ def shift_end_utc(report_date: Column, shift: Column, grid: Grid, tz: str = LOCA
 def with_cell(df, ts: str, grid: Grid, tz: str = LOCAL_TZ, prefix: str = ""):
     """Add ``report_date``, ``shift`` and ``cell`` of ``ts`` on ``grid``."""
     loc = to_local(F.col(ts), tz)
-    rd, sh = f"{prefix}report_date", f"{prefix}shift"
-    return (df.withColumn(rd, cell_date(loc, grid))
-              .withColumn(sh, cell_shift(loc, grid))
-              .withColumn(f"{prefix}cell", cell_index(F.col(rd), F.col(sh))))
+    rd, sh = cell_date(loc, grid), cell_shift(loc, grid)
+    return df.select("*", rd.alias(f"{prefix}report_date"), sh.alias(f"{prefix}shift"),
+                     cell_index(rd, sh).alias(f"{prefix}cell"))
 
 
 def with_bounds(df, grid: Grid, tz: str = LOCAL_TZ, report_date: str = "report_date",
                 shift: str = "shift"):
     """Add ``start_ts`` / ``end_ts`` (UTC instants) of the shift."""
     rd, sh = F.col(report_date), F.col(shift)
-    return (df.withColumn("start_ts", shift_start_utc(rd, sh, grid, tz))
-              .withColumn("end_ts", shift_end_utc(rd, sh, grid, tz)))
+    return df.select("*", shift_start_utc(rd, sh, grid, tz).alias("start_ts"),
+                     shift_end_utc(rd, sh, grid, tz).alias("end_ts"))
 
 
 def clamp_end(start: Column, end: Column, as_of: Column | None) -> Column:

@@ -61,16 +61,14 @@ def shift_samples(samples: DataFrame, *, scope: Scope, grid: Grid, cols: list[st
     cells = with_cell(base, "ts", grid, scope.tz)
     wanted = F.col("shift").isin(*shifts)
 
-    def finish(df: DataFrame) -> DataFrame:
-        df = with_bounds(df, grid, scope.tz)
-        return df.withColumn("end_eff", clamp_end(F.col("start_ts"), F.col("end_ts"),
-                                                  scope.as_of if clamp else None))
-
+    # In-shift rows: a row of cell c satisfies start <= ts < end by
+    # construction, so the clamp "ts < least(end, greatest(start, as_of))"
+    # reduces to "ts < as_of" and no per-row shift bounds are needed.
     inside = cells if sample_filter is None else cells.filter(sample_filter)
-    inside = finish(scope.keep(inside.filter(wanted)))
-    inside = (inside.filter(F.col("ts") < F.col("end_eff"))
-              .select("report_date", "shift", "start_ts", "end_ts", "end_eff", *keys, "ts", "id",
-                      F.lit(0).alias("is_carry"), *cols))
+    inside = scope.keep(inside.filter(wanted))
+    if clamp and scope.as_of is not None:
+        inside = inside.filter(F.col("ts") < scope.as_of)
+    inside = inside.select("report_date", "shift", *keys, "ts", "id", F.lit(0).alias("is_carry"), *cols)
 
     src = cells if carry_filter is None else cells.filter(carry_filter)
     rec = F.struct("ts", "id", *cols)
@@ -81,13 +79,29 @@ def shift_samples(samples: DataFrame, *, scope: Scope, grid: Grid, cols: list[st
              .withColumn("report_date", cell_report_date(F.col("cell")))
              .withColumn("shift", cell_shift_of(F.col("cell")))
              .filter(wanted))
-    carry = finish(scope.keep(carry))
+    carry = with_bounds(scope.keep(carry), grid, scope.tz)
     carry = carry.filter(F.col("r.ts") >= F.col("start_ts") - interval(lookback))
-    carry = (carry.groupBy("report_date", "shift", "start_ts", "end_ts", "end_eff", *keys)
+    carry = (carry.groupBy("report_date", "shift", *keys)
              .agg(F.max_by("r", F.struct("r.ts", "r.id")).alias("r"))
-             .select("report_date", "shift", "start_ts", "end_ts", "end_eff", *keys,
-                     "r.ts", "r.id", F.lit(1).alias("is_carry"), *[f"r.{c}" for c in cols]))
-    return inside.unionByName(carry)
+             .select("report_date", "shift", *keys, "r.ts", "r.id", F.lit(1).alias("is_carry"),
+                     *[f"r.{c}" for c in cols]))
+    rows = inside.unionByName(carry)
+    return rows.join(shift_dimension(scope, grid, shifts, clamp), ["report_date", "shift"])
+
+
+def shift_dimension(scope: Scope, grid: Grid, shifts: tuple[int, ...] = (1, 2, 3),
+                    clamp: bool = False) -> DataFrame:
+    """``report_date, shift, start_ts, end_ts, end_eff`` of every shift in scope.
+
+    Three rows per report date (a proven bound), broadcast: the shift
+    bounds are looked up by the computed key instead of being converted
+    from local time on every sample row.
+    """
+    s = scope.dates.select("report_date", F.explode(F.array(*[F.lit(k) for k in shifts])).alias("shift"))
+    s = with_bounds(s, grid, scope.tz)
+    s = s.withColumn("end_eff", clamp_end(F.col("start_ts"), F.col("end_ts"),
+                                          scope.as_of if clamp else None))
+    return F.broadcast(s)
 
 
 def _valid_ranges(buckets: DataFrame, keys: list[str], pos: str, lo: Column, hi: Column,

@@ -87,7 +87,13 @@ class Scope:
         return F.broadcast(self.dates.select("report_date"))
 
     def keep(self, df: DataFrame, col: str = "report_date") -> DataFrame:
-        """Rows of ``df`` whose ``col`` is a report date (broadcast semi join)."""
+        """Rows of ``df`` whose ``col`` is a report date.
+
+        A literal scope is a contiguous range, so this is a plain range
+        predicate; otherwise a broadcast semi join with the date dimension.
+        """
+        if self.first is not None and self.last is not None:
+            return df.filter(F.col(col).between(F.lit(self.first), F.lit(self.last)))
         keys = self.date_dim()
         if col != "report_date":
             keys = keys.withColumnRenamed("report_date", col)

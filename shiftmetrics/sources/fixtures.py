@@ -89,10 +89,25 @@ def fixture_scope(spark: SparkSession, sf_dir: str) -> Scope:
     return Scope.spanning(b.select("ts"))
 
 
+_BOUND: dict[tuple[int, str], tuple[SensorTables, Scope]] = {}
+
+
+def fixture(spark: SparkSession, sf_dir: str) -> tuple[SensorTables, Scope]:
+    """Fixture tables and scope, built once per (session, directory).
+
+    DataFrames are immutable plans, so every query of a run can share them;
+    this saves re-listing the files and re-running the span aggregate.
+    """
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _BOUND:
+        _BOUND[key] = (fixture_tables(spark, sf_dir), fixture_scope(spark, sf_dir))
+    return _BOUND[key]
+
+
 def bind_fixture(plan):
     """``plan(tables, scope)`` -> ``f(spark, sf_dir)`` over the fixture views."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plan(fixture_tables(spark, sf_dir), fixture_scope(spark, sf_dir))
+        return plan(*fixture(spark, sf_dir))
     run.__name__ = getattr(plan, "__name__", "plan")
     run.__doc__ = plan.__doc__
     return run
