@@ -211,3 +211,17 @@ def test_calendar(spark):
 def test_as_of_is_zone_proof(spark):
     s = scope(spark, D, as_of=datetime(2024, 3, 5, 8, 30))
     assert spark.range(1).select(s.as_of.alias("x")).first()["x"] == datetime(2024, 3, 5, 8, 30)
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    rows = [(at(date(2024, 3, 31), 0, 30), 1, 1), (at(date(2024, 3, 31), 0, 31), 1, 0),
+            (at(date(2024, 3, 31), 1, 30), 1, 1), (at(date(2024, 3, 31), 7, 59), 1, 1)]
+    t = tables(spark, md=rows)
+    s = scope(spark, date(2024, 3, 30), date(2024, 4, 1))
+    utc = sorted(map(tuple, grinding.md_runtime(t, s).collect()))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = sorted(map(tuple, grinding.md_runtime(t, s).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
