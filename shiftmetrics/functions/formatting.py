@@ -6,6 +6,10 @@ Rounding follows the reference exactly:
   are integers (microseconds, counts) the quotient is rounded with integer
   arithmetic, ``(2a + b) div 2b``, so no floating point is involved.
 * Python's ``round`` in the report layer is half-to-even: ``bround``.
+
+The helpers take SQL expression text and return one ``expr`` column, which
+keeps plan construction cheap (one JVM call per expression instead of one
+per operator).
 """
 
 from __future__ import annotations
@@ -17,72 +21,77 @@ US_PER_S = 1_000_000
 US_PER_MIN = 60 * US_PER_S
 
 
-def idiv(a: Column, b: Column | int) -> Column:
-    """Floor division of non-negative integers, exact below 2**53."""
-    b = F.lit(b) if isinstance(b, int) else b
-    return ((a - F.pmod(a, b)) / b).cast("long")
+def _e(sql: str) -> Column:
+    return F.expr(sql)
+
+
+def idiv_sql(a: str, b: str | int) -> str:
+    """Floor division of non-negative integers."""
+    return f"(({a}) div ({b}))"
 
 
-def round_div(a: Column, b: Column | int) -> Column:
+def round_div_sql(a: str, b: str | int) -> str:
     """``round(a / b)`` half up for integers ``a >= 0``, ``b > 0``."""
-    b = F.lit(b) if isinstance(b, int) else b
-    return idiv(a * 2 + b, b * 2)
+    return f"((2 * ({a}) + ({b})) div (2 * ({b})))"
+
+
+def round_div(a: str, b: str | int) -> Column:
+    return _e(round_div_sql(a, b))
 
 
-def hhmm_from_minutes(m: Column) -> Column:
+def hhmm_minutes_sql(m: str) -> str:
     """``to_char(make_interval(mins => m), 'HH24"h"MI')``; hours do not wrap."""
-    return F.format_string("%02dh%02d", idiv(m, 60), F.pmod(m, F.lit(60)))
+    return f"format_string('%02dh%02d', ({m}) div 60, pmod({m}, 60))"
 
 
-def hhmm_from_seconds(s: Column) -> Column:
+def hhmm_seconds_sql(s: str) -> str:
     """``to_char(make_interval(secs => s), 'HH24hMI')``: seconds are dropped."""
-    return F.format_string("%02dh%02d", idiv(s, 3600), idiv(F.pmod(s, F.lit(3600)), 60))
+    return f"format_string('%02dh%02d', ({s}) div 3600, pmod({s}, 3600) div 60)"
 
 
-def runtime_text(run_us: Column, load_us: Column) -> Column:
+def runtime_text(run_us: str, load_us: str) -> Column:
     """``05h33 (49%)``: running minutes and loaded share of them."""
-    minutes = round_div(run_us, US_PER_MIN)
-    pct = F.when(run_us > 0, round_div(load_us * 100, run_us)).otherwise(F.lit(0).cast("long"))
-    return F.concat(hhmm_from_minutes(minutes), F.lit(" ("), pct.cast("string"), F.lit("%)"))
+    minutes = round_div_sql(run_us, US_PER_MIN)
+    pct = f"CASE WHEN ({run_us}) > 0 THEN {round_div_sql(f'({load_us}) * 100', run_us)} ELSE 0L END"
+    return _e(f"concat({hhmm_minutes_sql(minutes)}, ' (', CAST({pct} AS STRING), '%)')")
 
 
-def hours_text(work_us: Column) -> Column:
+def hours_text(work_us: str) -> Column:
     """``05h33`` from microseconds (seconds rounded, then minutes floored)."""
-    return hhmm_from_seconds(round_div(work_us, US_PER_S))
+    return _e(hhmm_seconds_sql(round_div_sql(work_us, US_PER_S)))
 
 
-def hhmmss(seconds: Column) -> Column:
+def hhmmss(seconds: str) -> Column:
     """Seconds -> ``HH:MM:SS``; NULL -> 0; half-to-even."""
-    s = F.bround(F.coalesce(seconds.cast("double"), F.lit(0.0)), 0).cast("long")
-    return F.format_string("%02d:%02d:%02d", idiv(s, 3600), idiv(F.pmod(s, F.lit(3600)), 60),
-                           F.pmod(s, F.lit(60)))
+    s = f"CAST(bround(coalesce(CAST({seconds} AS DOUBLE), 0D), 0) AS BIGINT)"
+    return _e(f"format_string('%02d:%02d:%02d', {s} div 3600, pmod({s}, 3600) div 60, pmod({s}, 60))")
 
 
-def kg_text(kg: Column) -> Column:
+def kg_text(kg: str) -> Column:
     """``10 425 kg``: integer, space thousands; NULL -> ``0 kg``."""
-    n = F.bround(kg.cast("double"), 0).cast("long")
-    txt = F.concat(F.regexp_replace(F.format_number(n, 0), ",", " "), F.lit(" kg"))
-    return F.when(kg.isNull(), F.lit("0 kg")).otherwise(txt)
+    n = f"CAST(bround(CAST({kg} AS DOUBLE), 0) AS BIGINT)"
+    return _e(f"CASE WHEN ({kg}) IS NULL THEN '0 kg' "
+              f"ELSE concat(regexp_replace(format_number({n}, 0), ',', ' '), ' kg') END")
 
 
-def pct_text(p: Column) -> Column:
+def pct_text(p: str) -> Column:
     """``73.6 %``; NULL -> ``0 %`` (I14).  Inputs are already rounded to one
     decimal by the queries, so the text needs no further rounding."""
-    return F.when(p.isNull(), F.lit("0 %")).otherwise(F.format_string("%.1f %%", p.cast("double")))
+    return _e(f"CASE WHEN ({p}) IS NULL THEN '0 %' ELSE format_string('%.1f %%', CAST({p} AS DOUBLE)) END")
 
 
-def oee_status(p: Column, ok: float = 80.0, warning: float = 70.0) -> Column:
+def oee_status(p: str, ok: float = 80.0, warning: float = 70.0) -> Column:
     """ok / warning / bad for an OEE percentage."""
-    v = F.coalesce(p.cast("double"), F.lit(0.0))
-    return F.when(v >= ok, "ok").when(v >= warning, "warning").otherwise("bad")
+    v = f"coalesce(CAST({p} AS DOUBLE), 0D)"
+    return _e(f"CASE WHEN {v} >= {ok!r}D THEN 'ok' WHEN {v} >= {warning!r}D THEN 'warning' ELSE 'bad' END")
 
 
-def idle_status(s: Column, bad: float = 5400.0, warning: float = 3600.0) -> Column:
+def idle_status(s: str, bad: float = 5400.0, warning: float = 3600.0) -> Column:
     """bad / warning / ok for idle seconds (I16)."""
-    v = F.coalesce(s.cast("double"), F.lit(0.0))
-    return F.when(v >= bad, "bad").when(v >= warning, "warning").otherwise("ok")
+    v = f"coalesce(CAST({s} AS DOUBLE), 0D)"
+    return _e(f"CASE WHEN {v} >= {bad!r}D THEN 'bad' WHEN {v} >= {warning!r}D THEN 'warning' ELSE 'ok' END")
 
 
-def cycles_status(n: Column, ok: int = 4) -> Column:
+def cycles_status(n: str, ok: int = 4) -> Column:
     """ok when at least ``ok`` disinfection cycles, else bad."""
-    return F.when(F.coalesce(n, F.lit(0)) >= ok, "ok").otherwise("bad")
+    return _e(f"CASE WHEN coalesce({n}, 0) >= {ok} THEN 'ok' ELSE 'bad' END")

@@ -147,20 +147,37 @@ def shift_end_utc(report_date: Column, shift: Column, grid: Grid, tz: str = LOCA
     return to_utc(shift_start_local(report_date, shift, grid) + hours(SHIFT_HOURS), tz)
 
 
+def to_local_sql(ts: str, tz: str = LOCAL_TZ) -> str:
+    """SQL text of ``to_local``."""
+    if session_is_utc():
+        return f"CAST(from_utc_timestamp(CAST({ts} AS TIMESTAMP), '{tz}') AS TIMESTAMP_NTZ)"
+    return f"convert_timezone('UTC', '{tz}', {ts})"
+
+
+def to_utc_sql(local: str, tz: str = LOCAL_TZ) -> str:
+    """SQL text of ``to_utc``."""
+    if session_is_utc():
+        return f"CAST(to_utc_timestamp(CAST({local} AS TIMESTAMP), '{tz}') AS TIMESTAMP_NTZ)"
+    return f"convert_timezone('{tz}', 'UTC', {local})"
+
+
 def with_cell(df, ts: str, grid: Grid, tz: str = LOCAL_TZ, prefix: str = ""):
     """Add ``report_date``, ``shift`` and ``cell`` of ``ts`` on ``grid``."""
-    loc = to_local(F.col(ts), tz)
-    rd, sh = cell_date(loc, grid), cell_shift(loc, grid)
-    return df.select("*", rd.alias(f"{prefix}report_date"), sh.alias(f"{prefix}shift"),
-                     cell_index(rd, sh).alias(f"{prefix}cell"))
+    g = f"({to_local_sql(ts, tz)} + INTERVAL {grid.offset_hours} HOURS)"
+    rd, sh = f"CAST({g} AS DATE)", f"(hour({g}) div {SHIFT_HOURS} + 1)"
+    return df.select("*", F.expr(rd).alias(f"{prefix}report_date"),
+                     F.expr(f"CAST({sh} AS INT)").alias(f"{prefix}shift"),
+                     F.expr(f"CAST(datediff({rd}, DATE'1970-01-01') AS BIGINT) * 3 + {sh} - 1")
+                     .alias(f"{prefix}cell"))
 
 
 def with_bounds(df, grid: Grid, tz: str = LOCAL_TZ, report_date: str = "report_date",
                 shift: str = "shift"):
     """Add ``start_ts`` / ``end_ts`` (UTC instants) of the shift."""
-    rd, sh = F.col(report_date), F.col(shift)
-    return df.select("*", shift_start_utc(rd, sh, grid, tz).alias("start_ts"),
-                     shift_end_utc(rd, sh, grid, tz).alias("end_ts"))
+    start = (f"(CAST({report_date} AS TIMESTAMP_NTZ) + make_dt_interval(0, "
+             f"CAST(({shift} - 1) * {SHIFT_HOURS} - {grid.offset_hours} AS INT), 0, 0))")
+    return df.select("*", F.expr(to_utc_sql(start, tz)).alias("start_ts"),
+                     F.expr(to_utc_sql(f"({start} + INTERVAL {SHIFT_HOURS} HOURS)", tz)).alias("end_ts"))
 
 
 def clamp_end(start: Column, end: Column, as_of: Column | None) -> Column:

@@ -144,7 +144,7 @@ def _cap1(x: Column) -> Column:
     return F.round(F.least(F.lit(100.0), x), 1)
 
 
-def _secs(us: Column) -> Column:
+def _secs(us: str) -> Column:
     return round_div(us, US_PER_S).cast("double")
 
 
@@ -178,8 +178,8 @@ def calibration_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG)
         row(IND_PERFORMANCE, [_cap1(F.col(f"perf{k}")) for k in (1, 2, 3)] + [_cap1(perf_d)]),
         row(IND_AVAILABILITY, [_cap1(F.col(f"disp{k}")) for k in (1, 2, 3)] + [_cap1(disp_d)]),
         row(IND_OEE, [_cap1(F.col(f"oee{k}")) for k in (1, 2, 3)] + [_cap1(oee_d)]),
-        row(IND_IDLE, [_secs(F.col(f"idle_us{k}")) for k in (1, 2, 3)] + [_secs(F.col("idle_day"))]),
-        row(IND_OFF, [_secs(F.col(f"off_us{k}")) for k in (1, 2, 3)] + [_secs(F.col("off_day"))]),
+        row(IND_IDLE, [_secs(f"idle_us{k}") for k in (1, 2, 3)] + [_secs("idle_day")]),
+        row(IND_OFF, [_secs(f"off_us{k}") for k in (1, 2, 3)] + [_secs("off_day")]),
     )
     return wide.select("report_date", F.inline(rows))
 
@@ -196,8 +196,8 @@ def calibration_oee_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT
         return F.struct(F.lit(label).alias("indicador"), v.alias(CURRENT_COL))
 
     rows = F.array(row(IND_PERFORMANCE, _cap1(perf)), row(IND_AVAILABILITY, _cap1(disp)),
-                   row(IND_OEE, _cap1(oee)), row(IND_IDLE, _secs(F.col("idle_us"))),
-                   row(IND_OFF, _secs(F.col("off_us"))))
+                   row(IND_OEE, _cap1(oee)), row(IND_IDLE, _secs("idle_us")),
+                   row(IND_OFF, _secs("off_us")))
     return f.select("report_date", F.inline(rows))
 
 

@@ -24,9 +24,9 @@ DAY_COLS = ("t1_00_08", "t2_08_16", "t3_16_24")
 CURRENT_COL = "atual_00_08"
 
 
-def by_shift(df: DataFrame, value: str, names=DAY_COLS, agg=F.max) -> list[Column]:
+def by_shift(df: DataFrame, value: str, names=DAY_COLS, agg: str = "max") -> list[Column]:
     """``MAX(value) FILTER (WHERE shift = k)`` for k = 1..3."""
-    return [agg(F.when(F.col("shift") == k, F.col(value))).alias(n)
+    return [F.expr(f"{agg}(CASE WHEN shift = {k} THEN {value} END)").alias(n)
             for k, n in enumerate(names, start=1)]
 
 
@@ -85,18 +85,16 @@ def md_runtime(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> D
         *by_shift(f, "run_us", [f"r{k}" for k in (1, 2, 3)]),
         *by_shift(f, "load_us", [f"l{k}" for k in (1, 2, 3)]))
     w = attach(scope, wide, {c: 0 for c in ("r1", "r2", "r3", "l1", "l2", "l3")})
-    r = [F.col(f"r{k}") for k in (1, 2, 3)]
-    l_ = [F.col(f"l{k}") for k in (1, 2, 3)]
     return w.select("report_date",
-                    *[runtime_text(r[i], l_[i]).alias(DAY_COLS[i]) for i in range(3)],
-                    runtime_text(r[0] + r[1] + r[2], l_[0] + l_[1] + l_[2]).alias("total"))
+                    *[runtime_text(f"r{k}", f"l{k}").alias(DAY_COLS[k - 1]) for k in (1, 2, 3)],
+                    runtime_text("r1 + r2 + r3", "l1 + l2 + l3").alias("total"))
 
 
 def md_runtime_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q14: Q02 for the following day's 00-08 shift."""
     f = _rekey(md_shift_facts(t, _current(scope), cfg, shifts=(1,)))
     w = attach(scope, f.drop("shift"), {"run_us": 0, "load_us": 0})
-    return w.select("report_date", runtime_text(F.col("run_us"), F.col("load_us")).alias(CURRENT_COL))
+    return w.select("report_date", runtime_text("run_us", "load_us").alias(CURRENT_COL))
 
 
 def mill_hours(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -104,16 +102,15 @@ def mill_hours(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> D
     f = mill_shift_facts(t, scope, cfg)
     wide = f.groupBy("report_date").agg(*by_shift(f, "work_us", ["w1", "w2", "w3"]))
     w = attach(scope, wide, {"w1": 0, "w2": 0, "w3": 0})
-    ws = [F.col(c) for c in ("w1", "w2", "w3")]
-    return w.select("report_date", *[hours_text(ws[i]).alias(DAY_COLS[i]) for i in range(3)],
-                    hours_text(ws[0] + ws[1] + ws[2]).alias("total"))
+    return w.select("report_date", *[hours_text(f"w{k}").alias(DAY_COLS[k - 1]) for k in (1, 2, 3)],
+                    hours_text("w1 + w2 + w3").alias("total"))
 
 
 def mill_hours_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q15: Q03 for the following day's 00-08 shift."""
     f = _rekey(mill_shift_facts(t, _current(scope), cfg, shifts=(1,)))
     w = attach(scope, f.drop("shift"), {"work_us": 0})
-    return w.select("report_date", hours_text(F.col("work_us")).alias(CURRENT_COL))
+    return w.select("report_date", hours_text("work_us").alias(CURRENT_COL))
 
 
 def _kg_wide(f: DataFrame, scope: Scope) -> DataFrame:

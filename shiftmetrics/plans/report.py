@@ -14,6 +14,7 @@ partition overwrite, so re-running a date replaces only that date.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,17 +76,18 @@ def _standard(std: DataFrame, cur: DataFrame, section: int, block: str, order: i
         if fmt is None:
             spec.append((label, F.lit(None), v.cast("string"), None))
         else:
-            spec.append((label, v, fmt(v), status(v) if status else None))
+            spec.append((label, v, fmt(c), status(c) if status else None))
     if cur is not None:
-        v = F.col(grinding.CURRENT_COL)
+        c = grinding.CURRENT_COL
+        v = F.col(c)
         spec.append((current_label(), F.lit(None) if fmt is None else v,
-                     v.cast("string") if fmt is None else fmt(v), None))
+                     v.cast("string") if fmt is None else fmt(c), None))
     return cells(df, section, block, order, title, "", 1, spec)
 
 
 def _single_total(df: DataFrame, section: int, block: str, order: int, title: str) -> DataFrame:
     t = F.concat(F.lit(title + " ("), snapshot_label(), F.lit(")"))
-    return cells(df, section, block, order, t, "", 1, [("TOTAL", F.col("total"), kg_text(F.col("total")), None)])
+    return cells(df, section, block, order, t, "", 1, [("TOTAL", F.col("total"), kg_text("total"), None)])
 
 
 def _disinfection_table(day: DataFrame, cur: DataFrame, ids: tuple[int, ...], section: int,
@@ -97,45 +99,91 @@ def _disinfection_table(day: DataFrame, cur: DataFrame, ids: tuple[int, ...], se
     row_order = F.create_map(*[x for kv in order_map.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])[F.col("vapex")]
     is_total = F.col("vapex") == VAPEX_TOTAL_LABEL
 
-    def st(v: Column) -> Column:
+    def st(v: str) -> Column:
         return F.when(~is_total, cycles_status(v, cfg.cycles_ok))
 
-    cur_v = F.coalesce(F.col(disinfection.CURRENT_COL), F.lit(0))
-    spec: list[Cell] = [(label, F.col(c), F.col(c).cast("string"), st(F.col(c)))
+    cur_sql = f"coalesce({disinfection.CURRENT_COL}, 0L)"
+    cur_v = F.expr(cur_sql)
+    spec: list[Cell] = [(label, F.col(c), F.col(c).cast("string"), st(c))
                         for c, label in zip(disinfection.COLS, DAY_SHIFT_LABELS)]
     spec.append(("Total", F.col("total"), F.col("total").cast("string"), None))
-    spec.append((current_label(), cur_v, cur_v.cast("string"), st(cur_v)))
+    spec.append((current_label(), cur_v, cur_v.cast("string"), st(cur_sql)))
     return cells(df, section, block, order, title, F.col("vapex"), row_order, spec)
 
 
-def report_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+MART_INPUTS = {
+    "md_runtime": grinding.md_runtime, "md_runtime_current": grinding.md_runtime_current,
+    "mill_hours": grinding.mill_hours, "mill_hours_current": grinding.mill_hours_current,
+    "silo_kg_grinding": grinding.silo_kg_grinding,
+    "silo_kg_grinding_current": grinding.silo_kg_grinding_current,
+    "grinding_oee": grinding.grinding_oee,
+    "silo_total_8h_grinding": grinding.silo_total_8h_grinding,
+    "silo_kg_disinfection": grinding.silo_kg_disinfection,
+    "silo_kg_disinfection_current": grinding.silo_kg_disinfection_current,
+    "silo_total_8h_disinfection": grinding.silo_total_8h_disinfection,
+    "disinfections_grinding": disinfection.disinfections_grinding,
+    "disinfections_grinding_current": disinfection.disinfections_grinding_current,
+    "granulate_by_product": calibration.granulate_by_product,
+    "granulate_current": calibration.granulate_current,
+    "calibration_oee": calibration.calibration_oee,
+    "calibration_oee_current": calibration.calibration_oee_current,
+    "disinfections_vinc": disinfection.disinfections_vinc,
+    "disinfections_vinc_current": disinfection.disinfections_vinc_current,
+    "silo_snapshot_vinc": grinding.silo_snapshot_vinc,
+}
+
+
+def materialize(results: dict[str, DataFrame], parallel: int = 8) -> dict[str, DataFrame]:
+    """Checkpoint every (small, per-date) metric result, several jobs at once.
+
+    Reliable ``checkpoint()`` writes into the session's checkpoint folder
+    (``spark.checkpoint.dir``), so the mart is planned over tiny inputs and
+    a lost executor only recomputes the metric it was working on.
+    """
+    if not results:
+        return {}
+    from shiftmetrics.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(next(iter(results.values())).sparkSession)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(results)))) as pool:
+        futures = {k: pool.submit(lambda df: df.checkpoint(eager=True), v) for k, v in results.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def mart_inputs(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
+                names=None, materialized: bool = True) -> dict[str, DataFrame]:
+    res = {n: MART_INPUTS[n](t, scope, cfg) for n in (names or MART_INPUTS)}
+    return materialize(res) if materialized else res
+
+
+def report_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
+                 materialized: bool = True) -> DataFrame:
     """All report blocks of every report date as one long table (K1-K7)."""
-    g = grinding
+    m = mart_inputs(t, scope, cfg, materialized=materialized)
+    return cells_from(m, cfg)
+
+
+def cells_from(m: dict[str, DataFrame], cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     parts = [
-        _standard(g.md_runtime(t, scope, cfg), g.md_runtime_current(t, scope, cfg),
-                  1, "tempo_producao_md", 1, "Tempo Produção MD"),
-        _standard(g.mill_hours(t, scope, cfg), g.mill_hours_current(t, scope, cfg),
-                  1, "horas_moinhos", 2, "Nº Horas Trabalhadas (Moinhos)"),
-        _standard(g.silo_kg_grinding(t, scope, cfg), g.silo_kg_grinding_current(t, scope, cfg),
-                  1, "kgs_silos", 3, "Kgs Produzidos (Silos 1 a 5)", fmt=kg_text),
-        _standard(g.grinding_oee(t, scope, cfg), None, 1, "oee_trituracao", 4,
-                  "Dia Anterior - Cálculo OEE", fmt=lambda v: pct_text(F.coalesce(v, F.lit(0.0))),
+        _standard(m["md_runtime"], m["md_runtime_current"], 1, "tempo_producao_md", 1, "Tempo Produção MD"),
+        _standard(m["mill_hours"], m["mill_hours_current"], 1, "horas_moinhos", 2,
+                  "Nº Horas Trabalhadas (Moinhos)"),
+        _standard(m["silo_kg_grinding"], m["silo_kg_grinding_current"], 1, "kgs_silos", 3,
+                  "Kgs Produzidos (Silos 1 a 5)", fmt=kg_text),
+        _standard(m["grinding_oee"], None, 1, "oee_trituracao", 4,
+                  "Dia Anterior - Cálculo OEE", fmt=lambda v: pct_text(f"coalesce({v}, 0D)"),
                   status=lambda v: oee_status(v, cfg.oee_ok, cfg.oee_warning)),
-        _single_total(g.silo_total_8h_grinding(t, scope, cfg), 1, "trit_total_silos_8h", 5,
-                      "Total Silos AD 1 a 5 às 8h"),
-        _standard(g.silo_kg_disinfection(t, scope, cfg), g.silo_kg_disinfection_current(t, scope, cfg),
-                  2, "desinf_kgs_silos", 1, "Kgs Produzidos (Silos 6 a 10)", fmt=kg_text),
-        _single_total(g.silo_total_8h_disinfection(t, scope, cfg), 2, "desinf_total_silos_8h", 2,
+        _single_total(m["silo_total_8h_grinding"], 1, "trit_total_silos_8h", 5, "Total Silos AD 1 a 5 às 8h"),
+        _standard(m["silo_kg_disinfection"], m["silo_kg_disinfection_current"], 2, "desinf_kgs_silos", 1,
+                  "Kgs Produzidos (Silos 6 a 10)", fmt=kg_text),
+        _single_total(m["silo_total_8h_disinfection"], 2, "desinf_total_silos_8h", 2,
                       "Total Silos PD 6 a 10 às 8h"),
-        _disinfection_table(disinfection.disinfections_grinding(t, scope, cfg),
-                            disinfection.disinfections_grinding_current(t, scope, cfg), VAPEX_GRINDING,
+        _disinfection_table(m["disinfections_grinding"], m["disinfections_grinding_current"], VAPEX_GRINDING,
                             2, "desinf_trit_desinfecoes_dia_anterior", 3, "Nº Desinfeções", cfg),
-        granulate_cells(t, scope, cfg),
-        calibration_oee_cells(t, scope, cfg),
-        _disinfection_table(disinfection.disinfections_vinc(t, scope, cfg),
-                            disinfection.disinfections_vinc_current(t, scope, cfg), VAPEX_VINC,
+        _granulate(m["granulate_by_product"], m["granulate_current"]),
+        _calibration_oee(m["calibration_oee"], m["calibration_oee_current"], cfg),
+        _disinfection_table(m["disinfections_vinc"], m["disinfections_vinc_current"], VAPEX_VINC,
                             4, "desinf_vinc_desinfecoes_dia_anterior", 1, "Dia Anterior - Nº Desinfeções", cfg),
-        vinc_silo_cells(t, scope, cfg),
+        _vinc_silos(m["silo_snapshot_vinc"]),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -145,51 +193,60 @@ def report_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
 
 def granulate_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Granulate table with the current column and blank share on Total (K3)."""
-    day = calibration.granulate_by_product(t, scope, cfg)
-    cur = calibration.granulate_current(t, scope, cfg)
+    m = mart_inputs(t, scope, cfg, ("granulate_by_product", "granulate_current"))
+    return _granulate(m["granulate_by_product"], m["granulate_current"])
+
+
+def _granulate(day: DataFrame, cur: DataFrame) -> DataFrame:
     df = day.join(cur, ["report_date", "produto"], "left")
     order = {label: k for k, (label, _) in enumerate(PRODUCTS, start=1)}
     order[PRODUCT_TOTAL_LABEL] = len(PRODUCTS) + 1
     row_order = F.create_map(*[x for kv in order.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])[F.col("produto")]
     is_total = F.col("produto") == PRODUCT_TOTAL_LABEL
-    cur_v = F.coalesce(F.col(calibration.CURRENT_COL), F.lit(0))
-    spec: list[Cell] = [(label, F.col(c), kg_text(F.col(c)), None)
+    cur_sql = f"coalesce({calibration.CURRENT_COL}, 0L)"
+    spec: list[Cell] = [(label, F.col(c), kg_text(c), None)
                         for c, label in zip(calibration.CAL_COLS, CAL_SHIFT_LABELS)]
-    spec.append(("Total (Kg)", F.col("total_kg"), kg_text(F.col("total_kg")), None))
+    spec.append(("Total (Kg)", F.col("total_kg"), kg_text("total_kg"), None))
     spec.append(("%", F.col("percentagem"),
-                 F.when(is_total, F.lit("")).otherwise(pct_text(F.col("percentagem"))), None))
-    spec.append((current_label(), cur_v, kg_text(cur_v), None))
+                 F.when(is_total, F.lit("")).otherwise(pct_text("percentagem")), None))
+    spec.append((current_label(), F.expr(cur_sql), kg_text(cur_sql), None))
     return cells(df, 3, "calibracao_granulado_dia_anterior", 1,
                  "Total de Granulado Produzido - Dia Anterior", F.col("produto"), row_order, spec)
 
 
 def calibration_oee_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Calibration OEE table: % or HH:MM:SS per indicator, status classes (K4)."""
-    day = calibration.calibration_oee(t, scope, cfg)
-    cur = calibration.calibration_oee_current(t, scope, cfg)
+    m = mart_inputs(t, scope, cfg, ("calibration_oee", "calibration_oee_current"))
+    return _calibration_oee(m["calibration_oee"], m["calibration_oee_current"], cfg)
+
+
+def _calibration_oee(day: DataFrame, cur: DataFrame, cfg: Config) -> DataFrame:
     df = day.join(cur, ["report_date", "indicador"], "left")
     order = {label: k for k, label in enumerate(CAL_INDICATORS, start=1)}
     row_order = F.create_map(*[x for kv in order.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])[F.col("indicador")]
     is_time = F.col("indicador").isin(IND_IDLE, IND_OFF)
     is_oee = F.col("indicador") == IND_OEE
 
-    def cell(label, v: Column) -> Cell:
-        v = F.coalesce(v, F.lit(0.0))
+    def cell(label, c: str) -> Cell:
+        v = f"coalesce({c}, 0D)"
         disp = F.when(is_time, hhmmss(v)).otherwise(pct_text(v))
         st = (F.when(is_time, idle_status(v, cfg.idle_bad_s, cfg.idle_warning_s))
               .when(is_oee, oee_status(v, cfg.oee_ok, cfg.oee_warning)))
-        return (label, v, disp, st)
+        return (label, F.expr(v), disp, st)
 
-    spec = [cell(label, F.col(c)) for c, label in zip(calibration.CAL_COLS, CAL_SHIFT_LABELS)]
-    spec.append(cell("Dia", F.col("dia")))
-    spec.append(cell(current_label(), F.col(calibration.CURRENT_COL)))
+    spec = [cell(label, c) for c, label in zip(calibration.CAL_COLS, CAL_SHIFT_LABELS)]
+    spec.append(cell("Dia", "dia"))
+    spec.append(cell(current_label(), calibration.CURRENT_COL))
     return cells(df, 3, "calibracao_oee_dia_anterior", 2, "Cálculo OEE", F.col("indicador"), row_order, spec)
 
 
 def vinc_silo_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """VINC silo weights at 08:05, one row of six kg cells (K6)."""
-    df = grinding.silo_snapshot_vinc(t, scope, cfg)
-    spec: list[Cell] = [(label, F.col(c), kg_text(F.col(c)), None)
+    return _vinc_silos(grinding.silo_snapshot_vinc(t, scope, cfg))
+
+
+def _vinc_silos(df: DataFrame) -> DataFrame:
+    spec: list[Cell] = [(label, F.col(c), kg_text(c), None)
                         for (_, label), c in zip(VINC_SILOS, grinding.VINC_COLS)]
     title = F.concat(F.lit("Peso Silos Desinfeção VINC às 8h ("), snapshot_label(), F.lit(")"))
     return cells(df, 4, "desinf_vinc_silos_8h", 2, title, "", 1, spec)

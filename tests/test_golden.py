@@ -186,13 +186,11 @@ def test_dst_shift_lengths(spark):
 
 
 def test_formats(spark):
-    from pyspark.sql import functions as F
-
     from shiftmetrics.functions.formatting import hhmmss, kg_text, pct_text
     df = spark.createDataFrame([(45296.0, 10425.0, 73.6), (None, None, None), (0.0, 2.5, 5.0)],
                                "s double, kg double, p double")
-    out = df.select(hhmmss(F.col("s")).alias("a"), kg_text(F.col("kg")).alias("b"),
-                    pct_text(F.col("p")).alias("c")).collect()
+    out = df.select(hhmmss("s").alias("a"), kg_text("kg").alias("b"),
+                    pct_text("p").alias("c")).collect()
     assert [tuple(r) for r in out] == [("12:34:56", "10 425 kg", "73.6 %"),
                                        ("00:00:00", "0 kg", "0 %"),
                                        ("00:00:00", "2 kg", "5.0 %")]
