@@ -15,15 +15,17 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import interval, to_local
 from shiftmetrics.operators.carry import _scope_day_bounds, _valid_ranges, latest
+from shiftmetrics.operators.chunked import DEFAULT_CHUNK, chunked_lag, time_chunk
 from shiftmetrics.plans.scope import Scope
 
 
-def counter_steps(counters: DataFrame, value: str, *, scope: Scope, day_start: timedelta) -> DataFrame:
+def counter_steps(counters: DataFrame, value: str, *, scope: Scope, day_start: timedelta,
+                  chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
     """Every step ``value - previous value`` with the report dates it belongs to.
 
     Returns ``report_date, ts, delta`` for steps whose later sample lies in
@@ -44,8 +46,9 @@ def counter_steps(counters: DataFrame, value: str, *, scope: Scope, day_start: t
                        F.lit(0).alias("kind"))
     rows = s.filter((F.col("d") >= lo) & (F.col("d") <= hi)).withColumn("kind", F.lit(1))
     rows = rows.unionByName(prev)
-    w = Window.partitionBy("d").orderBy("kind", "ts", "id")
-    steps = rows.withColumn("delta", F.col("v") - F.lag("v").over(w)).filter(F.col("kind") == 1)
+    ck = F.when(F.col("kind") == 0, F.lit(-1).cast("long")).otherwise(time_chunk("ts", chunk))
+    rows = chunked_lag(rows, ["d"], ["kind", "ts", "id"], "v", "_prev", ck)
+    steps = rows.withColumn("delta", F.col("v") - F.col("_prev")).filter(F.col("kind") == 1)
     days = F.when(F.col("at_edge"), F.array(F.col("d"), F.col("d") - 1)).otherwise(F.array(F.col("d")))
     steps = steps.select(F.explode(days).alias("d"), "ts", "delta")
     steps = steps.select(F.date_add(F.lit("1970-01-01").cast("date"), F.col("d").cast("int")).alias("report_date"),

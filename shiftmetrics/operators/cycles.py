@@ -14,15 +14,17 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import interval, minutes_interval, to_local
+from shiftmetrics.operators.chunked import DEFAULT_CHUNK, chunked_lag, chunked_running_sum, time_chunk
 from shiftmetrics.plans.scope import Scope
 
 
 def cycles_in_windows(machines: DataFrame, *, scope: Scope, machine_ids: tuple[int, ...],
-                      before: timedelta, after: timedelta, day_offset: int = 0) -> DataFrame:
+                      before: timedelta, after: timedelta, day_offset: int = 0,
+                      chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
     """Cycles found in the window ``[W - before, W + after)`` local of each window day W.
 
     ``W`` is the report date plus ``day_offset``.  Returns ``report_date,
@@ -49,10 +51,11 @@ def cycles_in_windows(machines: DataFrame, *, scope: Scope, machine_ids: tuple[i
     m = m.withColumn("report_date", F.date_sub("w", day_offset))
     m = scope.keep(m)
 
-    order = Window.partitionBy("report_date", "machine_id").orderBy("ts", "record_id")
-    prev = F.lag("operation_id").over(order)
-    m = m.withColumn("new", F.when(~prev.eqNullSafe(F.col("operation_id")), 1).otherwise(0))
-    m = m.withColumn("cycle", F.sum("new").over(order))
+    keys, order = ["report_date", "machine_id"], ["ts", "record_id"]
+    ck = time_chunk("ts", chunk)
+    m = chunked_lag(m, keys, order, "operation_id", "prev_op", ck)
+    m = m.withColumn("new", F.when(~F.col("prev_op").eqNullSafe(F.col("operation_id")), 1).otherwise(0))
+    m = chunked_running_sum(m, keys, order, "new", "cycle", ck)
     c = m.groupBy("report_date", "w", "machine_id", "cycle").agg(
         F.min("operation_id").alias("operation_id"),
         F.min("local").alias("start_local"),

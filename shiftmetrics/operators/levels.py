@@ -8,14 +8,19 @@ predecessor; a NULL level makes both adjacent steps NULL (not counted).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiftmetrics.operators.chunked import DEFAULT_CHUNK, chunked_lag, time_chunk
+
 
 def gated_gain(rows: DataFrame, entity: str = "silo_id", level: str = "kg",
-               state: str = "state", filling: int = 1) -> DataFrame:
+               state: str = "state", filling: int = 1, chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
     """Add ``gain`` to rows of ``shift_samples``."""
-    w = Window.partitionBy("report_date", "shift", entity).orderBy("ts", "id")
-    delta = F.col(level) - F.lag(level).over(w)
+    rows = chunked_lag(rows, ["report_date", "shift", entity], ["ts", "id"], level, "_prev",
+                       time_chunk("ts", chunk))
+    delta = F.col(level) - F.col("_prev")
     gain = F.when((F.col(state) == filling) & (delta > 0), delta).otherwise(F.lit(0))
-    return rows.withColumn("gain", gain)
+    return rows.withColumn("gain", gain).drop("_prev")

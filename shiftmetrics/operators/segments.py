@@ -10,20 +10,21 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import interval, micros_between
+from shiftmetrics.operators.chunked import DEFAULT_CHUNK, chunked_lead, time_chunk
 
 
 def capped_durations(rows: DataFrame, entity: str | None = None,
-                     cap: timedelta = timedelta(minutes=2)) -> DataFrame:
+                     cap: timedelta = timedelta(minutes=2), chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
     """Add ``dur_us`` to rows of ``shift_samples``; keep positive segments (C11)."""
     keys = ["report_date", "shift"] + ([entity] if entity else [])
-    w = Window.partitionBy(*keys).orderBy("ts", "id")
-    nxt = F.lead("ts").over(w)
+    rows = chunked_lead(rows, keys, ["ts", "id"], "ts", "_next", time_chunk("ts", chunk))
+    nxt = F.col("_next")
     seg_end = F.least(F.coalesce(nxt, F.col("end_eff")), F.col("ts") + interval(cap),
                       F.col("end_eff"))
     seg_start = F.greatest(F.col("ts"), F.col("start_ts"))
-    return (rows.withColumn("dur_us", micros_between(seg_start, seg_end))
+    return (rows.withColumn("dur_us", micros_between(seg_start, seg_end)).drop("_next")
             .filter(F.col("dur_us") > 0))

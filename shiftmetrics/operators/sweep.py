@@ -14,17 +14,22 @@ than one shift.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import Grid, micros_between, with_bounds, with_cell
 from shiftmetrics.operators.carry import state_at_cell_start
+from shiftmetrics.operators.chunked import (
+    DEFAULT_CHUNK, chunked_lag, chunked_lead, chunked_running_sum, time_chunk,
+)
 from shiftmetrics.plans.scope import Scope
 
 
 def status_durations(status: DataFrame, flag: Column, silos: DataFrame, *, scope: Scope,
                      grid: Grid, cell_lo: Column, cell_hi: Column, shifts: tuple[int, ...],
-                     target_state: int = 2) -> DataFrame:
+                     target_state: int = 2, chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
     """Durations of status samples with the "any silo in state" flag.
 
     ``status`` has ``ts, id`` and whatever ``flag`` reads; ``silos`` has
@@ -58,22 +63,22 @@ def status_durations(status: DataFrame, flag: Column, silos: DataFrame, *, scope
                        F.lit(None).cast("int").alias("flag"))
 
     ev = init.unionByName(sl).unionByName(st)
-    is_in = F.when(F.col("state") == target_state, 1).otherwise(0)
-    per_silo = Window.partitionBy("report_date", "shift", "silo_id").orderBy("ts", "kind", "id")
-    prev_in = F.lag(is_in).over(per_silo)
-    delta = F.when(F.col("kind") == 2, F.lit(0)).otherwise(is_in - F.coalesce(prev_in, F.lit(0)))
+    ev = ev.withColumn("is_in", F.when(F.col("state") == target_state, 1).otherwise(0))
+    ck = time_chunk("ts", chunk)
+    ev = chunked_lag(ev, ["report_date", "shift", "silo_id"], ["ts", "kind", "id"], "is_in", "prev_in", ck)
+    delta = F.when(F.col("kind") == 2, F.lit(0)).otherwise(F.col("is_in") - F.coalesce("prev_in", F.lit(0)))
     ev = ev.withColumn("delta", delta)
     # RANGE UNBOUNDED PRECEDING .. CURRENT ROW: peers at equal ts are included,
     # so a segment starting at t covers t and one ending at t does not.
-    running = Window.partitionBy("report_date", "shift").orderBy("ts")
-    ev = ev.withColumn("n_in", F.sum("delta").over(running))
+    ev = chunked_running_sum(ev, ["report_date", "shift"], ["ts"], "delta", "n_in", ck)
 
     samples = (ev.filter(F.col("kind") == 2)
                .groupBy("report_date", "shift", "ts", "flag")
                .agg(F.max(F.when(F.col("n_in") > 0, 1).otherwise(0)).alias("any_state")))
     samples = with_bounds(samples, grid, scope.tz)
-    nxt = F.lead("ts").over(Window.partitionBy("report_date", "shift").orderBy("ts", "flag"))
-    seg_end = F.least(F.coalesce(nxt, F.col("end_ts")), F.col("end_ts"))
+    samples = chunked_lead(samples, ["report_date", "shift"], ["ts", "flag"], "ts", "_next",
+                           time_chunk("ts", chunk))
+    seg_end = F.least(F.coalesce(F.col("_next"), F.col("end_ts")), F.col("end_ts"))
     dur = F.greatest(F.lit(0).cast("long"), micros_between(F.col("ts"), seg_end))
     return samples.withColumn("dur_us", dur).select("report_date", "shift", "ts", "flag",
                                                     "any_state", "dur_us")
