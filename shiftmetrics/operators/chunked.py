@@ -48,7 +48,8 @@ def _neighbour(df: DataFrame, keys: list[str], order: list[str], value: str, out
     # Edge summaries: first row of each chunk (for lead) or last row (for lag).
     key_rec = F.struct(*[F.col(o) for o in order], F.col(value).alias("v"))
     edge = F.min(key_rec) if forward else F.max(key_rec)
-    edges = df.withColumn("_chunk", chunk).groupBy(*keys, "_chunk").agg(edge.alias("_e"))
+    # Summaries from the windowed rows: same partitioning, no second scan.
+    edges = c.groupBy(*keys, "_chunk").agg(edge.alias("_e"))
     cw = Window.partitionBy(*keys).orderBy("_chunk")
     shifted = F.lead("_e").over(cw) if forward else F.lag("_e").over(cw)
     edges = edges.select(*keys, "_chunk", F.struct(shifted["v"].alias("v")).alias("_x"),
@@ -78,7 +79,7 @@ def chunked_running_sum(df: DataFrame, keys: list[str], order: list[str], value:
     c = df.withColumn("_chunk", chunk)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     c = c.withColumn("_in", F.sum(value).over(w))
-    totals = df.withColumn("_chunk", chunk).groupBy(*keys, "_chunk").agg(F.sum(value).alias("_t"))
+    totals = c.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_t"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*keys, "_chunk", F.sum("_t").over(before).alias("_p"))
     c = c.join(totals, [*keys, "_chunk"], "left")

@@ -10,21 +10,38 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import interval, micros_between
-from shiftmetrics.operators.chunked import DEFAULT_CHUNK, chunked_lead, time_chunk
+from shiftmetrics.operators.chunked import DEFAULT_CHUNK, time_chunk
 
 
 def capped_durations(rows: DataFrame, entity: str | None = None,
                      cap: timedelta = timedelta(minutes=2), chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
-    """Add ``dur_us`` to rows of ``shift_samples``; keep positive segments (C11)."""
+    """Add ``dur_us`` to rows of ``shift_samples``; keep positive segments (C11).
+
+    Partitioned by (shift, entity, time chunk) so a hot entity is split.  A
+    segment is capped at ``cap``, so a row only needs its successor when it
+    lies less than ``cap`` later: every row in the first ``cap`` of a chunk
+    is also copied into the previous chunk as a look-ahead ("ghost") row.
+    The last row of each chunk then sees the first rows of the next one,
+    and a missing successor means the true one is at least ``cap`` away,
+    where it does not change the result.  No second pass, no join.
+    """
+    width = max(chunk, cap)
     keys = ["report_date", "shift"] + ([entity] if entity else [])
-    rows = chunked_lead(rows, keys, ["ts", "id"], "ts", "_next", time_chunk("ts", chunk))
+    k = time_chunk("ts", width)
+    rows = rows.withColumn("_chunk", k)
+    start_of_chunk = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) \
+        - F.col("_chunk") * int(width / timedelta(microseconds=1))
+    near_start = start_of_chunk < int(cap / timedelta(microseconds=1))
+    copies = F.when(near_start, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = rows.withColumn("_ghost", F.explode(copies)).withColumn("_chunk", F.col("_chunk") - F.col("_ghost"))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("ts", "id")
+    rows = rows.withColumn("_next", F.lead("ts").over(w)).filter(F.col("_ghost") == 0)
     nxt = F.col("_next")
-    seg_end = F.least(F.coalesce(nxt, F.col("end_eff")), F.col("ts") + interval(cap),
-                      F.col("end_eff"))
+    seg_end = F.least(F.coalesce(nxt, F.col("end_eff")), F.col("ts") + interval(cap), F.col("end_eff"))
     seg_start = F.greatest(F.col("ts"), F.col("start_ts"))
-    return (rows.withColumn("dur_us", micros_between(seg_start, seg_end)).drop("_next")
+    return (rows.withColumn("dur_us", micros_between(seg_start, seg_end)).drop("_next", "_ghost", "_chunk")
             .filter(F.col("dur_us") > 0))

@@ -223,3 +223,19 @@ def test_results_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
+
+
+def test_segments_across_chunk_edges(spark):
+    # Windows are split by hour: successors just after 09:00 must still be seen.
+    rows = [(at(D, 8, 59, 30), 1, 2.0), (at(D, 9, 0, 45), 1, 0.0),     # 75 s across the edge
+            (at(D, 9, 59), 1, 2.0), (at(D, 10, 2, 30), 1, 0.0),         # next beyond the cap: 120 s
+            (at(D, 10, 59, 59), 1, 2.0), (at(D, 11, 0, 0), 1, 2.0),     # 1 s, then 120 s
+            (at(D, 11, 30), 1, 0.0)]
+    assert mill_secs(spark, rows)[2] == 75 + 120 + 1 + 120
+
+
+def test_level_gain_across_chunk_edges(spark):
+    rows = [(at(D, 8, 59), 1, 1, 100.0), (at(D, 10, 30), 1, 1, 160.0),  # empty 09:00 chunk between
+            (at(D, 11, 0), 1, 1, 150.0), (at(D, 12, 0), 1, 1, None), (at(D, 13, 0), 1, 1, 170.0)]
+    t = tables(spark, silos_a=rows)
+    assert one(grinding.silo_kg_grinding(t, scope(spark, D)))["t2_08_16"] == 60.0
