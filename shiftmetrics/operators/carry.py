@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from shiftmetrics.functions.timegrid import (
     Grid, cell_date, cell_index, cell_report_date, cell_shift, cell_shift_of, clamp_end,
-    hours, interval, to_local, with_bounds, with_cell,
+    interval, to_local, with_bounds, with_cell,
 )
 from shiftmetrics.plans.scope import Scope
 
@@ -188,5 +188,5 @@ def state_at_cell_start(samples: DataFrame, *, scope: Scope, grid: Grid, entity:
     return _valid_ranges(last, [entity], "cell", cell_lo, cell_hi, offset=1)
 
 
-__all__ = ["shift_samples", "asof_at_boundaries", "daily_snapshot", "state_at_cell_start",
-           "scope_cell_bounds", "latest", "hours"]
+__all__ = ["shift_samples", "shift_dimension", "asof_at_boundaries", "daily_snapshot",
+           "state_at_cell_start", "scope_cell_bounds", "latest"]

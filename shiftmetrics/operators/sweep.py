@@ -62,12 +62,14 @@ def status_durations(status: DataFrame, flag: Column, silos: DataFrame, *, scope
                        F.col("r.id").alias("id"), "silo_id", F.col("r.state").alias("state"),
                        F.lit(None).cast("int").alias("flag"))
 
-    ev = init.unionByName(sl).unionByName(st)
-    ev = ev.withColumn("is_in", F.when(F.col("state") == target_state, 1).otherwise(0))
     ck = time_chunk("ts", chunk)
-    ev = chunked_lag(ev, ["report_date", "shift", "silo_id"], ["ts", "kind", "id"], "is_in", "prev_in", ck)
-    delta = F.when(F.col("kind") == 2, F.lit(0)).otherwise(F.col("is_in") - F.coalesce("prev_in", F.lit(0)))
-    ev = ev.withColumn("delta", delta)
+    silo_ev = init.unionByName(sl).withColumn(
+        "is_in", F.when(F.col("state") == target_state, 1).otherwise(0))
+    silo_ev = chunked_lag(silo_ev, ["report_date", "shift", "silo_id"], ["ts", "kind", "id"], "is_in",
+                          "prev_in", ck)
+    silo_ev = silo_ev.withColumn("delta", F.col("is_in") - F.coalesce("prev_in", F.lit(0)))
+    ev = (silo_ev.select("report_date", "shift", "ts", "flag", "kind", "delta")
+          .unionByName(st.select("report_date", "shift", "ts", "flag", "kind", F.lit(0).alias("delta"))))
     # RANGE UNBOUNDED PRECEDING .. CURRENT ROW: peers at equal ts are included,
     # so a segment starting at t covers t and one ending at t does not.
     ev = chunked_running_sum(ev, ["report_date", "shift"], ["ts"], "delta", "n_in", ck)

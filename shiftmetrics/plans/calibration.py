@@ -19,7 +19,7 @@ from shiftmetrics.functions.formatting import US_PER_S, round_div
 from shiftmetrics.functions.timegrid import CAL_GRID, DAY_GRID, Grid, cell_report_date, cell_shift_of
 from shiftmetrics.operators.carry import asof_at_boundaries, scope_cell_bounds
 from shiftmetrics.operators.sweep import status_durations
-from shiftmetrics.plans.scope import Scope, attach
+from shiftmetrics.plans.scope import Scope
 from shiftmetrics.sources.tables import SensorTables
 
 CAL_COLS = ("t1_22_06", "t2_06_14", "t3_14_22")
@@ -202,5 +202,4 @@ def calibration_oee_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT
 
 
 __all__ = ["granulate_by_product", "granulate_current", "calibration_oee",
-           "calibration_oee_current", "calibration_state_time", "counter_gain", "CAL_INDICATORS",
-           "attach"]
+           "calibration_oee_current", "calibration_state_time", "counter_gain", "CAL_INDICATORS"]

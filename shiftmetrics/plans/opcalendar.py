@@ -7,8 +7,6 @@ over sensor rows), so its size is the number of days in scope.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,8 +79,7 @@ def previous_calendar_day(as_of_utc, tz: str) -> object:
     return F.date_sub(to_local(as_of_utc, tz).cast("date"), 1)
 
 
-__all__ = ["holidays_frame", "operational_calendar", "report_days", "previous_calendar_day",
-           "timedelta"]
+__all__ = ["holidays_frame", "operational_calendar", "report_days", "previous_calendar_day"]
 
 
 def calendar_query(t, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
