@@ -20,6 +20,7 @@ from shiftmetrics.plans.activity import report_activity
 from shiftmetrics.plans.opcalendar import operational_calendar, report_days
 from shiftmetrics.plans.report import report_cells, write_report
 from shiftmetrics.plans.scope import Scope
+from shiftmetrics.sources.prior import cutoff_for, prior_for_run, with_prior
 from shiftmetrics.sources.tables import SensorTables
 
 
@@ -39,17 +40,25 @@ def selected_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG)
 
 
 def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_path: str,
-             as_of: datetime | None = None, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """Produce and write the reports of ``first..last`` (those to be sent)."""
+             as_of: datetime | None = None, cfg: Config = DEFAULT_CONFIG,
+             state_dir: str | None = None) -> DataFrame:
+    """Produce and write the reports of ``first..last`` (those to be sent).
+
+    With ``state_dir`` (a shared folder), unbounded as-of inputs read a
+    stored prior plus recent rows instead of their whole history.
+    """
     scope = Scope.for_range(spark, first, last, as_of=as_of, tz=cfg.tz)
+    if state_dir is not None:
+        cut = cutoff_for(first, cfg.tz)
+        t = with_prior(t, prior_for_run(spark, t, state_dir, cut), cut)
     cells = selected_cells(t, scope, cfg)
     write_report(cells, out_path)
     return cells
 
 
 def daily_run(spark: SparkSession, t: SensorTables, out_path: str, as_of: datetime | None = None,
-              cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+              cfg: Config = DEFAULT_CONFIG, state_dir: str | None = None) -> DataFrame:
     """The scheduled run: yesterday's report if it is ready and to be sent."""
     as_of = as_of or datetime.now(timezone.utc)
     d = report_date_for(as_of, cfg.tz)
-    return backfill(spark, t, d, d, out_path, as_of=as_of, cfg=cfg)
+    return backfill(spark, t, d, d, out_path, as_of=as_of, cfg=cfg, state_dir=state_dir)
