@@ -173,3 +173,15 @@ QUERIES.update({
     "operational_calendar": OPERATIONAL_CALENDAR,
     "report_days": REPORT_DAYS,
 })
+
+
+def _state_sweep() -> str:
+    from oracle.calibration_sql import CAL_BOUNDS, state_time
+    return q("""
+SELECT report_date, shift, strftime(ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f') AS ts_utc,
+       algum_rotex_on AS flag, algum_silo_vazar AS any_state,
+       GREATEST(0, epoch_us(LEAST(next_ts, end_ts)) - epoch_us(ts)) AS dur_us
+FROM status_in_shift""", state_time("cal_shifts", CAL_BOUNDS))
+
+
+QUERIES["state_sweep"] = _state_sweep()

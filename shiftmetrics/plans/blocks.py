@@ -104,3 +104,16 @@ def cycle_islands(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -
         F.sum(F.when(F.col("theoretical_min") > cfg.cycle_min_theoretical, 1).otherwise(0)).alias("n_valid"),
         F.sum("theoretical_min").alias("sum_theoretical"),
         F.sum(F.col("operation_id")).alias("sum_operation"))
+
+
+def state_sweep(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Sweep (J5), row level: every re-milling status sample of each calibration
+    shift with its rotary flag, "any silo 6-10 emptying" and segment length."""
+    from shiftmetrics.operators.sweep import status_durations
+    lo, hi = scope_cell_bounds(scope, 0, 2)
+    flag = (F.coalesce(F.col("m23"), F.lit(0)) == 1) | (F.coalesce(F.col("m45"), F.lit(0)) == 1)
+    silos = t.silos_b.filter(F.col("silo_id").between(*cfg.disinfection_silos))
+    d = status_durations(t.remill, flag, silos, scope=scope, grid=CAL_GRID, cell_lo=lo, cell_hi=hi,
+                         shifts=(1, 2, 3))
+    return d.select("report_date", "shift", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_utc"),
+                    "flag", "any_state", "dur_us")

@@ -260,7 +260,6 @@ def missing_blocks(report: DataFrame, expected_blocks: int = 12) -> DataFrame:
 
 def write_report(report: DataFrame, path: str) -> None:
     """Sink (A6): Parquet partitioned by report date, dynamic overwrite."""
-    spark = report.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (report.repartition("report_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
      .partitionBy("report_date").parquet(path))

@@ -46,6 +46,7 @@ BLOCK_QUERIES: dict[str, Plan] = {
     "carry_in_latest": blocks.carry_in_latest,                           # J1
     "counter_asof": blocks.counter_asof,                                 # J2
     "segment_durations": blocks.segment_durations,                       # J6
+    "state_sweep": blocks.state_sweep,                                   # J5 (rows)
     "calibration_state_time": blocks.calibration_state_time_q,           # J5
     "cycle_islands": blocks.cycle_islands,                               # J8
     "operational_calendar": opcalendar.calendar_query,                   # B9-B14, B16
