@@ -107,13 +107,6 @@ def date_at(d: str | Column, offset: timedelta) -> Column:
     return col(d).cast("timestamp_ntz") + interval(offset)
 
 
-def local_to_utc_at(d: str | Column, offset: timedelta, tz: str = LOCAL_TZ) -> Column:
-    """Instant of local wall clock ``d + offset`` (reference: ``AT TIME ZONE``)."""
-    return to_utc(date_at(d, offset), tz)
-
-
-# --- grid cells ---------------------------------------------------------------
-
 def cell_date(local: Column, grid: Grid) -> Column:
     return (local + hours(grid.offset_hours)).cast("date")
 
@@ -139,14 +132,6 @@ def shift_start_local(report_date: Column, shift: Column, grid: Grid) -> Column:
             + hours((shift - 1) * SHIFT_HOURS - grid.offset_hours))
 
 
-def shift_start_utc(report_date: Column, shift: Column, grid: Grid, tz: str = LOCAL_TZ) -> Column:
-    return to_utc(shift_start_local(report_date, shift, grid), tz)
-
-
-def shift_end_utc(report_date: Column, shift: Column, grid: Grid, tz: str = LOCAL_TZ) -> Column:
-    return to_utc(shift_start_local(report_date, shift, grid) + hours(SHIFT_HOURS), tz)
-
-
 def to_local_sql(ts: str, tz: str = LOCAL_TZ) -> str:
     """SQL text of ``to_local``."""
     if session_is_utc():
