@@ -60,10 +60,26 @@ def _share(total: Column, grand: Column) -> Column:
     return F.coalesce(F.round(ratio, 0), F.lit(0.0))
 
 
+COUNTER_COLS = ["total", *[c for _, c in PRODUCTS]]
+
+
+def calibration_counter_gain(t: SensorTables, scope: Scope) -> DataFrame:
+    """Counter gains per calibration shift of the scope (total and products)."""
+    return scope.keep(counter_gain(t.counters, COUNTER_COLS, scope, CAL_GRID, 0, 2))
+
+
+def next_day_counter_gain(t: SensorTables, scope: Scope) -> DataFrame:
+    """Counter gains per day-grid shift of the following days (keyed D + 1)."""
+    return counter_gain(t.counters, COUNTER_COLS, scope, DAY_GRID, 3, 3)
+
+
 def granulate_by_product(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q09: kg per product and calibration shift, a Total row and share %."""
     cols = [c for _, c in PRODUCTS]
-    gain = scope.keep(counter_gain(t.counters, cols, scope, CAL_GRID, 0, 2))
+    return granulate_from(scope.keep(counter_gain(t.counters, cols, scope, CAL_GRID, 0, 2)), scope)
+
+
+def granulate_from(gain: DataFrame, scope: Scope) -> DataFrame:
     long = _products_long(gain)
     wide = long.groupBy("report_date", "produto").agg(
         *[F.sum(F.when(F.col("shift") == k, F.col("kg"))).alias(n) for k, n in enumerate(CAL_COLS, 1)])
@@ -87,7 +103,10 @@ def granulate_by_product(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CO
 def granulate_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q18: kg per product in the following day's 00-08 shift, plus Total."""
     cols = [c for _, c in PRODUCTS]
-    gain = counter_gain(t.counters, cols, scope, DAY_GRID, 3, 3)
+    return granulate_current_from(counter_gain(t.counters, cols, scope, DAY_GRID, 3, 3), scope)
+
+
+def granulate_current_from(gain: DataFrame, scope: Scope) -> DataFrame:
     gain = gain.filter(F.col("shift") == 1).withColumn("report_date", F.date_sub("report_date", 1))
     gain = scope.keep(gain)
     long = _products_long(gain).drop("shift")
@@ -150,8 +169,12 @@ def _secs(us: str) -> Column:
 
 def calibration_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q11: Performance / Availability / OEE / idle / off, per calibration shift and day."""
-    times = calibration_state_time(t, scope, cfg)
     kg = scope.keep(counter_gain(t.counters, ["total"], scope, CAL_GRID, 0, 2))
+    return calibration_oee_from(calibration_state_time(t, scope, cfg), kg, cfg)
+
+
+def calibration_oee_from(times: DataFrame, kg: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    kg = kg.select("report_date", "shift", "total")
     f = times.join(kg, ["report_date", "shift"], "left").fillna({"total": 0})
     perf, disp, oee = _kpis(F.col("total"), F.col("prod_us"), F.col("idle_us"),
                             cfg.planned_shift_s, cfg.calibration_rate_kg_h)
@@ -187,7 +210,11 @@ def calibration_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG)
 def calibration_oee_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q19: the Q11 indicators for the following day's 00-08 shift."""
     times = calibration_state_time(t, scope, cfg, grid=DAY_GRID, shifts=(1,), day_offset=1)
-    kg = counter_gain(t.counters, ["total"], scope, DAY_GRID, 3, 3)
+    return calibration_oee_current_from(times, counter_gain(t.counters, ["total"], scope, DAY_GRID, 3, 3), cfg)
+
+
+def calibration_oee_current_from(times: DataFrame, kg: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    kg = kg.select("report_date", "shift", "total")
     kg = kg.filter(F.col("shift") == 1).withColumn("report_date", F.date_sub("report_date", 1))
     f = times.join(kg, ["report_date", "shift"], "left").fillna({"total": 0})
     perf, disp, oee = _kpis(F.col("total"), F.col("prod_us"), F.col("idle_us"),

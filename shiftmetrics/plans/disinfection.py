@@ -27,19 +27,33 @@ def _scaffold(scope: Scope, ids: tuple[int, ...]) -> DataFrame:
     return scope.dates.select("report_date", F.explode(F.array(*[F.lit(i) for i in ids])).alias("machine_id"))
 
 
-def cycle_counts(t: SensorTables, scope: Scope, ids: tuple[int, ...],
-                 cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+def day_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
+               cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Cycles found in each report date's window [D - 12 h, D + 36 h)."""
+    return cycles_in_windows(t.machines, scope=scope, machine_ids=ids,
+                             before=cfg.cycle_window_before, after=cfg.cycle_window_after)
+
+
+def current_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
+                   cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Cycles found in each following day's window [D+1 - 12 h, D+1 + 20 h)."""
+    return cycles_in_windows(t.machines, scope=scope, machine_ids=ids,
+                             before=cfg.cycle_window_before, after=cfg.current_cycle_window_after,
+                             day_offset=1)
+
+
+def cycle_counts(cycles: DataFrame, ids: tuple[int, ...], cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Cycles per (report date, machine, day shift of the scheduled end)."""
-    c = cycles_in_windows(t.machines, scope=scope, machine_ids=ids,
-                          before=cfg.cycle_window_before, after=cfg.cycle_window_after)
+    c = cycles.filter(F.col("machine_id").isin(*ids))
     c = c.filter((F.col("theoretical_min") > cfg.cycle_min_theoretical)
                  & (F.col("scheduled_end_local").cast("date") == F.col("w")))
     c = c.withColumn("shift", (F.hour("scheduled_end_local") / 8).cast("int") + 1)
     return c.groupBy("report_date", "machine_id", "shift").agg(F.count("*").alias("n"))
 
 
-def _disinfections(t: SensorTables, scope: Scope, ids: tuple[int, ...], cfg: Config) -> DataFrame:
-    n = cycle_counts(t, scope, ids, cfg)
+def disinfections_from(cycles: DataFrame, scope: Scope, ids: tuple[int, ...],
+                       cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    n = cycle_counts(cycles, ids, cfg)
     wide = n.groupBy("report_date", "machine_id").agg(
         *[F.sum(F.when(F.col("shift") == k, F.col("n"))).alias(c) for k, c in enumerate(COLS, 1)])
     rows = _scaffold(scope, ids).join(wide, ["report_date", "machine_id"], "left")
@@ -53,18 +67,17 @@ def _disinfections(t: SensorTables, scope: Scope, ids: tuple[int, ...], cfg: Con
 
 def disinfections_vinc(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q10: VINC disinfection cycles per VAPEX 1-4 and shift, with a TOTAL row."""
-    return _disinfections(t, scope, VAPEX_VINC, cfg)
+    return disinfections_from(day_cycles(t, scope, VAPEX_VINC, cfg), scope, VAPEX_VINC, cfg)
 
 
 def disinfections_grinding(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q12: grinding disinfection cycles per VAPEX 5-9 and shift, with a TOTAL row."""
-    return _disinfections(t, scope, VAPEX_GRINDING, cfg)
+    return disinfections_from(day_cycles(t, scope, VAPEX_GRINDING, cfg), scope, VAPEX_GRINDING, cfg)
 
 
-def _current(t: SensorTables, scope: Scope, ids: tuple[int, ...], cfg: Config) -> DataFrame:
-    c = cycles_in_windows(t.machines, scope=scope, machine_ids=ids,
-                          before=cfg.cycle_window_before, after=cfg.current_cycle_window_after,
-                          day_offset=1)
+def current_from(cycles: DataFrame, scope: Scope, ids: tuple[int, ...],
+                 cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    c = cycles.filter(F.col("machine_id").isin(*ids))
     start = F.col("w").cast("timestamp_ntz")
     c = c.filter((F.col("theoretical_min") > cfg.cycle_min_theoretical)
                  & (F.col("scheduled_end_local") >= start)
@@ -80,9 +93,9 @@ def _current(t: SensorTables, scope: Scope, ids: tuple[int, ...], cfg: Config) -
 
 def disinfections_grinding_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q20: grinding cycles whose scheduled end falls in the following day's 00-08."""
-    return _current(t, scope, VAPEX_GRINDING, cfg)
+    return current_from(current_cycles(t, scope, VAPEX_GRINDING, cfg), scope, VAPEX_GRINDING, cfg)
 
 
 def disinfections_vinc_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q21: VINC cycles whose scheduled end falls in the following day's 00-08."""
-    return _current(t, scope, VAPEX_VINC, cfg)
+    return current_from(current_cycles(t, scope, VAPEX_VINC, cfg), scope, VAPEX_VINC, cfg)

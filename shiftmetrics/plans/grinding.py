@@ -76,11 +76,31 @@ def silo_shift_gain(silos: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG
     return g.groupBy("report_date", "shift").agg(F.sum("gain").alias("kg"))
 
 
+def silo_gain_facts(silos: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Per (date, shift, silo): kg gained, and kg gained before "now".
+
+    Rows after ``as_of`` come last in each silo's sequence, so dropping them
+    (the clamp) changes no earlier step: the clamped gain is the sum over
+    rows with ``ts < as_of``.  Gains are per silo, so a silo filter applied
+    to both inputs equals a filter on these facts.  One pass serves Q04,
+    Q05, Q07 and Q17.
+    """
+    rows = shift_samples(silos, scope=scope, grid=DAY_GRID, entity="silo_id", cols=["state", "kg"],
+                         lookback=cfg.carry_lookback)
+    g = gated_gain(rows)
+    before = F.col("ts") < scope.as_of if scope.as_of is not None else F.lit(True)
+    return g.groupBy("report_date", "shift", "silo_id").agg(
+        F.sum("gain").alias("kg"), F.sum(F.when(before, F.col("gain")).otherwise(0)).alias("kg_eff"))
+
+
 # --- report queries ------------------------------------------------------------
 
 def md_runtime(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q02: MD running time and load share per shift, ``05h33 (49%)``."""
-    f = md_shift_facts(t, scope, cfg)
+    return md_runtime_from(md_shift_facts(t, scope, cfg), scope)
+
+
+def md_runtime_from(f: DataFrame, scope: Scope) -> DataFrame:
     wide = f.groupBy("report_date").agg(
         *by_shift(f, "run_us", [f"r{k}" for k in (1, 2, 3)]),
         *by_shift(f, "load_us", [f"l{k}" for k in (1, 2, 3)]))
@@ -92,14 +112,22 @@ def md_runtime(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> D
 
 def md_runtime_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q14: Q02 for the following day's 00-08 shift."""
-    f = _rekey(md_shift_facts(t, _current(scope), cfg, shifts=(1,)))
+    return md_current_from(md_shift_facts(t, _current(scope), cfg, shifts=(1,)), scope)
+
+
+def md_current_from(f_next: DataFrame, scope: Scope) -> DataFrame:
+    """From facts keyed by the following day (its shift 1 is used)."""
+    f = _rekey(f_next.filter(F.col("shift") == 1))
     w = attach(scope, f.drop("shift"), {"run_us": 0, "load_us": 0})
     return w.select("report_date", runtime_text("run_us", "load_us").alias(CURRENT_COL))
 
 
 def mill_hours(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q03: mill hours per shift (max over screws), ``05h33``."""
-    f = mill_shift_facts(t, scope, cfg)
+    return mill_hours_from(mill_shift_facts(t, scope, cfg), scope)
+
+
+def mill_hours_from(f: DataFrame, scope: Scope) -> DataFrame:
     wide = f.groupBy("report_date").agg(*by_shift(f, "work_us", ["w1", "w2", "w3"]))
     w = attach(scope, wide, {"w1": 0, "w2": 0, "w3": 0})
     return w.select("report_date", *[hours_text(f"w{k}").alias(DAY_COLS[k - 1]) for k in (1, 2, 3)],
@@ -108,47 +136,53 @@ def mill_hours(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> D
 
 def mill_hours_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q15: Q03 for the following day's 00-08 shift."""
-    f = _rekey(mill_shift_facts(t, _current(scope), cfg, shifts=(1,)))
+    return mill_current_from(mill_shift_facts(t, _current(scope), cfg, shifts=(1,)), scope)
+
+
+def mill_current_from(f_next: DataFrame, scope: Scope) -> DataFrame:
+    f = _rekey(f_next.filter(F.col("shift") == 1))
     w = attach(scope, f.drop("shift"), {"work_us": 0})
     return w.select("report_date", hours_text("work_us").alias(CURRENT_COL))
 
 
-def _kg_wide(f: DataFrame, scope: Scope) -> DataFrame:
-    wide = f.groupBy("report_date").agg(*by_shift(f, "kg"))
+def kg_wide_from(f: DataFrame, scope: Scope, value: str = "kg") -> DataFrame:
+    """T1/T2/T3/TOTAL kg from per-shift facts."""
+    wide = f.groupBy("report_date").agg(*by_shift(f, value))
     w = attach(scope, wide)
     cols = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in DAY_COLS]
     w = w.select("report_date", *cols)
     return w.withColumn("total", F.col(DAY_COLS[0]) + F.col(DAY_COLS[1]) + F.col(DAY_COLS[2]))
 
 
+def kg_current_from(f_next: DataFrame, scope: Scope, value: str = "kg") -> DataFrame:
+    f = _rekey(f_next.filter(F.col("shift") == 1))
+    f = f.groupBy("report_date").agg(F.sum(value).alias("kg"))
+    w = attach(scope, f)
+    return w.select("report_date", F.coalesce(F.col("kg"), F.lit(0)).alias(CURRENT_COL))
+
+
 def silo_kg_grinding(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q04: kg into silos 1-5 per shift (no silo filter, as the reference)."""
-    return _kg_wide(silo_shift_gain(t.silos_a, scope, cfg), scope)
+    return kg_wide_from(silo_shift_gain(t.silos_a, scope, cfg), scope)
 
 
 def silo_kg_disinfection(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q07: kg into silos 6-10 per shift (no silo filter, as the reference)."""
-    return _kg_wide(silo_shift_gain(t.silos_b, scope, cfg), scope)
-
-
-def _kg_current(silos: DataFrame, scope: Scope, cfg: Config, carry_filter, sample_filter) -> DataFrame:
-    f = _rekey(silo_shift_gain(silos, _current(scope), cfg, shifts=(1,),
-                               carry_filter=carry_filter, sample_filter=sample_filter))
-    w = attach(scope, f.drop("shift"))
-    return w.select("report_date", F.coalesce(F.col("kg"), F.lit(0)).alias(CURRENT_COL))
+    return kg_wide_from(silo_shift_gain(t.silos_b, scope, cfg), scope)
 
 
 def silo_kg_grinding_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q16: kg silos 1-5, following day 00-08 (silo filter on the carry-in only)."""
-    lo, hi = cfg.grinding_silos
-    return _kg_current(t.silos_a, scope, cfg, F.col("silo_id").between(lo, hi), None)
+    ids = F.col("silo_id").between(*cfg.grinding_silos)
+    f = silo_shift_gain(t.silos_a, _current(scope), cfg, shifts=(1,), carry_filter=ids)
+    return kg_current_from(f, scope)
 
 
 def silo_kg_disinfection_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q17: kg silos 6-10, following day 00-08 (silo filter on both inputs)."""
-    lo, hi = cfg.disinfection_silos
-    ids = F.col("silo_id").between(lo, hi)
-    return _kg_current(t.silos_b, scope, cfg, ids, ids)
+    ids = F.col("silo_id").between(*cfg.disinfection_silos)
+    f = silo_shift_gain(t.silos_b, _current(scope), cfg, shifts=(1,), carry_filter=ids, sample_filter=ids)
+    return kg_current_from(f, scope)
 
 
 def grinding_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -158,8 +192,14 @@ def grinding_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
     value is a ratio of sums, not a mean of shift ratios (E9, J3).
     """
     kg = silo_shift_gain(t.silos_a, scope, cfg, clamp=True)
-    work = mill_shift_facts(t, scope, cfg)
-    f = kg.join(work, ["report_date", "shift"], "full").fillna({"kg": 0, "work_us": 0})
+    return grinding_oee_from(kg, mill_shift_facts(t, scope, cfg), scope, cfg)
+
+
+def grinding_oee_from(kg: DataFrame, work: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG,
+                      kg_col: str = "kg") -> DataFrame:
+    kg = kg.select("report_date", "shift", F.col(kg_col).alias("kg"))
+    f = kg.join(work.select("report_date", "shift", "work_us"), ["report_date", "shift"], "full")
+    f = f.fillna({"kg": 0, "work_us": 0})
     rate = F.lit(float(cfg.grinding_rate_kg_h))
 
     def oee(kg_c: Column, us: Column) -> Column:

@@ -27,7 +27,8 @@ from shiftmetrics.functions.formatting import (
     cycles_status, hhmmss, idle_status, kg_text, oee_status, pct_text,
 )
 from shiftmetrics.plans import calibration, disinfection, grinding
-from shiftmetrics.plans.scope import Scope
+from shiftmetrics.functions.timegrid import DAY_GRID
+from shiftmetrics.plans.scope import Scope, extended
 from shiftmetrics.sources.tables import SensorTables
 
 CELL_COLUMNS = ("report_date", "section", "section_order", "block", "block_order", "block_title",
@@ -151,10 +152,77 @@ def materialize(results: dict[str, DataFrame], parallel: int = 8) -> dict[str, D
 
 def mart_inputs(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
                 names=None, materialized: bool = True) -> dict[str, DataFrame]:
+    """The report queries the mart is built from.
+
+    For the whole mart over a literal scope, shared per-shift facts are
+    computed once (each sensor table processed once where the queries
+    allow it) and materialised; the queries are derived from them.
+    Otherwise each query is planned on its own.
+    """
+    if names is None and scope.first is not None and materialized:
+        return derived_inputs(materialize(shared_facts(t, scope, cfg)), scope, cfg)
     res = {n: MART_INPUTS[n](t, scope, cfg) for n in (names or MART_INPUTS)}
     return materialize(res) if materialized else res
 
 
+def shared_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[str, DataFrame]:
+    """Per-shift facts shared by several report queries.
+
+    ``*_ext`` facts cover the scope plus one day, so that the "current"
+    (following day 00-08) queries are their shift 1 of the next date.
+    """
+    ext = extended(scope)
+    both = VAPEX_VINC + VAPEX_GRINDING
+    return {
+        "md_ext": grinding.md_shift_facts(t, ext, cfg),                         # Q02, Q14
+        "mill_ext": grinding.mill_shift_facts(t, ext, cfg),                     # Q03, Q15, Q05
+        "silo_a": grinding.silo_gain_facts(t.silos_a, scope, cfg),              # Q04, Q05
+        "silo_b_ext": grinding.silo_gain_facts(t.silos_b, ext, cfg),            # Q07, Q17
+        "counters_cal": calibration.calibration_counter_gain(t, scope),         # Q09, Q11
+        "counters_next": calibration.next_day_counter_gain(t, scope),           # Q18, Q19
+        "times_cal": calibration.calibration_state_time(t, scope, cfg),         # Q11
+        "times_cur": calibration.calibration_state_time(
+            t, scope, cfg, grid=DAY_GRID, shifts=(1,), day_offset=1),            # Q19
+        "cycles_day": disinfection.day_cycles(t, scope, both, cfg),             # Q10, Q12
+        "cycles_cur": disinfection.current_cycles(t, scope, both, cfg),         # Q20, Q21
+        "silo_kg_grinding_current": grinding.silo_kg_grinding_current(t, scope, cfg),      # Q16
+        "silo_total_8h_grinding": grinding.silo_total_8h_grinding(t, scope, cfg),          # Q06
+        "silo_total_8h_disinfection": grinding.silo_total_8h_disinfection(t, scope, cfg),  # Q08
+        "silo_snapshot_vinc": grinding.silo_snapshot_vinc(t, scope, cfg),                  # Q13
+    }
+
+
+def derived_inputs(f: dict[str, DataFrame], scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[str, DataFrame]:
+    g, c, d = grinding, calibration, disinfection
+    silo_a = f["silo_a"].groupBy("report_date", "shift").agg(
+        F.sum("kg").alias("kg"), F.sum("kg_eff").alias("kg_eff"))
+    silo_b = f["silo_b_ext"].groupBy("report_date", "shift").agg(F.sum("kg").alias("kg"))
+    silo_b_ids = (f["silo_b_ext"].filter(F.col("silo_id").between(*cfg.disinfection_silos))
+                  .groupBy("report_date", "shift").agg(F.sum("kg").alias("kg")))
+    return {
+        "md_runtime": g.md_runtime_from(f["md_ext"], scope),
+        "md_runtime_current": g.md_current_from(f["md_ext"], scope),
+        "mill_hours": g.mill_hours_from(f["mill_ext"], scope),
+        "mill_hours_current": g.mill_current_from(f["mill_ext"], scope),
+        "silo_kg_grinding": g.kg_wide_from(silo_a, scope),
+        "silo_kg_grinding_current": f["silo_kg_grinding_current"],
+        "grinding_oee": g.grinding_oee_from(silo_a, f["mill_ext"], scope, cfg, kg_col="kg_eff"),
+        "silo_total_8h_grinding": f["silo_total_8h_grinding"],
+        "silo_kg_disinfection": g.kg_wide_from(silo_b, scope),
+        "silo_kg_disinfection_current": g.kg_current_from(silo_b_ids, scope),
+        "silo_total_8h_disinfection": f["silo_total_8h_disinfection"],
+        "disinfections_grinding": d.disinfections_from(f["cycles_day"], scope, VAPEX_GRINDING, cfg),
+        "disinfections_grinding_current": d.current_from(f["cycles_cur"], scope, VAPEX_GRINDING, cfg),
+        "granulate_by_product": c.granulate_from(f["counters_cal"], scope),
+        "granulate_current": c.granulate_current_from(f["counters_next"], scope),
+        "calibration_oee": c.calibration_oee_from(f["times_cal"], f["counters_cal"], cfg),
+        "calibration_oee_current": c.calibration_oee_current_from(f["times_cur"], f["counters_next"], cfg),
+        "disinfections_vinc": d.disinfections_from(f["cycles_day"], scope, VAPEX_VINC, cfg),
+        "disinfections_vinc_current": d.current_from(f["cycles_cur"], scope, VAPEX_VINC, cfg),
+        "silo_snapshot_vinc": f["silo_snapshot_vinc"],
+    }
+
+
 def report_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
                  materialized: bool = True) -> DataFrame:
     """All report blocks of every report date as one long table (K1-K7)."""

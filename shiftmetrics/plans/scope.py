@@ -139,3 +139,14 @@ def attach(scope: Scope, facts: DataFrame, fill: dict | None = None) -> DataFram
     """Every report date of the scope, with its facts (zero-filled, D8)."""
     out = scope.dates.select("report_date").join(facts, "report_date", "left")
     return out.fillna(fill) if fill else out
+
+
+def extended(scope: Scope, days: int = 1) -> Scope:
+    """The scope plus the ``days`` following dates (literal scopes only)."""
+    if scope.first is None or scope.last is None:
+        raise ValueError("only a literal scope can be extended")
+    spark = scope.dates.sparkSession
+    last = scope.last + timedelta(days=days)
+    n = (last - scope.first).days + 1
+    dates = spark.range(n).select(F.date_add(F.lit(scope.first), F.col("id").cast("int")).alias("report_date"))
+    return Scope(dates, scope.as_of, scope.first, last, scope.tz)
