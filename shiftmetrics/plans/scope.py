@@ -72,16 +72,6 @@ class Scope:
             raise ValueError("no samples to span")
         return cls.for_range(samples.sparkSession, row["lo"], row["hi"], as_of=row["now"], tz=tz)
 
-    @classmethod
-    def spanning_lazy(cls, samples: DataFrame, ts: str = "ts", tz: str = LOCAL_TZ) -> "Scope":
-        """As ``spanning`` but without any action: dates from a ``sequence``
-        over one aggregate and ``as_of`` as a scalar subquery (no literal
-        pruning bounds)."""
-        span = samples.select(to_local(F.col(ts), tz).alias("_loc")).agg(
-            F.min("_loc").cast("date").alias("_lo"), F.max("_loc").cast("date").alias("_hi"))
-        dates = span.select(F.explode(F.sequence("_lo", "_hi")).alias("report_date"))
-        return cls(dates, samples.select(F.max(ts)).scalar(), None, None, tz)
-
     # -- helpers --------------------------------------------------------------
     def date_dim(self) -> DataFrame:
         return F.broadcast(self.dates.select("report_date"))
