@@ -40,9 +40,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a scratch folder only when unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable as a runtime conf
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="shiftmetrics-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
