@@ -89,7 +89,7 @@ def fixture_scope(spark: SparkSession, sf_dir: str) -> Scope:
     return Scope.spanning(b.select("ts"))
 
 
-_BOUND: dict[tuple[int, str], tuple[SensorTables, Scope]] = {}
+_BOUND: dict[tuple[str, str, str], tuple[SensorTables, Scope]] = {}
 
 
 def fixture(spark: SparkSession, sf_dir: str) -> tuple[SensorTables, Scope]:
@@ -98,7 +98,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> tuple[SensorTables, Scope]:
     DataFrames are immutable plans, so every query of a run can share them;
     this saves re-listing the files and re-running the span aggregate.
     """
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), sf_dir)
     if key not in _BOUND:
         _BOUND[key] = (fixture_tables(spark, sf_dir), fixture_scope(spark, sf_dir))
     return _BOUND[key]

@@ -28,15 +28,23 @@ def test_prior_is_exact(spark, plan):
     assert full == part
 
 
-def test_daily_runs_with_state_match_stateless(spark, tmp_path):
+def test_prior_upkeep_and_daily_run_with_state(spark, tmp_path):
     from datetime import datetime
 
     from shiftmetrics.plans.run import daily_run
+    from shiftmetrics.sources.prior import prior_for_run
     t = fixture_tables(spark, SF)
     state = str(tmp_path / "state")
-    for day in (date(2024, 4, 2), date(2024, 4, 3)):       # second run advances the prior
-        as_of = datetime.combine(day + timedelta(days=1), datetime.min.time()) + timedelta(hours=9)
-        with_state = daily_run(spark, t, str(tmp_path / f"a{day}"), as_of=as_of, state_dir=state)
-        without = daily_run(spark, t, str(tmp_path / f"b{day}"), as_of=as_of)
-        a = sorted(map(tuple, with_state.collect()))
-        assert a and a == sorted(map(tuple, without.collect()))
+    c1, c2 = cutoff_for(date(2024, 4, 1)), cutoff_for(date(2024, 4, 3))
+    prior_for_run(spark, t, state, c1)                      # built from the whole history
+    advanced = prior_for_run(spark, t, state, c2)           # advanced over [c1, c2)
+    again = prior_for_run(spark, t, state, c2)              # reused as stored
+    fresh = build_prior(t, c2)
+    for name in fresh:
+        want = sorted(map(tuple, fresh[name].collect()))
+        assert sorted(map(tuple, advanced[name].collect())) == want
+        assert sorted(map(tuple, again[name].collect())) == want
+    as_of = datetime(2024, 4, 4, 9, 0)                      # report date 3 April
+    a = sorted(map(tuple, daily_run(spark, t, str(tmp_path / "a"), as_of=as_of, state_dir=state).collect()))
+    b = sorted(map(tuple, daily_run(spark, t, str(tmp_path / "b"), as_of=as_of).collect()))
+    assert a and a == b
