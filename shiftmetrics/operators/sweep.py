@@ -29,13 +29,18 @@ from shiftmetrics.plans.scope import Scope
 
 def status_durations(status: DataFrame, flag: Column, silos: DataFrame, *, scope: Scope,
                      grid: Grid, cell_lo: Column, cell_hi: Column, shifts: tuple[int, ...],
-                     target_state: int = 2, chunk: timedelta = DEFAULT_CHUNK) -> DataFrame:
+                     target_state: int = 2, chunk: timedelta = DEFAULT_CHUNK,
+                     dedupe: bool = True) -> DataFrame:
     """Durations of status samples with the "any silo in state" flag.
 
     ``status`` has ``ts, id`` and whatever ``flag`` reads; ``silos`` has
     ``silo_id, ts, id, state``.  Returns per status segment: ``report_date,
     shift, ts, flag, any_state, dur_us``; segments run to the next status
     sample of the shift or to the shift end, without cap (F3).
+
+    ``dedupe`` keeps one row per (ts, flag) as the reference's GROUP BY
+    does (E10).  Duration totals do not need it: a repeated sample gets a
+    zero-length segment, so ``dedupe=False`` saves that shuffle.
     """
     wanted = F.col("shift").isin(*shifts)
     in_scope = (F.col("cell") >= cell_lo) & (F.col("cell") <= cell_hi)
@@ -74,9 +79,13 @@ def status_durations(status: DataFrame, flag: Column, silos: DataFrame, *, scope
     # so a segment starting at t covers t and one ending at t does not.
     ev = chunked_running_sum(ev, ["report_date", "shift"], ["ts"], "delta", "n_in", ck)
 
-    samples = (ev.filter(F.col("kind") == 2)
-               .groupBy("report_date", "shift", "ts", "flag")
-               .agg(F.max(F.when(F.col("n_in") > 0, 1).otherwise(0)).alias("any_state")))
+    any_state = F.when(F.col("n_in") > 0, 1).otherwise(0)
+    samples = ev.filter(F.col("kind") == 2)
+    if dedupe:
+        samples = (samples.groupBy("report_date", "shift", "ts", "flag")
+                   .agg(F.max(any_state).alias("any_state")))
+    else:
+        samples = samples.select("report_date", "shift", "ts", "flag", any_state.alias("any_state"))
     samples = with_bounds(samples, grid, scope.tz)
     samples = chunked_lead(samples, ["report_date", "shift"], ["ts", "flag"], "ts", "_next",
                            time_chunk("ts", chunk))

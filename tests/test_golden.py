@@ -239,3 +239,17 @@ def test_level_gain_across_chunk_edges(spark):
             (at(D, 11, 0), 1, 1, 150.0), (at(D, 12, 0), 1, 1, None), (at(D, 13, 0), 1, 1, 170.0)]
     t = tables(spark, silos_a=rows)
     assert one(grinding.silo_kg_grinding(t, scope(spark, D)))["t2_08_16"] == 60.0
+
+
+def test_repeated_status_samples(spark):
+    # Two identical status rows at 07:00 (deduplicated by the reference) and
+    # two rows at 08:00 with different flags.
+    remill = [(at(D, 7), 1, 0), (at(D, 7), 1, 0), (at(D, 8), 0, 0), (at(D, 8), 1, 0), (at(D, 9), 0, 0)]
+    silos = [(at(D, 6), 6, 2, 0.0)]
+    t = tables(spark, silos_b=silos, remill=remill)
+    r = one(calibration.calibration_state_time(t, scope(spark, D)), shift=2)
+    # 07:00-08:00 productive; at 08:00 the flag-0 row sorts first and gets 0 s,
+    # the flag-1 row runs to 09:00; then off to 14:00.
+    assert (r["prod_us"], r["idle_us"], r["off_us"]) == (2 * 3600 * 10**6, 0, 5 * 3600 * 10**6)
+    rows = blocks.state_sweep(t, scope(spark, D)).filter("shift = 2").collect()
+    assert len(rows) == 4          # 07:00 deduplicated; 08:00 x2 (two flags); 09:00
