@@ -253,3 +253,15 @@ def test_repeated_status_samples(spark):
     assert (r["prod_us"], r["idle_us"], r["off_us"]) == (2 * 3600 * 10**6, 0, 5 * 3600 * 10**6)
     rows = blocks.state_sweep(t, scope(spark, D)).filter("shift = 2").collect()
     assert len(rows) == 4          # 07:00 deduplicated; 08:00 x2 (two flags); 09:00
+
+
+def test_cycle_restarts_at_window_edge(spark):
+    # Operation 1 at D-1 11:50 and 12:10, theoretical 725 min (12 h 05).  The
+    # window of D starts at D-1 12:00, so there the cycle starts at 12:10 and
+    # is scheduled to end at D 00:15 (T1 of D); in the window of D-1 it starts
+    # at 11:50 and ends at D-1 23:55 (T3 of D-1).  Both dates count it, as
+    # the reference's per-date windows do.
+    m = [(at(PREV, 11, 50), 5, 1, 1, 725, "Carga"), (at(PREV, 12, 10), 5, 2, 1, 725, "Carga")]
+    t = tables(spark, machines=m)
+    d = disinfection.disinfections_grinding(t, scope(spark, PREV, D))
+    assert (one(d, report_date=D, vapex="VAPEX 5")["t1"], one(d, report_date=PREV, vapex="VAPEX 5")["t3"]) == (1, 1)
