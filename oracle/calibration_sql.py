@@ -5,7 +5,7 @@ silo state at a status sample uses an interval join against silo segments,
 as the reference does.
 """
 
-from oracle.sql import TZ, q
+from oracle.sql import q
 
 PRODUCTS = (("05A1", "p05_1"), ("1A2", "p1_2"), ("2A3", "p2_3"), ("3A7", "p3_7"))
 CAL_COLS = ("t1_22_06", "t2_06_14", "t3_14_22")
@@ -218,4 +218,3 @@ QUERIES = {
     "calibration_oee": CALIBRATION_OEE,
     "calibration_oee_current": CALIBRATION_OEE_CURRENT,
 }
-_ = TZ

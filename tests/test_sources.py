@@ -1,6 +1,6 @@
 """Readers: nine per-machine tables read as one labelled table (A3); mart contract (K7)."""
 
-from datetime import date, datetime
+from datetime import date
 
 from golden import at, scope, tables
 from shiftmetrics.plans import disinfection
@@ -32,4 +32,3 @@ def test_missing_blocks(spark):
                                   "report_date date, block string")
     got = [r["report_date"] for r in missing_blocks(cells, expected_blocks=2).collect()]
     assert got == [date(2024, 3, 6)]
-    _ = datetime
