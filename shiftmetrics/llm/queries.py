@@ -6,17 +6,61 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftmetrics.llm import pii
-from shiftmetrics.llm.common import read_table
+from shiftmetrics.llm import decontaminate, packing, pii, quality, secret_scan, toxicity
+from shiftmetrics.llm.common import labelled_sample, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file of the packing query (any other may be given to the operator)."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def fit_quality(spark: SparkSession, sf_dir: str) -> quality.Model:
+    return quality.fit(labelled_sample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                       "quality", quality.SAMPLE_PER_CLASS))
+
+
+def fit_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.Classifier:
+    return toxicity.fit(labelled_sample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                        "toxic", toxicity.SAMPLE_PER_CLASS))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read_table(spark, sf_dir, "documents"), fit_quality(spark, sf_dir))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return packing.assign(packing.cut(documents, tokenizer_path()), documents.count())
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), fit_toxicity(spark, sf_dir))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.mark(read_table(spark, sf_dir, "documents"),
+                                                   read_table(spark, sf_dir, "benchmark")))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read_table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_packing": op2_packing,
+    "op3_secrets": op3_secrets,
+    "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op10_pii": op10_pii,
 }
 
