@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,19 @@ from shiftmetrics.session import ensure_checkpoint_dir
 BROADCAST_ROWS = 500_000
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the Python path of workers started from now on, for sessions
+    whose environment lacks it; where the package is installed this changes nothing."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
