@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftmetrics.llm import decontaminate, packing, pii, quality, secret_scan, toxicity
+from shiftmetrics.llm import context_mixing, decontaminate, packing, pii, quality, secret_scan, toxicity, trie_join
 from shiftmetrics.llm.common import labelled_sample, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    read_table(spark, sf_dir, "benchmark")))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.link(read_table(spark, sf_dir, "documents"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(read_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read_table(spark, sf_dir, "documents")))
 
@@ -61,6 +69,8 @@ QUERIES: dict[str, Query] = {
     "op3_secrets": op3_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_ngram_join": op7_ngram_join,
+    "op9_lm_score": op9_lm_score,
     "op10_pii": op10_pii,
 }
 
