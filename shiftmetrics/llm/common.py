@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +37,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_table(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the session's shared checkpoint folder, read back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftmetrics.llm import context_mixing, decontaminate, packing, pii, quality, secret_scan, toxicity, trie_join
+from shiftmetrics.llm import context_mixing, decontaminate, fingerprint, packing, pii, quality, resharding, secret_scan, toxicity, trie_join
 from shiftmetrics.llm.common import labelled_sample, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare(read_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), fit_toxicity(spark, sf_dir))
 
@@ -55,6 +60,20 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_join.link(read_table(spark, sf_dir, "documents"))
 
 
+#: Shards that the query starts from (by a hash of the text) and goes to.
+OLD_SHARDS, SHARDS = 6, 8
+
+
+def op8_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The checksum is made first: no text is shuffled.
+    documents = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS))
+    placed = resharding.place(documents, SHARDS, old, OLD_SHARDS)
+    return placed.select("doc_id", F.col("_size").alias("size"), "text_crc32", F.lit("bytes").alias("law"),
+                         F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(read_table(spark, sf_dir, "documents"))
 
@@ -67,9 +86,11 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
+    "op4_fingerprint": op4_fingerprint,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_ngram_join": op7_ngram_join,
+    "op8_resharding": op8_resharding,
     "op9_lm_score": op9_lm_score,
     "op10_pii": op10_pii,
 }
