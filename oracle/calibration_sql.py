@@ -1,215 +1,136 @@
 """Oracle SQL for the calibration section (Q09, Q11, Q18, Q19).
 
-As-of values use correlated ``ORDER BY ts DESC LIMIT 1`` subqueries and the
-silo state at a status sample uses an interval join against silo segments,
-as the reference does.
+Counters and silo states are looked up with ASOF joins; ratios are whole-number
+arithmetic, so ties round as exact decimals do.
 """
 
-from oracle.sql import q
+from oracle.sql import q, tenths
 
 PRODUCTS = (("05A1", "p05_1"), ("1A2", "p1_2"), ("2A3", "p2_3"), ("3A7", "p3_7"))
-CAL_COLS = ("t1_22_06", "t2_06_14", "t3_14_22")
-
-
-def asof(col: str, bound: str) -> str:
-    return (f"COALESCE((SELECT g.{col} FROM counters g WHERE g.ts <= {bound} "
-            f"ORDER BY g.ts DESC, g.id DESC LIMIT 1), 0)")
-
-
-def product_case(bound: str) -> str:
-    return "CASE p.col_name " + " ".join(
-        f"WHEN '{c}' THEN {asof(c, bound)}" for _, c in PRODUCTS) + " END"
-
-
-PRODUCTS_CTE = "products AS (SELECT * FROM (VALUES " + ", ".join(
-    f"('{label}', '{c}')" for label, c in PRODUCTS) + ") p(produto, col_name))"
-
-GRANULATE_BY_PRODUCT = q(f"""
-SELECT report_date, produto,
-  CAST(ROUND(t1, 0) AS BIGINT) AS t1_22_06,
-  CAST(ROUND(t2, 0) AS BIGINT) AS t2_06_14,
-  CAST(ROUND(t3, 0) AS BIGINT) AS t3_14_22,
-  CAST(ROUND(total_kg, 0) AS BIGINT) AS total_kg,
-  CASE WHEN produto = 'Total' THEN NULL
-       ELSE COALESCE(ROUND(CAST(100 AS DOUBLE) * CAST(total_kg AS DOUBLE)
-                           / NULLIF(CAST(grand AS DOUBLE), 0), 0), 0) END AS percentagem
-FROM (
-  SELECT a.*, g.total_kg AS grand
-  FROM (SELECT * FROM prod_with_total UNION ALL SELECT * FROM total_row) a
-  JOIN total_row g ON g.report_date = a.report_date
-)""", f"""
-{PRODUCTS_CTE},
-calc AS (
-  SELECT s.report_date, p.produto, s.shift,
-         GREATEST({product_case("s.end_ts")} - {product_case("s.start_ts")}, 0) AS kg_turno
-  FROM cal_shifts s CROSS JOIN products p
-),
-prod_with_total AS (
-  SELECT report_date, produto, t1, t2, t3, t1 + t2 + t3 AS total_kg
-  FROM (
-    SELECT report_date, produto,
-      COALESCE(sum(kg_turno) FILTER (WHERE shift = 1), 0) AS t1,
-      COALESCE(sum(kg_turno) FILTER (WHERE shift = 2), 0) AS t2,
-      COALESCE(sum(kg_turno) FILTER (WHERE shift = 3), 0) AS t3
-    FROM calc GROUP BY report_date, produto
-  )
+COUNTERS = ("total", *(c for _, c in PRODUCTS))
+FLAG_ON = "COALESCE(m23, 0) = 1 OR COALESCE(m45, 0) = 1"
+
+
+def growth(shifts: str) -> str:
+    """``growth(report_date, shift, <counters>)``: what each counter grew from a shift's start to its end,
+    a missing value being 0 and a fall no growth."""
+    def at(edge: str) -> str:
+        values = ", ".join(f"COALESCE(c.last.{x}, 0) AS {x}" for x in COUNTERS)
+        return f"""
+    SELECT s.report_date, s.shift, {values}
+    FROM {shifts} s ASOF LEFT JOIN instants c ON s.{edge} >= c.ts"""
+    whole = ", ".join(f"'{x}': {x}" for x in ("id", *COUNTERS))
+    grown = ", ".join(f"GREATEST(b.{x} - a.{x}, 0) AS {x}" for x in COUNTERS)
+    return f"""
+instants AS (SELECT ts, max({{{whole}}}) AS last FROM counters GROUP BY ts),
+growth AS (
+  SELECT a.report_date, a.shift, {grown}
+  FROM ({at("start_ts")}) a JOIN ({at("end_ts")}) b USING (report_date, shift)
+)"""
+
+
+def by_product(rest: str) -> str:
+    """The growth of each product as rows (report_date, shift, produto, kg), and then ``rest`` of their columns."""
+    rows = "\n    UNION ALL ".join(f"SELECT report_date, shift, '{label}' AS produto, {c} AS kg FROM growth" for label, c in PRODUCTS)
+    return f"""
+product_kg AS (
+    {rows}
 ),
-total_row AS (
-  SELECT report_date, 'Total' AS produto, sum(t1) AS t1, sum(t2) AS t2, sum(t3) AS t3,
-         sum(total_kg) AS total_kg
-  FROM prod_with_total GROUP BY report_date
-)""")
+{rest}"""
+
+
+GRANULATE_BY_PRODUCT = q("""
+SELECT report_date, COALESCE(produto, 'Total') AS produto,
+       CAST(kg1 AS BIGINT) AS t1_22_06, CAST(kg2 AS BIGINT) AS t2_06_14, CAST(kg3 AS BIGINT) AS t3_14_22,
+       CAST(kg AS BIGINT) AS total_kg,
+       CASE WHEN produto IS NOT NULL THEN
+            CASE WHEN day_kg > 0 THEN CAST((200 * kg + day_kg) // (2 * day_kg) AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END AS percentagem
+FROM (SELECT *, max(kg) OVER (PARTITION BY report_date) AS day_kg FROM sums)""",
+    growth("cal_shifts") + "," + by_product("""
+sums AS (
+  SELECT report_date, produto, sum(kg) AS kg, sum(kg) FILTER (WHERE shift = 1) AS kg1,
+         sum(kg) FILTER (WHERE shift = 2) AS kg2, sum(kg) FILTER (WHERE shift = 3) AS kg3
+  FROM product_kg GROUP BY GROUPING SETS ((report_date, produto), (report_date))
+)"""))
 
 GRANULATE_CURRENT = q("""
-SELECT report_date, produto, CAST(ROUND(kg_atual, 0) AS BIGINT) AS atual_00_08
-FROM (
-  SELECT report_date, produto, kg_atual FROM product_values
-  UNION ALL
-  SELECT report_date, 'Total', sum(kg_atual) FROM product_values GROUP BY report_date
-)""", f"""
-{PRODUCTS_CTE},
-product_values AS (
-  SELECT s.report_date, p.produto,
-         GREATEST({product_case("s.end_ts")} - {product_case("s.start_ts")}, 0) AS kg_atual
-  FROM cur_shift s CROSS JOIN products p
-)""")
+SELECT report_date, COALESCE(produto, 'Total') AS produto, CAST(kg AS BIGINT) AS atual_00_08 FROM sums""",
+    growth("cur_shift") + "," + by_product("""
+sums AS (SELECT report_date, produto, sum(kg) AS kg FROM product_kg
+         GROUP BY GROUPING SETS ((report_date, produto), (report_date)))"""))
 
 
-def state_time(shifts: str, bounds: str) -> str:
-    """CTEs ending in ``durations(report_date, shift, algum_rotex_on, algum_silo_vazar, dur_us)``."""
+def state_time(shifts: str) -> str:
+    """``held(report_date, shift, ts, flag, any_state, us)`` of each distinct status sample of a shift, and
+    their sums ``time_by_shift``.
+
+    A status holds to the next status, at most to the end of the shift; the
+    state of every silo at its instant is the silo's latest sample.
+    """
     return f"""
-bounds AS ({bounds}),
-remoagem_filtrada AS (
-  SELECT b.report_date, r.ts,
-         CASE WHEN COALESCE(r.m23, 0) = 1 OR COALESCE(r.m45, 0) = 1 THEN 1 ELSE 0 END AS algum_rotex_on
-  FROM remill r JOIN bounds b ON r.ts >= b.start_ts AND r.ts < b.end_ts
-),
-silos_base AS (
-  SELECT report_date, silo_id, state, start_ts AS ts, orig_ts, id FROM (
-    SELECT b.report_date, b.start_ts, s.silo_id, s.state, s.ts AS orig_ts, s.id,
-           row_number() OVER (PARTITION BY b.report_date, s.silo_id ORDER BY s.ts DESC, s.id DESC) AS rn
-    FROM silos_b s JOIN bounds b ON s.ts < b.start_ts
-    WHERE s.silo_id BETWEEN 6 AND 10
-  ) WHERE rn = 1
+status AS (
+  SELECT ts, flag, lead(ts) OVER (ORDER BY ts, flag) AS until
+  FROM (SELECT DISTINCT ts, CAST({FLAG_ON} AS INTEGER) AS flag FROM remill)
 ),
-silos_intervalo AS (
-  SELECT b.report_date, s.silo_id, s.state, s.ts, s.ts AS orig_ts, s.id
-  FROM silos_b s JOIN bounds b ON s.ts >= b.start_ts AND s.ts < b.end_ts
-  WHERE s.silo_id BETWEEN 6 AND 10
+silo_instants AS (
+  SELECT silo_id, ts, max({{'id': id, 'state': state}}) AS last
+  FROM silos_b WHERE silo_id BETWEEN 6 AND 10 GROUP BY ALL
 ),
-silos_segmentos AS (
-  SELECT x.report_date, x.silo_id, x.state, x.ts AS seg_start,
-         COALESCE(lead(x.ts) OVER (PARTITION BY x.report_date, x.silo_id ORDER BY x.ts, x.orig_ts, x.id),
-                  b.end_ts) AS seg_end
-  FROM (SELECT * FROM silos_base UNION ALL SELECT * FROM silos_intervalo) x
-  JOIN bounds b ON b.report_date = x.report_date
+emptying AS (
+  SELECT p.ts, bool_or(COALESCE(i.last.state, 0) = 2) AS busy
+  FROM (SELECT DISTINCT s.ts, n.silo_id FROM status s, (SELECT DISTINCT silo_id FROM silo_instants) n) p
+  ASOF LEFT JOIN silo_instants i ON p.silo_id = i.silo_id AND p.ts >= i.ts
+  GROUP BY p.ts
 ),
-estado_por_ts AS (
-  SELECT r.report_date, r.ts, r.algum_rotex_on,
-         COALESCE(max(CASE WHEN ss.state = 2 THEN 1 ELSE 0 END), 0) AS algum_silo_vazar
-  FROM remoagem_filtrada r
-  LEFT JOIN silos_segmentos ss
-    ON ss.report_date = r.report_date AND r.ts >= ss.seg_start AND r.ts < ss.seg_end
-  GROUP BY r.report_date, r.ts, r.algum_rotex_on
-),
-status_in_shift AS (
-  SELECT sh.report_date, sh.shift, sh.end_ts, e.ts, e.algum_rotex_on, e.algum_silo_vazar,
-         COALESCE(lead(e.ts) OVER (PARTITION BY sh.report_date, sh.shift ORDER BY e.ts, e.algum_rotex_on),
-                  sh.end_ts) AS next_ts
-  FROM {shifts} sh JOIN estado_por_ts e
-    ON e.report_date = sh.report_date AND e.ts >= sh.start_ts AND e.ts < sh.end_ts
-),
-durations AS (
-  SELECT report_date, shift, algum_rotex_on, algum_silo_vazar,
-         GREATEST(0, epoch_us(LEAST(next_ts, end_ts)) - epoch_us(ts)) AS dur_us
-  FROM status_in_shift
+held AS (
+  SELECT w.report_date, w.shift, s.ts, s.flag, CAST(COALESCE(e.busy, FALSE) AS INTEGER) AS any_state,
+         epoch_us(LEAST(COALESCE(s.until, w.end_ts), w.end_ts)) - epoch_us(s.ts) AS us
+  FROM {shifts} w JOIN status s ON s.ts >= w.start_ts AND s.ts < w.end_ts
+  LEFT JOIN emptying e ON e.ts = s.ts
 ),
 time_by_shift AS (
-  SELECT sh.report_date, sh.shift, CAST(28800 AS DOUBLE) AS planned_s,
-    CAST(COALESCE(sum(CASE WHEN d.algum_rotex_on = 1 AND d.algum_silo_vazar = 1 THEN d.dur_us ELSE 0 END), 0) AS BIGINT) AS prod_us,
-    CAST(COALESCE(sum(CASE WHEN d.algum_rotex_on = 1 AND d.algum_silo_vazar = 0 THEN d.dur_us ELSE 0 END), 0) AS BIGINT) AS idle_us,
-    CAST(COALESCE(sum(CASE WHEN d.algum_rotex_on = 0 THEN d.dur_us ELSE 0 END), 0) AS BIGINT) AS off_us
-  FROM {shifts} sh
-  LEFT JOIN durations d ON d.report_date = sh.report_date AND d.shift = sh.shift
-  GROUP BY sh.report_date, sh.shift
+  SELECT w.report_date, w.shift,
+         CAST(COALESCE(sum(us) FILTER (WHERE flag = 1 AND any_state = 1), 0) AS BIGINT) AS prod_us,
+         CAST(COALESCE(sum(us) FILTER (WHERE flag = 1 AND any_state = 0), 0) AS BIGINT) AS idle_us,
+         CAST(COALESCE(sum(us) FILTER (WHERE flag = 0), 0) AS BIGINT) AS off_us
+  FROM {shifts} w LEFT JOIN held h USING (report_date, shift)
+  GROUP BY ALL
 )"""
 
 
-def disp(planned: str, idle_us: str) -> str:
-    return (f"CASE WHEN {planned} > 0 THEN CAST(100 AS DOUBLE) * GREATEST({planned} - CAST({idle_us} AS DOUBLE) / 1e6, "
-            f"CAST(0 AS DOUBLE)) / {planned} ELSE CAST(0 AS DOUBLE) END")
-
-
-def perf(kg: str, prod_us: str) -> str:
-    return (f"CASE WHEN {prod_us} > 0 THEN CAST(100 AS DOUBLE) * CAST({kg} AS DOUBLE) / "
-            f"(((CAST({prod_us} AS DOUBLE) / 1e6) / CAST(3600 AS DOUBLE)) * CAST(1250 AS DOUBLE)) "
-            f"ELSE CAST(0 AS DOUBLE) END")
-
+PLANNED_US = 28_800_000_000
+LABELS = ("Performance", "Disponibilidade", "OEE", "Tempo Trabalho sem granulado", "Tempo Secção Desligada")
 
-def cap1(x: str) -> str:
-    return f"ROUND(LEAST(CAST(100 AS DOUBLE), {x}), 1)"
 
+def indicators(kg: str, prod: str, idle: str, off: str, shifts: int) -> list[str]:
+    """The five indicators of a shift (or of ``shifts`` shifts together)."""
+    planned = f"CAST({shifts * PLANNED_US} AS HUGEINT)"
+    worked = f"GREATEST({planned} - {idle}, 0)"
+    made, could = f"(100 * 3600000000::HUGEINT * {kg})", f"(1250 * CAST({prod} AS HUGEINT))"
+    seconds = [f"CAST((2 * {x} + 1000000) // 2000000 AS DOUBLE)" for x in (idle, off)]
+    return [tenths(made, could), tenths(f"(100 * {worked})", planned), tenths(f"({made} * {worked})", f"({could} * {planned})"), *seconds]
 
-def secs(us: str) -> str:
-    return f"CAST((2 * ({us}) + 1000000) // 2000000 AS DOUBLE)"
 
-
-CAL_BOUNDS = "SELECT report_date, min(start_ts) AS start_ts, max(end_ts) AS end_ts FROM cal_shifts GROUP BY report_date"
-
-CALIBRATION_OEE = q(f"""
-SELECT report_date, 'Performance' AS indicador,
-       {cap1('perf1')} AS t1_22_06, {cap1('perf2')} AS t2_06_14, {cap1('perf3')} AS t3_14_22,
-       {cap1('perf_dia')} AS dia FROM kpi_wide
-UNION ALL
-SELECT report_date, 'Disponibilidade', {cap1('disp1')}, {cap1('disp2')}, {cap1('disp3')}, {cap1('disp_dia')} FROM kpi_wide
-UNION ALL
-SELECT report_date, 'OEE', {cap1('oee1')}, {cap1('oee2')}, {cap1('oee3')},
-       {cap1('(perf_dia * disp_dia) / CAST(100 AS DOUBLE)')} FROM kpi_wide
-UNION ALL
-SELECT report_date, 'Tempo Trabalho sem granulado', {secs('idle1')}, {secs('idle2')}, {secs('idle3')}, {secs('idle_dia')} FROM kpi_wide
-UNION ALL
-SELECT report_date, 'Tempo Secção Desligada', {secs('off1')}, {secs('off2')}, {secs('off3')}, {secs('off_dia')} FROM kpi_wide
-""", state_time("cal_shifts", CAL_BOUNDS) + f""",
-produced_by_shift AS (
-  SELECT s.report_date, s.shift,
-         GREATEST({asof("total", "s.end_ts")} - {asof("total", "s.start_ts")}, 0) AS kg
-  FROM cal_shifts s
-),
-kpis AS (
-  SELECT t.report_date, t.shift, p.kg, t.planned_s, t.prod_us, t.idle_us, t.off_us,
-         {disp("t.planned_s", "t.idle_us")} AS disp,
-         {perf("p.kg", "t.prod_us")} AS perf
-  FROM time_by_shift t JOIN produced_by_shift p ON p.report_date = t.report_date AND p.shift = t.shift
-),
-kpi_wide AS (
-  SELECT report_date,
-    {", ".join(f"COALESCE(max({c}) FILTER (WHERE shift = {k}), 0) AS {n}{k}"
-               for c, n in (("perf", "perf"), ("disp", "disp"), ("(perf * disp) / CAST(100 AS DOUBLE)", "oee"),
-                            ("idle_us", "idle"), ("off_us", "off")) for k in (1, 2, 3))},
-    {perf("sum(kg)", "sum(prod_us)")} AS perf_dia,
-    {disp("sum(planned_s)", "sum(idle_us)")} AS disp_dia,
-    sum(idle_us) AS idle_dia, sum(off_us) AS off_dia
-  FROM kpis GROUP BY report_date
+CALIBRATION_OEE = q("\nUNION ALL\n".join(
+    f"""SELECT report_date, '{label}' AS indicador, {cells[0][i]} AS t1_22_06, {cells[1][i]} AS t2_06_14,
+       {cells[2][i]} AS t3_14_22, {cells[3][i]} AS dia FROM day"""
+    for cells in [[indicators(f"kg[{k}]", f"prod[{k}]", f"idle[{k}]", f"off[{k}]", 1) for k in (1, 2, 3)]
+                  + [indicators("list_sum(kg)", "list_sum(prod)", "list_sum(idle)", "list_sum(off)", 3)]]
+    for i, label in enumerate(LABELS)), growth("cal_shifts") + "," + state_time("cal_shifts") + """,
+day AS (
+  SELECT report_date, list(CAST(g.total AS HUGEINT) ORDER BY shift) AS kg, list(CAST(prod_us AS HUGEINT) ORDER BY shift) AS prod,
+         list(CAST(idle_us AS HUGEINT) ORDER BY shift) AS idle, list(CAST(off_us AS HUGEINT) ORDER BY shift) AS off
+  FROM time_by_shift t JOIN growth g USING (report_date, shift)
+  GROUP BY report_date
 )""")
 
-CUR_BOUNDS = "SELECT report_date, start_ts, end_ts FROM cur_shift"
-
-CALIBRATION_OEE_CURRENT = q(f"""
-SELECT report_date, 'Performance' AS indicador, {cap1('perf')} AS atual_00_08 FROM kpis
-UNION ALL SELECT report_date, 'Disponibilidade', {cap1('disp')} FROM kpis
-UNION ALL SELECT report_date, 'OEE', {cap1('(perf * disp) / CAST(100 AS DOUBLE)')} FROM kpis
-UNION ALL SELECT report_date, 'Tempo Trabalho sem granulado', {secs('idle_us')} FROM kpis
-UNION ALL SELECT report_date, 'Tempo Secção Desligada', {secs('off_us')} FROM kpis
-""", state_time("cur_shift", CUR_BOUNDS) + f""",
-produced AS (
-  SELECT s.report_date, GREATEST({asof("total", "s.end_ts")} - {asof("total", "s.start_ts")}, 0) AS kg
-  FROM cur_shift s
-),
-kpis AS (
-  SELECT t.report_date, t.idle_us, t.off_us,
-         {disp("t.planned_s", "t.idle_us")} AS disp,
-         {perf("p.kg", "t.prod_us")} AS perf
-  FROM time_by_shift t JOIN produced p ON p.report_date = t.report_date
+CALIBRATION_OEE_CURRENT = q("\nUNION ALL\n".join(
+    f"SELECT report_date, '{label}' AS indicador, {cell} AS atual_00_08 FROM now_shift"
+    for label, cell in zip(LABELS, indicators("kg", "prod", "idle", "off", 1))), growth("cur_shift") + "," + state_time("cur_shift") + """,
+now_shift AS (
+  SELECT report_date, CAST(g.total AS HUGEINT) AS kg, CAST(prod_us AS HUGEINT) AS prod,
+         CAST(idle_us AS HUGEINT) AS idle, CAST(off_us AS HUGEINT) AS off
+  FROM time_by_shift t JOIN growth g USING (report_date, shift)
 )""")
 
 QUERIES = {

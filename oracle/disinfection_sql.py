@@ -1,97 +1,66 @@
 """Oracle SQL for the disinfection cycle counts (Q10, Q12, Q20, Q21).
 
-Per report date, the rows of the local-time window are re-sessionised from
-scratch (``LAG`` + running ``SUM``), as the reference does for its single
-date.
+A cycle is named by the row that starts it: the first of a machine's rows in
+the window, or one whose operation differs from that of the machine's row
+before it.  Every row belongs to the latest start.
 """
 
 from oracle.sql import TZ, q
 
 
-def raw(ids: tuple[int, ...]) -> str:
+def ended(ids: tuple[int, ...], first: str, last: str) -> str:
+    """``ended(report_date, machine_id, end_ts)``: local end of each cycle that is to be counted, by window."""
     return f"""
-raw_data AS (
-  SELECT 'VAPEX ' || CAST(machine_id AS VARCHAR) AS vapex, record_id, ts,
-         ts AT TIME ZONE {TZ} AS created_at_local, operation_id, theoretical_min
-  FROM machines WHERE machine_id IN ({", ".join(map(str, ids))})
+rows_in_order AS (
+  SELECT machine_id, operation_id, theoretical_min, ts AT TIME ZONE {TZ} AS local_ts,
+         row_number() OVER of_machine AS place, lag(ts AT TIME ZONE {TZ}) OVER of_machine AS ts_before,
+         lag(operation_id) OVER of_machine AS operation_before
+  FROM machines WHERE machine_id IN {ids} AND operation_id IS NOT NULL
+  WINDOW of_machine AS (PARTITION BY machine_id ORDER BY ts, record_id)
 ),
-all_vapex AS (SELECT * FROM (VALUES {", ".join(f"('VAPEX {i}')" for i in ids)}) v(vapex))"""
-
-
-def cycles(lo: str, hi: str) -> str:
-    return f"""
-base_data AS (
-  SELECT d.report_date, r.*,
-         lag(r.operation_id) OVER (PARTITION BY d.report_date, r.vapex ORDER BY r.ts, r.record_id) AS prev_op
-  FROM raw_data r CROSS JOIN dates d
-  WHERE r.created_at_local >= {lo} AND r.created_at_local < {hi} AND r.operation_id IS NOT NULL
+named AS (
+  SELECT d.report_date, r.machine_id, r.theoretical_min, r.local_ts,
+         max(CASE WHEN r.ts_before IS NULL OR r.ts_before < {first} OR r.operation_before <> r.operation_id THEN r.place END)
+           OVER (PARTITION BY d.report_date, r.machine_id ORDER BY r.place) AS cycle
+  FROM dates d JOIN rows_in_order r ON r.local_ts >= {first} AND r.local_ts < {last}
 ),
-grupos AS (
-  SELECT *, sum(CASE WHEN prev_op IS DISTINCT FROM operation_id THEN 1 ELSE 0 END)
-              OVER (PARTITION BY report_date, vapex ORDER BY ts, record_id) AS grp
-  FROM base_data
-),
-ciclos AS (
-  SELECT report_date, vapex, grp, min(operation_id) AS operation_id,
-         max(theoretical_min) AS theoretical_min,
-         min(created_at_local) + max(theoretical_min) * INTERVAL 1 MINUTE AS fim_programado_local
-  FROM grupos GROUP BY report_date, vapex, grp
+ended AS (
+  SELECT report_date, machine_id, min(local_ts) + max(theoretical_min) * INTERVAL 1 MINUTE AS end_ts
+  FROM named GROUP BY report_date, machine_id, cycle HAVING max(theoretical_min) > 45
 )"""
 
 
+def scaffold(ids: tuple[int, ...]) -> str:
+    return "dates d, (VALUES " + ", ".join(f"({i})" for i in ids) + ") m(machine_id)"
+
+
 def day_query(ids: tuple[int, ...]) -> str:
-    return q("""
-SELECT report_date, vapex, t1, t2, t3, t1 + t2 + t3 AS total
+    return q(f"""
+SELECT report_date, COALESCE(vapex, 'TOTAL') AS vapex, CAST(sum(t1) AS BIGINT) AS t1, CAST(sum(t2) AS BIGINT) AS t2,
+       CAST(sum(t3) AS BIGINT) AS t3, CAST(sum(t1 + t2 + t3) AS BIGINT) AS total
 FROM (
-  SELECT * FROM rows_vapex
-  UNION ALL
-  SELECT report_date, 'TOTAL', sum(t1), sum(t2), sum(t3) FROM rows_vapex GROUP BY report_date
-)""", raw(ids) + "," + cycles("d.report_date - INTERVAL 12 HOUR", "d.report_date + INTERVAL 36 HOUR") + """,
-shifts_local AS (
-  SELECT d.report_date, sd.shift, d.report_date + sd.start_off AS start_local,
-         d.report_date + sd.end_off AS end_local
-  FROM dates d CROSS JOIN (VALUES (1, INTERVAL 0 HOUR, INTERVAL 8 HOUR),
-                                  (2, INTERVAL 8 HOUR, INTERVAL 16 HOUR),
-                                  (3, INTERVAL 16 HOUR, INTERVAL 24 HOUR)) sd(shift, start_off, end_off)
-),
-counts_by_shift AS (
-  SELECT c.report_date, c.vapex, s.shift, count(*) AS qtd
-  FROM ciclos c JOIN shifts_local s
-    ON s.report_date = c.report_date
-   AND c.fim_programado_local >= s.start_local AND c.fim_programado_local < s.end_local
-  WHERE c.theoretical_min > 45
-  GROUP BY c.report_date, c.vapex, s.shift
-),
-rows_vapex AS (
-  SELECT d.report_date, a.vapex,
-         CAST(COALESCE(sum(qtd) FILTER (WHERE shift = 1), 0) AS BIGINT) AS t1,
-         CAST(COALESCE(sum(qtd) FILTER (WHERE shift = 2), 0) AS BIGINT) AS t2,
-         CAST(COALESCE(sum(qtd) FILTER (WHERE shift = 3), 0) AS BIGINT) AS t3
-  FROM dates d CROSS JOIN all_vapex a
-  LEFT JOIN counts_by_shift c ON c.report_date = d.report_date AND c.vapex = a.vapex
-  GROUP BY d.report_date, a.vapex
-)""")
+  SELECT d.report_date, 'VAPEX ' || m.machine_id AS vapex, count(*) FILTER (WHERE hour(e.end_ts) < 8) AS t1,
+         count(*) FILTER (WHERE hour(e.end_ts) BETWEEN 8 AND 15) AS t2, count(*) FILTER (WHERE hour(e.end_ts) > 15) AS t3
+  FROM {scaffold(ids)}
+  LEFT JOIN ended e ON e.report_date = d.report_date AND e.machine_id = m.machine_id AND CAST(e.end_ts AS DATE) = d.report_date
+  GROUP BY ALL
+)
+GROUP BY GROUPING SETS ((report_date, vapex), (report_date))""",
+        ended(ids, "(d.report_date - INTERVAL 12 HOUR)", "(d.report_date + INTERVAL 36 HOUR)"))
 
 
 def current_query(ids: tuple[int, ...]) -> str:
-    return q("""
-SELECT report_date, vapex, atual_00_08 FROM rows_vapex
-UNION ALL
-SELECT report_date, 'TOTAL', CAST(sum(atual_00_08) AS BIGINT) FROM rows_vapex GROUP BY report_date
-""", raw(ids) + "," + cycles("d.report_date + INTERVAL 1 DAY - INTERVAL 12 HOUR",
-                              "d.report_date + INTERVAL 1 DAY + INTERVAL 8 HOUR + INTERVAL 12 HOUR") + """,
-counts AS (
-  SELECT report_date, vapex, count(*) AS n FROM ciclos
-  WHERE theoretical_min > 45
-    AND fim_programado_local >= report_date + INTERVAL 1 DAY
-    AND fim_programado_local < report_date + INTERVAL 1 DAY + INTERVAL 8 HOUR
-  GROUP BY report_date, vapex
-),
-rows_vapex AS (
-  SELECT d.report_date, a.vapex, CAST(COALESCE(c.n, 0) AS BIGINT) AS atual_00_08
-  FROM dates d CROSS JOIN all_vapex a
-  LEFT JOIN counts c ON c.report_date = d.report_date AND c.vapex = a.vapex
-)""")
+    return q(f"""
+SELECT report_date, COALESCE(vapex, 'TOTAL') AS vapex, CAST(sum(n) AS BIGINT) AS atual_00_08
+FROM (
+  SELECT d.report_date, 'VAPEX ' || m.machine_id AS vapex, count(e.end_ts) AS n
+  FROM {scaffold(ids)}
+  LEFT JOIN ended e ON e.report_date = d.report_date AND e.machine_id = m.machine_id
+   AND CAST(e.end_ts AS DATE) = d.report_date + 1 AND hour(e.end_ts) < 8
+  GROUP BY ALL
+)
+GROUP BY GROUPING SETS ((report_date, vapex), (report_date))""",
+        ended(ids, "(d.report_date + INTERVAL 12 HOUR)", "(d.report_date + INTERVAL 44 HOUR)"))
 
 
 QUERIES = {

@@ -3,40 +3,31 @@
 from oracle.sql import TZ, q
 
 ACTIVITY_CTES = f"""
-bounds AS (
-  SELECT report_date,
-         (report_date + INTERVAL 6 HOUR) AT TIME ZONE {TZ} AS start_06,
-         (report_date + INTERVAL 8 HOUR) AT TIME ZONE {TZ} AS start_08,
-         (report_date + INTERVAL 1 DAY + INTERVAL 6 HOUR) AT TIME ZONE {TZ} AS end_06,
-         (report_date + INTERVAL 1 DAY + INTERVAL 8 HOUR) AT TIME ZONE {TZ} AS end_08
-  FROM dates
+counter_steps AS (
+  SELECT ts AT TIME ZONE {TZ} AS local_ts, total - lag(total) OVER (ORDER BY ts, id) AS step
+  FROM counters WHERE total IS NOT NULL
 ),
-calibracao_samples AS (
-  SELECT report_date, ts, id, total FROM (
-    SELECT b.report_date, g.ts, g.id, g.total,
-           row_number() OVER (PARTITION BY b.report_date ORDER BY g.ts DESC, g.id DESC) AS rn
-    FROM bounds b JOIN counters g ON g.ts < b.start_06 AND g.total IS NOT NULL
-  ) WHERE rn = 1
+steps_of_day AS (
+  -- A day runs from 06:00 to 06:00; a sample at 06:00 ends one day and begins the next.
+  SELECT CAST(local_ts - INTERVAL 6 HOUR AS DATE) AS report_date, step FROM counter_steps
+  UNION ALL
+  SELECT CAST(local_ts AS DATE) - 1, step FROM counter_steps WHERE local_ts = CAST(local_ts AS DATE) + INTERVAL 6 HOUR
 ),
-calibracao_intervalo AS (
-  SELECT b.report_date, g.ts, g.id, g.total
-  FROM bounds b JOIN counters g ON g.ts >= b.start_06 AND g.ts <= b.end_06 AND g.total IS NOT NULL
-),
-calibracao_deltas AS (
-  SELECT report_date, total - lag(total) OVER (PARTITION BY report_date ORDER BY ts, id) AS delta_total
-  FROM (SELECT * FROM calibracao_samples UNION ALL SELECT * FROM calibracao_intervalo)
+largest_step AS (SELECT report_date, max(step) AS step FROM steps_of_day GROUP BY report_date),
+active AS (
+  SELECT DISTINCT CAST((ts AT TIME ZONE {TZ}) - INTERVAL 8 HOUR AS DATE) AS report_date, 'md' AS source
+  FROM md WHERE running = 1 OR loaded = 1
+  UNION
+  SELECT CAST((ts AT TIME ZONE {TZ}) - INTERVAL 8 HOUR AS DATE), 'machine'
+  FROM machines WHERE state IN ('Funcionamento', 'Carga', 'Descarga')
 ),
 activity AS (
-  SELECT b.report_date,
-    EXISTS (SELECT 1 FROM md m WHERE m.ts >= b.start_08 AND m.ts < b.end_08
-              AND (COALESCE(m.running, 0) = 1 OR COALESCE(m.loaded, 0) = 1)) AS md_active,
-    EXISTS (SELECT 1 FROM calibracao_deltas c WHERE c.report_date = b.report_date
-              AND c.delta_total >= 10) AS counter_active,
-    EXISTS (SELECT 1 FROM machines v WHERE v.ts >= b.start_08 AND v.ts < b.end_08
-              AND v.state IN ('Funcionamento', 'Carga', 'Descarga')) AS vapex_active,
-    (SELECT CAST(max(c.delta_total) AS DOUBLE) FROM calibracao_deltas c
-      WHERE c.report_date = b.report_date) AS max_counter_step
-  FROM bounds b
+  SELECT d.report_date,
+         (d.report_date, 'md') IN (SELECT (report_date, source) FROM active) AS md_active,
+         COALESCE(l.step >= 10, FALSE) AS counter_active,
+         (d.report_date, 'machine') IN (SELECT (report_date, source) FROM active) AS vapex_active,
+         CAST(l.step AS DOUBLE) AS max_counter_step
+  FROM dates d LEFT JOIN largest_step l USING (report_date)
 )"""
 
 REPORT_ACTIVITY = q("""
@@ -61,7 +52,8 @@ FROM {shifts} s""")
 
 WINDOW_CLAMP = q("""
 SELECT report_date, shift, strftime(end_eff AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS end_eff_utc,
-       epoch_us(end_eff) - epoch_us(start_ts) AS eff_us
+       epoch_us(end_eff) - epoch_us(start_ts) AS eff_us,
+       (SELECT count(*) FROM md WHERE ts >= start_ts AND ts < end_eff) AS n_samples
 FROM day_shifts_eff""")
 
 CARRY_IN_LATEST = q("""
@@ -84,25 +76,16 @@ SELECT report_date, shift, asof_id, CAST(total AS DOUBLE) AS total, CAST(p1_2 AS
 
 
 def _segment_durations() -> str:
-    from oracle.sql import SEG_US, samples_with_baseline
-    rows = samples_with_baseline("day_shifts_eff", "screws", "freq", end="end_eff", entity="sf_id",
-                                 where="x.sf_id IN (1, 2, 3, 4, 5)", base_where="x.sf_id IN (1, 2, 3, 4, 5)",
-                                 extra="s.start_ts, s.end_eff")
+    from oracle.sql import credited
     return q(f"""
-SELECT report_date, shift, sf_id, CAST(sum(dur) AS BIGINT) AS covered_us, count(*) AS n_segments
-FROM (SELECT *, {SEG_US} AS dur FROM seg WHERE {SEG_US} > 0)
-GROUP BY report_date, shift, sf_id""", f"""
-smp AS ({rows}
-),
-seg AS (
-  SELECT *, lead(ts) OVER (PARTITION BY report_date, shift, sf_id ORDER BY ts, id) AS next_at FROM smp
-)""")
+SELECT report_date, shift, sf_id, CAST(sum(us) AS BIGINT) AS covered_us, count(*) AS n_segments
+FROM ({credited("day_shifts_eff", "screws", "sf_id", "freq", "sf_id BETWEEN 1 AND 5")})
+WHERE us > 0 GROUP BY ALL""")
 
 
 def _state_time() -> str:
-    from oracle.calibration_sql import CAL_BOUNDS, state_time
-    return q("SELECT report_date, shift, prod_us, idle_us, off_us FROM time_by_shift",
-             state_time("cal_shifts", CAL_BOUNDS))
+    from oracle.calibration_sql import state_time
+    return q("SELECT report_date, shift, prod_us, idle_us, off_us FROM time_by_shift", state_time("cal_shifts"))
 
 
 CYCLE_ISLANDS = q("""
@@ -130,9 +113,10 @@ GROUP BY report_date, machine_id""")
 
 CALENDAR_CTES = f"""
 cal AS (
-  SELECT CAST(unnest(generate_series((SELECT min(report_date) FROM dates) - INTERVAL 31 DAY,
-                                     (SELECT max(report_date) FROM dates) + INTERVAL 31 DAY,
+  -- Weekends and holidays together cannot reach further than this without a working day.
+  SELECT CAST(unnest(generate_series((SELECT min(report_date) FROM dates) - reach, (SELECT max(report_date) FROM dates) + reach,
                                      INTERVAL 1 DAY)) AS DATE) AS day
+  FROM (SELECT to_days(CAST(7 * (count(*) + 2) AS INTEGER)) AS reach FROM holidays)
 ),
 cal_flags AS (
   SELECT day, isodow(day) <= 5 AS is_weekday, day IN (SELECT day FROM holidays) AS is_holiday FROM cal
@@ -148,11 +132,13 @@ calendar AS (
 
 OPERATIONAL_CALENDAR = q("""
 SELECT report_date, is_weekday, is_holiday, is_operational, previous_operational_day, next_operational_day,
-       CAST(GREATEST(60, date_diff('day', report_date, next_operational_day) * 86400) AS BIGINT) AS seconds_to_next_operational,
+       CAST(GREATEST(60, floor(date_diff('day', report_date, next_operational_day) * 86400
+              - (SELECT epoch_us(now_ts AT TIME ZONE 'Europe/Lisbon') % 86400000000 FROM nowv) / 1e6)) AS BIGINT) AS seconds_to_next_operational,
        strftime(ready_at AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS ready_at_utc,
        strftime(report_date, '%d/%m/%Y') AS report_label,
        strftime(report_date + INTERVAL 1 DAY, '%d/%m/%Y') AS snapshot_label,
-       'Atual 00-08 (' || strftime(report_date + INTERVAL 1 DAY, '%d/%m') || ')' AS current_label
+       'Atual 00-08 (' || strftime(report_date + INTERVAL 1 DAY, '%d/%m') || ')' AS current_label,
+       (SELECT count(*) FROM md WHERE CAST(ts AT TIME ZONE 'Europe/Lisbon' AS DATE) = report_date) AS n_samples
 FROM calendar""", CALENDAR_CTES)
 
 REPORT_DAYS = q("""
@@ -176,12 +162,10 @@ QUERIES.update({
 
 
 def _state_sweep() -> str:
-    from oracle.calibration_sql import CAL_BOUNDS, state_time
+    from oracle.calibration_sql import state_time
     return q("""
-SELECT report_date, shift, strftime(ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f') AS ts_utc,
-       algum_rotex_on AS flag, algum_silo_vazar AS any_state,
-       GREATEST(0, epoch_us(LEAST(next_ts, end_ts)) - epoch_us(ts)) AS dur_us
-FROM status_in_shift""", state_time("cal_shifts", CAL_BOUNDS))
+SELECT report_date, shift, strftime(ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f') AS ts_utc, flag, any_state, us AS dur_us
+FROM held""", state_time("cal_shifts"))
 
 
 QUERIES["state_sweep"] = _state_sweep()

@@ -39,6 +39,28 @@ def round_div(a: str, b: str | int) -> Column:
     return _e(round_div_sql(a, b))
 
 
+def milli(value: Column) -> Column:
+    """A decimal quantity in thousandths, as a whole number."""
+    return F.round(value.cast("decimal(24,3)") * 1000, 0).cast("decimal(18,0)")
+
+
+def percent_tenths(part: Column, whole: Column) -> Column:
+    """``round(100 * part / whole, 1)`` in tenths: exact for whole numbers, half up; 0 without a whole."""
+    n, d = part.cast("decimal(38,0)"), whole.cast("decimal(38,0)")
+    return F.when(d > 0, F.call_function("div", 2000 * n + d, 2 * d)).otherwise(F.lit(0).cast("long"))
+
+
+def capped_percent(tenths: Column) -> Column:
+    """Tenths as a percentage of at most 100."""
+    return F.least(F.lit(1000).cast("long"), F.coalesce(tenths, F.lit(0).cast("long"))) / F.lit(10.0)
+
+
+def rate_parts(kg: Column, work_us: Column, rate_kg_h: float) -> tuple[Column, Column]:
+    """(made, possible) as whole numbers whose ratio is kg over what ``rate_kg_h`` gives in ``work_us``."""
+    made = milli(kg) * F.lit(3600 * US_PER_S).cast("decimal(12,0)")
+    return made, F.lit(round(rate_kg_h * 1000)).cast("decimal(10,0)") * work_us.cast("decimal(18,0)")
+
+
 def hhmm_minutes_sql(m: str) -> str:
     """``to_char(make_interval(mins => m), 'HH24"h"MI')``; hours do not wrap."""
     return f"format_string('%02dh%02d', ({m}) div 60, pmod({m}, 60))"

@@ -38,6 +38,16 @@ def time_chunk(ts: str | Column = "ts", width: timedelta = DEFAULT_CHUNK) -> Col
                    / F.lit(us)).cast("long")
 
 
+def _join_back(rows: DataFrame, summaries: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of chunk summaries; null keys are equal, as in a window's partitions."""
+    named = summaries.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                             *[c for c in summaries.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(named, on, "left").drop(*[f"_k_{k}" for k in keys])
+
+
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
                chunk: Column, forward: bool) -> DataFrame:
     c = df.withColumn("_chunk", chunk)
@@ -48,14 +58,13 @@ def _neighbour(df: DataFrame, keys: list[str], order: list[str], value: str, out
     # Edge summaries: first row of each chunk (for lead) or last row (for lag).
     key_rec = F.struct(*[F.col(o) for o in order], F.col(value).alias("v"))
     edge = F.min(key_rec) if forward else F.max(key_rec)
-    # Summaries from the windowed rows: same partitioning, no second scan.
     edges = c.groupBy(*keys, "_chunk").agg(edge.alias("_e"))
     cw = Window.partitionBy(*keys).orderBy("_chunk")
     shifted = F.lead("_e").over(cw) if forward else F.lag("_e").over(cw)
     edges = edges.select(*keys, "_chunk", F.struct(shifted["v"].alias("v")).alias("_x"),
                          shifted.isNull().alias("_none"))
     edges = edges.select(*keys, "_chunk", F.when(~F.col("_none"), F.col("_x")).alias("_x"))
-    c = c.join(edges, [*keys, "_chunk"], "left")
+    c = _join_back(c, edges, [*keys, "_chunk"])
     return c.withColumn(out, F.coalesce("_in", "_x")["v"]).drop("_chunk", "_in", "_x")
 
 
@@ -82,5 +91,5 @@ def chunked_running_sum(df: DataFrame, keys: list[str], order: list[str], value:
     totals = c.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_t"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*keys, "_chunk", F.sum("_t").over(before).alias("_p"))
-    c = c.join(totals, [*keys, "_chunk"], "left")
+    c = _join_back(c, totals, [*keys, "_chunk"])
     return c.withColumn(out, F.coalesce(F.col("_p"), F.lit(0)) + F.col("_in")).drop("_chunk", "_in", "_p")

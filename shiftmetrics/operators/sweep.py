@@ -43,15 +43,17 @@ def status_durations(status: DataFrame, flag: Column, silos: DataFrame, *, scope
     zero-length segment, so ``dedupe=False`` saves that shuffle.
     """
     wanted = F.col("shift").isin(*shifts)
+    # Literal bounds for the scans: cells run from 22:00 before the first date to 08:00 after the last.
+    near = scope.ts_range("ts", timedelta(hours=3), timedelta(hours=33))
     in_scope = (F.col("cell") >= cell_lo) & (F.col("cell") <= cell_hi)
 
-    st = with_cell(status.select("ts", "id", flag.cast("int").alias("flag")), "ts", grid, scope.tz)
+    st = with_cell(status.filter(near).select("ts", "id", flag.cast("int").alias("flag")), "ts", grid, scope.tz)
     st = st.filter(wanted & in_scope)
     st = st.select("report_date", "shift", "ts", F.lit(2).alias("kind"), "id",
                    F.lit(None).cast("int").alias("silo_id"), F.lit(None).cast("int").alias("state"),
                    "flag")
 
-    sl = with_cell(silos.select("silo_id", "ts", "id", "state"), "ts", grid, scope.tz)
+    sl = with_cell(silos.filter(near).select("silo_id", "ts", "id", "state"), "ts", grid, scope.tz)
     sl = sl.filter(wanted & in_scope)
     sl = sl.select("report_date", "shift", "ts", F.lit(1).alias("kind"), "id", "silo_id", "state",
                    F.lit(None).cast("int").alias("flag"))

@@ -23,7 +23,7 @@ from shiftmetrics.sources.tables import SensorTables
 
 def _flag_days(df: DataFrame, cond, scope: Scope, cfg: Config, name: str) -> DataFrame:
     day = (to_local(F.col("ts"), scope.tz) - interval(cfg.activity_day_start)).cast("date")
-    rows = df.filter(cond & scope.ts_range("ts", None, cfg.activity_day_start + timedelta(days=1)))
+    rows = df.filter(cond & scope.ts_range("ts", timedelta(0), cfg.activity_day_start + timedelta(days=1)))
     return scope.keep(rows.select(day.alias("report_date")).distinct()).withColumn(name, F.lit(True))
 
 

@@ -8,6 +8,8 @@ and the cycle islands (J8).
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _grid_cells(samples: DataFrame, scope: Scope, grid: Grid) -> DataFrame:
-    cells = with_cell(samples.select("ts"), "ts", grid, scope.tz)
+    near = scope.ts_range("ts", timedelta(hours=grid.offset_hours + 1), timedelta(hours=25))
+    cells = with_cell(samples.filter(near).select("ts"), "ts", grid, scope.tz)
     n = scope.keep(cells).groupBy("report_date", "shift").agg(F.count("*").alias("n_samples"))
     shifts = scope.dates.select("report_date", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("shift"))
     out = with_bounds(shifts.join(n, ["report_date", "shift"], "left").fillna({"n_samples": 0}),
@@ -50,12 +53,19 @@ def shift_grid_calibration(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_
 
 
 def window_clamp(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """Clamp to "now" (B6): effective end and length of every day shift."""
+    """Clamp to "now" (B6): effective end and length of every day shift, and its MD samples before that end."""
     shifts = scope.dates.select("report_date", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("shift"))
     s = with_bounds(shifts, DAY_GRID, scope.tz)
     s = s.withColumn("end_eff", clamp_end(F.col("start_ts"), F.col("end_ts"), scope.as_of))
+    near = scope.ts_range("ts", timedelta(hours=1), timedelta(hours=25))
+    md = with_cell(t.md.filter(near).select("ts"), "ts", DAY_GRID, scope.tz)
+    if scope.as_of is not None:
+        md = md.filter(F.col("ts") < scope.as_of)
+    n = scope.keep(md).groupBy("report_date", "shift").agg(F.count(F.lit(1)).alias("n_samples"))
+    s = s.join(n, ["report_date", "shift"], "left")
     return s.select("report_date", "shift", F.date_format("end_eff", TS_FMT).alias("end_eff_utc"),
-                    micros_between("start_ts", "end_eff").alias("eff_us"))
+                    micros_between("start_ts", "end_eff").alias("eff_us"),
+                    F.coalesce("n_samples", F.lit(0)).alias("n_samples"))
 
 
 def carry_in_latest(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:

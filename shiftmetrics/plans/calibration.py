@@ -15,7 +15,9 @@ from shiftmetrics.config import (
     CAL_INDICATORS, DEFAULT_CONFIG, IND_AVAILABILITY, IND_IDLE, IND_OEE, IND_OFF,
     IND_PERFORMANCE, PRODUCT_TOTAL_LABEL, PRODUCTS, Config,
 )
-from shiftmetrics.functions.formatting import US_PER_S, round_div
+from shiftmetrics.functions.formatting import (
+    US_PER_S, capped_percent, milli, percent_tenths, rate_parts, round_div,
+)
 from shiftmetrics.functions.timegrid import CAL_GRID, DAY_GRID, Grid, cell_report_date, cell_shift_of
 from shiftmetrics.operators.carry import asof_at_boundaries, scope_cell_bounds
 from shiftmetrics.operators.sweep import status_durations
@@ -56,8 +58,9 @@ def _product_scaffold(scope: Scope) -> DataFrame:
 
 def _share(total: Column, grand: Column) -> Column:
     """``COALESCE(ROUND(100 * total / NULLIF(grand, 0)), 0)``."""
-    ratio = F.lit(100.0) * total.cast("double") / F.nullif(grand.cast("double"), F.lit(0.0))
-    return F.coalesce(F.round(ratio, 0), F.lit(0.0))
+    part, whole = milli(total).cast("decimal(30,0)"), milli(grand).cast("decimal(30,0)")
+    share = F.call_function("div", 200 * part + whole, 2 * whole).cast("double")
+    return F.when(whole > 0, share).otherwise(F.lit(0.0))
 
 
 COUNTER_COLS = ["total", *[c for _, c in PRODUCTS]]
@@ -148,19 +151,17 @@ def calibration_state_time(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_
 
 
 def _kpis(kg: Column, prod_us: Column, idle_us: Column, planned: float, rate: float):
-    """Availability, performance and uncapped OEE."""
-    planned_c = F.lit(float(planned))
-    idle_s = idle_us / F.lit(float(US_PER_S))
-    prod_s = prod_us / F.lit(float(US_PER_S))
-    disp = F.when(planned_c > 0, F.lit(100.0) * F.greatest(planned_c - idle_s, F.lit(0.0)) / planned_c
-                  ).otherwise(F.lit(0.0))
-    perf = F.when(prod_us > 0, F.lit(100.0) * kg.cast("double")
-                  / ((prod_s / F.lit(3600.0)) * F.lit(float(rate)))).otherwise(F.lit(0.0))
-    return perf, disp, perf * disp / F.lit(100.0)
-
-
-def _cap1(x: Column) -> Column:
-    return F.round(F.least(F.lit(100.0), x), 1)
+    """Performance, availability and uncapped OEE (J4) in tenths of a per cent, exact."""
+    made, possible = rate_parts(kg, prod_us, rate)
+    planned_us = F.lit(round(planned * US_PER_S)).cast("decimal(18,0)")
+    worked = F.greatest(planned_us - idle_us.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
+    oee = percent_tenths(made.cast("decimal(26,0)") * worked.cast("decimal(12,0)"),
+                         possible.cast("decimal(26,0)") * planned_us.cast("decimal(12,0)"))
+    return percent_tenths(made, possible), percent_tenths(worked, planned_us), oee
+
+
+def _cap1(tenths: Column) -> Column:
+    return capped_percent(tenths)
 
 
 def _secs(us: str) -> Column:

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
-from shiftmetrics.functions.formatting import US_PER_S, hours_text, runtime_text
+from shiftmetrics.functions.formatting import (
+    capped_percent, hours_text, percent_tenths, rate_parts, runtime_text,
+)
 from shiftmetrics.functions.timegrid import DAY_GRID
 from shiftmetrics.operators.carry import daily_snapshot, shift_samples
 from shiftmetrics.operators.levels import gated_gain
@@ -200,23 +202,16 @@ def grinding_oee_from(kg: DataFrame, work: DataFrame, scope: Scope, cfg: Config
     kg = kg.select("report_date", "shift", F.col(kg_col).alias("kg"))
     f = kg.join(work.select("report_date", "shift", "work_us"), ["report_date", "shift"], "full")
     f = f.fillna({"kg": 0, "work_us": 0})
-    rate = F.lit(float(cfg.grinding_rate_kg_h))
 
-    def oee(kg_c: Column, us: Column) -> Column:
-        h = us / F.lit(float(US_PER_S)) / F.lit(3600.0)
-        v = F.lit(100.0) * kg_c.cast("double") / (rate * h)
-        return F.when(us > 0, F.least(F.lit(100.0), v)).otherwise(F.lit(0.0))
+    def oee(kg_c: str, us: str) -> Column:
+        return percent_tenths(*rate_parts(F.col(kg_c), F.col(us), cfg.grinding_rate_kg_h))
 
-    f = f.withColumn("oee", oee(F.col("kg"), F.col("work_us")))
+    f = f.withColumn("oee", oee("kg", "work_us"))
     wide = f.groupBy("report_date").agg(
         *by_shift(f, "oee"), F.sum("kg").alias("kg"), F.sum("work_us").alias("work_us"))
     w = attach(scope, wide)
-    s_day = F.col("work_us") / F.lit(float(US_PER_S))
-    day = F.when(F.col("work_us") > 0, F.least(
-        F.lit(100.0), F.lit(100.0) * F.col("kg").cast("double") / (rate * s_day / F.lit(3600.0))))
-    return w.select("report_date",
-                    *[F.round(F.coalesce(F.col(c), F.lit(0.0)), 1).alias(c) for c in DAY_COLS],
-                    F.round(F.coalesce(day, F.lit(0.0)), 1).alias("total"))
+    return w.select("report_date", *[capped_percent(F.col(c)).alias(c) for c in DAY_COLS],
+                    capped_percent(oee("kg", "work_us")).alias("total"))
 
 
 def _silo_total(silos: DataFrame, scope: Scope, cfg: Config, ids: tuple[int, int]) -> DataFrame:

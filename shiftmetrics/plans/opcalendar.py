@@ -7,16 +7,16 @@ over sensor rows), so its size is the number of days in scope.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
-from shiftmetrics.functions.timegrid import date_at, to_local, to_utc
+from shiftmetrics.functions.formatting import US_PER_S
+from shiftmetrics.functions.timegrid import date_at, micros_between, to_local, to_utc
 from shiftmetrics.plans.scope import Scope
 
-# Days searched around the scope for the previous / next operational day.
-CALENDAR_PAD_DAYS = 31
-
 
 def holidays_frame(spark: SparkSession, raw: str) -> DataFrame:
     """Holiday dates from a comma-separated ISO list; blank items ignored."""
@@ -29,13 +29,18 @@ def holidays_frame(spark: SparkSession, raw: str) -> DataFrame:
 def operational_calendar(scope: Scope, holidays: DataFrame,
                          cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Per report date: weekday/holiday flags, previous/next operational day,
-    seconds from local midnight to the next operational day (min 60), labels
-    and the report-ready instant (B9, B11-B14, B16)."""
-    pad = CALENDAR_PAD_DAYS
-    span = scope.dates.agg(F.min("report_date").alias("lo"), F.max("report_date").alias("hi"))
-    days = span.select(F.explode(F.sequence(F.date_sub("lo", pad), F.date_add("hi", pad)))
+    seconds to the next operational day from the date at the wall-clock time of
+    "now" (min 60), labels and the report-ready instant (B9, B11-B14, B16).
+
+    The search for operational days has no limit: days without operation in a
+    row are weekends and holidays, so twice the number of holidays and a few
+    days more always reach past them.
+    """
+    pad = holidays.select((2 * F.count(F.lit(1)) + 9).cast("int")).scalar()
+    span = scope.dates.agg(F.min("report_date").alias("lo"), F.max("report_date").alias("hi")).withColumn("pad", pad)
+    days = span.select(F.explode(F.sequence(F.expr("date_sub(lo, pad)"), F.expr("date_add(hi, pad)")))
                        .alias("report_date"))
-    hol = F.broadcast(holidays.select(F.col("day").alias("report_date"), F.lit(True).alias("is_holiday")))
+    hol = holidays.select(F.col("day").alias("report_date"), F.lit(True).alias("is_holiday")).distinct()
     cal = (days.join(hol, "report_date", "left")
            .withColumn("is_holiday", F.coalesce("is_holiday", F.lit(False)))
            .withColumn("is_weekday", F.weekday("report_date") < 5)
@@ -46,9 +51,13 @@ def operational_calendar(scope: Scope, holidays: DataFrame,
                           F.last(op_day, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
               .withColumn("next_operational_day",
                           F.first(op_day, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))))
-    # Wall-clock difference between local midnights (the reference subtracts
-    # two datetimes of the same zone object, which ignores DST offsets).
-    wait = F.datediff("next_operational_day", "report_date").cast("long") * 86400
+    # Wall-clock difference: clock changes in between do not count.
+    elapsed = F.lit(0).cast("long")
+    if scope.as_of is not None:
+        now = to_local(scope.as_of, scope.tz)
+        elapsed = micros_between(now.cast("date").cast("timestamp_ntz"), now)
+    day_us = F.datediff("next_operational_day", "report_date").cast("long") * 86_400 * US_PER_S
+    wait = F.floor((day_us - elapsed) / US_PER_S)
     cal = cal.withColumn("seconds_to_next_operational", F.greatest(F.lit(60).cast("long"), wait))
     ready = to_utc(date_at(F.date_add("report_date", 1), cfg.report_ready_at), scope.tz)
     cal = (cal.withColumn("ready_at_utc", ready)
@@ -74,17 +83,16 @@ def report_days(calendar: DataFrame, activity: DataFrame, as_of=None) -> DataFra
                     ready.alias("is_ready"))
 
 
-def previous_calendar_day(as_of_utc, tz: str) -> object:
-    """Report date of a run at ``as_of``: the local calendar day before."""
-    return F.date_sub(to_local(as_of_utc, tz).cast("date"), 1)
-
-
-__all__ = ["holidays_frame", "operational_calendar", "report_days", "previous_calendar_day"]
+__all__ = ["holidays_frame", "operational_calendar", "report_days"]
 
 
 def calendar_query(t, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """Registered form of ``operational_calendar`` (instant as text)."""
-    cal = operational_calendar(scope, t.holidays, cfg)
+    """Registered form of ``operational_calendar`` (instant as text), with the MD samples of each local day."""
+    day = to_local(F.col("ts"), scope.tz).cast("date").alias("report_date")
+    near = scope.ts_range("ts", timedelta(0), timedelta(hours=24))
+    n = t.md.filter(near).groupBy(day).agg(F.count(F.lit(1)).alias("n_samples"))
+    cal = operational_calendar(scope, t.holidays, cfg).join(n, "report_date", "left")
+    cal = cal.withColumn("n_samples", F.coalesce("n_samples", F.lit(0)))
     return cal.withColumn("ready_at_utc", F.date_format("ready_at_utc", "yyyy-MM-dd HH:mm:ss"))
 
 

@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 from shiftmetrics.config import LOCAL_TZ
 from shiftmetrics.functions.timegrid import to_local
 
-# Days of span allowed for the broadcast date dimension (about 270 years).
-MAX_SCOPE_DAYS = 100_000
-
 
 def ntz_literal(ts: datetime) -> Column:
     """A ``timestamp_ntz`` literal that no session or process zone can shift."""
@@ -46,8 +43,8 @@ class Scope:
                   as_of: datetime | None = None, tz: str = LOCAL_TZ) -> "Scope":
         """Report dates ``first..last``; ``as_of`` defaults to the current time."""
         n = (last - first).days + 1
-        if n <= 0 or n > MAX_SCOPE_DAYS:
-            raise ValueError(f"scope of {n} days is outside 1..{MAX_SCOPE_DAYS}")
+        if n <= 0:
+            raise ValueError(f"the last date {last} lies before the first date {first}")
         if as_of is None:
             as_of = datetime.now(timezone.utc)
         if getattr(as_of, "tzinfo", None) is not None:

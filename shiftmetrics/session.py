@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -39,15 +40,22 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a scratch folder only when unset."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Where it is unset, a session of one machine (``local[...]``, as in tests)
+    gets a scratch folder; on a cluster that is an error, as other machines
+    could not read it.
+    """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         try:
             d = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - not readable as a runtime conf
+        except PySparkException:  # not readable as a runtime setting
             d = None
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="shiftmetrics-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

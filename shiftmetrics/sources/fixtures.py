@@ -58,10 +58,9 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> SensorTables:
     silos_c = b.select("ts", F.col("event_id").alias("id"),
                        (F.col("user_id") % 7 + 1).cast("int").alias("silo_id"),
                        F.col("cents").alias("kg"))
-    remill = (b.filter(F.col("event_id") % 2 == 0)
-              .select("ts", F.col("event_id").alias("id"),
+    remill = b.select("ts", F.col("event_id").alias("id"),
                       _flag(et, ("click",)).alias("m23"),
-                      _flag(et, ("view",), null_on_error=False).alias("m45")))
+                      _flag(et, ("view",), null_on_error=False).alias("m45"))
     eid = F.col("event_id")
     counters = b.select(
         "ts", eid.alias("id"),

@@ -25,6 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,9 @@ def read_tables(spark: SparkSession, root: str, holidays: tuple[str, ...] = ())
 
     try:
         machines = rd("machines")
-    except Exception:  # noqa: BLE001 - fall back to the nine-table layout
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         machines = union_machines({i: rd(f"machine_{i}") for i in range(1, 10)})
     from shiftmetrics.plans.opcalendar import holidays_frame
     return SensorTables(
