@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import (
@@ -261,7 +262,7 @@ def cells_from(m: dict[str, DataFrame], cfg: Config = DEFAULT_CONFIG) -> DataFra
 
 def granulate_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Granulate table with the current column and blank share on Total (K3)."""
-    m = mart_inputs(t, scope, cfg, ("granulate_by_product", "granulate_current"))
+    m = mart_inputs(t, scope, cfg, ("granulate_by_product", "granulate_current"), materialized=False)
     return _granulate(m["granulate_by_product"], m["granulate_current"])
 
 
@@ -284,7 +285,7 @@ def _granulate(day: DataFrame, cur: DataFrame) -> DataFrame:
 
 def calibration_oee_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Calibration OEE table: % or HH:MM:SS per indicator, status classes (K4)."""
-    m = mart_inputs(t, scope, cfg, ("calibration_oee", "calibration_oee_current"))
+    m = mart_inputs(t, scope, cfg, ("calibration_oee", "calibration_oee_current"), materialized=False)
     return _calibration_oee(m["calibration_oee"], m["calibration_oee_current"], cfg)
 
 
@@ -308,11 +309,6 @@ def _calibration_oee(day: DataFrame, cur: DataFrame, cfg: Config) -> DataFrame:
     return cells(df, 3, "calibracao_oee_dia_anterior", 2, "Cálculo OEE", F.col("indicador"), row_order, spec)
 
 
-def vinc_silo_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """VINC silo weights at 08:05, one row of six kg cells (K6)."""
-    return _vinc_silos(grinding.silo_snapshot_vinc(t, scope, cfg))
-
-
 def _vinc_silos(df: DataFrame) -> DataFrame:
     spec: list[Cell] = [(label, F.col(c), kg_text(c), None)
                         for (_, label), c in zip(VINC_SILOS, grinding.VINC_COLS)]
@@ -326,6 +322,14 @@ def missing_blocks(report: DataFrame, expected_blocks: int = 12) -> DataFrame:
     return n.filter(F.col("n_blocks") < expected_blocks)
 
 
+def drop_report(spark: SparkSession, path: str, dates: list[date]) -> None:
+    """Remove the stored partitions of ``dates`` (reports that are no longer to be sent)."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for d in dates:
+        part = jvm.org.apache.hadoop.fs.Path(f"{path}/report_date={d.isoformat()}")
+        part.getFileSystem(conf).delete(part, True)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Sink (A6): Parquet partitioned by report date, dynamic overwrite."""
     (report.repartition("report_date").write.mode("overwrite")

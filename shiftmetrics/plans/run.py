@@ -3,27 +3,48 @@
 ``daily_run``: at ``as_of``, the report date is the previous local calendar
 day (B13); it is produced only when ready (D+1 08:15 local, B14) and when
 the date is operational or had activity (B15).  ``backfill`` does the same
-for a range of dates in one pass.  Both write the ``report_cells`` mart
-with dynamic partition overwrite, so reruns are idempotent.
+for a range of dates.  The dates are selected first; runs of consecutive
+dates are then computed in one pass each and written with dynamic partition
+overwrite, and stored reports of dates that are not to be sent are removed, so
+a rerun leaves what a first run would.
+
+Every report must have all its blocks (K7).  A run of dates that fails, or
+lacks blocks, is repeated date by date: the other dates are written, and
+``ReportErrors`` names the dates that were not.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 from zoneinfo import ZoneInfo
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
 from shiftmetrics.plans.activity import report_activity
 from shiftmetrics.plans.opcalendar import operational_calendar, report_days
-from shiftmetrics.plans.report import report_cells, write_report
+from shiftmetrics.plans.report import CELL_COLUMNS, drop_report, missing_blocks, report_cells, write_report
 from shiftmetrics.plans.scope import Scope
+from shiftmetrics.session import ensure_checkpoint_dir
 from shiftmetrics.sources.prior import cutoff_for, prior_for_run, with_prior
 from shiftmetrics.sources.tables import SensorTables
 
 
+class IncompleteReport(Exception):
+    """A report without all its blocks."""
+
+
+class ReportErrors(Exception):
+    """What went wrong, by report date; all other dates were written."""
+
+    def __init__(self, errors: dict[date, Exception]):
+        super().__init__("; ".join(f"{d}: {e}" for d, e in sorted(errors.items())))
+        self.errors = errors
+
+
 def report_date_for(as_of: datetime, tz: str = DEFAULT_CONFIG.tz) -> date:
     """Previous local calendar day of ``as_of``."""
     if as_of.tzinfo is None:
@@ -31,18 +52,41 @@ def report_date_for(as_of: datetime, tz: str = DEFAULT_CONFIG.tz) -> date:
     return as_of.astimezone(ZoneInfo(tz)).date() - timedelta(days=1)
 
 
-def selected_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """Cells of the report dates that are to be sent and ready."""
+def selected_dates(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[date, bool]:
+    """Each report date of the scope, and whether it is to be sent and ready (a row a day)."""
     sel = report_days(operational_calendar(scope, t.holidays, cfg), report_activity(t, scope, cfg),
                       scope.as_of)
-    keep = sel.filter(F.col("send") & F.col("is_ready")).select("report_date")
-    return report_cells(t, scope, cfg).join(F.broadcast(keep), "report_date", "left_semi")
+    rows = sel.select("report_date", (F.col("send") & F.col("is_ready")).alias("wanted")).collect()
+    return {r["report_date"]: bool(r["wanted"]) for r in rows}
+
+
+def consecutive(dates: list[date]) -> list[tuple[date, date]]:
+    """First and last date of each run of consecutive dates."""
+    runs: list[list[date]] = []
+    for d in sorted(dates):
+        if runs and d - runs[-1][-1] == timedelta(days=1):
+            runs[-1].append(d)
+        else:
+            runs.append([d])
+    return [(r[0], r[-1]) for r in runs]
+
+
+def checked_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """The report cells of the scope, computed; an error if a date lacks blocks or has no cells (K7)."""
+    ensure_checkpoint_dir(scope.dates.sparkSession)
+    cells = report_cells(t, scope, cfg).checkpoint(eager=True)
+    missing = [r["report_date"] for r in missing_blocks(cells).collect()]
+    found = {r["report_date"] for r in cells.select("report_date").distinct().collect()}
+    missing += [r["report_date"] for r in scope.dates.collect() if r["report_date"] not in found]
+    if missing:
+        raise IncompleteReport("blocks are missing on " + ", ".join(map(str, sorted(missing))))
+    return cells
 
 
 def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_path: str,
              as_of: datetime | None = None, cfg: Config = DEFAULT_CONFIG,
              state_dir: str | None = None) -> DataFrame:
-    """Produce and write the reports of ``first..last`` (those to be sent).
+    """Produce and write the reports of ``first..last`` (those to be sent); returns their cells.
 
     With ``state_dir`` (a shared folder), unbounded as-of inputs read a
     stored prior plus recent rows instead of their whole history.
@@ -51,9 +95,34 @@ def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_
     if state_dir is not None:
         cut = cutoff_for(first, cfg.tz)
         t = with_prior(t, prior_for_run(spark, t, state_dir, cut), cut)
-    cells = selected_cells(t, scope, cfg)
-    write_report(cells, out_path)
-    return cells
+    wanted = selected_dates(t, scope, cfg)
+    drop_report(spark, out_path, [d for d, send in wanted.items() if not send])
+    written: list[DataFrame] = []
+    errors: dict[date, Exception] = {}
+
+    def produce(a: date, b: date) -> None:
+        cells = checked_cells(t, Scope.for_range(spark, a, b, as_of=as_of, tz=cfg.tz), cfg)
+        write_report(cells, out_path)
+        written.append(cells)
+
+    for a, b in consecutive([d for d, send in wanted.items() if send]):
+        try:
+            produce(a, b)
+        except (PySparkException, IncompleteReport) as e:
+            if a == b:
+                errors[a] = e
+                continue
+            for k in range((b - a).days + 1):
+                d = a + timedelta(days=k)
+                try:
+                    produce(d, d)
+                except (PySparkException, IncompleteReport) as day_error:
+                    errors[d] = day_error
+    if errors:
+        raise ReportErrors(errors)
+    if not written:
+        return report_cells(t, scope, cfg, materialized=False).limit(0).select(*CELL_COLUMNS)
+    return reduce(DataFrame.unionByName, written)
 
 
 def daily_run(spark: SparkSession, t: SensorTables, out_path: str, as_of: datetime | None = None,

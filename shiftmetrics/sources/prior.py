@@ -24,11 +24,13 @@ from datetime import date, datetime, time, timedelta, timezone
 from functools import reduce
 from zoneinfo import ZoneInfo
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import LOCAL_TZ
 from shiftmetrics.plans.scope import ntz_literal
+from shiftmetrics.session import ensure_checkpoint_dir
 from shiftmetrics.sources.tables import SensorTables
 
 # table -> (entity keys, row filters whose latest row must be kept)
@@ -99,25 +101,54 @@ def load_prior(spark: SparkSession, path: str, cutoff: datetime) -> dict[str, Da
     return {name: spark.read.parquet(f"{path}/cutoff={tag}/{name}") for name in UNBOUNDED}
 
 
+def stored_cutoff(spark: SparkSession, state_dir: str) -> datetime | None:
+    """The cutoff of the stored prior; None if nothing is stored."""
+    try:
+        return spark.read.parquet(f"{state_dir}/meta").first()["cutoff"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _store(spark: SparkSession, prior: dict[str, DataFrame], cutoff: datetime, state_dir: str) -> None:
+    save_prior(prior, cutoff, state_dir)
+    spark.createDataFrame([(cutoff,)], "cutoff timestamp_ntz").write.mode("overwrite").parquet(f"{state_dir}/meta")
+
+
+def absorb_late(spark: SparkSession, state_dir: str, table: str, rows: DataFrame) -> None:
+    """Take rows that arrived after the prior was stored, but lie before its cutoff, up into it.
+
+    Runs never read the history before the cutoff again, so whoever adds late
+    rows to a table passes them here (``refresh_on_arrival`` does).  The
+    latest row of an entity is the later of the stored one and the late ones.
+    """
+    cutoff = stored_cutoff(spark, state_dir)
+    if cutoff is None or table not in UNBOUNDED:
+        return
+    keys, filters = UNBOUNDED[table]
+    prior = load_prior(spark, state_dir, cutoff)
+    late = rows.select(*prior[table].columns).filter(F.col("ts") < ntz_literal(cutoff))
+    merged = _latest_rows(prior[table].unionByName(late), keys, filters)
+    ensure_checkpoint_dir(spark)
+    merged = merged.checkpoint(eager=True)      # the stored table is read and then replaced
+    merged.coalesce(1).write.mode("overwrite").parquet(f"{state_dir}/cutoff={cutoff:%Y%m%dT%H%M%S}/{table}")
+
+
 def prior_for_run(spark: SparkSession, t: SensorTables, state_dir: str,
                   cutoff: datetime) -> dict[str, DataFrame]:
     """The prior at ``cutoff``, kept in ``state_dir`` (a shared folder).
 
     Reuses a stored prior at the same cutoff, advances an older one over
     the rows in between, or builds it from the whole history when there is
-    none (or only a later one).  The result is written and read back, so
-    the run's plans start from a small stored table.
+    none.  The result is written and read back, so the run's plans start
+    from a small stored table.  A cutoff before the stored one (a backfill of
+    old dates) is built for that run alone: the stored prior stays.
     """
-    try:
-        old = spark.read.parquet(f"{state_dir}/meta").first()["cutoff"]
-    except Exception:  # noqa: BLE001 - no state yet
-        old = None
+    old = stored_cutoff(spark, state_dir)
+    if old is not None and old > cutoff:
+        return build_prior(t, cutoff)
     if old != cutoff:
-        if old is not None and old < cutoff:
-            prior = advance_prior(load_prior(spark, state_dir, old), t, old, cutoff)
-        else:
-            prior = build_prior(t, cutoff)
-        save_prior(prior, cutoff, state_dir)
-        spark.createDataFrame([(cutoff,)], "cutoff timestamp_ntz").write.mode("overwrite").parquet(
-            f"{state_dir}/meta")
+        prior = build_prior(t, cutoff) if old is None else advance_prior(load_prior(spark, state_dir, old), t, old, cutoff)
+        _store(spark, prior, cutoff, state_dir)
     return load_prior(spark, state_dir, cutoff)

@@ -5,44 +5,71 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
 from shiftmetrics.functions.timegrid import to_local
+from shiftmetrics.sources.prior import UNBOUNDED, absorb_late
 from shiftmetrics.sources.tables import SensorTables
 
-# A sample at local date d can change the reports of d - 1 (carry-in, 06:00
-# and 08:00 day windows, cycle windows, D+1 snapshots and the following
-# day's 00-08 column) and of d itself.
-LOOK_BACK_DAYS = 2
+# A sample at local date d can change the reports of d - 2 to d + 1: day
+# windows, cycle windows, D+1 snapshots and the following day's 00-08 column
+# reach back, carry-in, the 22:00 shift and the cycle window reach ahead.
+BEFORE, AFTER = 2, 1
 
 
-def affected_dates(batch: DataFrame, tz: str = DEFAULT_CONFIG.tz) -> tuple[date, date] | None:
-    """First and last report date a batch of samples can change (one aggregate)."""
-    row = batch.agg(F.min(to_local(F.col("ts"), tz)).cast("date").alias("lo"),
-                    F.max(to_local(F.col("ts"), tz)).cast("date").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return row["lo"] - timedelta(days=LOOK_BACK_DAYS), row["hi"]
+def affected_dates(batch: DataFrame, table: str, t: SensorTables, tz: str = DEFAULT_CONFIG.tz) -> list[date]:
+    """The report dates that samples of ``table`` can change (a row a day, never a row a sample).
+
+    Tables that are looked up "as of" an instant stand for all dates up to
+    the entity's next sample: there the dates run on to the next local date
+    on which the entity has any.
+    """
+    local = to_local(F.col("ts"), tz).cast("date")
+    keys = UNBOUNDED[table][0] if table in UNBOUNDED else []
+    days = batch.select(*keys, local.alias("d")).distinct()
+    until = F.col("d")
+    if table in UNBOUNDED:
+        all_days = getattr(t, table)
+        # A lookup that passes rows by (such as counters without a total) runs on to the next row it takes.
+        for f in UNBOUNDED[table][1]:
+            if f is not None:
+                all_days = all_days.filter(F.expr(f))
+        series = all_days.select(*keys, local.alias("d")).unionByName(days).distinct()
+        series = series.withColumn("n", F.lead("d").over(Window.partitionBy(*keys).orderBy("d")))
+        named = series.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("d").alias("_d"), "n")
+        on = F.col("d") == F.col("_d")
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        newest = getattr(t, table).agg(F.max(local)).scalar()
+        days = days.join(named, on, "left")
+        until = F.greatest(F.col("d"), F.coalesce(F.col("n"), newest))
+    spread = days.select(F.explode(F.sequence(F.date_sub("d", BEFORE), F.date_add(until, AFTER))).alias("d")).distinct()
+    return sorted(r["d"] for r in spread.filter(F.col("d").isNotNull()).collect())
 
 
 def refresh_on_arrival(spark: SparkSession, trigger_dir: str, trigger_schema: str,
                        tables: Callable[[], SensorTables], out_path: str, checkpoint: str,
-                       cfg: Config = DEFAULT_CONFIG, available_now: bool = True) -> StreamingQuery:
-    """Watch ``trigger_dir`` (Parquet files of one sensor table); for each
-    micro-batch, write the reports of the affected dates.
+                       cfg: Config = DEFAULT_CONFIG, available_now: bool = True,
+                       table: str = "md", state_dir: str | None = None, as_of=None) -> StreamingQuery:
+    """Watch ``trigger_dir`` (Parquet files of the sensor table ``table``); for
+    each micro-batch, write the reports of the affected dates.
 
     ``checkpoint`` must be a shared, durable folder (the stream's progress
-    lives there, so a restarted driver resumes where it stopped).
+    lives there, so a restarted driver resumes where it stopped).  With
+    ``state_dir`` runs read the stored prior, into which late samples of the
+    batch are taken up first.
     """
-    from shiftmetrics.plans.run import backfill
+    from shiftmetrics.plans.run import backfill, consecutive
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        span = affected_dates(batch, cfg.tz)
-        if span is not None:
-            backfill(spark, tables(), span[0], span[1], out_path, cfg=cfg)
+        t = tables()
+        if state_dir is not None:
+            absorb_late(spark, state_dir, table, batch)
+        for first, last in consecutive(affected_dates(batch, table, t, cfg.tz)):
+            backfill(spark, t, first, last, out_path, as_of=as_of, cfg=cfg, state_dir=state_dir)
 
     stream = spark.readStream.schema(trigger_schema).parquet(trigger_dir)
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -10,6 +10,9 @@ import __spark_entry__ as entry
 from golden import tables
 from shiftmetrics.plans import grinding
 from shiftmetrics.plans.scope import Scope
+from shiftmetrics.registry import ALL_QUERIES
+from shiftmetrics.sources.fixtures import fixture_tables
+from shiftmetrics.sources.prior import build_prior, cutoff_for, with_prior
 
 SF = "/root/testdata/sf0.001"
 BANNED = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
@@ -19,7 +22,7 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(ALL_QUERIES))
 def test_no_banned_operators(spark, name):
     plan = physical(entry.queries()[name](spark, SF))
     assert not [b for b in BANNED if b in plan]
@@ -39,3 +42,36 @@ def test_time_bounds_are_pushed_to_parquet(spark):
     scans = [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines()
              if "FileScan parquet" in ln]
     assert scans and all("GreaterThanOrEqual(ts" in ln and "LessThanOrEqual(ts" in ln for ln in scans), scans
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The fixture tables as stored Parquet tables, so that bounds on ``ts`` can reach the scans."""
+    root = tmp_path_factory.mktemp("tables")
+    t = fixture_tables(spark, SF)
+    read = {}
+    for name in ("md", "screws", "silos_a", "silos_b", "silos_c", "remill", "counters", "machines"):
+        getattr(t, name).write.parquet(f"{root}/{name}")
+        read[name] = spark.read.parquet(f"{root}/{name}")
+    return type(t)(**{**t.__dict__, **read}), str(root)
+
+
+@pytest.mark.parametrize("name", sorted(ALL_QUERIES))
+def test_every_sample_scan_is_bounded(spark, stored, name):
+    """One report date, with a stored prior: every scan of a sample table has a lower and an upper bound,
+    but for the as-of inputs, whose history the prior stands for (a lower bound)."""
+    t, root = stored
+    day = date(2024, 4, 2)
+    cut = cutoff_for(day)
+    t = with_prior(t, {k: spark.createDataFrame(v.collect(), v.schema) for k, v in build_prior(t, cut).items()}, cut)
+    scope = Scope.for_range(spark, day, day, as_of=datetime(2099, 1, 1))
+    mart = {"materialized": False} if name == "report_cells" else {}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = physical(ALL_QUERIES[name](t, scope, **mart))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans
+    for line in scans:
+        assert "ts >=" in line or "GreaterThanOrEqual(ts" in line, line
+        if "/counters" not in line and "/silos" not in line:
+            assert "ts <=" in line or "LessThan" in line, line
