@@ -62,6 +62,7 @@ class Config:
     grinding_rate_kg_h: float = 1450.0
     calibration_rate_kg_h: float = 1250.0
     planned_shift_s: int = 28800                       # planned calibration time per shift
+    window_chunk: timedelta = timedelta(hours=1)       # time slice of a window task: changes task sizes, never results
     mill_freq_min: float = 1.0                         # screw counts as running when freq > this
     cycle_min_theoretical: int = 45                    # cycle counted when theoretical > this
     cycle_window_before: timedelta = timedelta(hours=12)

@@ -10,8 +10,8 @@ time slice (one hour by default) that is monotone in the window order:
 * across chunk edges, one summary row per chunk (its first or last row, or
   its total) is partially aggregated, shifted along the chunk series of its
   group with a window over those summaries (a few rows per group), and
-  joined back on ``(keys, chunk)`` — the join reuses the window's
-  partitioning, so sample rows are shuffled once.
+  joined back on ``(keys, chunk)``, null keys being equal.  The summaries
+  read the rows' input a second time.
 
 Values are carried inside structs so that a NULL *value* is never confused
 with "no neighbouring row".
@@ -19,15 +19,14 @@ with "no neighbouring row".
 
 from __future__ import annotations
 
-import os
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# One hour by default; SHIFTMETRICS_CHUNK_MINUTES overrides it (the tests
-# use one minute so that chunk edges fall between most neighbouring rows).
-DEFAULT_CHUNK = timedelta(minutes=float(os.environ.get("SHIFTMETRICS_CHUNK_MINUTES", "60")))
+# Plans pass ``Config.window_chunk``; tests use one minute, so that chunk
+# edges fall between most neighbouring rows.
+DEFAULT_CHUNK = timedelta(hours=1)
 
 
 def time_chunk(ts: str | Column = "ts", width: timedelta = DEFAULT_CHUNK) -> Column:

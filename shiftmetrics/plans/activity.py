@@ -34,7 +34,8 @@ def report_activity(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG)
                     scope, cfg, "md_active")
     vapex = _flag_days(t.machines, F.col("state").isin(*ACTIVE_MACHINE_STATES), scope, cfg,
                        "vapex_active")
-    steps = counter_steps(t.counters, "total", scope=scope, day_start=cfg.activity_counter_start)
+    steps = counter_steps(t.counters, "total", scope=scope, day_start=cfg.activity_counter_start,
+                          chunk=cfg.window_chunk)
     cal = steps.groupBy("report_date").agg(
         F.max("delta").alias("max_counter_step"),
         F.max(F.col("delta") >= F.lit(cfg.activity_min_kg)).alias("counter_active"))

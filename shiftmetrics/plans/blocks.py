@@ -95,7 +95,7 @@ def segment_durations(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFI
     ids = F.col("sf_id").isin(*cfg.mill_screws)
     rows = shift_samples(t.screws, scope=scope, grid=DAY_GRID, entity="sf_id", cols=["freq"], clamp=True,
                          lookback=cfg.carry_lookback, carry_filter=ids, sample_filter=ids)
-    d = capped_durations(rows, "sf_id", cfg.gap_cap)
+    d = capped_durations(rows, "sf_id", cfg.gap_cap, cfg.window_chunk)
     return d.groupBy("report_date", "shift", "sf_id").agg(
         F.sum("dur_us").alias("covered_us"), F.count("*").alias("n_segments"))
 
@@ -108,7 +108,8 @@ def calibration_state_time_q(t: SensorTables, scope: Scope, cfg: Config = DEFAUL
 def cycle_islands(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Islands (J8): cycles found per report-date window and machine."""
     c = cycles_in_windows(t.machines, scope=scope, machine_ids=VAPEX_VINC + VAPEX_GRINDING,
-                          before=cfg.cycle_window_before, after=cfg.cycle_window_after)
+                          before=cfg.cycle_window_before, after=cfg.cycle_window_after,
+                          chunk=cfg.window_chunk)
     return c.groupBy("report_date", "machine_id").agg(
         F.count("*").alias("n_cycles"),
         F.sum(F.when(F.col("theoretical_min") > cfg.cycle_min_theoretical, 1).otherwise(0)).alias("n_valid"),
@@ -124,6 +125,6 @@ def state_sweep(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
     flag = (F.coalesce(F.col("m23"), F.lit(0)) == 1) | (F.coalesce(F.col("m45"), F.lit(0)) == 1)
     silos = t.silos_b.filter(F.col("silo_id").between(*cfg.disinfection_silos))
     d = status_durations(t.remill, flag, silos, scope=scope, grid=CAL_GRID, cell_lo=lo, cell_hi=hi,
-                         shifts=(1, 2, 3))
+                         shifts=(1, 2, 3), chunk=cfg.window_chunk)
     return d.select("report_date", "shift", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_utc"),
                     "flag", "any_state", "dur_us")

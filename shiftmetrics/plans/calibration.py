@@ -136,7 +136,7 @@ def calibration_state_time(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_
     flag = (F.coalesce(F.col("m23"), F.lit(0)) == 1) | (F.coalesce(F.col("m45"), F.lit(0)) == 1)
     silos = t.silos_b.filter(F.col("silo_id").between(*cfg.disinfection_silos))
     d = status_durations(t.remill, flag, silos, scope=scope, grid=grid, cell_lo=lo, cell_hi=hi,
-                         shifts=shifts, dedupe=False)
+                         shifts=shifts, dedupe=False, chunk=cfg.window_chunk)
     on, busy = F.col("flag") == 1, F.col("any_state") == 1
     facts = d.groupBy("report_date", "shift").agg(
         F.sum(F.when(on & busy, F.col("dur_us")).otherwise(0)).alias("prod_us"),

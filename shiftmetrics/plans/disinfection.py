@@ -31,7 +31,8 @@ def day_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
                cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Cycles found in each report date's window [D - 12 h, D + 36 h)."""
     return cycles_in_windows(t.machines, scope=scope, machine_ids=ids,
-                             before=cfg.cycle_window_before, after=cfg.cycle_window_after)
+                             before=cfg.cycle_window_before, after=cfg.cycle_window_after,
+                             chunk=cfg.window_chunk)
 
 
 def current_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
@@ -39,7 +40,7 @@ def current_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
     """Cycles found in each following day's window [D+1 - 12 h, D+1 + 20 h)."""
     return cycles_in_windows(t.machines, scope=scope, machine_ids=ids,
                              before=cfg.cycle_window_before, after=cfg.current_cycle_window_after,
-                             day_offset=1)
+                             day_offset=1, chunk=cfg.window_chunk)
 
 
 def cycle_counts(cycles: DataFrame, ids: tuple[int, ...], cfg: Config = DEFAULT_CONFIG) -> DataFrame:

@@ -47,7 +47,7 @@ def md_shift_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
     """Running and running-while-loaded microseconds per shift (Q02 core)."""
     rows = shift_samples(t.md, scope=scope, grid=DAY_GRID, cols=["running", "loaded"],
                          clamp=True, lookback=cfg.carry_lookback, shifts=shifts)
-    d = capped_durations(rows, None, cfg.gap_cap)
+    d = capped_durations(rows, None, cfg.gap_cap, cfg.window_chunk)
     run = F.col("running") == 1
     return d.groupBy("report_date", "shift").agg(
         F.sum(F.when(run, F.col("dur_us")).otherwise(0)).alias("run_us"),
@@ -61,7 +61,7 @@ def mill_shift_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG
     rows = shift_samples(t.screws, scope=scope, grid=DAY_GRID, entity="sf_id", cols=["freq"],
                          clamp=True, lookback=cfg.carry_lookback, shifts=shifts,
                          carry_filter=ids, sample_filter=ids)
-    d = capped_durations(rows, "sf_id", cfg.gap_cap)
+    d = capped_durations(rows, "sf_id", cfg.gap_cap, cfg.window_chunk)
     work = F.when(F.col("freq") > cfg.mill_freq_min, F.col("dur_us")).otherwise(0)
     per_sf = d.groupBy("report_date", "shift", "sf_id").agg(F.sum(work).alias("work_us"))
     return per_sf.groupBy("report_date", "shift").agg(F.max("work_us").alias("work_us"))
@@ -74,7 +74,7 @@ def silo_shift_gain(silos: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG
     rows = shift_samples(silos, scope=scope, grid=DAY_GRID, entity="silo_id",
                          cols=["state", "kg"], clamp=clamp, lookback=cfg.carry_lookback,
                          shifts=shifts, carry_filter=carry_filter, sample_filter=sample_filter)
-    g = gated_gain(rows)
+    g = gated_gain(rows, chunk=cfg.window_chunk)
     return g.groupBy("report_date", "shift").agg(F.sum("gain").alias("kg"))
 
 
@@ -89,7 +89,7 @@ def silo_gain_facts(silos: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG
     """
     rows = shift_samples(silos, scope=scope, grid=DAY_GRID, entity="silo_id", cols=["state", "kg"],
                          lookback=cfg.carry_lookback)
-    g = gated_gain(rows)
+    g = gated_gain(rows, chunk=cfg.window_chunk)
     before = F.col("ts") < scope.as_of if scope.as_of is not None else F.lit(True)
     return g.groupBy("report_date", "shift", "silo_id").agg(
         F.sum("gain").alias("kg"), F.sum(F.when(before, F.col("gain")).otherwise(0)).alias("kg_eff"))

@@ -3,7 +3,7 @@
 from datetime import date, datetime, timedelta
 
 from golden import at, one, scope, tables
-from shiftmetrics.plans import activity, blocks, calibration, disinfection, grinding
+from shiftmetrics.plans import activity, blocks, calibration, disinfection, grinding, opcalendar
 
 D = date(2024, 3, 5)          # winter: local time = UTC
 PREV = D - timedelta(days=1)
@@ -265,3 +265,36 @@ def test_cycle_restarts_at_window_edge(spark):
     t = tables(spark, machines=m)
     d = disinfection.disinfections_grinding(t, scope(spark, PREV, D))
     assert (one(d, report_date=D, vapex="VAPEX 5")["t1"], one(d, report_date=PREV, vapex="VAPEX 5")["t3"]) == (1, 1)
+
+
+def test_null_entity_keeps_its_steps_across_chunks(spark):
+    # Two samples of a silo without id, on both sides of the 09:00 chunk edge.
+    t = tables(spark, silos_a=[(at(D, 8, 50), None, 1, 100.0), (at(D, 9, 10), None, 1, 160.0)])
+    assert one(grinding.silo_kg_grinding(t, scope(spark, D)))["t2_08_16"] == 60.0
+
+
+def test_long_shutdown_has_its_true_neighbours(spark):
+    first = date(2024, 8, 1)
+    t = tables(spark, holidays=[(first + timedelta(days=i),) for i in range(45)])
+    s = scope(spark, date(2024, 8, 2), as_of=datetime(2024, 8, 2, 9, 30))     # 10:30 in Lisbon
+    r = one(opcalendar.operational_calendar(s, t.holidays))
+    assert r["previous_operational_day"] == date(2024, 7, 31)
+    assert r["next_operational_day"] == date(2024, 9, 16)                     # the 15th is a Sunday
+    assert r["seconds_to_next_operational"] == 45 * 86400 - (10 * 3600 + 1800)
+
+
+def test_grinding_oee_rounds_exact_ties_up(spark):
+    # 3,600 s of work and 1,030.225 kg are exactly 71.05 % of 1,450 kg/h.
+    mill = [(at(D, 8) + timedelta(minutes=i), 1, 2.0) for i in range(60)] + [(at(D, 9), 1, 0.0)]
+    silo = [(at(D, 8), 1, 1, 0.0), (at(D, 9), 1, 1, 1030.225)]
+    r = one(grinding.grinding_oee(tables(spark, screws=mill, silos_a=silo), scope(spark, D)))
+    assert (r["t2_08_16"], r["total"]) == (71.1, 71.1)
+
+
+def test_calibration_oee_rounds_exact_ties_up(spark):
+    # An hour of production and 888.125 kg are exactly 71.05 % of 1,250 kg/h; idle time is 0.
+    t = tables(spark, remill=[(at(D, 8), 1, 0), (at(D, 9), 0, 0)], silos_b=[(at(D, 7), 6, 2, 1.0)],
+               counters=[(at(D, 5), 1000.0, 0.0, 0.0, 0.0, 0.0), (at(D, 10), 1888.125, 0.0, 0.0, 0.0, 0.0)])
+    rows = {r["indicador"]: r for r in calibration.calibration_oee(t, scope(spark, D)).collect()}
+    assert rows["Performance"]["t2_06_14"] == 71.1 and rows["Disponibilidade"]["t2_06_14"] == 100.0
+    assert rows["OEE"]["t2_06_14"] == 71.1

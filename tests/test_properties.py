@@ -1,10 +1,12 @@
 """Properties: one pass over many dates equals the union of
 single-date runs; segment time never exceeds the shift; totals add up."""
 
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
 import pytest
 
+from shiftmetrics.config import DEFAULT_CONFIG
 from shiftmetrics.plans import activity, blocks, calibration, disinfection, grinding
 from shiftmetrics.plans.scope import Scope
 from shiftmetrics.sources.fixtures import fixture_tables
@@ -47,3 +49,14 @@ def test_kg_totals_add_up_and_are_non_negative(spark, t):
     g = calibration.granulate_by_product(t, s)
     for r in g.collect():
         assert r["t1_22_06"] + r["t2_06_14"] + r["t3_14_22"] == r["total_kg"]
+
+
+CHUNKED = [grinding.md_runtime, grinding.mill_hours, grinding.silo_kg_grinding, calibration.calibration_state_time,
+           disinfection.disinfections_vinc, activity.report_activity]
+
+
+@pytest.mark.parametrize("plan", CHUNKED, ids=lambda p: p.__name__)
+def test_chunk_width_does_not_change_results(spark, t, plan):
+    s = Scope.for_range(spark, DATES[0], DATES[-1], AS_OF)
+    narrow = replace(DEFAULT_CONFIG, window_chunk=timedelta(minutes=1))
+    assert sorted(map(tuple, plan(t, s, narrow).collect())) == sorted(map(tuple, plan(t, s).collect()))

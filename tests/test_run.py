@@ -1,11 +1,21 @@
 """Daily run, backfill sink and the streaming refresh."""
 
 import tempfile
+from dataclasses import replace
 from datetime import date, datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from golden import at, tables
+from shiftmetrics.config import DEFAULT_CONFIG
+from shiftmetrics.plans import grinding, run
+from shiftmetrics.plans.report import report_cells
 from shiftmetrics.plans.run import backfill, daily_run, report_date_for
+from shiftmetrics.plans.scope import Scope
+from shiftmetrics.sources.prior import absorb_late, cutoff_for, prior_for_run, stored_cutoff, with_prior
 from shiftmetrics.streaming import refresh_on_arrival
+from shiftmetrics.streaming.refresh import affected_dates
 
 D = date(2024, 3, 5)   # a Tuesday
 
@@ -50,3 +60,76 @@ def test_streaming_refresh(spark):
     q.awaitTermination(300)
     got = {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()}
     assert D in got
+
+
+def _late(spark, t, table, rows):
+    """The tables with late rows in one of them."""
+    return replace(t, **{table: getattr(t, table).unionByName(rows)})
+
+
+@pytest.mark.parametrize("table, row", [
+    ("counters", (at(D, 21, 30), 900, 900.0, 100.0, 0.0, 0.0, 0.0)),
+    ("silos_c", (at(D, 21, 30), 900, 2, 77.0)),
+    ("md", (at(D, 23, 59), 900, 1, 1)),
+    ("machines", (at(D, 23, 0), 1, 900, 3, 120, "Carga")),
+])
+def test_affected_dates_cover_what_a_late_row_changes(spark, table, row):
+    """Every date whose report differs after a late row is among the affected ones."""
+    first, last = date(2024, 3, 4), date(2024, 3, 12)
+    t = tables(spark, md=_md_rows(), counters=[(at(D, 10), 500.0, 20.0, 0.0, 0.0, 0.0), (at(date(2024, 3, 11), 9), 2000.0, 200.0, 0.0, 0.0, 0.0)],
+               silos_c=[(at(date(2024, 3, 4)), 2, 5.0), (at(date(2024, 3, 10), 9), 2, 6.0)])
+    rows = spark.createDataFrame([row], getattr(t, table).schema)
+    after = _late(spark, t, table, rows)
+    scope_ = Scope.for_range(spark, first, last, as_of=datetime(2099, 1, 1))
+
+    def cells(x):
+        found = {}
+        for r in report_cells(x, scope_).collect():
+            found.setdefault(r["report_date"], set()).add(tuple(r))
+        return found
+    old, new = cells(t), cells(after)
+    changed = {d for d in old if old[d] != new[d]}
+    assert changed and changed <= set(affected_dates(rows, table, after))
+
+
+def test_prior_takes_up_late_rows(spark, tmp_path):
+    state = str(tmp_path / "state")
+    t = tables(spark, silos_a=[(at(date(2024, 3, 1)), 1, 1, 10.0)])
+    cut = cutoff_for(D)
+    prior_for_run(spark, t, state, cut)
+    late = spark.createDataFrame([(at(date(2024, 3, 2)), 900, 1, 1, 70.0)], t.silos_a.schema)
+    absorb_late(spark, state, "silos_a", late)
+    after = _late(spark, t, "silos_a", late)
+    s = Scope.for_range(spark, D, D, as_of=datetime(2099, 1, 1))
+    want = grinding.silo_total_8h_grinding(after, s).first()["total"]
+    got = grinding.silo_total_8h_grinding(with_prior(after, prior_for_run(spark, after, state, cut), cut), s).first()["total"]
+    assert got == want == 70.0
+    # A backfill of older dates leaves the stored prior alone.
+    prior_for_run(spark, after, state, cutoff_for(date(2024, 3, 2)))
+    assert stored_cutoff(spark, state) == cut
+
+
+def test_rerun_removes_reports_that_are_no_longer_sent(spark, tmp_path):
+    saturday = date(2024, 3, 2)
+    out = str(tmp_path / "cells")
+    busy = tables(spark, md=[(at(saturday, 9), 1, 1), (at(saturday, 9, 1), 0, 0)])
+    backfill(spark, busy, saturday, saturday, out, as_of=datetime(2024, 3, 7))
+    assert spark.read.parquet(out).count() > 0
+    backfill(spark, tables(spark), saturday, date(2024, 3, 4), out, as_of=datetime(2024, 3, 7))
+    assert {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()} == {date(2024, 3, 4)}
+
+
+def test_a_failing_day_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "cells")
+    bad = date(2024, 3, 5)
+    real = run.report_cells
+
+    def failing(t, s, cfg=DEFAULT_CONFIG, **more):
+        cells = real(t, s, cfg, **more)
+        return cells.filter((F.col("report_date") != bad) | (F.col("block") == "tempo_producao_md"))
+    monkeypatch.setattr(run, "report_cells", failing)
+    with pytest.raises(run.ReportErrors) as e:
+        backfill(spark, tables(spark, md=_md_rows()), date(2024, 3, 4), date(2024, 3, 6), out, as_of=datetime(2024, 3, 8))
+    assert set(e.value.errors) == {bad}
+    written = {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()}
+    assert written == {date(2024, 3, 4), date(2024, 3, 6)}
