@@ -15,7 +15,7 @@ import numpy as np
 
 LONG_WORD = 512
 #: Bytes of text that are laid out at once (one longer text stands alone).
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)

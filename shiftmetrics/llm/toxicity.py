@@ -44,7 +44,7 @@ BEGINNINGS = range(4, 9)
 #: Limits of the bins of distinct words hit, and of the share of a text's words that are hit.
 NUMBERS, DENSITIES = (1, 2, 3, 5, 8, 13), (1 / 1600, 1 / 800, 1 / 400, 1 / 200, 1 / 100, 1 / 50, 1 / 25)
 #: Words whose entry a Python worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
