@@ -4,6 +4,7 @@ as a CTE and unpivoted with UNION ALL; formats are written in DuckDB terms
 
 from __future__ import annotations
 
+# Section and shift labels; the block names and titles below are fixed values too.
 SECTIONS = ("Trituração", "Desinfeção Trituração", "Calibração", "Desinfeção VINC")
 DAY_LABELS = ("T1(00-08)", "T2(08-16)", "T3(16-24)")
 CAL_LABELS = ("T1(22-06)", "T2(06-14)", "T3(14-22)")

@@ -2,7 +2,8 @@
 
 The values in ``Config`` defaults are fixed values: they must equal the
 reference report for identical results.  They are gathered here, in natural
-order, and nowhere else.
+order; block titles stand with the report's layout (``plans/report.py``) and
+the VINC silo columns with their query, marked as fixed values there.
 """
 
 from __future__ import annotations

@@ -231,6 +231,7 @@ def silo_total_8h_disinfection(t: SensorTables, scope: Scope, cfg: Config = DEFA
     return _silo_total(t.silos_b, scope, cfg, cfg.disinfection_silos)
 
 
+# Fixed value: column of each VINC silo, in silo order.
 VINC_COLS = ("silo_1_3a7_cs", "silo_2_2a3_cs", "silo_3_1a2_cs", "silo_4_05a1_cs",
              "silo_5_1a2_vinc", "silo_6_05a1_vinc")
 

@@ -35,6 +35,7 @@ from shiftmetrics.sources.tables import SensorTables
 CELL_COLUMNS = ("report_date", "section", "section_order", "block", "block_order", "block_title",
                 "row_key", "row_order", "column", "column_order", "raw_value", "display", "status")
 
+# Fixed value: section titles in report order.
 SECTIONS = ("Trituração", "Desinfeção Trituração", "Calibração", "Desinfeção VINC")
 
 
@@ -232,6 +233,7 @@ def report_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
 
 
 def cells_from(m: dict[str, DataFrame], cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    # Block names, their order and titles.
     parts = [
         _standard(m["md_runtime"], m["md_runtime_current"], 1, "tempo_producao_md", 1, "Tempo Produção MD"),
         _standard(m["mill_hours"], m["mill_hours_current"], 1, "horas_moinhos", 2,

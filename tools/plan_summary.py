@@ -28,10 +28,11 @@ def main() -> None:
     from shiftmetrics.session import local_session
     spark = local_session(8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    import __spark_entry__ as e
+    from shiftmetrics.registry import ALL_QUERIES
+    from shiftmetrics.sources.fixtures import bind_fixture
     rows = []
-    for name, f in e.queries().items():
-        root = f(spark, sf)._jdf.queryExecution().executedPlan()
+    for name, plan_of in ALL_QUERIES.items():
+        root = bind_fixture(plan_of)(spark, sf)._jdf.queryExecution().executedPlan()
         plan = root.toString()
         windows = [n for n in _nodes(root) if n.nodeName() == "Window"]
         unpartitioned = sum(1 for w in windows if w.partitionSpec().isEmpty())
@@ -41,11 +42,11 @@ def main() -> None:
                      sum(plan.count(b) for b in ("BroadcastNestedLoopJoin", "CartesianProduct",
                                                   "BatchEvalPython", "ArrowEvalPython"))))
     out = ["# Physical plans", "",
-           f"Static plans (AQE off) of every registered query over the fixture tables ({sf}).",
+           f"Static plans (AQE off) of every query of the reference over the fixture tables ({sf}).",
            "`windows w/o key` are windows without a partition key: they run only over per-bucket or",
            "per-day summaries (calendar-sized), never over sample rows.  `banned` counts nested-loop joins,",
-           "Cartesian products and Python UDF operators (must be 0).  Queries over checkpointed mart inputs",
-           "(`report_cells`, `format_values`, `status_thresholds`) show only the final, small plan.", "",
+           "Cartesian products and Python UDF operators (must be 0).  `report_cells`, over checkpointed",
+           "mart inputs, shows only the final, small plan.", "",
            "| query | scans | hash exchanges | reused | broadcast joins | sort-merge joins | windows | windows w/o key | banned |",
            "|---|---|---|---|---|---|---|---|---|"]
     out += [f"| `{r[0]}` | " + " | ".join(str(x) for x in r[1:]) + " |" for r in rows]
