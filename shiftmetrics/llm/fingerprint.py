@@ -59,8 +59,9 @@ def _sketch_lane(i: int) -> Column:
     return F.sum(F.when(hashed.bitwiseAND(SKETCH - 1) == i, sign).otherwise(F.lit(0)))
 
 
-def lanes(df: DataFrame, text_col: str, keys: list[str]) -> DataFrame:
-    """(keys, ``_lanes``) of every row; ``keys`` tell rows apart.
+def lanes(df: DataFrame, text_col: str, keys: list[str], times: str | None = None) -> DataFrame:
+    """(keys, ``_lanes``) of every row; ``keys`` tell rows apart, or the one called ``times`` tells
+    how many equal rows have equal keys.
 
     A row's runs lie in the task that holds it, so they are summed before
     anything is shuffled.
@@ -70,9 +71,12 @@ def lanes(df: DataFrame, text_col: str, keys: list[str]) -> DataFrame:
     runs = paragraphs.select(*keys, "_paragraph", F.posexplode(_runs(F.col("_paragraph"))).alias("_place", "_run"))
     sums = runs.groupBy(*keys).agg(*(_exact_lane(i).alias(f"_e{i}") for i in range(EXACT)),
                                    *(_sketch_lane(i).alias(f"_s{i}") for i in range(SKETCH)))
-    reduced = [F.pmod(F.col(f"_e{i}"), F.lit(_EXACT_SPACE)) for i in range(EXACT)]
-    reduced += [F.pmod(F.col(f"_s{i}"), F.lit(_SKETCH_SPACE)).cast("long") for i in range(SKETCH)]
-    return sums.select(*keys, F.array(*reduced).alias("_lanes"))
+
+    def reduced(name: str, space: int) -> Column:
+        total = F.expr(f"{name} div {times}") if times else F.col(name)
+        return F.pmod(total, F.lit(space)).cast("long")
+    both = [reduced(f"_e{i}", _EXACT_SPACE) for i in range(EXACT)] + [reduced(f"_s{i}", _SKETCH_SPACE) for i in range(SKETCH)]
+    return sums.select(*keys, F.array(*both).alias("_lanes"))
 
 
 def combine(one: Column, other: Column, sign: int = 1) -> Column:
@@ -110,59 +114,54 @@ def likeness(one: Column, other: Column) -> Column:
 
 
 def successors(ids: DataFrame) -> DataFrame:
-    """Distinct rows (``_id``, ``_h``, ``_need``) with ``_next_id`` and ``_next_h``: those of the row
-    that follows by descending ``_id`` (then ``_h``), the first following the last.
+    """Rows (``_id``, ``_key``, ...) with ``_next``: the key of the row that follows by descending
+    ``_id`` (then ``_key``), the first following the last.  Keys are distinct.
 
     Ids alone are sorted over the tasks; the row after a task's last is the
     first of the next task that has any.
     """
-    order = [F.col("_id").desc_nulls_last(), F.col("_h")]
+    order = [F.col("_id").desc_nulls_last(), F.col("_key")]
     dealt = write_table(ids.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
                         .withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(*order))))
-    heads = dealt.where("_place = 1").select("_part", F.struct("_id", "_h").alias("_head"))
+    heads = dealt.where("_place = 1").select("_part", "_key")
     # One row for each task's part: a table as small as the number of parts.
     around = Window.orderBy("_part")
-    first = F.first("_head").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    heads = heads.select("_part", F.coalesce(F.lead("_head").over(around), first).alias("_after"))
-    follow = F.lead(F.struct("_id", "_h")).over(Window.partitionBy("_part").orderBy("_place"))
-    linked = dealt.withColumn("_follow", follow).join(F.broadcast(heads), "_part")
-    following = F.coalesce("_follow", "_after")
-    return linked.select("_id", "_h", "_need", following["_id"].alias("_next_id"), following["_h"].alias("_next_h"))
+    first = F.first("_key").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select("_part", F.coalesce(F.lead("_key").over(around), first).alias("_after"))
+    follow = F.lead("_key").over(Window.partitionBy("_part").orderBy("_place"))
+    return dealt.withColumn("_follow", follow).join(F.broadcast(heads), "_part").withColumn(
+        "_next", F.coalesce("_follow", "_after")).drop("_part", "_place", "_follow", "_after")
 
 
 def compare(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Every row's fingerprint, that of its edited text, and their likeness to each other and to the next row's."""
-    rows = docs.select(F.col(key).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).withColumn("_h", F.xxhash64("_text"))
-    need = F.floor(F.length("_text") / 3).cast("int").alias("_need")
-    pairs = write_table(successors(rows.select("_id", "_h", need).distinct()))
-    texts = rows.groupBy("_id", "_h").agg(F.first("_text").alias("_text"), F.count(F.lit(1)).alias("_times"))
+    """Every row's fingerprint, that of its edited text, and their likeness to each other and to the next row's.
+
+    Texts are shuffled once, by a key of id and text, and the beginnings that
+    go into edited texts once more.
+    """
+    text = F.coalesce(text_col, F.lit(""))
+    rows = docs.select(F.col(key).alias("_id"), text.alias("_text")).withColumn(
+        "_key", F.concat_ws(":", F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.hex(F.xxhash64("_text"))))
+    need = F.floor(F.length("_text") / 3).cast("int")
+    pairs = write_table(successors(rows.groupBy("_id", "_key", need.alias("_need")).agg(F.count(F.lit(1)).alias("_times"))))
+    texts = rows.select("_key", "_text")
     # The next row gives the start of its text to the row before it: a third of that row's length at most.
-    given = pairs.select(F.col("_id").alias("_to_id"), F.col("_h").alias("_to_h"), F.col("_next_id").alias("_id"),
-                         F.col("_next_h").alias("_h"), "_need")
-    starts = _same(texts, given, ["_id", "_h"]).select(
-        F.col("_to_id").alias("_id"), F.col("_to_h").alias("_h"), F.substring("_text", F.lit(1), F.col("_need")).alias("_start"), "_need")
+    given = pairs.select(F.col("_key").alias("_to"), F.col("_next").alias("_key"), "_need", F.col("_times").alias("_to_times"))
+    starts = texts.join(given, "_key").select(
+        F.col("_to").alias("_key"), F.col("_to_times").alias("_times"), "_need", F.substring("_text", F.lit(1), F.col("_need")).alias("_start"))
+    starts = starts.groupBy("_key", "_times", "_need").agg(F.first("_start").alias("_start"))
     edited = F.concat(F.substring(F.col("_text"), F.lit(1), F.length("_text") - F.col("_need")), "_start")
-    both = _same(texts, starts, ["_id", "_h"]).select("_id", "_h", "_times", "_text", edited.alias("_edited")).select(
-        "_id", "_h", "_times", F.length("_text").cast("long").alias("_n"), F.sha2(F.col("_edited").cast("binary"), 256).alias("_sha"),
+    both = texts.join(starts, "_key").select("_key", "_times", "_text", edited.alias("_edited")).select(
+        "_key", "_times", F.length("_text").cast("long").alias("_n"), F.sha2(F.col("_edited").cast("binary"), 256).alias("_sha"),
         F.posexplode(F.array("_text", "_edited")).alias("_kind", "_both"))
-    made = write_table(lanes(both, "_both", ["_id", "_h", "_times", "_n", "_sha", "_kind"]))
-    own, changed = (made.where(F.col("_kind") == k) for k in (0, 1))
-    full = _same(_same(own, changed.select("_id", "_h", F.col("_lanes").alias("_changed")), ["_id", "_h"]),
-                 pairs.drop("_need"), ["_id", "_h"])
-    full = _same(full, own.select(F.col("_id").alias("_next_id"), F.col("_h").alias("_next_h"), F.col("_lanes").alias("_next")),
-                 ["_next_id", "_next_h"])
+    made = write_table(lanes(both, "_both", ["_key", "_times", "_n", "_sha", "_kind"], "_times"))
+    own = made.where("_kind = 0").drop("_kind")
+    changed = made.where("_kind = 1").select("_key", F.col("_lanes").alias("_changed"))
+    after = own.select(F.col("_key").alias("_next"), F.col("_lanes").alias("_next_lanes"))
+    full = own.join(changed, "_key").join(pairs.select("_id", "_key", "_next"), "_key").join(after, "_next")
     repeated = F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int"))).alias("_again")
     return full.select(
         F.col("_id").alias(key), F.col("_n").alias("n_chars"), F.col("_sha").alias("edited_sha256"),
         text_of(F.col("_lanes")).alias("fingerprint"), text_of(F.col("_changed")).alias("edited_fingerprint"),
         likeness(F.col("_lanes"), F.col("_changed")).alias("near_edited"),
-        likeness(F.col("_lanes"), F.col("_next")).alias("near_next"), repeated).drop("_again")
-
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """An inner join on keys of which nulls are equal."""
-    other = right.select(*(F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in right.columns))
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return left.join(other, on).drop(*(f"_{k}" for k in keys))
+        likeness(F.col("_lanes"), F.col("_next_lanes")).alias("near_next"), repeated).drop("_again")
