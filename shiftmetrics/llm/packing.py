@@ -247,7 +247,7 @@ def assign(pieces: DataFrame, documents: int, window: int = WINDOW, key: str = "
     types = f"`{key}` {pieces.schema[key].dataType.simpleString()}, start long, length long, ids_crc32 long, " \
         "doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
 
-    def packed(group_key, rows: pd.DataFrame) -> pd.DataFrame:
+    def packed(group_key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([key, "start", "ids_crc32"], ignore_index=True)
         size = int(rows["id_bytes"].iat[0])
         lengths = rows["length"].to_numpy()
