@@ -82,6 +82,10 @@ class WordTokenizer:
             out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Give the memo's memory back (workers live on, and serve other operators too)."""
+        self._memo.clear()
+
     def _plain(self, text: str) -> bytes:
         return np.asarray(self._encoding.encode_ordinary(text), "<u4").tobytes()
 
@@ -211,7 +215,8 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "ids"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer_for(tokenizer).encode
+        words = tokenizer_for(tokenizer)
+        encode = words.encode
         end, step = np.uint32(END_ID).tobytes(), 4 * window
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
@@ -231,6 +236,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())),
                  *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), pa.array(ids, pa.binary())], names)
+        words.forget()
 
     out = docs.select(key, text_col).mapInArrow(
         pieces, f"`{key}` {key_type}, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
