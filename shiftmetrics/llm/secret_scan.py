@@ -4,12 +4,13 @@ Base kinds (``assign access hex``) are reported by their patterns alone.  The
 added kinds are reported only if their structure holds when decoded:
 
 * ``pem``    an armoured block whose body is base64 of a DER key or of an
-  OpenSSH private key
+  OpenSSH private key, or an encrypted body under its ``DEK-Info`` header
 * ``token``  three base64url parts joined by dots, the first a JSON header
   with ``alg``
 * ``der``    a run of base64 or hex that decodes to a DER key: a sequence whose
   nested lengths fill it exactly and whose fields are those of a key
-* ``wrapped``  a run of base64 or hex whose decoded text holds a base secret
+* ``wrapped``  a run of base64 or hex whose decoded text holds a
+  base secret, an armoured key or a signed token
 
 Each text is read whole, in the tasks that hold it; nothing is shuffled.
 Positions are code points, end exclusive.
@@ -40,10 +41,14 @@ BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("pem", "token", "der", "wrapped")
 RANK = {k: i for i, k in enumerate(BASE_KINDS + ADDED_KINDS)}
 
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+#: An armoured block: header lines (Proc-Type, DEK-Info) may come first, line ends may be escaped.
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?:\r?\n|\\[rn])+[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*)*)"
+                    r"((?:[A-Za-z0-9+/=\s]|\\[rn])+)-----END \1-----")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-RUN64 = re.compile(r"(?:[A-Za-z0-9+/]{40,}|[A-Za-z0-9_-]{40,})={0,2}")
-RUN16 = re.compile(r"[0-9A-Fa-f]{64,}")
+#: Runs that may hold a base secret: the shortest is an access key of 18 bytes, 24 letters of base64 or 36 of hex.
+LEAST_BYTES = 18
+RUN64 = re.compile(r"(?:[A-Za-z0-9+/]{%d,}|[A-Za-z0-9_-]{%d,})={0,2}" % (LEAST_BYTES * 4 // 3, LEAST_BYTES * 4 // 3))
+RUN16 = re.compile(r"[0-9A-Fa-f]{%d,}" % (LEAST_BYTES * 2))
 #: Cheap tests: a text without these can hold no base secret of the kind.
 ASSIGN_HINT = re.compile(r"(?i:passw|secret|token|api_?key)", re.ASCII)
 
@@ -152,24 +157,46 @@ def _decoded_kind(data: bytes | None) -> str | None:
         inner = data.decode("ascii")
     except UnicodeDecodeError:
         return None
-    return "wrapped" if inner.isprintable() and any(s.kind != "hex" for s in base_spans(inner)) else None
+    if not inner.translate(_BLANKS).isprintable():
+        return None
+    held = any(s.kind != "hex" for s in base_spans(inner)) or armoured(inner) or signed(inner)
+    return "wrapped" if held else None
 
 
-def added_spans(text: str) -> list[Span]:
+_BLANKS = dict.fromkeys(map(ord, "\t\n\v\f\r"), " ")
+
+
+def armoured(text: str) -> list[Span]:
+    """Armoured blocks whose body is a key; an encrypted body (with a DEK-Info header) has no structure, so its
+    length must be whole blocks of the cipher."""
     found = []
-    if "-----BEGIN " in text:
-        for m in ARMOUR.finditer(text):
-            data = _decode64(m[2])
-            if data and (is_der_key(data) or is_ssh_key(data)):
-                found.append(Span(*m.span(), "pem"))
-    if "eyJ" in text:
-        found += [Span(*m.span(), "token") for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
+    for m in ARMOUR.finditer(text) if "-----BEGIN " in text else ():
+        data = _decode64(re.sub(r"\\[rn]", "", m[3]))
+        sealed = "DEK-Info:" in m[2] and "ENCRYPTED" in m[2] and data and len(data) >= 32 and len(data) % 8 == 0
+        if data and (sealed or is_der_key(data) or is_ssh_key(data)):
+            found.append(Span(*m.span(), "pem"))
+    return found
+
+
+def signed(text: str) -> list[Span]:
+    return [Span(*m.span(), "token") for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])] if "eyJ" in text else []
+
+
+def _runs(text: str) -> Iterator[tuple[tuple[int, int], bytes | None]]:
+    """Spans of encoded runs and their bytes."""
+    for m in RUN64.finditer(text):
+        yield m.span(), _decode64(m[0])
+    for m in RUN16.finditer(text):
+        yield m.span(), _decode16(m[0])
+
+
+def added_spans(text: str) -> list[Span]:
+    found = armoured(text) + signed(text)
     covered = [(s.start, s.end) for s in found]
     runs = {}
-    for pattern, decode in ((RUN64, _decode64), (RUN16, _decode16)):
-        for m in pattern.finditer(text):
-            if not any(a <= m.start() and m.end() <= b for a, b in covered) and (kind := _decoded_kind(decode(m[0]))):
-                runs.setdefault(m.span(), kind)
+    for (start, end), data in _runs(text):
+        if not any(a <= start and end <= b for a, b in covered) and (kind := _decoded_kind(data)):
+            runs.setdefault((start, end), kind)
     return found + [Span(*at, kind) for at, kind in runs.items()]
 
 
