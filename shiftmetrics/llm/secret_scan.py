@@ -47,8 +47,10 @@ ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?:\r?\n|\\[rn]
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 #: Runs that may hold a base secret: the shortest is an access key of 18 bytes, 24 letters of base64 or 36 of hex.
 LEAST_BYTES = 18
-RUN64 = re.compile(r"(?:[A-Za-z0-9+/]{%d,}|[A-Za-z0-9_-]{%d,})={0,2}" % (LEAST_BYTES * 4 // 3, LEAST_BYTES * 4 // 3))
+RUN64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % (LEAST_BYTES * 4 // 3))
 RUN16 = re.compile(r"[0-9A-Fa-f]{%d,}" % (LEAST_BYTES * 2))
+#: Runs of one alphabet, for a run that holds both.
+ALPHABETS = (re.compile(r"[A-Za-z0-9+/]{%d,}={0,2}" % (LEAST_BYTES * 4 // 3)), re.compile(r"[A-Za-z0-9_-]{%d,}={0,2}" % (LEAST_BYTES * 4 // 3)))
 #: Cheap tests: a text without these can hold no base secret of the kind.
 ASSIGN_HINT = re.compile(r"(?i:passw|secret|token|api_?key)", re.ASCII)
 
@@ -183,9 +185,14 @@ def signed(text: str) -> list[Span]:
 
 
 def _runs(text: str) -> Iterator[tuple[tuple[int, int], bytes | None]]:
-    """Spans of encoded runs and their bytes."""
+    """Spans of encoded runs and their bytes; a run that holds both alphabets is also read by its parts of one."""
     for m in RUN64.finditer(text):
-        yield m.span(), _decode64(m[0])
+        run = m[0]
+        if ("-" in run or "_" in run) and ("+" in run or "/" in run):
+            for part in (x for alphabet in ALPHABETS for x in alphabet.finditer(run)):
+                yield (m.start() + part.start(), m.start() + part.end()), _decode64(part[0])
+        else:
+            yield m.span(), _decode64(run)
     for m in RUN16.finditer(text):
         yield m.span(), _decode16(m[0])
 

@@ -131,3 +131,17 @@ def test_armour_with_headers_and_escaped_line_ends():
         assert [s for s in S.added_spans(f"x {block} y") if s.kind == "pem"] == [S.Span(2, 2 + len(block), "pem")]
     assert added(armour(random.Random(2).randbytes(1200))) == []
     assert added("-----BEGIN PRIVATE KEY-----\n" + "a: " * 5000) == []
+
+
+def test_url_alphabet_runs_are_read_whole():
+    for seed in range(200):
+        n = random.Random(seed).randrange(40, 300)
+        key = der(0x30, der(2, b"\0"), *(integer(k, seed + k) for k in (n, 3, n, 65, 64, 64, 63, 64)))
+        for text in (base64.urlsafe_b64encode(key).decode(), base64.b64encode(key).decode()):
+            assert S.added_spans(f"x {text} y") == [S.Span(2, 2 + len(text), "der")]
+
+
+def test_runs_of_both_alphabets_are_read_by_their_parts():
+    text = base64.b64encode(PKCS8).decode()
+    assert "+" in text or "/" in text
+    assert ["der"] == [s.kind for s in S.added_spans(f"name_{text}") if s.end == 5 + len(text)]
