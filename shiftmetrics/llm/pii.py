@@ -26,12 +26,32 @@ from pyspark.sql import functions as F
 # Base kinds, in the order in which spans are listed, and their patterns.
 # `(?:(?<![run])|\G)` only lets a match begin where a run of these characters, or what a
 # match has left of it, begins; possessive `++` repeats a group without recursion.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """An IBAN ends where its country's length says, so that a word after it is not taken in; codes that
+    are not listed take groups until one begins like an IBAN of a listed country."""
+    def body(n: int) -> str:
+        return rf"(?:\x20?[A-Z0-9]{{4}}){{{n // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    listed = "|".join("|".join(codes.split()) for codes in IBAN_LENGTHS.values())
+    known = "|".join(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}{body(n - 4)}" for n, codes in IBAN_LENGTHS.items())
+    blank = rf"(?:\x20(?!(?:{listed})[0-9]{{2}}))?"
+    other = rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:{blank}[A-Z0-9]{{4}}){{2,7}}+(?:{blank}[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?:{known}|{other})(?![A-Za-z0-9])"
+
+
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban(),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")

@@ -100,3 +100,14 @@ def test_empty_table(documents):
 def test_no_python_in_the_plan(documents, plan):
     df = plan(documents([(1, "a@b.co")]))
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("iban", ["ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "BE68 5390 0754 7034", "SE45 5000 0000 0583 9825 7466",
+                                  "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"])
+def test_an_iban_ends_before_the_next_word(documents, iban):
+    n = len(iban)
+    rows = [(1, f"{iban} BIC CAIXESBB"), (2, f"{iban} 2024"), (3, f"{iban} {iban}"), (4, f"AB12 CDEF GHIJ {iban}"), (5, f"{iban}X")]
+    got = {i: r["spans"] for i, r in by_id(pii.digest(pii.scan(documents(rows)))).items()}
+    assert {i: ",".join(s for s in spans.split(",") if s.startswith("iban")) for i, spans in got.items()} == {
+        1: f"iban:0:{n}", 2: f"iban:0:{n}", 3: f"iban:0:{n},iban:{n + 1}:{2 * n + 1}", 4: f"iban:15:{n + 15}", 5: ""}
+    assert pii.mask(documents(rows[:1])).first()["text"] == "[IBAN] BIC CAIXESBB"
