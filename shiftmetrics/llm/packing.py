@@ -51,6 +51,10 @@ class WordTokenizer:
     its leading blank; words are looked up in a bounded memo.  A text with
     blanks beside other white space is encoded whole, as there the rule for
     runs of white space looks across a blank.
+
+    ``encode`` takes all of a text as ordinary; ``ids`` does what the library
+    does by default: added tokens of the file have their own ids, and the text
+    between them is encoded part by part.
     """
 
     _apart = re.compile(r"\s \s|\s $|^\s")
@@ -66,6 +70,22 @@ class WordTokenizer:
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self._encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._memo: dict[str, bytes] = {}
+        added = spec.get("added_tokens", ())
+        if spec.get("normalizer") or any(t.get(x) for t in added for x in ("lstrip", "rstrip", "single_word")):
+            raise ValueError(f"{path}: added tokens that take in blanks or need whole words, and normalizers, are not supported")
+        self._added = {t["content"]: np.uint32(t["id"]).astype("<u4").tobytes() for t in added}
+        # The longest of those that begin at a place, as in the library.
+        self._split = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
+
+    def ids(self, text: str) -> bytes:
+        """Ids as the library gives them by default, as little-endian unsigned 32-bit integers."""
+        if self._split is None or not self._split.search(text):
+            return self.encode(text)
+        out, at = [], 0
+        for m in self._split.finditer(text):
+            out += (self.encode(text[at:m.start()]) if m.start() > at else b"", self._added[m[0]])
+            at = m.end()
+        return b"".join([*out, self.encode(text[at:]) if at < len(text) else b""])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -216,7 +236,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer_for(tokenizer)
-        encode = words.encode
+        encode = words.ids
         end, step = np.uint32(END_ID).tobytes(), 4 * window
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []

@@ -133,3 +133,27 @@ def test_repeated_rows_and_empty_table(documents):
     assert sum(r["length"] for r in rows) == 3 * rows[0]["doc_tokens"] + 1 or len(rows) == 4
     empty = documents([])
     assert packing.assign(packing.cut(empty, tokenizer_path()), 0).count() == 0
+
+
+@pytest.fixture(scope="module")
+def unmodified():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>  x", "x\n <|endoftext|>\n", "<|endoftext|", "<<|endoftext|>>"]
+
+
+def test_added_tokens_have_their_ids(unmodified):
+    r = random.Random(3)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", "word", "é", "'s", "1"]
+    for text in SPECIAL + ["".join(r.choices(parts, k=r.randrange(1, 12))) for _ in range(500)]:
+        ids = np.frombuffer(packing.tokenizer_for(tokenizer_path()).ids(text), "<u4").tolist()
+        assert ids == unmodified.encode(text, add_special_tokens=False).ids, text
+
+
+def test_pieces_hold_the_ids_of_added_tokens(documents, unmodified):
+    texts = dict(enumerate([*SPECIAL, "many <|endoftext|> words " * 700]))
+    rows = packing.assign(packing.cut(documents(list(texts.items())), tokenizer_path()), len(texts)).collect()
+    check(rows, texts, lambda text: [*unmodified.encode(text or "", add_special_tokens=False).ids, 0])
