@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftmetrics.llm import context_mixing, decontaminate, fingerprint, packing, pii, quality, resharding, secret_scan, toxicity, trie_join
+from shiftmetrics.llm import (
+    chat_format, context_mixing, decontaminate, filter_audit, fingerprint, packing, pii, quality, resharding, secret_scan, spelling,
+    toxicity, trie_join,
+)
 from shiftmetrics.llm.common import labelled_sample, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +87,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(read_table(spark, sf_dir, "documents")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_format.in_order(chat_format.with_probe(read_table(spark, sf_dir, "conversations")))
+    return chat_format.read_back(chat_format.format_turns(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -95,7 +111,13 @@ QUERIES: dict[str, Query] = {
     "op8_resharding": op8_resharding,
     "op9_lm_score": op9_lm_score,
     "op10_pii": op10_pii,
+    "op11_spelling": op11_spelling,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_chat_format": op13_chat_format,
 }
 
 #: DuckDB SQL of the queries that SQL can express in reasonable time over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_chat_format": chat_format.ORACLE_SQL,
+}
