@@ -3,10 +3,11 @@
 All three answer "what was the last sample before instant X?" without a
 range join and without a window over a whole entity history:
 
-* ``shift_samples`` (bounded lookback): keep the last sample of every
+* ``carried_in`` (bounded lookback): keep the last sample of every
   (entity, shift cell) with a partially aggregated ``max_by``, hand it to
   the next cells that its lookback can reach (``explode``), keep the latest
-  one inside the lookback.
+  one inside the lookback.  (Level gains and state durations get theirs from
+  the samples' own shuffle, see ``levels`` and ``segments``.)
 * ``asof_at_boundaries`` / ``daily_snapshot`` (unbounded lookback): reduce
   samples to one "last value" per bucket between consecutive boundaries, then
   let each bucket value stand for every boundary up to the next non-empty
@@ -41,70 +42,45 @@ def latest(rec: Column, ts: str = "ts", id_col: str = "id") -> Column:
     return F.max_by(rec, F.struct(F.col(ts), F.col(id_col)))
 
 
-def shift_samples(samples: DataFrame, *, scope: Scope, grid: Grid, cols: list[str],
-                  entity: str | None = None, clamp: bool = False,
-                  lookback: timedelta = timedelta(hours=12), shifts: tuple[int, ...] = (1, 2, 3),
-                  carry_filter: Column | None = None, sample_filter: Column | None = None,
-                  id_col: str = "id") -> DataFrame:
-    """Samples of each shift plus the carried-in last sample before it.
+def carried_in(samples: DataFrame, *, scope: Scope, grid: Grid, cols: list[str], entity: str,
+               lookback: timedelta = timedelta(hours=12), shifts: tuple[int, ...] = (1, 2, 3), id_col: str = "id") -> DataFrame:
+    """The last sample of each entity in the ``lookback`` before each shift.
 
-    Returns ``report_date, shift, start_ts, end_ts, end_eff, [entity], ts,
-    id, is_carry, *cols``: every sample with ``start_ts <= ts < end_eff`` and,
-    per (shift, entity), the latest sample with ``start_ts - lookback <= ts <
-    start_ts`` (``is_carry = 1``, own timestamp kept).  ``end_eff`` is the
-    shift end clamped to ``scope.as_of`` when ``clamp``.
+    Returns ``report_date, shift, entity, ts, id, *cols`` (own timestamp kept).
+    Samples collapse to the last one per (entity, shift cell) on the map side.
     """
-    keys = [entity] if entity else []
-    base = samples.select(*keys, "ts", F.col(id_col).alias("id"), *cols)
-    base = base.filter(scope.ts_range("ts", lookback + timedelta(hours=grid.offset_hours + 1),
-                                      timedelta(hours=32)))
-    cells = with_cell(base, "ts", grid, scope.tz)
-    wanted = F.col("shift").isin(*shifts)
-
-    # In-shift rows: a row of cell c satisfies start <= ts < end by
-    # construction, so the clamp "ts < least(end, greatest(start, as_of))"
-    # reduces to "ts < as_of" and no per-row shift bounds are needed.
-    inside = cells if sample_filter is None else cells.filter(sample_filter)
-    inside = scope.keep(inside.filter(wanted))
-    if clamp and scope.as_of is not None:
-        inside = inside.filter(F.col("ts") < scope.as_of)
-    inside = inside.select("report_date", "shift", *keys, "ts", "id", F.lit(0).alias("is_carry"), *cols)
-
-    src = cells if carry_filter is None else cells.filter(carry_filter)
-    rec = F.struct("ts", "id", *cols)
-    last = src.groupBy(*keys, "cell").agg(latest(rec).alias("r"))
+    base = scope.clip(samples, lookback + timedelta(hours=grid.offset_hours), timedelta(hours=24 - grid.offset_hours))
+    cells = with_cell(base.select(entity, "ts", F.col(id_col).alias("id"), *cols), "ts", grid, scope.tz)
+    last = cells.groupBy(entity, "cell").agg(latest(F.struct("ts", "id", *cols)).alias("r"))
     reach = max(1, math.ceil(lookback / SHORTEST_SHIFT))
     targets = F.array(*[F.col("cell") + i for i in range(1, reach + 1)])
-    carry = (last.select(*keys, F.explode(targets).alias("cell"), "r")
+    carry = (last.select(entity, F.explode(targets).alias("cell"), "r")
              .withColumn("report_date", cell_report_date(F.col("cell")))
              .withColumn("shift", cell_shift_of(F.col("cell")))
-             .filter(wanted))
+             .filter(F.col("shift").isin(*shifts)))
     carry = with_bounds(scope.keep(carry), grid, scope.tz)
     carry = carry.filter(F.col("r.ts") >= F.col("start_ts") - interval(lookback))
-    carry = (carry.groupBy("report_date", "shift", *keys)
-             .agg(F.max_by("r", F.struct("r.ts", "r.id")).alias("r"))
-             .select("report_date", "shift", *keys, "r.ts", "r.id", F.lit(1).alias("is_carry"),
-                     *[f"r.{c}" for c in cols]))
-    rows = inside.unionByName(carry)
-    return rows.join(shift_dimension(scope, grid, shifts, clamp), ["report_date", "shift"])
+    return (carry.groupBy("report_date", "shift", entity)
+            .agg(F.max_by("r", F.struct("r.ts", "r.id")).alias("r"))
+            .select("report_date", "shift", entity, "r.ts", "r.id", *[f"r.{c}" for c in cols]))
 
 
-def shift_dimension(scope: Scope, grid: Grid, shifts: tuple[int, ...] = (1, 2, 3),
-                    clamp: bool = False) -> DataFrame:
-    """``report_date, shift, start_ts, end_ts, end_eff`` of every shift in scope.
+def cell_dimension(scope: Scope, grid: Grid, clamp: bool = False) -> DataFrame:
+    """``cell, end_ts, end_eff`` of every shift in scope and the one before each date.
 
-    Three rows per report date (a proven bound), broadcast: the shift
-    bounds are looked up by the computed key instead of being converted
-    from local time on every sample row.
+    Four rows per report date (a proven bound), broadcast: shift ends are
+    looked up by the computed key instead of being converted from local
+    time on every sample row.
     """
-    s = scope.dates.select("report_date", F.explode(F.array(*[F.lit(k) for k in shifts])).alias("shift"))
+    days = scope.dates.select((F.datediff("report_date", F.lit("1970-01-01")).cast("long") * 3).alias("d"))
+    s = days.select(F.explode(F.array(*[F.col("d") + k for k in (-1, 0, 1, 2)])).alias("cell")).distinct()
+    s = s.withColumns({"report_date": cell_report_date(F.col("cell")), "shift": cell_shift_of(F.col("cell"))})
     s = with_bounds(s, grid, scope.tz)
-    s = s.withColumn("end_eff", clamp_end(F.col("start_ts"), F.col("end_ts"),
-                                          scope.as_of if clamp else None))
-    return F.broadcast(s)
+    end = clamp_end(F.col("start_ts"), F.col("end_ts"), scope.as_of if clamp else None)
+    return F.broadcast(s.select("cell", "end_ts", end.alias("end_eff")))
 
 
-def _valid_ranges(buckets: DataFrame, keys: list[str], pos: str, lo: Column, hi: Column,
+def valid_ranges(buckets: DataFrame, keys: list[str], pos: str, lo: Column, hi: Column,
                   offset: int = 0) -> DataFrame:
     """Explode each bucket over the positions it answers for.
 
@@ -122,21 +98,21 @@ def _valid_ranges(buckets: DataFrame, keys: list[str], pos: str, lo: Column, hi:
 
 
 def asof_at_boundaries(samples: DataFrame, *, scope: Scope, grid: Grid, cols: list[str],
-                       boundary_lo: Column, boundary_hi: Column, id_col: str = "id") -> DataFrame:
+                       boundary_lo: Column, boundary_hi: Column, reach: timedelta = timedelta(hours=32),
+                       id_col: str = "id") -> DataFrame:
     """Latest sample with ``ts <= boundary`` for every shift boundary.
 
     Boundary ``b`` is the start instant of cell ``b`` of ``grid``.  Returns
     ``b, v`` where ``v`` is the struct of ``cols`` of the latest row (its
     fields may be NULL, as the reference's ``LIMIT 1`` returns them), for
     ``boundary_lo <= b <= boundary_hi``; boundaries with no earlier sample
-    are absent.
+    are absent.  ``reach``: the last boundary after the last date's local midnight.
     """
-    s = samples.select("ts", F.col(id_col).alias("id"), *cols)
-    s = s.filter(scope.ts_range("ts", None, timedelta(hours=33)))
+    s = scope.clip(samples, None, reach).select("ts", F.col(id_col).alias("id"), *cols)
     loc = to_local(F.col("ts") - interval(ONE_US), scope.tz)
     s = s.withColumn("b", cell_index(cell_date(loc, grid), cell_shift(loc, grid)) + 1)
     buckets = s.groupBy("b").agg(latest(F.struct(*cols)).alias("v"))
-    return _valid_ranges(buckets, [], "b", boundary_lo, boundary_hi)
+    return valid_ranges(buckets, [], "b", boundary_lo, boundary_hi)
 
 
 def daily_snapshot(samples: DataFrame, *, scope: Scope, entity: str, value: str,
@@ -146,14 +122,13 @@ def daily_snapshot(samples: DataFrame, *, scope: Scope, entity: str, value: str,
     Returns ``report_date, entity, v`` (``v`` may be NULL when the latest
     row's value is NULL) for the scope's dates that have an earlier sample.
     """
-    s = samples.select(entity, "ts", F.col(id_col).alias("id"), value)
-    s = s.filter(scope.ts_range("ts", None, timedelta(days=1) + at))
+    s = scope.clip(samples, None, timedelta(days=1) + at).select(entity, "ts", F.col(id_col).alias("id"), value)
     loc = to_local(F.col("ts"), scope.tz) - interval(at + ONE_US)
     s = s.withColumn("report_date", loc.cast("date"))
     buckets = s.groupBy(entity, "report_date").agg(latest(F.struct(value)).alias("r"))
     days = buckets.withColumn("d", F.datediff("report_date", F.lit("1970-01-01")))
     lo, hi = _scope_day_bounds(scope)
-    out = _valid_ranges(days, [entity], "d", lo, hi)
+    out = valid_ranges(days, [entity], "d", lo, hi)
     out = out.withColumn("report_date", F.date_add(F.lit("1970-01-01").cast("date"), F.col("d").cast("int")))
     return scope.keep(out.select("report_date", entity, F.col(f"r.{value}").alias("v")))
 
@@ -173,20 +148,5 @@ def scope_cell_bounds(scope: Scope, first_offset: int = 0, last_offset: int = 3)
     return lo.cast("long") * 3 + first_offset, hi.cast("long") * 3 + last_offset
 
 
-def state_at_cell_start(samples: DataFrame, *, scope: Scope, grid: Grid, entity: str,
-                        cols: list[str], cell_lo: Column, cell_hi: Column,
-                        id_col: str = "id") -> DataFrame:
-    """Per (entity, cell): the latest sample strictly before the cell starts.
-
-    Unbounded lookback.  Returns ``entity, cell, r`` for cells in
-    ``[cell_lo, cell_hi]`` that have an earlier sample.
-    """
-    s = samples.select(entity, "ts", F.col(id_col).alias("id"), *cols)
-    s = s.filter(scope.ts_range("ts", None, timedelta(hours=33)))
-    s = with_cell(s, "ts", grid, scope.tz)
-    last = s.groupBy(entity, "cell").agg(latest(F.struct("ts", "id", *cols)).alias("r"))
-    return _valid_ranges(last, [entity], "cell", cell_lo, cell_hi, offset=1)
-
-
-__all__ = ["shift_samples", "shift_dimension", "asof_at_boundaries", "daily_snapshot",
-           "state_at_cell_start", "scope_cell_bounds", "latest"]
+__all__ = ["carried_in", "cell_dimension", "asof_at_boundaries", "daily_snapshot", "valid_ranges",
+           "scope_cell_bounds", "latest"]

@@ -1,27 +1,20 @@
-"""Windows over hot groups, split into time chunks.
-
-A window partition holds a whole group (e.g. one silo during one shift).
-If one entity carries a large share of all rows, that partition becomes one
-huge task.  These helpers give the same ``lead`` / ``lag`` / running-sum
-results while partitioning by ``(group keys, chunk)``, where the chunk is a
-time slice (one hour by default) that is monotone in the window order:
-
-* inside a chunk the ordinary window runs;
-* across chunk edges, one summary row per chunk (its first or last row, or
-  its total) is partially aggregated, shifted along the chunk series of its
-  group with a window over those summaries (a few rows per group), and
-  joined back on ``(keys, chunk)``, null keys being equal.  The summaries
-  read the rows' input a second time.
-
-Values are carried inside structs so that a NULL *value* is never confused
-with "no neighbouring row".
+"""Time chunks: how every sample-level window is split, and how chunks are put together again.
+
+A window over a whole group (one silo during one shift) is one huge task if
+that group carries a large share of all rows.  So windows run per
+``(group keys, chunk)``, where the chunk is a slice of time (an hour by default),
+and each chunk is reduced in the same stage to one small record: its first
+and last row and what happened in between.  The records of a group, in order,
+are then merged by a window over these few rows, which adds what happens
+from the last row of one chunk to the first row of the next.  Rows are read
+and shuffled once, and nothing is joined back to them.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Plans pass ``Config.window_chunk``; tests use one minute, so that chunk
@@ -29,66 +22,17 @@ from pyspark.sql import functions as F
 DEFAULT_CHUNK = timedelta(hours=1)
 
 
-def time_chunk(ts: str | Column = "ts", width: timedelta = DEFAULT_CHUNK) -> Column:
-    """Index of the ``width`` time slice holding ``ts`` (NTZ, zone-free)."""
-    us = int(width / timedelta(microseconds=1))
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-                   / F.lit(us)).cast("long")
-
-
-def _join_back(rows: DataFrame, summaries: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of chunk summaries; null keys are equal, as in a window's partitions."""
-    named = summaries.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                             *[c for c in summaries.columns if c not in keys])
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return rows.join(named, on, "left").drop(*[f"_k_{k}" for k in keys])
+def width_us(width: timedelta) -> int:
+    return int(width / timedelta(microseconds=1))
 
 
-def _neighbour(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-               chunk: Column, forward: bool) -> DataFrame:
-    c = df.withColumn("_chunk", chunk)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    rec = F.struct(F.col(value).alias("v"))
-    inner = F.lead(rec).over(w) if forward else F.lag(rec).over(w)
-    c = c.withColumn("_in", inner)
-    # Edge summaries: first row of each chunk (for lead) or last row (for lag).
-    key_rec = F.struct(*[F.col(o) for o in order], F.col(value).alias("v"))
-    edge = F.min(key_rec) if forward else F.max(key_rec)
-    edges = c.groupBy(*keys, "_chunk").agg(edge.alias("_e"))
-    cw = Window.partitionBy(*keys).orderBy("_chunk")
-    shifted = F.lead("_e").over(cw) if forward else F.lag("_e").over(cw)
-    edges = edges.select(*keys, "_chunk", F.struct(shifted["v"].alias("v")).alias("_x"),
-                         shifted.isNull().alias("_none"))
-    edges = edges.select(*keys, "_chunk", F.when(~F.col("_none"), F.col("_x")).alias("_x"))
-    c = _join_back(c, edges, [*keys, "_chunk"])
-    return c.withColumn(out, F.coalesce("_in", "_x")["v"]).drop("_chunk", "_in", "_x")
-
-
-def chunked_lead(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-                 chunk: Column) -> DataFrame:
-    """``lead(value) over (partition by keys order by order)``, chunked."""
-    return _neighbour(df, keys, order, value, out, chunk, forward=True)
-
-
-def chunked_lag(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-                chunk: Column) -> DataFrame:
-    """``lag(value) over (partition by keys order by order)``, chunked."""
-    return _neighbour(df, keys, order, value, out, chunk, forward=False)
+def micros(ts: str | Column = "ts") -> Column:
+    """Microseconds of an instant (NTZ, zone-free) since 1970."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
-def chunked_running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-                        chunk: Column) -> DataFrame:
-    """``sum(value) over (partition by keys order by order)`` with the default
-    RANGE frame (peers included), chunked.  Peers share the first order
-    column, so the chunk must be a function of it."""
-    c = df.withColumn("_chunk", chunk)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    c = c.withColumn("_in", F.sum(value).over(w))
-    totals = c.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_t"))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*keys, "_chunk", F.sum("_t").over(before).alias("_p"))
-    c = _join_back(c, totals, [*keys, "_chunk"])
-    return c.withColumn(out, F.coalesce(F.col("_p"), F.lit(0)) + F.col("_in")).drop("_chunk", "_in", "_p")
+def time_chunk(ts: str | Column = "ts", width: timedelta = DEFAULT_CHUNK) -> Column:
+    """Index of the ``width`` time slice holding ``ts``."""
+    us = width_us(width)
+    return F.floor(micros(ts) / F.lit(us)).cast("long")

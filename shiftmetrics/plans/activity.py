@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from shiftmetrics.config import ACTIVE_MACHINE_STATES, DEFAULT_CONFIG, Config
 from shiftmetrics.functions.timegrid import interval, to_local
-from shiftmetrics.operators.activity import counter_steps
-from shiftmetrics.plans.scope import Scope, attach
+from shiftmetrics.operators.activity import largest_steps
+from shiftmetrics.plans.scope import Scope, with_dates
 from shiftmetrics.sources.tables import SensorTables
 
 
 def _flag_days(df: DataFrame, cond, scope: Scope, cfg: Config, name: str) -> DataFrame:
     day = (to_local(F.col("ts"), scope.tz) - interval(cfg.activity_day_start)).cast("date")
-    rows = df.filter(cond & scope.ts_range("ts", timedelta(0), cfg.activity_day_start + timedelta(days=1)))
-    return scope.keep(rows.select(day.alias("report_date")).distinct()).withColumn(name, F.lit(True))
+    rows = scope.clip(df, -cfg.activity_day_start, cfg.activity_day_start + timedelta(days=1)).filter(cond)
+    return rows.select(day.alias("report_date"), F.lit(True).alias(name))
 
 
 def report_activity(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -34,14 +34,12 @@ def report_activity(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG)
                     scope, cfg, "md_active")
     vapex = _flag_days(t.machines, F.col("state").isin(*ACTIVE_MACHINE_STATES), scope, cfg,
                        "vapex_active")
-    steps = counter_steps(t.counters, "total", scope=scope, day_start=cfg.activity_counter_start,
+    steps = largest_steps(t.counters, "total", scope=scope, day_start=cfg.activity_counter_start,
                           chunk=cfg.window_chunk)
-    cal = steps.groupBy("report_date").agg(
-        F.max("delta").alias("max_counter_step"),
-        F.max(F.col("delta") >= F.lit(cfg.activity_min_kg)).alias("counter_active"))
-    out = attach(scope, md).join(vapex, "report_date", "left").join(cal, "report_date", "left")
-    flags = ("md_active", "counter_active", "vapex_active")
-    out = out.select("report_date", *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in flags],
-                     F.col("max_counter_step").cast("double").alias("max_counter_step"))
-    return out.withColumn("has_production",
-                          F.col("md_active") | F.col("counter_active") | F.col("vapex_active"))
+    facts = md.unionByName(vapex, allowMissingColumns=True).unionByName(steps, allowMissingColumns=True)
+    out = with_dates(scope, facts).groupBy("report_date").agg(
+        *[F.coalesce(F.max(c), F.lit(False)).alias(c) for c in ("md_active", "vapex_active")],
+        F.coalesce(F.max("step") >= F.lit(cfg.activity_min_kg), F.lit(False)).alias("counter_active"),
+        F.max("step").cast("double").alias("max_counter_step"))
+    return out.select("report_date", "md_active", "counter_active", "vapex_active", "max_counter_step",
+                      (F.col("md_active") | F.col("counter_active") | F.col("vapex_active")).alias("has_production"))

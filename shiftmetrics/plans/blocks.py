@@ -18,10 +18,11 @@ from shiftmetrics.functions.formatting import US_PER_S
 from shiftmetrics.functions.timegrid import (
     CAL_GRID, DAY_GRID, Grid, clamp_end, micros_between, with_bounds, with_cell,
 )
-from shiftmetrics.operators.carry import asof_at_boundaries, scope_cell_bounds, shift_samples
+from shiftmetrics.operators.carry import asof_at_boundaries, carried_in, scope_cell_bounds
 from shiftmetrics.operators.cycles import cycles_in_windows
-from shiftmetrics.operators.segments import capped_durations
-from shiftmetrics.plans.calibration import calibration_state_time
+from shiftmetrics.operators.segments import capped_shares
+from shiftmetrics.operators.sweep import segments, status_samples
+from shiftmetrics.plans.calibration import REACH, calibration_state_time, sieve_running
 from shiftmetrics.plans.scope import Scope
 from shiftmetrics.sources.tables import SensorTables
 
@@ -29,8 +30,8 @@ TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _grid_cells(samples: DataFrame, scope: Scope, grid: Grid) -> DataFrame:
-    near = scope.ts_range("ts", timedelta(hours=grid.offset_hours + 1), timedelta(hours=25))
-    cells = with_cell(samples.filter(near).select("ts"), "ts", grid, scope.tz)
+    near = scope.clip(samples, timedelta(hours=grid.offset_hours), timedelta(hours=24 - grid.offset_hours))
+    cells = with_cell(near.select("ts"), "ts", grid, scope.tz)
     n = scope.keep(cells).groupBy("report_date", "shift").agg(F.count("*").alias("n_samples"))
     shifts = scope.dates.select("report_date", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("shift"))
     out = with_bounds(shifts.join(n, ["report_date", "shift"], "left").fillna({"n_samples": 0}),
@@ -57,8 +58,7 @@ def window_clamp(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
     shifts = scope.dates.select("report_date", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("shift"))
     s = with_bounds(shifts, DAY_GRID, scope.tz)
     s = s.withColumn("end_eff", clamp_end(F.col("start_ts"), F.col("end_ts"), scope.as_of))
-    near = scope.ts_range("ts", timedelta(hours=1), timedelta(hours=25))
-    md = with_cell(t.md.filter(near).select("ts"), "ts", DAY_GRID, scope.tz)
+    md = with_cell(scope.clip(t.md, timedelta(0), timedelta(hours=24)).select("ts"), "ts", DAY_GRID, scope.tz)
     if scope.as_of is not None:
         md = md.filter(F.col("ts") < scope.as_of)
     n = scope.keep(md).groupBy("report_date", "shift").agg(F.count(F.lit(1)).alias("n_samples"))
@@ -70,9 +70,8 @@ def window_clamp(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
 
 def carry_in_latest(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Carry-in (J1): last silo 1-5 sample in the 12 h before each day shift."""
-    rows = shift_samples(t.silos_a, scope=scope, grid=DAY_GRID, entity="silo_id", cols=["state", "kg"],
-                         lookback=cfg.carry_lookback)
-    c = rows.filter(F.col("is_carry") == 1)
+    c = carried_in(t.silos_a, scope=scope, grid=DAY_GRID, entity="silo_id", cols=["state", "kg"],
+                   lookback=cfg.carry_lookback)
     return c.select("report_date", "shift", "silo_id",
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("carry_ts"), "id", "state", "kg")
 
@@ -93,9 +92,8 @@ def counter_asof(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
 def segment_durations(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Capped segments (J6): seconds covered per screw 1-5 and day shift, any frequency."""
     ids = F.col("sf_id").isin(*cfg.mill_screws)
-    rows = shift_samples(t.screws, scope=scope, grid=DAY_GRID, entity="sf_id", cols=["freq"], clamp=True,
-                         lookback=cfg.carry_lookback, carry_filter=ids, sample_filter=ids)
-    d = capped_durations(rows, "sf_id", cfg.gap_cap, cfg.window_chunk)
+    d = capped_shares(t.screws, scope=scope, grid=DAY_GRID, entity="sf_id", cols=["freq"], cap=cfg.gap_cap,
+                      lookback=cfg.carry_lookback, clamp=True, sample_filter=ids, chunk=cfg.window_chunk)
     return d.groupBy("report_date", "shift", "sf_id").agg(
         F.sum("dur_us").alias("covered_us"), F.count("*").alias("n_segments"))
 
@@ -120,11 +118,9 @@ def cycle_islands(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -
 def state_sweep(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Sweep (J5), row level: every re-milling status sample of each calibration
     shift with its rotary flag, "any silo 6-10 emptying" and segment length."""
-    from shiftmetrics.operators.sweep import status_durations
-    lo, hi = scope_cell_bounds(scope, 0, 2)
-    flag = (F.coalesce(F.col("m23"), F.lit(0)) == 1) | (F.coalesce(F.col("m45"), F.lit(0)) == 1)
+    lo, hi = REACH["cal"]
     silos = t.silos_b.filter(F.col("silo_id").between(*cfg.disinfection_silos))
-    d = status_durations(t.remill, flag, silos, scope=scope, grid=CAL_GRID, cell_lo=lo, cell_hi=hi,
-                         shifts=(1, 2, 3), chunk=cfg.window_chunk)
+    rows = status_samples(t.remill, sieve_running(), silos, scope=scope, lo=lo, hi=hi, chunk=cfg.window_chunk)
+    d = scope.keep(segments(rows, t.remill, sieve_running(), "cal", scope=scope, lo=lo, hi=hi, chunk=cfg.window_chunk))
     return d.select("report_date", "shift", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_utc"),
                     "flag", "any_state", "dur_us")

@@ -8,7 +8,9 @@ state of the disinfection silos 6-10 at each sample (sweep).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import (
@@ -20,8 +22,8 @@ from shiftmetrics.functions.formatting import (
 )
 from shiftmetrics.functions.timegrid import CAL_GRID, DAY_GRID, Grid, cell_report_date, cell_shift_of
 from shiftmetrics.operators.carry import asof_at_boundaries, scope_cell_bounds
-from shiftmetrics.operators.sweep import status_durations
-from shiftmetrics.plans.scope import Scope
+from shiftmetrics.operators.sweep import CLASSES, state_time, status_samples
+from shiftmetrics.plans.scope import Scope, with_dates
 from shiftmetrics.sources.tables import SensorTables
 
 CAL_COLS = ("t1_22_06", "t2_06_14", "t3_14_22")
@@ -35,25 +37,14 @@ def counter_gain(counters: DataFrame, cols: list[str], scope: Scope, grid: Grid,
     lo, hi = scope_cell_bounds(scope, first_cell_offset, last_cell_offset + 1)
     asof = asof_at_boundaries(counters, scope=scope, grid=grid, cols=cols,
                               boundary_lo=lo, boundary_hi=hi)
-    ends = asof.select((F.col("b") - 1).alias("cell"), F.col("v").alias("ve"))
-    starts = asof.select(F.col("b").alias("cell"), F.col("v").alias("vs"))
-    g = ends.filter(F.col("cell") >= lo).join(starts, "cell", "left")
-    gains = [F.greatest(F.coalesce(F.col(f"ve.{c}"), F.lit(0)) - F.coalesce(F.col(f"vs.{c}"), F.lit(0)),
+    # Boundaries follow each other without gaps, three a day: the one before is the shift's start.
+    before = Window.orderBy("b")
+    g = asof.select("b", "v", F.when(F.lag("b").over(before) == F.col("b") - 1, F.lag("v").over(before)).alias("vs"))
+    g = g.filter(F.col("b") > lo).withColumn("cell", F.col("b") - 1)
+    gains = [F.greatest(F.coalesce(F.col(f"v.{c}"), F.lit(0)) - F.coalesce(F.col(f"vs.{c}"), F.lit(0)),
                         F.lit(0)).alias(c) for c in cols]
-    out = g.select(cell_report_date(F.col("cell")).alias("report_date"),
-                   cell_shift_of(F.col("cell")).alias("shift"), *gains)
-    return out
-
-
-def _products_long(df: DataFrame) -> DataFrame:
-    """(report_date, shift, p05_1..p3_7) -> (report_date, shift, produto, kg)."""
-    pairs = ", ".join(f"'{label}', {c}" for label, c in PRODUCTS)
-    return df.selectExpr("report_date", "shift", f"stack({len(PRODUCTS)}, {pairs}) AS (produto, kg)")
-
-
-def _product_scaffold(scope: Scope) -> DataFrame:
-    labels = F.array(*[F.lit(label) for label, _ in PRODUCTS])
-    return scope.dates.select("report_date", F.explode(labels).alias("produto"))
+    return g.select(cell_report_date(F.col("cell")).alias("report_date"),
+                    cell_shift_of(F.col("cell")).alias("shift"), *gains)
 
 
 def _share(total: Column, grand: Column) -> Column:
@@ -83,24 +74,21 @@ def granulate_by_product(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CO
 
 
 def granulate_from(gain: DataFrame, scope: Scope) -> DataFrame:
-    long = _products_long(gain)
-    wide = long.groupBy("report_date", "produto").agg(
-        *[F.sum(F.when(F.col("shift") == k, F.col("kg"))).alias(n) for k, n in enumerate(CAL_COLS, 1)])
-    rows = _product_scaffold(scope).join(wide, ["report_date", "produto"], "left")
-    rows = rows.select("report_date", "produto",
-                       *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in CAL_COLS])
-    rows = rows.withColumn("total_kg", F.col(CAL_COLS[0]) + F.col(CAL_COLS[1]) + F.col(CAL_COLS[2]))
-    total = rows.groupBy("report_date").agg(
-        *[F.sum(n).alias(n) for n in (*CAL_COLS, "total_kg")]).withColumn(
-        "produto", F.lit(PRODUCT_TOTAL_LABEL))
-    grand = total.select("report_date", F.col("total_kg").alias("grand"))
-    rows = rows.join(grand, "report_date", "left")
-    rows = rows.withColumn("percentagem", _share(F.col("total_kg"), F.col("grand"))).drop("grand")
-    total = total.withColumn("percentagem", F.lit(None).cast("double"))
-    out = rows.unionByName(total)
-    return out.select("report_date", "produto",
-                      *[F.round(F.col(n), 0).cast("long").alias(n) for n in (*CAL_COLS, "total_kg")],
-                      "percentagem")
+    """One aggregation by date; the products' rows, the Total row and the shares come from its columns."""
+    names = [c for _, c in PRODUCTS]
+    wide = with_dates(scope, gain).groupBy("report_date").agg(
+        *[F.coalesce(F.sum(F.when(F.col("shift") == k, F.col(c))), F.lit(0)).alias(f"{c}_{k}") for c in names for k in (1, 2, 3)])
+    by_product = {c: [F.col(f"{c}_{k}") for k in (1, 2, 3)] for c in names}
+    total = [sum((by_product[c][k] for c in names[1:]), by_product[names[0]][k]) for k in range(3)]
+    grand = total[0] + total[1] + total[2]
+
+    def row(label: str, kg: list[Column], share: Column) -> Column:
+        cells = [*kg, kg[0] + kg[1] + kg[2]]
+        return F.struct(F.lit(label).alias("produto"), *[F.round(v, 0).cast("long").alias(n) for v, n in zip(cells, (*CAL_COLS, "total_kg"))],
+                        share.alias("percentagem"))
+
+    rows = [row(label, by_product[c], _share(by_product[c][0] + by_product[c][1] + by_product[c][2], grand)) for label, c in PRODUCTS]
+    return wide.select("report_date", F.inline(F.array(*rows, row(PRODUCT_TOTAL_LABEL, total, F.lit(None).cast("double")))))
 
 
 def granulate_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -110,44 +98,52 @@ def granulate_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFI
 
 
 def granulate_current_from(gain: DataFrame, scope: Scope) -> DataFrame:
-    gain = gain.filter(F.col("shift") == 1).withColumn("report_date", F.date_sub("report_date", 1))
-    gain = scope.keep(gain)
-    long = _products_long(gain).drop("shift")
-    rows = _product_scaffold(scope).join(long, ["report_date", "produto"], "left")
-    rows = rows.select("report_date", "produto", F.coalesce(F.col("kg"), F.lit(0)).alias("kg"))
-    total = rows.groupBy("report_date").agg(F.sum("kg").alias("kg")).withColumn(
-        "produto", F.lit(PRODUCT_TOTAL_LABEL))
-    out = rows.unionByName(total)
-    return out.select("report_date", "produto", F.round("kg", 0).cast("long").alias(CURRENT_COL))
+    names = [c for _, c in PRODUCTS]
+    gain = gain.filter(F.col("shift") == 1).select(F.date_sub("report_date", 1).alias("report_date"), *names)
+    wide = with_dates(scope, gain).groupBy("report_date").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+
+    def row(label: str, kg: Column) -> Column:
+        return F.struct(F.lit(label).alias("produto"), F.round(kg, 0).cast("long").alias(CURRENT_COL))
+
+    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
+    return wide.select("report_date", F.inline(F.array(*[row(label, F.col(c)) for label, c in PRODUCTS], row(PRODUCT_TOTAL_LABEL, total))))
 
 
 # --- calibration OEE --------------------------------------------------------------
 
-def calibration_state_time(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG, *,
-                           grid: Grid = CAL_GRID, shifts: tuple[int, ...] = (1, 2, 3),
-                           day_offset: int = 0) -> DataFrame:
-    """Productive / idle-without-granulate / section-off microseconds per shift.
-
-    ``day_offset`` = 1 with the day grid and shift 1 gives the following
-    day's 00-08 window.  Returns ``report_date, shift, prod_us, idle_us,
-    off_us`` for every shift in scope (zero when there are no samples).
-    """
-    lo, hi = scope_cell_bounds(scope, 3 * day_offset, 3 * day_offset + 2)
-    flag = (F.coalesce(F.col("m23"), F.lit(0)) == 1) | (F.coalesce(F.col("m45"), F.lit(0)) == 1)
+#: How far the sweep reaches before the first and after the last local midnight, by grid: Q11's shifts, Q19's next 00-08, both.
+REACH = {
+    "cal": (timedelta(hours=2), timedelta(hours=22)),
+    "day": (timedelta(hours=-24), timedelta(hours=32)),
+    "both": (timedelta(hours=2), timedelta(hours=32)),
+}
+
+
+def sieve_running() -> Column:
+    return (F.coalesce(F.col("m23"), F.lit(0)) == 1) | (F.coalesce(F.col("m45"), F.lit(0)) == 1)
+
+
+def sieve_time(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG, reach: str = "both") -> DataFrame:
+    """The sweep's merged records, a few an hour: one stream of events for both grids (Q11, Q19)."""
     silos = t.silos_b.filter(F.col("silo_id").between(*cfg.disinfection_silos))
-    d = status_durations(t.remill, flag, silos, scope=scope, grid=grid, cell_lo=lo, cell_hi=hi,
-                         shifts=shifts, dedupe=False, chunk=cfg.window_chunk)
-    on, busy = F.col("flag") == 1, F.col("any_state") == 1
-    facts = d.groupBy("report_date", "shift").agg(
-        F.sum(F.when(on & busy, F.col("dur_us")).otherwise(0)).alias("prod_us"),
-        F.sum(F.when(on & ~busy, F.col("dur_us")).otherwise(0)).alias("idle_us"),
-        F.sum(F.when(~on, F.col("dur_us")).otherwise(0)).alias("off_us"))
-    if day_offset:
-        facts = facts.withColumn("report_date", F.date_sub("report_date", day_offset))
-    shift_arr = F.array(*[F.lit(s) for s in shifts])
-    scaffold = scope.dates.select("report_date", F.explode(shift_arr).alias("shift"))
-    return scaffold.join(facts, ["report_date", "shift"], "left").fillna(
-        {"prod_us": 0, "idle_us": 0, "off_us": 0})
+    lo, hi = REACH[reach]
+    samples = status_samples(t.remill, sieve_running(), silos, scope=scope, lo=lo, hi=hi, chunk=cfg.window_chunk)
+    return state_time(samples, scope)
+
+
+def sieve_facts(records: DataFrame, name: str, day_offset: int = 0) -> DataFrame:
+    """``report_date, shift, prod_us, idle_us, off_us`` of grid ``name``, not yet summed."""
+    date = cell_report_date(F.col(name))
+    return records.select(F.date_sub(date, day_offset).alias("report_date"), cell_shift_of(F.col(name)).alias("shift"),
+                          *[F.col(f"{name}_{c}").alias(f"{c}_us") for c in CLASSES])
+
+
+def calibration_state_time(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Productive / idle-without-granulate / section-off microseconds per calibration shift (zero without samples)."""
+    facts = scope.keep(sieve_facts(sieve_time(t, scope, cfg, "cal"), "cal"))
+    shifts = scope.dates.select("report_date", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("shift"))
+    return facts.unionByName(shifts, allowMissingColumns=True).groupBy("report_date", "shift").agg(
+        *[F.coalesce(F.sum(f"{c}_us"), F.lit(0)).alias(f"{c}_us") for c in CLASSES])
 
 
 def _kpis(kg: Column, prod_us: Column, idle_us: Column, planned: float, rate: float):
@@ -170,27 +166,21 @@ def _secs(us: str) -> Column:
 
 def calibration_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q11: Performance / Availability / OEE / idle / off, per calibration shift and day."""
-    kg = scope.keep(counter_gain(t.counters, ["total"], scope, CAL_GRID, 0, 2))
-    return calibration_oee_from(calibration_state_time(t, scope, cfg), kg, cfg)
-
-
-def calibration_oee_from(times: DataFrame, kg: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    kg = kg.select("report_date", "shift", "total")
-    f = times.join(kg, ["report_date", "shift"], "left").fillna({"total": 0})
-    perf, disp, oee = _kpis(F.col("total"), F.col("prod_us"), F.col("idle_us"),
-                            cfg.planned_shift_s, cfg.calibration_rate_kg_h)
-    f = f.select("report_date", "shift", "total", "prod_us", "idle_us", "off_us",
-                 perf.alias("perf"), disp.alias("disp"), oee.alias("oee"))
-
-    def pick(c: str, k: int) -> Column:
-        return F.max(F.when(F.col("shift") == k, F.col(c)))
-
-    wide = f.groupBy("report_date").agg(
-        *[pick(c, k).alias(f"{c}{k}") for c in ("perf", "disp", "oee", "idle_us", "off_us")
-          for k in (1, 2, 3)],
-        F.sum("total").alias("kg_day"), F.sum("prod_us").alias("prod_day"),
-        F.sum("idle_us").alias("idle_day"), F.sum("off_us").alias("off_day"),
-        F.count("*").alias("n_shifts"))
+    kg = counter_gain(t.counters, ["total"], scope, CAL_GRID, 0, 2)
+    return calibration_oee_from(sieve_time(t, scope, cfg, "cal"), kg, scope, cfg)
+
+
+def calibration_oee_from(records: DataFrame, kg: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    facts = sieve_facts(records, "cal").unionByName(kg.select("report_date", "shift", "total"), allowMissingColumns=True)
+    values = {"total": "kg", "prod_us": "prod", "idle_us": "idle_us", "off_us": "off_us"}
+    wide = with_dates(scope, facts).groupBy("report_date").agg(
+        *[F.coalesce(F.sum(F.when(F.col("shift") == k, F.col(c))), F.lit(0)).alias(f"{n}{k}") for c, n in values.items() for k in (1, 2, 3)])
+    kpis = {k: _kpis(F.col(f"kg{k}"), F.col(f"prod{k}"), F.col(f"idle_us{k}"), cfg.planned_shift_s, cfg.calibration_rate_kg_h)
+            for k in (1, 2, 3)}
+    wide = wide.select("report_date", *[f"{c}{k}" for c in ("idle_us", "off_us") for k in (1, 2, 3)],
+                       *[v.alias(f"{c}{k}") for k in (1, 2, 3) for c, v in zip(("perf", "disp", "oee"), kpis[k])],
+                       *[(F.col(f"{n}1") + F.col(f"{n}2") + F.col(f"{n}3")).alias(d)
+                         for n, d in (("kg", "kg_day"), ("prod", "prod_day"), ("idle_us", "idle_day"), ("off_us", "off_day"))])
     perf_d, disp_d, oee_d = _kpis(F.col("kg_day"), F.col("prod_day"), F.col("idle_day"),
                                   3 * cfg.planned_shift_s, cfg.calibration_rate_kg_h)
     names = ("indicador", *CAL_COLS, "dia")
@@ -210,16 +200,18 @@ def calibration_oee_from(times: DataFrame, kg: DataFrame, cfg: Config = DEFAULT_
 
 def calibration_oee_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Q19: the Q11 indicators for the following day's 00-08 shift."""
-    times = calibration_state_time(t, scope, cfg, grid=DAY_GRID, shifts=(1,), day_offset=1)
-    return calibration_oee_current_from(times, counter_gain(t.counters, ["total"], scope, DAY_GRID, 3, 3), cfg)
+    kg = counter_gain(t.counters, ["total"], scope, DAY_GRID, 3, 3)
+    return calibration_oee_current_from(sieve_time(t, scope, cfg, "day"), kg, scope, cfg)
 
 
-def calibration_oee_current_from(times: DataFrame, kg: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    kg = kg.select("report_date", "shift", "total")
-    kg = kg.filter(F.col("shift") == 1).withColumn("report_date", F.date_sub("report_date", 1))
-    f = times.join(kg, ["report_date", "shift"], "left").fillna({"total": 0})
+def calibration_oee_current_from(records: DataFrame, kg: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    kg = kg.select(F.date_sub("report_date", 1).alias("report_date"), "shift", "total")
+    facts = sieve_facts(records, "day", day_offset=1).unionByName(kg, allowMissingColumns=True).filter(F.col("shift") == 1)
+    f = with_dates(scope, facts).groupBy("report_date").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "prod_us", "idle_us", "off_us")])
     perf, disp, oee = _kpis(F.col("total"), F.col("prod_us"), F.col("idle_us"),
                             cfg.planned_shift_s, cfg.calibration_rate_kg_h)
+
     def row(label: str, v: Column) -> Column:
         return F.struct(F.lit(label).alias("indicador"), v.alias(CURRENT_COL))
 

@@ -12,21 +12,13 @@ from pyspark.sql import functions as F
 
 from shiftmetrics.config import DEFAULT_CONFIG, VAPEX_GRINDING, VAPEX_TOTAL_LABEL, VAPEX_VINC, Config
 from shiftmetrics.operators.cycles import cycles_in_windows
-from shiftmetrics.plans.scope import Scope
+from shiftmetrics.plans.scope import Scope, with_dates
 from shiftmetrics.sources.tables import SensorTables
 
 COLS = ("t1", "t2", "t3")
 CURRENT_COL = "atual_00_08"
 
 
-def _label(machine_id) -> F.Column:
-    return F.concat(F.lit("VAPEX "), machine_id.cast("string"))
-
-
-def _scaffold(scope: Scope, ids: tuple[int, ...]) -> DataFrame:
-    return scope.dates.select("report_date", F.explode(F.array(*[F.lit(i) for i in ids])).alias("machine_id"))
-
-
 def day_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
                cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Cycles found in each report date's window [D - 12 h, D + 36 h)."""
@@ -43,26 +35,26 @@ def current_cycles(t: SensorTables, scope: Scope, ids: tuple[int, ...],
                              day_offset=1, chunk=cfg.window_chunk)
 
 
-def cycle_counts(cycles: DataFrame, ids: tuple[int, ...], cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """Cycles per (report date, machine, day shift of the scheduled end)."""
-    c = cycles.filter(F.col("machine_id").isin(*ids))
-    c = c.filter((F.col("theoretical_min") > cfg.cycle_min_theoretical)
-                 & (F.col("scheduled_end_local").cast("date") == F.col("w")))
-    c = c.withColumn("shift", (F.hour("scheduled_end_local") / 8).cast("int") + 1)
-    return c.groupBy("report_date", "machine_id", "shift").agg(F.count("*").alias("n"))
+def _rows(counts: list[list[str]], ids: tuple[int, ...], names: tuple[str, ...]) -> F.Column:
+    """One row per machine and a TOTAL row, from the columns of counts of one report date ([machine][shift])."""
+    def row(label: str, values: list) -> F.Column:
+        return F.struct(F.lit(label).alias("vapex"), *[v.alias(n) for v, n in zip(values, names, strict=True)])
+
+    rows = [row(f"VAPEX {i}", [F.col(c) for c in cs]) for i, cs in zip(ids, counts, strict=True)]
+    total = [sum((F.col(cs[k]) for cs in counts[1:]), F.col(counts[0][k])) for k in range(len(names))]
+    return F.inline(F.array(*rows, row(VAPEX_TOTAL_LABEL, total)))
 
 
 def disinfections_from(cycles: DataFrame, scope: Scope, ids: tuple[int, ...],
                        cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    n = cycle_counts(cycles, ids, cfg)
-    wide = n.groupBy("report_date", "machine_id").agg(
-        *[F.sum(F.when(F.col("shift") == k, F.col("n"))).alias(c) for k, c in enumerate(COLS, 1)])
-    rows = _scaffold(scope, ids).join(wide, ["report_date", "machine_id"], "left")
-    rows = rows.select("report_date", _label(F.col("machine_id")).alias("vapex"),
-                       *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in COLS])
-    total = rows.groupBy("report_date").agg(*[F.sum(c).alias(c) for c in COLS]).withColumn(
-        "vapex", F.lit(VAPEX_TOTAL_LABEL))
-    out = rows.unionByName(total)
+    """Cycles per report date, machine and day shift of the scheduled end: one aggregation by date."""
+    c = cycles.filter((F.col("theoretical_min") > cfg.cycle_min_theoretical)
+                      & (F.col("scheduled_end_local").cast("date") == F.col("w")))
+    c = c.select("report_date", "machine_id", ((F.hour("scheduled_end_local") / 8).cast("int") + 1).alias("shift"))
+    names = [[f"n_{i}_{k}" for k in (1, 2, 3)] for i in ids]
+    wide = with_dates(scope, c).groupBy("report_date").agg(
+        *[F.count_if((F.col("machine_id") == i) & (F.col("shift") == k)).alias(f"n_{i}_{k}") for i in ids for k in (1, 2, 3)])
+    out = wide.select("report_date", _rows(names, ids, COLS))
     return out.withColumn("total", F.col("t1") + F.col("t2") + F.col("t3"))
 
 
@@ -78,18 +70,13 @@ def disinfections_grinding(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_
 
 def current_from(cycles: DataFrame, scope: Scope, ids: tuple[int, ...],
                  cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    c = cycles.filter(F.col("machine_id").isin(*ids))
     start = F.col("w").cast("timestamp_ntz")
-    c = c.filter((F.col("theoretical_min") > cfg.cycle_min_theoretical)
-                 & (F.col("scheduled_end_local") >= start)
-                 & (F.col("scheduled_end_local") < start + F.expr("INTERVAL 8 HOURS")))
-    n = c.groupBy("report_date", "machine_id").agg(F.count("*").alias("n"))
-    rows = _scaffold(scope, ids).join(n, ["report_date", "machine_id"], "left")
-    rows = rows.select("report_date", _label(F.col("machine_id")).alias("vapex"),
-                       F.coalesce(F.col("n"), F.lit(0)).cast("long").alias(CURRENT_COL))
-    total = rows.groupBy("report_date").agg(F.sum(CURRENT_COL).alias(CURRENT_COL)).withColumn(
-        "vapex", F.lit(VAPEX_TOTAL_LABEL))
-    return rows.unionByName(total)
+    c = cycles.filter((F.col("theoretical_min") > cfg.cycle_min_theoretical)
+                      & (F.col("scheduled_end_local") >= start)
+                      & (F.col("scheduled_end_local") < start + F.expr("INTERVAL 8 HOURS")))
+    wide = with_dates(scope, c.select("report_date", "machine_id")).groupBy("report_date").agg(
+        *[F.count_if(F.col("machine_id") == i).alias(f"n_{i}") for i in ids])
+    return wide.select("report_date", _rows([[f"n_{i}"] for i in ids], ids, (CURRENT_COL,)))
 
 
 def disinfections_grinding_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:

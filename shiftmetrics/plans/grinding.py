@@ -16,10 +16,10 @@ from shiftmetrics.functions.formatting import (
     capped_percent, hours_text, percent_tenths, rate_parts, runtime_text,
 )
 from shiftmetrics.functions.timegrid import DAY_GRID
-from shiftmetrics.operators.carry import daily_snapshot, shift_samples
-from shiftmetrics.operators.levels import gated_gain
-from shiftmetrics.operators.segments import capped_durations
-from shiftmetrics.plans.scope import Scope, attach, next_day
+from shiftmetrics.operators.carry import daily_snapshot
+from shiftmetrics.operators.levels import level_gain
+from shiftmetrics.operators.segments import capped_shares
+from shiftmetrics.plans.scope import Scope, next_day, with_dates
 from shiftmetrics.sources.tables import SensorTables
 
 DAY_COLS = ("t1_00_08", "t2_08_16", "t3_16_24")
@@ -36,8 +36,10 @@ def _current(scope: Scope) -> Scope:
     return next_day(scope)
 
 
-def _rekey(df: DataFrame) -> DataFrame:
-    return df.withColumn("report_date", F.date_sub("report_date", 1))
+def _first_shift(f_next: DataFrame, scope: Scope, *values: str) -> DataFrame:
+    """Sums over shift 1 of the following days, by report date."""
+    f = f_next.filter(F.col("shift") == 1).select(F.date_sub("report_date", 1).alias("report_date"), *values)
+    return with_dates(scope, f).groupBy("report_date").agg(*[F.sum(v).alias(v) for v in values])
 
 
 # --- facts per shift -----------------------------------------------------------
@@ -45,9 +47,8 @@ def _rekey(df: DataFrame) -> DataFrame:
 def md_shift_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
                    shifts=(1, 2, 3)) -> DataFrame:
     """Running and running-while-loaded microseconds per shift (Q02 core)."""
-    rows = shift_samples(t.md, scope=scope, grid=DAY_GRID, cols=["running", "loaded"],
-                         clamp=True, lookback=cfg.carry_lookback, shifts=shifts)
-    d = capped_durations(rows, None, cfg.gap_cap, cfg.window_chunk)
+    d = capped_shares(t.md, scope=scope, grid=DAY_GRID, cols=["running", "loaded"], cap=cfg.gap_cap,
+                      lookback=cfg.carry_lookback, clamp=True, shifts=shifts, chunk=cfg.window_chunk)
     run = F.col("running") == 1
     return d.groupBy("report_date", "shift").agg(
         F.sum(F.when(run, F.col("dur_us")).otherwise(0)).alias("run_us"),
@@ -58,10 +59,9 @@ def mill_shift_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG
                      shifts=(1, 2, 3)) -> DataFrame:
     """Longest screw running time per shift in microseconds (Q03 core, E1+E2)."""
     ids = F.col("sf_id").isin(*cfg.mill_screws)
-    rows = shift_samples(t.screws, scope=scope, grid=DAY_GRID, entity="sf_id", cols=["freq"],
-                         clamp=True, lookback=cfg.carry_lookback, shifts=shifts,
-                         carry_filter=ids, sample_filter=ids)
-    d = capped_durations(rows, "sf_id", cfg.gap_cap, cfg.window_chunk)
+    d = capped_shares(t.screws, scope=scope, grid=DAY_GRID, entity="sf_id", cols=["freq"], cap=cfg.gap_cap,
+                      lookback=cfg.carry_lookback, clamp=True, shifts=shifts, sample_filter=ids,
+                      chunk=cfg.window_chunk)
     work = F.when(F.col("freq") > cfg.mill_freq_min, F.col("dur_us")).otherwise(0)
     per_sf = d.groupBy("report_date", "shift", "sf_id").agg(F.sum(work).alias("work_us"))
     return per_sf.groupBy("report_date", "shift").agg(F.max("work_us").alias("work_us"))
@@ -70,29 +70,20 @@ def mill_shift_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG
 def silo_shift_gain(silos: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG, *,
                     clamp: bool = False, shifts=(1, 2, 3), carry_filter: Column | None = None,
                     sample_filter: Column | None = None) -> DataFrame:
-    """kg gained while filling, per shift (Q04 core)."""
-    rows = shift_samples(silos, scope=scope, grid=DAY_GRID, entity="silo_id",
-                         cols=["state", "kg"], clamp=clamp, lookback=cfg.carry_lookback,
-                         shifts=shifts, carry_filter=carry_filter, sample_filter=sample_filter)
-    g = gated_gain(rows, chunk=cfg.window_chunk)
-    return g.groupBy("report_date", "shift").agg(F.sum("gain").alias("kg"))
+    """kg gained while filling, per shift (Q04 core); ``clamp``: before "now" only."""
+    g = level_gain(silos, scope=scope, grid=DAY_GRID, lookback=cfg.carry_lookback, chunk=cfg.window_chunk,
+                   shifts=shifts, carry_filter=carry_filter, sample_filter=sample_filter)
+    return g.groupBy("report_date", "shift").agg(F.sum("gain_before" if clamp else "gain").alias("kg"))
 
 
 def silo_gain_facts(silos: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Per (date, shift, silo): kg gained, and kg gained before "now".
 
-    Rows after ``as_of`` come last in each silo's sequence, so dropping them
-    (the clamp) changes no earlier step: the clamped gain is the sum over
-    rows with ``ts < as_of``.  Gains are per silo, so a silo filter applied
-    to both inputs equals a filter on these facts.  One pass serves Q04,
-    Q05, Q07 and Q17.
+    Gains are per silo, so a silo filter applied to all samples equals a
+    filter on these facts.  One pass serves Q04, Q05, Q07 and Q17.
     """
-    rows = shift_samples(silos, scope=scope, grid=DAY_GRID, entity="silo_id", cols=["state", "kg"],
-                         lookback=cfg.carry_lookback)
-    g = gated_gain(rows, chunk=cfg.window_chunk)
-    before = F.col("ts") < scope.as_of if scope.as_of is not None else F.lit(True)
-    return g.groupBy("report_date", "shift", "silo_id").agg(
-        F.sum("gain").alias("kg"), F.sum(F.when(before, F.col("gain")).otherwise(0)).alias("kg_eff"))
+    g = level_gain(silos, scope=scope, grid=DAY_GRID, lookback=cfg.carry_lookback, chunk=cfg.window_chunk)
+    return g.withColumnsRenamed({"gain": "kg", "gain_before": "kg_eff"})
 
 
 # --- report queries ------------------------------------------------------------
@@ -103,10 +94,9 @@ def md_runtime(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> D
 
 
 def md_runtime_from(f: DataFrame, scope: Scope) -> DataFrame:
-    wide = f.groupBy("report_date").agg(
+    w = with_dates(scope, f).groupBy("report_date").agg(
         *by_shift(f, "run_us", [f"r{k}" for k in (1, 2, 3)]),
-        *by_shift(f, "load_us", [f"l{k}" for k in (1, 2, 3)]))
-    w = attach(scope, wide, {c: 0 for c in ("r1", "r2", "r3", "l1", "l2", "l3")})
+        *by_shift(f, "load_us", [f"l{k}" for k in (1, 2, 3)])).fillna(0)
     return w.select("report_date",
                     *[runtime_text(f"r{k}", f"l{k}").alias(DAY_COLS[k - 1]) for k in (1, 2, 3)],
                     runtime_text("r1 + r2 + r3", "l1 + l2 + l3").alias("total"))
@@ -119,8 +109,7 @@ def md_runtime_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONF
 
 def md_current_from(f_next: DataFrame, scope: Scope) -> DataFrame:
     """From facts keyed by the following day (its shift 1 is used)."""
-    f = _rekey(f_next.filter(F.col("shift") == 1))
-    w = attach(scope, f.drop("shift"), {"run_us": 0, "load_us": 0})
+    w = _first_shift(f_next, scope, "run_us", "load_us").fillna(0)
     return w.select("report_date", runtime_text("run_us", "load_us").alias(CURRENT_COL))
 
 
@@ -130,8 +119,7 @@ def mill_hours(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> D
 
 
 def mill_hours_from(f: DataFrame, scope: Scope) -> DataFrame:
-    wide = f.groupBy("report_date").agg(*by_shift(f, "work_us", ["w1", "w2", "w3"]))
-    w = attach(scope, wide, {"w1": 0, "w2": 0, "w3": 0})
+    w = with_dates(scope, f).groupBy("report_date").agg(*by_shift(f, "work_us", ["w1", "w2", "w3"])).fillna(0)
     return w.select("report_date", *[hours_text(f"w{k}").alias(DAY_COLS[k - 1]) for k in (1, 2, 3)],
                     hours_text("w1 + w2 + w3").alias("total"))
 
@@ -142,25 +130,21 @@ def mill_hours_current(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONF
 
 
 def mill_current_from(f_next: DataFrame, scope: Scope) -> DataFrame:
-    f = _rekey(f_next.filter(F.col("shift") == 1))
-    w = attach(scope, f.drop("shift"), {"work_us": 0})
+    w = _first_shift(f_next, scope, "work_us").fillna(0)
     return w.select("report_date", hours_text("work_us").alias(CURRENT_COL))
 
 
 def kg_wide_from(f: DataFrame, scope: Scope, value: str = "kg") -> DataFrame:
     """T1/T2/T3/TOTAL kg from per-shift facts."""
-    wide = f.groupBy("report_date").agg(*by_shift(f, value))
-    w = attach(scope, wide)
+    w = with_dates(scope, f).groupBy("report_date").agg(*by_shift(f, value))
     cols = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in DAY_COLS]
     w = w.select("report_date", *cols)
     return w.withColumn("total", F.col(DAY_COLS[0]) + F.col(DAY_COLS[1]) + F.col(DAY_COLS[2]))
 
 
 def kg_current_from(f_next: DataFrame, scope: Scope, value: str = "kg") -> DataFrame:
-    f = _rekey(f_next.filter(F.col("shift") == 1))
-    f = f.groupBy("report_date").agg(F.sum(value).alias("kg"))
-    w = attach(scope, f)
-    return w.select("report_date", F.coalesce(F.col("kg"), F.lit(0)).alias(CURRENT_COL))
+    w = _first_shift(f_next, scope, value)
+    return w.select("report_date", F.coalesce(F.col(value), F.lit(0)).alias(CURRENT_COL))
 
 
 def silo_kg_grinding(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -199,26 +183,23 @@ def grinding_oee(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
 
 def grinding_oee_from(kg: DataFrame, work: DataFrame, scope: Scope, cfg: Config = DEFAULT_CONFIG,
                       kg_col: str = "kg") -> DataFrame:
-    kg = kg.select("report_date", "shift", F.col(kg_col).alias("kg"))
-    f = kg.join(work.select("report_date", "shift", "work_us"), ["report_date", "shift"], "full")
-    f = f.fillna({"kg": 0, "work_us": 0})
+    both = kg.select("report_date", "shift", F.col(kg_col).alias("kg")).unionByName(
+        work.select("report_date", "shift", "work_us"), allowMissingColumns=True)
+    w = with_dates(scope, both).groupBy("report_date").agg(
+        *by_shift(both, "kg", ("kg1", "kg2", "kg3"), "sum"), *by_shift(both, "work_us", ("us1", "us2", "us3"), "sum"),
+        F.sum("kg").alias("kg"), F.sum("work_us").alias("work_us")).fillna(0)
 
     def oee(kg_c: str, us: str) -> Column:
-        return percent_tenths(*rate_parts(F.col(kg_c), F.col(us), cfg.grinding_rate_kg_h))
+        return capped_percent(percent_tenths(*rate_parts(F.col(kg_c), F.col(us), cfg.grinding_rate_kg_h)))
 
-    f = f.withColumn("oee", oee("kg", "work_us"))
-    wide = f.groupBy("report_date").agg(
-        *by_shift(f, "oee"), F.sum("kg").alias("kg"), F.sum("work_us").alias("work_us"))
-    w = attach(scope, wide)
-    return w.select("report_date", *[capped_percent(F.col(c)).alias(c) for c in DAY_COLS],
-                    capped_percent(oee("kg", "work_us")).alias("total"))
+    return w.select("report_date", *[oee(f"kg{k}", f"us{k}").alias(c) for k, c in enumerate(DAY_COLS, start=1)],
+                    oee("kg", "work_us").alias("total"))
 
 
 def _silo_total(silos: DataFrame, scope: Scope, cfg: Config, ids: tuple[int, int]) -> DataFrame:
     s = silos.filter(F.col("silo_id").between(*ids))
     snap = daily_snapshot(s, scope=scope, entity="silo_id", value="kg", at=cfg.snapshot_at)
-    tot = snap.groupBy("report_date").agg(F.sum("v").alias("total"))
-    return attach(scope, tot)
+    return with_dates(scope, snap).groupBy("report_date").agg(F.sum("v").alias("total"))
 
 
 def silo_total_8h_grinding(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -240,8 +221,7 @@ def silo_snapshot_vinc(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONF
     """Q13: latest weight of each VINC silo 1-6 at D+1 08:05, 0 if missing."""
     s = t.silos_c.filter(F.col("silo_id").between(*cfg.vinc_silos))
     snap = daily_snapshot(s, scope=scope, entity="silo_id", value="kg", at=cfg.vinc_snapshot_at)
-    wide = snap.groupBy("report_date").agg(
+    w = with_dates(scope, snap).groupBy("report_date").agg(
         *[F.max(F.when(F.col("silo_id") == i, F.col("v"))).alias(c)
           for i, c in enumerate(VINC_COLS, start=1)])
-    w = attach(scope, wide)
     return w.select("report_date", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in VINC_COLS])

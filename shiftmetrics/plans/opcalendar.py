@@ -89,8 +89,7 @@ __all__ = ["holidays_frame", "operational_calendar", "report_days"]
 def calendar_query(t, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Registered form of ``operational_calendar`` (instant as text), with the MD samples of each local day."""
     day = to_local(F.col("ts"), scope.tz).cast("date").alias("report_date")
-    near = scope.ts_range("ts", timedelta(0), timedelta(hours=24))
-    n = t.md.filter(near).groupBy(day).agg(F.count(F.lit(1)).alias("n_samples"))
+    n = scope.clip(t.md, timedelta(0), timedelta(hours=24)).groupBy(day).agg(F.count(F.lit(1)).alias("n_samples"))
     cal = operational_calendar(scope, t.holidays, cfg).join(n, "report_date", "left")
     cal = cal.withColumn("n_samples", F.coalesce("n_samples", F.lit(0)))
     return cal.withColumn("ready_at_utc", F.date_format("ready_at_utc", "yyyy-MM-dd HH:mm:ss"))

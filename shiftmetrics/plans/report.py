@@ -28,7 +28,6 @@ from shiftmetrics.functions.formatting import (
     cycles_status, hhmmss, idle_status, kg_text, oee_status, pct_text,
 )
 from shiftmetrics.plans import calibration, disinfection, grinding
-from shiftmetrics.functions.timegrid import DAY_GRID
 from shiftmetrics.plans.scope import Scope, extended
 from shiftmetrics.sources.tables import SensorTables
 
@@ -182,9 +181,7 @@ def shared_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) ->
         "silo_b_ext": grinding.silo_gain_facts(t.silos_b, ext, cfg),            # Q07, Q17
         "counters_cal": calibration.calibration_counter_gain(t, scope),         # Q09, Q11
         "counters_next": calibration.next_day_counter_gain(t, scope),           # Q18, Q19
-        "times_cal": calibration.calibration_state_time(t, scope, cfg),         # Q11
-        "times_cur": calibration.calibration_state_time(
-            t, scope, cfg, grid=DAY_GRID, shifts=(1,), day_offset=1),            # Q19
+        "sieves": calibration.sieve_time(t, scope, cfg),                        # Q11, Q19
         "cycles_day": disinfection.day_cycles(t, scope, both, cfg),             # Q10, Q12
         "cycles_cur": disinfection.current_cycles(t, scope, both, cfg),         # Q20, Q21
         "silo_kg_grinding_current": grinding.silo_kg_grinding_current(t, scope, cfg),      # Q16
@@ -217,8 +214,8 @@ def derived_inputs(f: dict[str, DataFrame], scope: Scope, cfg: Config = DEFAULT_
         "disinfections_grinding_current": d.current_from(f["cycles_cur"], scope, VAPEX_GRINDING, cfg),
         "granulate_by_product": c.granulate_from(f["counters_cal"], scope),
         "granulate_current": c.granulate_current_from(f["counters_next"], scope),
-        "calibration_oee": c.calibration_oee_from(f["times_cal"], f["counters_cal"], cfg),
-        "calibration_oee_current": c.calibration_oee_current_from(f["times_cur"], f["counters_next"], cfg),
+        "calibration_oee": c.calibration_oee_from(f["sieves"], f["counters_cal"], scope, cfg),
+        "calibration_oee_current": c.calibration_oee_current_from(f["sieves"], f["counters_next"], scope, cfg),
         "disinfections_vinc": d.disinfections_from(f["cycles_day"], scope, VAPEX_VINC, cfg),
         "disinfections_vinc_current": d.current_from(f["cycles_cur"], scope, VAPEX_VINC, cfg),
         "silo_snapshot_vinc": f["silo_snapshot_vinc"],

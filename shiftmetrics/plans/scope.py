@@ -24,6 +24,10 @@ from shiftmetrics.config import LOCAL_TZ
 from shiftmetrics.functions.timegrid import to_local
 
 
+#: The column of a sample table that is partitioned by the UTC date of its rows' ``ts``.
+DATE_PARTITION = "ts_date"
+
+
 def ntz_literal(ts: datetime) -> Column:
     """A ``timestamp_ntz`` literal that no session or process zone can shift."""
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
@@ -90,23 +94,46 @@ class Scope:
         loc = datetime.combine(d, time()) + offset
         return loc.replace(tzinfo=ZoneInfo(self.tz)).astimezone(timezone.utc).replace(tzinfo=None)
 
-    def ts_range(self, ts: str | Column, lo: timedelta | None, hi: timedelta | None) -> Column:
-        """Literal pruning bounds around the scope (``True`` when unknown).
+    def _bounds(self, lo: timedelta | None, hi: timedelta | None, days: str = "all") -> tuple[datetime | None, datetime | None]:
+        """Instants ``lo`` before the first and ``hi`` after the last local midnight (``days="first"``: of the
+        first date), an hour wider on both sides; None where open or unknown."""
+        if self.first is None or self.last is None:
+            return None, None
+        hour = timedelta(hours=1)
+        end = self.first if days == "first" else self.last
+        return (None if lo is None else self._instant(self.first, -lo - hour),
+                None if hi is None else self._instant(end, hi + hour))
+
+    def instants(self, lo: timedelta, hi: timedelta) -> tuple[Column | None, Column | None]:
+        """The bounds of ``clip`` as literals (None where the scope is not literal)."""
+        a, b = self._bounds(lo, hi)
+        return (None if a is None else ntz_literal(a)), (None if b is None else ntz_literal(b))
+
+    def clip(self, df: DataFrame, lo: timedelta | None, hi: timedelta | None, days: str = "all") -> DataFrame:
+        """Rows of a sample table around the scope, by literal bounds (all rows when unknown).
 
         ``lo`` is how far before local midnight of the first date data is
         needed (``None`` = unbounded history), ``hi`` how far after local
-        midnight of the last date.  One extra hour of margin covers zone
-        offsets.
+        midnight of the last date.  The bounds on ``ts`` reach the Parquet
+        scan; where the table is partitioned by date (``DATE_PARTITION``), its
+        folders are pruned by the same bounds.
         """
-        c = F.col(ts) if isinstance(ts, str) else ts
-        cond = F.lit(True)
-        if self.first is None or self.last is None:
-            return cond
-        if lo is not None:
-            cond = cond & (c >= ntz_literal(self._instant(self.first, -lo - timedelta(hours=1))))
-        if hi is not None:
-            cond = cond & (c <= ntz_literal(self._instant(self.last, hi + timedelta(hours=1))))
-        return cond
+        return within(df, *self._bounds(lo, hi, days))
+
+
+def within(df: DataFrame, lo: datetime | None = None, hi: datetime | None = None, before: datetime | None = None) -> DataFrame:
+    """Rows with ``lo <= ts <= hi`` and ``ts < before``, and the date partitions that can hold them."""
+    parted = DATE_PARTITION in df.columns
+    for bound, keep in ((lo, lambda c, x: c >= x), (hi, lambda c, x: c <= x)):
+        if bound is not None:
+            df = df.filter(keep(F.col("ts"), ntz_literal(bound)))
+            if parted:
+                df = df.filter(keep(F.col(DATE_PARTITION), F.lit(bound.date())))
+    if before is not None:
+        df = df.filter(F.col("ts") < ntz_literal(before))
+        if parted:
+            df = df.filter(F.col(DATE_PARTITION) <= F.lit(before.date()))
+    return df
 
 
 def next_day(scope: Scope) -> Scope:
@@ -122,10 +149,9 @@ def next_day(scope: Scope) -> Scope:
                  scope.last + one if scope.last else None, scope.tz)
 
 
-def attach(scope: Scope, facts: DataFrame, fill: dict | None = None) -> DataFrame:
-    """Every report date of the scope, with its facts (zero-filled, D8)."""
-    out = scope.dates.select("report_date").join(facts, "report_date", "left")
-    return out.fillna(fill) if fill else out
+def with_dates(scope: Scope, facts: DataFrame) -> DataFrame:
+    """The scope's ``facts`` and, for every report date, a row with nothing else: grouped by date, no date is missing."""
+    return scope.keep(facts).unionByName(scope.dates.select("report_date"), allowMissingColumns=True)
 
 
 def extended(scope: Scope, days: int = 1) -> Scope:
