@@ -15,17 +15,28 @@ from shiftmetrics.session import ensure_checkpoint_dir
 BROADCAST_ROWS = 500_000
 
 
+#: Bytes of an Arrow batch that goes to a Python worker (a longer row stands alone).
+BATCH_BYTES = 4_000_000
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def workers_import(spark: SparkSession) -> None:
     """Put this package's folder on the Python path of workers started from now on, for sessions
     whose environment lacks it; where the package is installed this changes nothing."""
+    small_batches(spark)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python workers by bytes, so that long texts do not add up; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
