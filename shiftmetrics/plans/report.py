@@ -7,8 +7,9 @@ All report queries are unpivoted into one long ``report_cells`` table:
 
 ``display`` and ``status`` follow the report's formats (I12-I17); the
 "current" column is labelled ``Atual 00-08 (dd/MM)`` of the following day.
-The sink writes Parquet partitioned by ``report_date`` with dynamic
-partition overwrite, so re-running a date replaces only that date.
+The sink writes each run into a folder of its own, partitioned by
+``report_date``, and publishes it by a new manifest (``publish``): re-running a
+date replaces only that date, and a run that breaks off changes nothing.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shiftmetrics.config import (
@@ -29,11 +30,16 @@ from shiftmetrics.functions.formatting import (
 )
 from shiftmetrics.plans import calibration, disinfection, grinding
 from shiftmetrics.plans.scope import Scope, extended
+from shiftmetrics.sources import versions
 from shiftmetrics.sources.tables import SensorTables
 
 CELL_COLUMNS = ("report_date", "section", "section_order", "block", "block_order", "block_title",
                 "row_key", "row_order", "column", "column_order", "raw_value", "display", "status")
 
+CELL_SCHEMA = ("report_date date, section string, section_order int, block string, block_order int, block_title string, "
+               "row_key string, row_order int, column string, column_order int, raw_value double, display string, status string")
+EXPECTED_BLOCKS = 12
+
 # Fixed value: section titles in report order.
 SECTIONS = ("Trituração", "Desinfeção Trituração", "Calibração", "Desinfeção VINC")
 
@@ -315,22 +321,66 @@ def _vinc_silos(df: DataFrame) -> DataFrame:
     return cells(df, 4, "desinf_vinc_silos_8h", 2, title, "", 1, spec)
 
 
-def missing_blocks(report: DataFrame, expected_blocks: int = 12) -> DataFrame:
+def missing_blocks(report: DataFrame, expected_blocks: int = EXPECTED_BLOCKS) -> DataFrame:
     """Row-shape contract (K7): report dates with fewer blocks than expected."""
     n = report.groupBy("report_date").agg(F.countDistinct("block").alias("n_blocks"))
     return n.filter(F.col("n_blocks") < expected_blocks)
 
 
-def drop_report(spark: SparkSession, path: str, dates: list[date]) -> None:
-    """Remove the stored partitions of ``dates`` (reports that are no longer to be sent)."""
-    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
-    for d in dates:
-        part = jvm.org.apache.hadoop.fs.Path(f"{path}/report_date={d.isoformat()}")
-        part.getFileSystem(conf).delete(part, True)
+# --- the sink (A6) ------------------------------------------------------------------
+#
+# ``<path>/runs/n=<k>/report_date=<d>``: what a run wrote; ``<path>/manifest/n=<m>``: which
+# run's folder holds the report of each date.  The last ready manifest is the published state.
+
+def write_run(cells: DataFrame, path: str, dates: list[date]) -> tuple[int, list[date]]:
+    """Write the cells of ``dates`` as a run that is not published yet: its number, and the dates that lack blocks (K7).
+
+    The blocks of each date are counted by the write itself (one bit a block, so repeated tasks change nothing).
+    """
+    spark = cells.sparkSession
+    seen = Observation()
+    block = F.expr("shiftleft(1L, section_order * 8 + block_order)")
+    metrics = [F.bit_or(F.when(F.col("report_date") == F.lit(d), block)).alias(f"d{k}") for k, d in enumerate(dates)]
+    n = versions.begin(spark, f"{path}/runs")
+    cells.observe(seen, *metrics).repartition("report_date").write.partitionBy("report_date").parquet(
+        versions.folder(f"{path}/runs", n))
+    missing = [d for k, d in enumerate(dates) if (seen.get[f"d{k}"] or 0).bit_count() < EXPECTED_BLOCKS]
+    versions.finish(spark, f"{path}/runs", n)
+    return n, missing
+
+
+def published(spark: SparkSession, path: str) -> dict[date, int]:
+    """The run that holds the report of each date."""
+    ready = versions.ready(spark, f"{path}/manifest")
+    if not ready:
+        return {}
+    rows = spark.read.schema("report_date date, run int").parquet(f"{versions.folder(f'{path}/manifest', ready[-1])}/dates").collect()
+    return {r["report_date"]: r["run"] for r in rows}
+
+
+def publish(spark: SparkSession, path: str, runs: dict[date, int], dropped: list[date]) -> None:
+    """Make the reports of ``runs`` visible and those of ``dropped`` invisible, in one step (one row a date)."""
+    state = {d: n for d, n in published(spark, path).items() if d not in set(dropped)} | runs
+    n = versions.begin(spark, f"{path}/manifest")
+    spark.createDataFrame(sorted(state.items()), "report_date date, run int").coalesce(1).write.parquet(
+        f"{versions.folder(f'{path}/manifest', n)}/dates")
+    versions.finish(spark, f"{path}/manifest", n)
+
+
+def read_runs(spark: SparkSession, path: str, runs: dict[date, int]) -> DataFrame:
+    folders = [f"{versions.folder(f'{path}/runs', n)}/report_date={d.isoformat()}" for d, n in sorted(runs.items())]
+    if not folders:
+        return spark.createDataFrame([], CELL_SCHEMA)
+    return spark.read.schema(CELL_SCHEMA).option("basePath", f"{path}/runs").parquet(*folders).select(*CELL_COLUMNS)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The published report cells."""
+    return read_runs(spark, path, published(spark, path))
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """Sink (A6): Parquet partitioned by report date, dynamic overwrite."""
-    (report.repartition("report_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("report_date").parquet(path))
+def drop_unpublished(spark: SparkSession, path: str) -> None:
+    """Remove the folders of runs and manifests that the published state does not refer to (nobody may be reading them)."""
+    kept = set(published(spark, path).values())
+    versions.drop(spark, f"{path}/runs", [n for n in versions.ready(spark, f"{path}/runs") if n not in kept])
+    versions.drop(spark, f"{path}/manifest", versions.ready(spark, f"{path}/manifest")[:-1])

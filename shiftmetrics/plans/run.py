@@ -4,9 +4,10 @@
 day (B13); it is produced only when ready (D+1 08:15 local, B14) and when
 the date is operational or had activity (B15).  ``backfill`` does the same
 for a range of dates.  The dates are selected first; runs of consecutive
-dates are then computed in one pass each and written with dynamic partition
-overwrite, and stored reports of dates that are not to be sent are removed, so
-a rerun leaves what a first run would.
+dates are then computed in one pass each and written beside what is published.
+At the end one manifest makes them visible and takes out the reports of dates that
+are not to be sent, so a rerun leaves what a first run would, and a run that
+breaks off anywhere leaves the reports as they were.
 
 Every report must have all its blocks (K7).  A run of dates that fails, or
 lacks blocks, is repeated date by date: the other dates are written, and
@@ -16,17 +17,15 @@ lacks blocks, is repeated date by date: the other dates are written, and
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
-from functools import reduce
 from zoneinfo import ZoneInfo
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
 from shiftmetrics.plans.activity import report_activity
 from shiftmetrics.plans.opcalendar import operational_calendar, report_days
-from shiftmetrics.plans.report import CELL_COLUMNS, drop_report, missing_blocks, report_cells, write_report
+from shiftmetrics.plans.report import publish, read_runs, report_cells, write_run
 from shiftmetrics.plans.scope import Scope
 from shiftmetrics.session import ensure_checkpoint_dir
 from shiftmetrics.sources.prior import cutoff_for, prior_for_run, with_prior
@@ -52,12 +51,12 @@ def report_date_for(as_of: datetime, tz: str = DEFAULT_CONFIG.tz) -> date:
     return as_of.astimezone(ZoneInfo(tz)).date() - timedelta(days=1)
 
 
-def selected_dates(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[date, bool]:
-    """Each report date of the scope, and whether it is to be sent and ready (a row a day)."""
+def selected_dates(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[date, tuple[bool, bool]]:
+    """Each report date of the scope: whether it is to be sent, and whether it is ready (a row a day)."""
     sel = report_days(operational_calendar(scope, t.holidays, cfg), report_activity(t, scope, cfg),
                       scope.as_of)
-    rows = sel.select("report_date", (F.col("send") & F.col("is_ready")).alias("wanted")).collect()
-    return {r["report_date"]: bool(r["wanted"]) for r in rows}
+    rows = sel.select("report_date", "send", "is_ready").collect()
+    return {r["report_date"]: (bool(r["send"]), bool(r["is_ready"])) for r in rows}
 
 
 def consecutive(dates: list[date]) -> list[tuple[date, date]]:
@@ -71,18 +70,6 @@ def consecutive(dates: list[date]) -> list[tuple[date, date]]:
     return [(r[0], r[-1]) for r in runs]
 
 
-def checked_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    """The report cells of the scope, computed; an error if a date lacks blocks or has no cells (K7)."""
-    ensure_checkpoint_dir(scope.dates.sparkSession)
-    cells = report_cells(t, scope, cfg).checkpoint(eager=True)
-    missing = [r["report_date"] for r in missing_blocks(cells).collect()]
-    found = {r["report_date"] for r in cells.select("report_date").distinct().collect()}
-    missing += [r["report_date"] for r in scope.dates.collect() if r["report_date"] not in found]
-    if missing:
-        raise IncompleteReport("blocks are missing on " + ", ".join(map(str, sorted(missing))))
-    return cells
-
-
 def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_path: str,
              as_of: datetime | None = None, cfg: Config = DEFAULT_CONFIG,
              state_dir: str | None = None) -> DataFrame:
@@ -95,17 +82,20 @@ def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_
     if state_dir is not None:
         cut = cutoff_for(first, cfg.tz)
         t = with_prior(t, prior_for_run(spark, t, state_dir, cut), cut)
-    wanted = selected_dates(t, scope, cfg)
-    drop_report(spark, out_path, [d for d, send in wanted.items() if not send])
-    written: list[DataFrame] = []
+    selected = selected_dates(t, scope, cfg)
+    ensure_checkpoint_dir(spark)
+    written: dict[date, int] = {}
     errors: dict[date, Exception] = {}
 
     def produce(a: date, b: date) -> None:
-        cells = checked_cells(t, Scope.for_range(spark, a, b, as_of=as_of, tz=cfg.tz), cfg)
-        write_report(cells, out_path)
-        written.append(cells)
-
-    for a, b in consecutive([d for d, send in wanted.items() if send]):
+        dates = [a + timedelta(days=k) for k in range((b - a).days + 1)]
+        cells = report_cells(t, Scope.for_range(spark, a, b, as_of=as_of, tz=cfg.tz), cfg)
+        n, missing = write_run(cells, out_path, dates)
+        if missing:
+            raise IncompleteReport("blocks are missing on " + ", ".join(map(str, missing)))
+        written.update(dict.fromkeys(dates, n))
+
+    for a, b in consecutive([d for d, (send, is_ready) in selected.items() if send and is_ready]):
         try:
             produce(a, b)
         except (PySparkException, IncompleteReport) as e:
@@ -118,11 +108,13 @@ def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_
                     produce(d, d)
                 except (PySparkException, IncompleteReport) as day_error:
                     errors[d] = day_error
+    # A date that is not ready yet keeps the report it has.
+    dropped = [d for d, (send, _) in selected.items() if not send]
+    if written or dropped:
+        publish(spark, out_path, written, dropped)
     if errors:
         raise ReportErrors(errors)
-    if not written:
-        return report_cells(t, scope, cfg, materialized=False).limit(0).select(*CELL_COLUMNS)
-    return reduce(DataFrame.unionByName, written)
+    return read_runs(spark, out_path, written)
 
 
 def daily_run(spark: SparkSession, t: SensorTables, out_path: str, as_of: datetime | None = None,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
 from shiftmetrics.functions.timegrid import to_local
+from shiftmetrics.plans.scope import within
 from shiftmetrics.sources.prior import UNBOUNDED, absorb_late
 from shiftmetrics.sources.tables import SensorTables
 
@@ -32,7 +33,10 @@ def affected_dates(batch: DataFrame, table: str, t: SensorTables, tz: str = DEFA
     days = batch.select(*keys, local.alias("d")).distinct()
     until = F.col("d")
     if table in UNBOUNDED:
-        all_days = getattr(t, table)
+        # No sample before the batch's first one can end an as-of range of the batch.
+        earliest = batch.agg(F.min("ts")).first()[0]
+        all_days = within(getattr(t, table), lo=earliest)
+        newest = all_days.agg(F.max(local)).scalar()
         # A lookup that passes rows by (such as counters without a total) runs on to the next row it takes.
         for f in UNBOUNDED[table][1]:
             if f is not None:
@@ -43,7 +47,6 @@ def affected_dates(batch: DataFrame, table: str, t: SensorTables, tz: str = DEFA
         on = F.col("d") == F.col("_d")
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        newest = getattr(t, table).agg(F.max(local)).scalar()
         days = days.join(named, on, "left")
         until = F.greatest(F.col("d"), F.coalesce(F.col("n"), newest))
     spread = days.select(F.explode(F.sequence(F.date_sub("d", BEFORE), F.date_add(until, AFTER))).alias("d")).distinct()

@@ -1,15 +1,17 @@
 """Plan guards: no nested-loop or Cartesian joins, no Python UDFs, and the
 scope's literal time bounds reach the Parquet scan."""
 
+import re
 import tempfile
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from golden import tables
 from shiftmetrics.plans import grinding
-from shiftmetrics.plans.scope import Scope
+from shiftmetrics.plans.scope import DATE_PARTITION, Scope
 from shiftmetrics.registry import ALL_QUERIES
 from shiftmetrics.sources.fixtures import fixture_tables
 from shiftmetrics.sources.prior import build_prior, cutoff_for, with_prior
@@ -75,3 +77,48 @@ def test_every_sample_scan_is_bounded(spark, stored, name):
         assert "ts >=" in line or "GreaterThanOrEqual(ts" in line, line
         if "/counters" not in line and "/silos" not in line:
             assert "ts <=" in line or "LessThan" in line, line
+
+
+def test_date_partitions_are_pruned(spark, tmp_path):
+    """Tables partitioned by date: every scan of a one-day run names the folders it lists, at most three for bounded inputs."""
+    t = fixture_tables(spark, SF)
+    read = {}
+    for name in ("md", "screws", "silos_a", "silos_b", "silos_c", "remill", "counters", "machines"):
+        df = getattr(t, name).withColumn(DATE_PARTITION, F.col("ts").cast("date"))
+        df.repartition(DATE_PARTITION).write.partitionBy(DATE_PARTITION).parquet(f"{tmp_path}/{name}")
+        read[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    parted = type(t)(**{**t.__dict__, **read})
+    day = date(2024, 4, 2)
+    cut = cutoff_for(day)
+    parted = with_prior(parted, {k: spark.createDataFrame(v.collect(), v.schema) for k, v in build_prior(parted, cut).items()}, cut)
+    scope = Scope.for_range(spark, day, day, as_of=datetime(2099, 1, 1))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        for name, plan in ALL_QUERIES.items():
+            text = physical(plan(parted, scope, **({"materialized": False} if name == "report_cells" else {})))
+            scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+            assert scans, name
+            for line in scans:
+                filters = line[line.index("PartitionFilters"):line.index("PushedFilters")]
+                low = [date.fromisoformat(x) for x in re.findall(r">= (\d{4}-\d\d-\d\d)\)", filters)]
+                high = [date.fromisoformat(x) for x in re.findall(r"<= (\d{4}-\d\d-\d\d)\)", filters)]
+                assert low, (name, line)
+                if "/counters" not in line and "/silos" not in line:
+                    assert high and (min(high) - max(low)).days < 3, (name, line)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    full, part = (sorted(map(str, grinding.grinding_oee(x, scope).collect())) for x in (t, parted))
+    assert full == part
+
+
+@pytest.mark.parametrize("name, scans, exchanges", [
+    ("silo_kg_grinding", 1, 4), ("silo_kg_grinding_current", 1, 4), ("carry_in_latest", 1, 2), ("cycle_islands", 1, 4),
+    ("calibration_oee", 4, 8), ("granulate_by_product", 1, 3), ("disinfections_vinc", 1, 4)])
+def test_each_table_is_read_once(spark, name, scans, exchanges):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical(entry.queries()[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") <= scans
+    assert plan.count("Exchange hashpartitioning") <= exchanges

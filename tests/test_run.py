@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from golden import at, tables
 from shiftmetrics.config import DEFAULT_CONFIG
 from shiftmetrics.plans import grinding, run
-from shiftmetrics.plans.report import report_cells
+from shiftmetrics.plans import report
+from shiftmetrics.plans.report import read_report, report_cells
 from shiftmetrics.plans.run import backfill, daily_run, report_date_for
 from shiftmetrics.plans.scope import Scope
 from shiftmetrics.sources.prior import absorb_late, cutoff_for, prior_for_run, stored_cutoff, with_prior
@@ -33,7 +34,7 @@ def test_daily_run_writes_ready_operational_day(spark):
     out = tempfile.mkdtemp(prefix="cells-")
     t = tables(spark, md=_md_rows())
     daily_run(spark, t, out, as_of=datetime(2024, 3, 6, 9, 0))
-    written = spark.read.parquet(out)
+    written = read_report(spark, out)
     assert {r["report_date"] for r in written.select("report_date").distinct().collect()} == {D}
     assert written.filter("block = 'tempo_producao_md' AND `column` = 'T2(08-16)'").first()["display"] == "00h03 (33%)"   # 60 s loaded + 120 s capped
     # Not ready before 08:15 of the next day: nothing is written.
@@ -45,7 +46,7 @@ def test_backfill_skips_idle_weekend(spark):
     out = tempfile.mkdtemp(prefix="cells-")
     t = tables(spark, md=_md_rows())
     backfill(spark, t, date(2024, 3, 2), D, out, as_of=datetime(2024, 3, 7))
-    got = {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()}
+    got = {r["report_date"] for r in read_report(spark, out).select("report_date").distinct().collect()}
     assert got == {date(2024, 3, 4), D}          # Saturday 2nd and Sunday 3rd had no activity
 
 
@@ -58,7 +59,7 @@ def test_streaming_refresh(spark):
     q = refresh_on_arrival(spark, src, "ts timestamp_ntz, id long, running int, loaded int",
                            lambda: t, out, ck)
     q.awaitTermination(300)
-    got = {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()}
+    got = {r["report_date"] for r in read_report(spark, out).select("report_date").distinct().collect()}
     assert D in got
 
 
@@ -104,19 +105,53 @@ def test_prior_takes_up_late_rows(spark, tmp_path):
     want = grinding.silo_total_8h_grinding(after, s).first()["total"]
     got = grinding.silo_total_8h_grinding(with_prior(after, prior_for_run(spark, after, state, cut), cut), s).first()["total"]
     assert got == want == 70.0
-    # A backfill of older dates leaves the stored prior alone.
+    # A backfill of older dates leaves the index alone.
     prior_for_run(spark, after, state, cutoff_for(date(2024, 3, 2)))
     assert stored_cutoff(spark, state) == cut
 
 
+def test_a_run_that_breaks_off_leaves_the_published_report(spark, tmp_path, monkeypatch):
+    out, t = str(tmp_path / "cells"), tables(spark, md=_md_rows())
+
+    def cells():
+        return sorted(map(str, read_report(spark, out).collect()))
+
+    backfill(spark, t, D, D, out, as_of=datetime(2024, 3, 8))
+    before = cells()
+    assert before and not [x for x in before if "00h05" in x]
+    changed = tables(spark, md=[(at(D, 8), 1, 1), (at(D, 8, 2), 1, 1), (at(D, 8, 4), 1, 0), (at(D, 8, 5), 0, 0)])
+    real = report.versions.finish
+    for stop_at in (1, 2):              # when the run's folder, or the manifest, would be marked ready
+        calls = []
+
+        def breaking(spark, root, n):
+            calls.append(root)
+            if len(calls) == stop_at:
+                raise KeyboardInterrupt
+            real(spark, root, n)
+        monkeypatch.setattr(report.versions, "finish", breaking)
+        with pytest.raises(KeyboardInterrupt):
+            backfill(spark, changed, D, D, out, as_of=datetime(2024, 3, 8))
+        monkeypatch.setattr(report.versions, "finish", real)
+        assert cells() == before
+    backfill(spark, changed, D, D, out, as_of=datetime(2024, 3, 8))
+    after = cells()
+    assert [x for x in after if "00h05" in x]
+    # Not ready is not the same as not to be sent.
+    backfill(spark, t, D, D, out, as_of=datetime(2024, 3, 6, 7, 0))
+    assert cells() == after
+    report.drop_unpublished(spark, out)
+    assert cells() == after
+
+
 def test_rerun_removes_reports_that_are_no_longer_sent(spark, tmp_path):
     saturday = date(2024, 3, 2)
     out = str(tmp_path / "cells")
     busy = tables(spark, md=[(at(saturday, 9), 1, 1), (at(saturday, 9, 1), 0, 0)])
     backfill(spark, busy, saturday, saturday, out, as_of=datetime(2024, 3, 7))
-    assert spark.read.parquet(out).count() > 0
+    assert read_report(spark, out).count() > 0
     backfill(spark, tables(spark), saturday, date(2024, 3, 4), out, as_of=datetime(2024, 3, 7))
-    assert {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()} == {date(2024, 3, 4)}
+    assert {r["report_date"] for r in read_report(spark, out).select("report_date").distinct().collect()} == {date(2024, 3, 4)}
 
 
 def test_a_failing_day_does_not_stop_the_others(spark, tmp_path, monkeypatch):
@@ -131,5 +166,5 @@ def test_a_failing_day_does_not_stop_the_others(spark, tmp_path, monkeypatch):
     with pytest.raises(run.ReportErrors) as e:
         backfill(spark, tables(spark, md=_md_rows()), date(2024, 3, 4), date(2024, 3, 6), out, as_of=datetime(2024, 3, 8))
     assert set(e.value.errors) == {bad}
-    written = {r["report_date"] for r in spark.read.parquet(out).select("report_date").distinct().collect()}
+    written = {r["report_date"] for r in read_report(spark, out).select("report_date").distinct().collect()}
     assert written == {date(2024, 3, 4), date(2024, 3, 6)}
