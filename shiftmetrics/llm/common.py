@@ -42,6 +42,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have: the given ones, longer where they are taken."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` into the session's shared checkpoint folder and read it back."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftmetrics.llm.common import cut_lineage
+from shiftmetrics.llm.common import cut_lineage, fresh
 from shiftmetrics.llm.hashing import ALPHANUMERIC, batches, runs_of, words_of
 
 WINDOW = 10
@@ -140,7 +140,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     n = max(1, -(-size // BLOCK_BYTES))
     for i in range(n):
         mine = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i)
-        rows = sorted(set(map(tuple, mine.collect())))
+        rows = sorted(map(tuple, mine.distinct().collect()))
         words = [words_of([t.encode("utf-8", "surrogatepass")], ALPHANUMERIC)[0] for _, t in rows]
         yield Block([k for k, _ in rows], words)
 
@@ -173,21 +173,21 @@ def _counts(docs: DataFrame, shingles: dict[int, np.ndarray], text_col: str) ->
     return counts
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns ADDED."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(ADDED[0], T.LongType()),
-                           T.StructField(ADDED[1], T.BinaryType()), T.StructField(ADDED[2], T.ArrayType(T.StringType()))])
+def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", added: tuple[str, ...] = ADDED) -> DataFrame:
+    """``docs`` with the columns ADDED (or other names for them, where ``docs`` has such columns)."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(added[0], T.LongType()),
+                           T.StructField(added[1], T.BinaryType()), T.StructField(added[2], T.ArrayType(T.StringType()))])
     texts, out = docs, docs
     for i, block in enumerate(_blocks(benchmark)):
         block.choose(_counts(texts, block.shingles(), text_col))
         if i:
             out = cut_lineage(out)
-        out = out.mapInArrow(_marker(docs, block, text_col, bool(i)), schema)
+        out = out.mapInArrow(_marker(docs, block, text_col, bool(i), added), schema)
     return out
 
 
-def _marker(docs: DataFrame, block: Block, text_col: str, more: bool):
-    sent, at, names = docs.sparkSession.sparkContext.broadcast(block), docs.columns.index(text_col), [*docs.columns, *ADDED]
+def _marker(docs: DataFrame, block: Block, text_col: str, more: bool, added: tuple[str, ...]):
+    sent, at, names = docs.sparkSession.sparkContext.broadcast(block), docs.columns.index(text_col), [*docs.columns, *added]
     width = len(docs.columns)
 
     def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,4 +230,5 @@ def digest(marked: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without any hit word."""
-    return mark(docs, benchmark, text_col).where(F.length(ADDED[1]) == 0).drop(*ADDED)
+    added = tuple(fresh(docs, *ADDED))
+    return mark(docs, benchmark, text_col, added).where(F.length(added[1]) == 0).drop(*added)

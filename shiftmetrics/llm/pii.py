@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftmetrics.llm.common import fresh
+
 # Base kinds, in the order in which spans are listed, and their patterns.
 # `(?:(?<![run])|\G)` only lets a match begin where a run of these characters, or what a
 # match has left of it, begins; possessive `++` repeats a group without recursion.
@@ -205,8 +207,9 @@ def mask(df: DataFrame, text_col: str = "text", length_col: str | None = "n_char
     texts that changed.  Texts without spans, and null texts, stay as they are.
     """
     names = df.columns
+    found, new = fresh(df, "_spans", "_masked")
     text = F.col(text_col)
-    ordered = F.array_sort(F.transform(F.col("_spans"), lambda x: F.struct(x["from"], x["to"], x["kind"])))
+    ordered = F.array_sort(F.transform(F.col(found), lambda x: F.struct(x["from"], x["to"], x["kind"])))
 
     def step(a: Column, x: Column) -> Column:
         fresh = x["from"] >= a["at"]
@@ -216,14 +219,14 @@ def mask(df: DataFrame, text_col: str = "text", length_col: str | None = "n_char
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     masked = F.aggregate(ordered, start, step, lambda a: F.concat(
         F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))))
-    hit = F.size("_spans") > 0
-    out = df.withColumn("_spans", spans(text)).withColumn("_masked", F.when(hit, masked).otherwise(text))
+    hit = F.size(found) > 0
+    out = df.withColumn(found, spans(text)).withColumn(new, F.when(hit, masked).otherwise(text))
     columns = []
     for c in names:
         if c == text_col:
-            columns.append(F.col("_masked").alias(c))
+            columns.append(F.col(new).alias(c))
         elif c == length_col:
-            columns.append(F.when(hit, F.length("_masked").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            columns.append(F.when(hit, F.length(new).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
             columns.append(F.col(f"`{c}`"))
     return out.select(*columns)

@@ -6,15 +6,17 @@ cheapest flow from old sizes to new capacities, a byte costing nothing where
 it stays and one where it moves (or what ``cost`` says).  The flow is a table
 of old times new shards.  It is carried out by whole blocks: the documents of
 an old shard are dealt into ``BLOCKS`` blocks by a hash of their text, so that
-equal texts stay together; only a block of more than a ``HOT``-th of a new shard
-is split, by id, so that a large group of copies cannot unbalance the shards.
+equal texts stay together.  A block of more than a ``HOT``-th of a new shard is
+split by a second hash of the text; only a single text whose copies hold more
+than half a new shard is split by id, so that it cannot unbalance the shards.
 
 Sizes are summed where the rows lie.  The driver sees one row a block, whose
 number is bounded by the parameters.
 
 Defined results: a null text has size 1 and the checksum of nothing; rows that
 repeat an id and a text share a block; an empty table gives no rows.  Columns
-are read by name, others pass through ``place``.
+are read by name, others pass through ``place``, but for ones that are named
+like the columns that it adds (``added``), which are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Blocks of an old shard, and blocks of a new shard that a larger block is split into.
+from shiftmetrics.llm.common import fresh
+
+#: Blocks of an old shard, and part of a new shard beyond which a block is split.
 BLOCKS, HOT = 1024, 8
 
 
@@ -102,35 +106,53 @@ def carry_out(blocks: pd.DataFrame, flow: list[list[int]]) -> list[int]:
     return shard
 
 
+#: Columns that ``place`` adds: old shard, size, new shard, place there.
+ADDED = ("_old", "_size", "_shard", "_slot")
+
+
 def place(docs: DataFrame, shards: int, old: Column, old_shards: int, text_col: str = "text", key: str = "doc_id",
-          capacities: list[int] | None = None, cost: list[list[int]] | None = None) -> DataFrame:
-    """``docs`` with ``_old``, ``_shard`` and gapless ``_slot``.  ``old``: the present shard, 0 to ``old_shards`` - 1."""
+          capacities: list[int] | None = None, cost: list[list[int]] | None = None, added: tuple[str, ...] = ADDED) -> DataFrame:
+    """``docs`` with the columns ``added``; slots are gapless.  ``old``: the present shard, 0 to ``old_shards`` - 1."""
+    spark = docs.sparkSession
+    old_c, size_c, shard_c, slot_c = added
+    # Named in one step, so that no helper column hides one that ``old`` reads.
+    own = [c for c in docs.columns if c not in added]
+    hash_c, bucket, sub, parts_c, heavy_c, base_c, place_c = fresh(
+        docs, "_hash", "_bucket", "_sub", "_parts", "_heavy", "_base", "_place")
     hashed = F.xxhash64(F.coalesce(text_col, F.lit("")))
-    rows = docs.withColumn("_old", old.cast("int")).withColumn("_size", size_of(F.col(text_col))).withColumn(
-        "_bucket", F.pmod(F.shiftright(hashed, 16), F.lit(BLOCKS)).cast("int"))
-    coarse = rows.groupBy("_old", "_bucket").agg(F.sum("_size").alias("bytes")).toPandas()
+    rows = docs.select(*[F.col(f"`{c}`") for c in own], old.cast("int").alias(old_c), size_of(F.col(text_col)).alias(size_c),
+                       hashed.alias(hash_c), F.pmod(F.shiftright(hashed, 16), F.lit(BLOCKS)).cast("int").alias(bucket))
+    coarse = rows.groupBy(old_c, bucket).agg(F.sum(size_c).alias("bytes")).toPandas()
     total = int(coarse["bytes"].sum())
-    limit = max(1, total // (shards * HOT))
-    coarse["_parts"] = -(-coarse["bytes"] // limit)
-    spark = docs.sparkSession
-    hot = coarse[coarse["_parts"] > 1][["_old", "_bucket", "_parts"]].astype(int)
-    parts = spark.createDataFrame(list(hot.itertuples(index=False, name=None)), "_old int, _bucket int, _parts int")
-    part = F.pmod(F.xxhash64(key, F.lit("part")), F.col("_parts")).cast("int")
-    rows = rows.join(F.broadcast(parts), ["_old", "_bucket"], "left").withColumn("_sub", F.coalesce(part, F.lit(0))).drop("_parts")
-    blocks = rows.groupBy("_old", "_bucket", "_sub").agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("rows")).toPandas()
-    blocks = blocks.rename(columns={"_old": "old", "_bucket": "bucket", "_sub": "sub"}).sort_values(
-        ["old", "bucket", "sub"], ignore_index=True)
+    limit, half = max(1, total // (shards * HOT)), max(1, total // (shards * 2))
+
+    def small(data: list[tuple], schema: str) -> DataFrame:
+        return F.broadcast(spark.createDataFrame(data, schema))
+
+    # Single texts of more than half a shard (fewer than two a shard), looked for in blocks that are as large.
+    large = [(int(o), int(b)) for o, b, n in coarse.itertuples(index=False, name=None) if n > half]
+    found = rows.join(small(large, f"{old_c} int, {bucket} int"), [old_c, bucket], "left_semi").groupBy(old_c, hash_c).agg(
+        F.sum(size_c).alias("bytes")).where(F.col("bytes") > half).collect() if large else []
+    heavy = [(r[old_c], r[hash_c], -(-r["bytes"] // limit)) for r in found]
+    hot = [(int(o), int(b), int(-(-n // limit))) for o, b, n in coarse.itertuples(index=False, name=None) if n > limit]
+    rows = rows.join(small(hot, f"{old_c} int, {bucket} int, {parts_c} int"), [old_c, bucket], "left")
+    rows = rows.join(small(heavy, f"{old_c} int, {hash_c} long, {heavy_c} long"), [old_c, hash_c], "left")
+    by_id = -1 - F.pmod(F.xxhash64(key, F.lit("part")), F.col(heavy_c))
+    by_text = F.pmod(F.xxhash64(hash_c, F.lit("part")), F.col(parts_c))
+    rows = rows.withColumn(sub, F.coalesce(by_id, by_text, F.lit(0)).cast("int")).drop(parts_c, heavy_c)
+    blocks = rows.groupBy(old_c, bucket, sub).agg(F.sum(size_c).alias("bytes"), F.count(F.lit(1)).alias("rows")).toPandas()
+    blocks.columns = ["old", "bucket", "sub", "bytes", "rows"]
+    blocks = blocks.sort_values(["old", "bucket", "sub"], ignore_index=True)
     supply = [int(blocks.loc[blocks["old"] == i, "bytes"].sum()) for i in range(old_shards)]
     capacities = capacities or equal_capacities(total, shards)
     cost = cost or [[int(i != j) for j in range(shards)] for i in range(old_shards)]
     blocks["shard"] = carry_out(blocks, min_cost_flow(supply, capacities, cost))
     blocks["base"] = blocks.groupby("shard")["rows"].cumsum() - blocks["rows"]
-    plan = spark.createDataFrame(
-        [tuple(map(int, x)) for x in blocks[["old", "bucket", "sub", "shard", "base"]].itertuples(index=False, name=None)],
-        "_old int, _bucket int, _sub int, _shard int, _base long")
-    in_block = Window.partitionBy("_old", "_bucket", "_sub").orderBy(F.col(key), "_size", hashed)
-    joined = rows.withColumn("_place", F.row_number().over(in_block)).join(F.broadcast(plan), ["_old", "_bucket", "_sub"])
-    return joined.withColumn("_slot", F.col("_base") + F.col("_place") - 1).drop("_bucket", "_sub", "_base", "_place")
+    plan = small([tuple(map(int, x)) for x in blocks[["old", "bucket", "sub", "shard", "base"]].itertuples(index=False, name=None)],
+                 f"{old_c} int, {bucket} int, {sub} int, {shard_c} int, {base_c} long")
+    in_block = Window.partitionBy(old_c, bucket, sub).orderBy(F.col(f"`{key}`"), size_c, hash_c)
+    joined = rows.withColumn(place_c, F.row_number().over(in_block)).join(plan, [old_c, bucket, sub])
+    return joined.select(*[F.col(f"`{c}`") for c in own], old_c, size_c, shard_c, (F.col(base_c) + F.col(place_c) - 1).alias(slot_c))
 
 
 def rewrite(placed: DataFrame, old_dirs: dict[int, str], out_dir: str) -> dict[int, str]:

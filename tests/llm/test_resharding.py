@@ -88,6 +88,29 @@ def test_one_text_of_a_third_of_all_rows_is_split(documents):
     assert max(size.values()) <= 1.1 * min(size.values())
 
 
+def test_groups_of_equal_texts_stay_together(documents):
+    # 20 texts of equal weight on 8 shards: none is too large, so none is split.
+    out = placed(documents([(i, f"text {i % 20:02d}" * 9) for i in range(60)]), 8, 6).collect()
+    groups = {}
+    for x in out:
+        groups.setdefault(x["text"], set()).add(x["_shard"])
+    assert len(groups) == 20 and all(len(s) == 1 for s in groups.values())
+
+
+def test_any_names_of_other_columns(documents):
+    df = documents([(i, f"text {i % 9}") for i in range(40)])
+    names = ["_bucket", "_sub", "_parts", "_place", "_base", "_hash", "_heavy", "bytes", "rows"]
+    for c in names:
+        df = df.withColumn(c, F.lit("mine"))
+    for r in placed(df).collect():
+        assert all(r[c] == "mine" for c in names)
+    for c in R.ADDED:
+        df = df.withColumn(c, F.lit("replaced"))
+    assert all(r["_size"] == 7 for r in placed(df).collect())
+    kept = placed(df, added=("o", "s", "h", "l"))
+    assert all(r["_old"] == "replaced" and r["s"] == 7 for r in kept.collect())
+
+
 def test_rewrite_touches_affected_shards_only(spark, documents, tmp_path):
     df = documents([(i, f"text {i}") for i in range(400)])
     # Shards 0 and 1 are as large as they may become; 2 gives half to the new shard 3.
