@@ -7,8 +7,9 @@ it stays and one where it moves (or what ``cost`` says).  The flow is a table
 of old times new shards.  It is carried out by whole blocks: the documents of
 an old shard are dealt into ``BLOCKS`` blocks by a hash of their text, so that
 equal texts stay together.  A block of more than a ``HOT``-th of a new shard is
-split by a second hash of the text; only a single text whose copies hold more
-than half a new shard is split by id, so that it cannot unbalance the shards.
+split by a second hash of the text, and a single text of that size by id, so
+that no task numbers a large group.  The parts of such a text still go to one
+shard, unless its copies hold more than half a new shard and would unbalance it.
 
 Sizes are summed where the rows lie.  The driver sees one row a block, whose
 number is bounded by the parameters.
@@ -129,24 +130,33 @@ def place(docs: DataFrame, shards: int, old: Column, old_shards: int, text_col:
     def small(data: list[tuple], schema: str) -> DataFrame:
         return F.broadcast(spark.createDataFrame(data, schema))
 
-    # Single texts of more than half a shard (fewer than two a shard), looked for in blocks that are as large.
-    large = [(int(o), int(b)) for o, b, n in coarse.itertuples(index=False, name=None) if n > half]
-    found = rows.join(small(large, f"{old_c} int, {bucket} int"), [old_c, bucket], "left_semi").groupBy(old_c, hash_c).agg(
-        F.sum(size_c).alias("bytes")).where(F.col("bytes") > half).collect() if large else []
-    heavy = [(r[old_c], r[hash_c], -(-r["bytes"] // limit)) for r in found]
-    hot = [(int(o), int(b), int(-(-n // limit))) for o, b, n in coarse.itertuples(index=False, name=None) if n > limit]
-    rows = rows.join(small(hot, f"{old_c} int, {bucket} int, {parts_c} int"), [old_c, bucket], "left")
-    rows = rows.join(small(heavy, f"{old_c} int, {hash_c} long, {heavy_c} long"), [old_c, hash_c], "left")
-    by_id = -1 - F.pmod(F.xxhash64(key, F.lit("part")), F.col(heavy_c))
+    # Single texts of more than a block's limit (a bounded number), looked for in blocks that are as large.
+    large = coarse[coarse["bytes"] > limit]
+    large = [(int(o), int(b), int(-(-n // limit))) for o, b, n in large[[old_c, bucket, "bytes"]].itertuples(index=False, name=None)]
+    schema = f"{old_c} int, {bucket} int, {parts_c} int"
+    found = rows.join(small(large, schema), [old_c, bucket], "left_semi").groupBy(old_c, hash_c).agg(
+        F.sum(size_c).alias("bytes")).where(F.col("bytes") > limit).collect() if large else []
+    heavy, whole, at = [], [], 0        # whole: the first part of the text that a part belongs to
+    for r in sorted(found, key=lambda r: (r[old_c], r[hash_c])):
+        n = -(-r["bytes"] // limit)
+        heavy.append((r[old_c], r[hash_c], n, at))
+        whole += [at] * n if r["bytes"] <= half else range(at, at + n)
+        at += n
+    rows = rows.join(small(large, schema), [old_c, bucket], "left")
+    rows = rows.join(small(heavy, f"{old_c} int, {hash_c} long, {heavy_c} long, {base_c} long"), [old_c, hash_c], "left")
+    by_id = -1 - F.col(base_c) - F.pmod(F.xxhash64(key, F.lit("part")), F.col(heavy_c))
     by_text = F.pmod(F.xxhash64(hash_c, F.lit("part")), F.col(parts_c))
-    rows = rows.withColumn(sub, F.coalesce(by_id, by_text, F.lit(0)).cast("int")).drop(parts_c, heavy_c)
+    rows = rows.withColumn(sub, F.coalesce(by_id, by_text, F.lit(0)).cast("int")).drop(parts_c, heavy_c, base_c)
     blocks = rows.groupBy(old_c, bucket, sub).agg(F.sum(size_c).alias("bytes"), F.count(F.lit(1)).alias("rows")).toPandas()
-    blocks.columns = ["old", "bucket", "sub", "bytes", "rows"]
+    blocks = blocks[[old_c, bucket, sub, "bytes", "rows"]].set_axis(["old", "bucket", "sub", "bytes", "rows"], axis=1)
     blocks = blocks.sort_values(["old", "bucket", "sub"], ignore_index=True)
     supply = [int(blocks.loc[blocks["old"] == i, "bytes"].sum()) for i in range(old_shards)]
     capacities = capacities or equal_capacities(total, shards)
     cost = cost or [[int(i != j) for j in range(shards)] for i in range(old_shards)]
-    blocks["shard"] = carry_out(blocks, min_cost_flow(supply, capacities, cost))
+    blocks["unit"] = [s if s >= 0 else -1 - whole[-1 - s] for s in blocks["sub"]]
+    units = blocks.groupby(["old", "bucket", "unit"], as_index=False)["bytes"].sum().rename(columns={"unit": "sub"})
+    units["shard"] = carry_out(units, min_cost_flow(supply, capacities, cost))
+    blocks = blocks.merge(units.rename(columns={"sub": "unit"})[["old", "bucket", "unit", "shard"]], on=["old", "bucket", "unit"], how="left")
     blocks["base"] = blocks.groupby("shard")["rows"].cumsum() - blocks["rows"]
     plan = small([tuple(map(int, x)) for x in blocks[["old", "bucket", "sub", "shard", "base"]].itertuples(index=False, name=None)],
                  f"{old_c} int, {bucket} int, {sub} int, {shard_c} int, {base_c} long")
