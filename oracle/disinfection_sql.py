@@ -19,7 +19,7 @@ rows_in_order AS (
   WINDOW of_machine AS (PARTITION BY machine_id ORDER BY ts, record_id)
 ),
 named AS (
-  SELECT d.report_date, r.machine_id, r.theoretical_min, r.local_ts,
+  SELECT d.report_date, r.machine_id, r.operation_id, r.theoretical_min, r.local_ts,
          max(CASE WHEN r.ts_before IS NULL OR r.ts_before < {first} OR r.operation_before <> r.operation_id THEN r.place END)
            OVER (PARTITION BY d.report_date, r.machine_id ORDER BY r.place) AS cycle
   FROM dates d JOIN rows_in_order r ON r.local_ts >= {first} AND r.local_ts < {last}
@@ -63,7 +63,16 @@ GROUP BY GROUPING SETS ((report_date, vapex), (report_date))""",
         ended(ids, "(d.report_date + INTERVAL 12 HOUR)", "(d.report_date + INTERVAL 44 HOUR)"))
 
 
+# All cycles of all machines by window of the day, counted or not.
+CYCLE_ISLANDS = q("""
+SELECT report_date, machine_id, count(*) AS n_cycles, count(*) FILTER (WHERE longest > 45) AS n_valid,
+       CAST(sum(longest) AS BIGINT) AS sum_theoretical, CAST(sum(operation_id) AS BIGINT) AS sum_operation
+FROM (SELECT report_date, machine_id, cycle, operation_id, max(theoretical_min) AS longest FROM named GROUP BY ALL)
+GROUP BY report_date, machine_id""",
+    ended(tuple(range(1, 10)), "(d.report_date - INTERVAL 12 HOUR)", "(d.report_date + INTERVAL 36 HOUR)"))
+
 QUERIES = {
+    "cycle_islands": CYCLE_ISLANDS,
     "disinfections_vinc": day_query((1, 2, 3, 4)),
     "disinfections_grinding": day_query((5, 6, 7, 8, 9)),
     "disinfections_vinc_current": current_query((1, 2, 3, 4)),

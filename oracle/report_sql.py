@@ -88,29 +88,6 @@ def _state_time() -> str:
     return q("SELECT report_date, shift, prod_us, idle_us, off_us FROM time_by_shift", state_time("cal_shifts"))
 
 
-CYCLE_ISLANDS = q("""
-SELECT report_date, machine_id, count(*) AS n_cycles,
-       CAST(sum(CASE WHEN theoretical_min > 45 THEN 1 ELSE 0 END) AS BIGINT) AS n_valid,
-       CAST(sum(theoretical_min) AS BIGINT) AS sum_theoretical,
-       CAST(sum(operation_id) AS BIGINT) AS sum_operation
-FROM (
-  SELECT report_date, machine_id, grp, min(operation_id) AS operation_id, max(theoretical_min) AS theoretical_min
-  FROM (
-    SELECT *, sum(CASE WHEN prev_op IS DISTINCT FROM operation_id THEN 1 ELSE 0 END)
-                OVER (PARTITION BY report_date, machine_id ORDER BY ts, record_id) AS grp
-    FROM (
-      SELECT d.report_date, m.*,
-             lag(m.operation_id) OVER (PARTITION BY d.report_date, m.machine_id ORDER BY m.ts, m.record_id) AS prev_op
-      FROM machines m CROSS JOIN dates d
-      WHERE (m.ts AT TIME ZONE 'Europe/Lisbon') >= d.report_date - INTERVAL 12 HOUR
-        AND (m.ts AT TIME ZONE 'Europe/Lisbon') < d.report_date + INTERVAL 36 HOUR
-        AND m.operation_id IS NOT NULL
-    )
-  )
-  GROUP BY report_date, machine_id, grp
-)
-GROUP BY report_date, machine_id""")
-
 CALENDAR_CTES = f"""
 cal AS (
   -- Weekends and holidays together cannot reach further than this without a working day.
@@ -155,7 +132,6 @@ QUERIES.update({
     "counter_asof": COUNTER_ASOF,
     "segment_durations": _segment_durations(),
     "calibration_state_time": _state_time(),
-    "cycle_islands": CYCLE_ISLANDS,
     "operational_calendar": OPERATIONAL_CALENDAR,
     "report_days": REPORT_DAYS,
 })

@@ -290,8 +290,10 @@ def _granulate(day: DataFrame, cur: DataFrame) -> DataFrame:
 
 def calibration_oee_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Calibration OEE table: % or HH:MM:SS per indicator, status classes (K4)."""
-    m = mart_inputs(t, scope, cfg, ("calibration_oee", "calibration_oee_current"), materialized=False)
-    return _calibration_oee(m["calibration_oee"], m["calibration_oee_current"], cfg)
+    records = calibration.sieve_time(t, scope, cfg)         # one sweep for both tables
+    day = calibration.calibration_oee_from(records, calibration.calibration_counter_gain(t, scope), scope, cfg)
+    cur = calibration.calibration_oee_current_from(records, calibration.next_day_counter_gain(t, scope), scope, cfg)
+    return _calibration_oee(day, cur, cfg)
 
 
 def _calibration_oee(day: DataFrame, cur: DataFrame, cfg: Config) -> DataFrame:
