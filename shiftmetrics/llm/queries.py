@@ -78,9 +78,7 @@ def op8_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The score is the running-order mixer's; the sum over tokens, blind to their order, stays beside it.
-    scored = context_mixing.score(read_table(spark, sf_dir, "documents"))
-    return scored.withColumnsRenamed({"score": "token_score", "text_score": "score"})
+    return context_mixing.averaged(context_mixing.score(read_table(spark, sf_dir, "documents")))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

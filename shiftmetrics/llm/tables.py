@@ -32,9 +32,9 @@ def total_table(parts: DataFrame, size: int) -> np.ndarray:
                 counts = np.frombuffer(zlib.decompress(blob[3:]), blob[:3].decode()).astype(np.int64)
                 total[chunk] = total[chunk] + counts if chunk in total else counts
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                          pa.array([x.tobytes() for x in total.values()], pa.binary())], ["chunk", "counts"])
+                                          pa.array([zlib.compress(x.tobytes(), 1) for x in total.values()], pa.binary())], ["chunk", "counts"])
 
     table = np.zeros((-(-size // CHUNK), CHUNK), np.int64)
     for r in parts.repartition("chunk").mapInArrow(summed, "chunk int, counts binary").collect():
-        table[r["chunk"]] = np.frombuffer(r["counts"], np.int64)
+        table[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return table.reshape(-1)[:size]
