@@ -10,7 +10,13 @@ added kinds are reported only if their structure holds when decoded:
 * ``der``    a run of base64 or hex that decodes to a DER key: a sequence whose
   nested lengths fill it exactly and whose fields are those of a key
 * ``wrapped``  a run of base64 or hex whose decoded text holds a
-  base secret, an armoured key or a signed token
+  base secret, an armoured key, a signed token or, again, such a run
+
+A run may be broken into lines of equal length (the last one shorter), hex may
+be separated by colons, and other letters of the alphabet may adjoin a run (a
+path before it, a digit too many): it is then read from each of its four (hex:
+two) phases, and keys from each place that can be their header on, as long as
+that header says.
 
 Each text is read whole, in the tasks that hold it; nothing is shuffled.
 Positions are code points, end exclusive.
@@ -49,6 +55,14 @@ SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.(
 LEAST_BYTES = 18
 RUN64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % (LEAST_BYTES * 4 // 3))
 RUN16 = re.compile(r"[0-9A-Fa-f]{%d,}" % (LEAST_BYTES * 2))
+COLONS = re.compile(r"[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){%d,}" % (LEAST_BYTES - 1))
+#: A run that goes on in further lines, and its lines.
+LINES64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}" % (LEAST_BYTES * 4 // 3))
+LINE64 = re.compile(r"[A-Za-z0-9+/_=-]+")
+#: What a sequence (tag 0x30) begins with in base64.
+HEADER64 = re.compile("M[A-P]")
+#: How often a run may be encoded over, and the share of decoded characters that must be printable.
+DEPTH, PRINTABLE = 3, 0.9
 #: Runs of one alphabet, for a run that holds both.
 ALPHABETS = (re.compile(r"[A-Za-z0-9+/]{%d,}={0,2}" % (LEAST_BYTES * 4 // 3)), re.compile(r"[A-Za-z0-9_-]{%d,}={0,2}" % (LEAST_BYTES * 4 // 3)))
 #: Cheap tests: a text without these can hold no base secret of the kind.
@@ -150,22 +164,63 @@ def is_signed_token(header: str, body: str) -> bool:
     return isinstance(parsed, dict) and isinstance(parsed.get("alg"), str) and _decode64(body) is not None
 
 
-def _decoded_kind(data: bytes | None) -> str | None:
+def _decoded_kind(data: bytes | None, depth: int = DEPTH) -> str | None:
     if not data:
         return None
     if is_der_key(data) or is_ssh_key(data):
         return "der"
     try:
-        inner = data.decode("ascii")
+        inner = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    if not inner.translate(_BLANKS).isprintable():
+        inner = data.decode("latin-1")
+    if sum(c.isprintable() or c in "\t\n\v\f\r" for c in inner) < PRINTABLE * len(inner):
         return None
     held = any(s.kind != "hex" for s in base_spans(inner)) or armoured(inner) or signed(inner)
-    return "wrapped" if held else None
-
-
-_BLANKS = dict.fromkeys(map(ord, "\t\n\v\f\r"), " ")
+    return "wrapped" if held or depth > 1 and added_spans(inner, depth - 1) else None
+
+
+def _phases64(run: str) -> Iterator[bytes]:
+    """A run's bytes from its second, third and fourth letter on, and without a last letter that is too many."""
+    run = run.rstrip("=")
+    for k in range(4):
+        part = run[k:len(run) - (len(run) - k) % 4] if (len(run) - k) % 4 == 1 else run[k:]
+        if (k or part != run) and (data := _decode64(part)):
+            yield data
+
+
+def _key_inside(run: str) -> tuple[int, int] | None:
+    """Where a run of base64 holds a key that other letters adjoin: a header whose lengths say where it ends."""
+    for m in HEADER64.finditer(run):
+        head = _decode64(run[m.start():m.start() + 16])
+        if not head or len(head) < 12 or head[0] != 0x30:
+            continue
+        size = 0 if head[1] < 0x80 else head[1] & 0x7F
+        at = 2 + size
+        if size > 4 or head[at] not in (0x02, 0x30):
+            continue
+        length = at + (int.from_bytes(head[2:at], "big") if size else head[1])
+        end = m.start() + -(-length * 4 // 3)
+        if end <= len(run) and (data := _decode64(run[m.start():end])) and is_der_key(data[:length]):
+            return m.start(), end
+    return None
+
+
+def _broken_runs(text: str, depth: int) -> Iterator[Span]:
+    """Runs of base64 that are broken into lines of equal length, the last one shorter."""
+    for m in LINES64.finditer(text) if "\n" in text else ():
+        lines = [(m.start() + x.start(), m.start() + x.end(), x[0]) for x in LINE64.finditer(m[0])]
+        i = 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and len(lines[j][2]) == len(lines[i][2]):
+                j += 1
+            shorter = j < len(lines) and len(lines[j][2]) < len(lines[i][2])
+            for end in (j + 1, j) if shorter else (j,):
+                if end - i > 1 and (kind := _decoded_kind(_decode64("".join(x for *_, x in lines[i:end])), depth)):
+                    yield Span(lines[i][0], lines[end - 1][1], kind)
+                    j = end
+                    break
+            i = j
 
 
 def armoured(text: str) -> list[Span]:
@@ -184,31 +239,42 @@ def signed(text: str) -> list[Span]:
     return [Span(*m.span(), "token") for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])] if "eyJ" in text else []
 
 
-def _runs(text: str) -> Iterator[tuple[tuple[int, int], bytes | None]]:
-    """Spans of encoded runs and their bytes; a run that holds both alphabets is also read by its parts of one."""
-    for m in RUN64.finditer(text):
-        run = m[0]
-        if ("-" in run or "_" in run) and ("+" in run or "/" in run):
-            for part in (x for alphabet in ALPHABETS for x in alphabet.finditer(run)):
-                yield (m.start() + part.start(), m.start() + part.end()), _decode64(part[0])
-        else:
-            yield m.span(), _decode64(run)
-    for m in RUN16.finditer(text):
-        yield m.span(), _decode16(m[0])
+def _run64(run: str, at: int, depth: int) -> Iterator[Span]:
+    """What a run of base64 holds: whole, else by its parts of one alphabet, else with other letters adjoining it."""
+    mixed = ("-" in run or "_" in run) and ("+" in run or "/" in run)
+    parts = [(x.start(), x[0]) for alphabet in ALPHABETS for x in alphabet.finditer(run)] if mixed else [(0, run)]
+    found = {Span(at + a, at + a + len(part), kind) for a, part in parts if (kind := _decoded_kind(_decode64(part), depth))}
+    if not found and (inside := _key_inside(run)):
+        found = {Span(at + inside[0], at + inside[1], "der")}
+    if not found and any(_decoded_kind(data, depth) for data in _phases64(run)):
+        found = {Span(at, at + len(run), "wrapped")}
+    yield from found
+
+
+def _run16(run: str, depth: int) -> str | None:
+    if len(run) % 2 == 0:
+        return _decoded_kind(bytes.fromhex(run), depth)
+    return _decoded_kind(bytes.fromhex(run[1:]), depth) or _decoded_kind(bytes.fromhex(run[:-1]), depth)
 
 
-def added_spans(text: str) -> list[Span]:
+def added_spans(text: str, depth: int = DEPTH) -> list[Span]:
     found = armoured(text) + signed(text)
-    covered = [(s.start, s.end) for s in found]
-    runs = {}
-    for (start, end), data in _runs(text):
-        if not any(a <= start and end <= b for a, b in covered) and (kind := _decoded_kind(data)):
-            runs.setdefault((start, end), kind)
-    return found + [Span(*at, kind) for at, kind in runs.items()]
 
+    def covered(start: int, end: int) -> bool:
+        return any(s.start <= start and end <= s.end for s in found)
 
-def _decode16(s: str) -> bytes | None:
-    return bytes.fromhex(s) if len(s) % 2 == 0 else None
+    found += [s for s in _broken_runs(text, depth) if not covered(s.start, s.end)]
+    runs = set()
+    for m in RUN64.finditer(text):
+        if not covered(*m.span()):
+            runs.update(_run64(m[0], m.start(), depth))
+    for m in RUN16.finditer(text):
+        if not covered(*m.span()) and (kind := _run16(m[0], depth)):
+            runs.add(Span(*m.span(), kind))
+    for m in COLONS.finditer(text) if ":" in text else ():
+        if not covered(*m.span()) and (kind := _decoded_kind(bytes.fromhex(m[0].replace(":", "")), depth)):
+            runs.add(Span(*m.span(), kind))
+    return found + sorted(runs)
 
 
 def spans(text: str) -> list[Span]:

@@ -145,3 +145,56 @@ def test_runs_of_both_alphabets_are_read_by_their_parts():
     text = base64.b64encode(PKCS8).decode()
     assert "+" in text or "/" in text
     assert ["der"] == [s.kind for s in S.added_spans(f"name_{text}") if s.end == 5 + len(text)]
+
+
+def test_runs_broken_into_lines_without_armour():
+    for data, kind in ((RSA, "der"), (PKCS8, "der"), (b"# settings\nuser=me\nname=some service of ours\npassword=abcdefghijkl\n", "wrapped")):
+        run = base64.b64encode(data).decode()
+        for width, end in ((64, "\n"), (40, "\r\n"), (60, "\n    ")):
+            lines = end.join(run[i:i + width] for i in range(0, len(run), width))
+            assert S.added_spans(f"see\n{lines}\nand more") == [S.Span(4, 4 + len(lines), kind)]
+
+
+@pytest.mark.parametrize("text", ["na\u00efve=1\npassword=abcdefghijkl\n".encode(), "na\u00efve=1\npassword=abcdefghijkl\n".encode("latin-1")])
+def test_decoded_text_may_hold_letters_beyond_ascii(text):
+    assert added(base64.b64encode(text).decode()) == ["wrapped"]
+    assert added(text.hex()) == ["wrapped"]
+
+
+def test_other_letters_adjoin_a_run():
+    secret = base64.b64encode(b"password=abcdefghijkl; user=me").decode()
+    for before in ("data/", "a", "ab", "abc", "a/b/c/", "x_"):
+        for after in ("", "/x", "y"):
+            assert added(f"see {before}{secret}{after} there") == ["wrapped"], (before, after)
+    for key in (RSA, PKCS8):
+        text = base64.b64encode(key).decode()
+        bare = text.rstrip("=")
+        assert [S.Span(5, 5 + len(bare), "der")] == S.added_spans(f"data/{text}")
+        assert [S.Span(1, 1 + len(bare), "der")] == S.added_spans(f"a{bare}xyz")
+
+
+def test_runs_encoded_twice_and_no_deeper_than_stated():
+    run = b"password=abcdefghijkl"
+    for _ in range(S.DEPTH):
+        run = base64.b64encode(run)
+        assert added(run.decode()) == ["wrapped"]
+    assert added(base64.b64encode(run).decode()) == []
+    assert added(base64.b64encode(RSA.hex().encode()).decode()) == ["wrapped"]
+
+
+def test_hex_with_a_digit_too_many_and_colons():
+    for data, kind in ((b"password=abcdefghijkl", "wrapped"), (RSA, "der")):
+        run = data.hex()
+        for odd in ("a" + run, run + "a"):
+            assert S.added_spans(f"x {odd} y") == [S.Span(2, 2 + len(odd), kind)]
+        colons = ":".join(run[i:i + 2] for i in range(0, len(run), 2))
+        assert S.added_spans(f"x {colons} y") == [S.Span(2, 2 + len(colons), kind)]
+
+
+def test_noise_in_the_alphabets_holds_nothing():
+    for seed in range(300):
+        data = random.Random(seed).randbytes(random.Random(seed).randrange(20, 400))
+        run = base64.b64encode(data).decode()
+        lines = "\n".join(run[i:i + 64] for i in range(0, len(run), 64))
+        for text in (run, "data/" + run, lines, data.hex(), "a" + data.hex(), ":".join(f"{b:02x}" for b in data)):
+            assert added(text) == []
