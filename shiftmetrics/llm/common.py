@@ -85,15 +85,16 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
 
     Training rows are those whose crc32(doc_id) mod 3 is not 1.  The rows of a
     class are taken in the order of a hash of their id, so the same rows come
-    back whatever the partitioning.  The bound makes the broadcast of the ids
-    and the collected texts small.
+    back whatever the partitioning; of rows that repeat an id the smallest text
+    counts.  The bound makes the broadcast of the ids and the collected texts small.
     """
     usable = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(
-        F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 3) != 1))
+        F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 3) != 1)).distinct()
     picked = None
     for y in (0, 1):
         some = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
-    rows = documents.select("doc_id", "text").join(F.broadcast(picked.distinct()), "doc_id").orderBy(
+    rows = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(
+        F.min("text").alias("text")).orderBy(
         F.xxhash64("doc_id"), "doc_id", "text").select("text", "y").collect()
     return [(r["text"] or "", r["y"]) for r in rows]

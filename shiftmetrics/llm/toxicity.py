@@ -7,7 +7,8 @@ from how the voters agree with each other, how each votes on toxic and on
 clean texts (expectation maximisation over the unseen label) and how strongly
 pairs of voters are correlated beyond the label; correlated voters are counted
 down accordingly.  Its posterior labels train a linear classifier over lexicon
-entries and bins of their number and density; it alone scores texts.
+entries and bins of their number and density; it alone scores texts.  (What the
+fixed lexicons and patterns say is no feature of it: held out, that ranks worse.)
 
 Fitting uses at most ``SAMPLE_PER_CLASS`` labelled training rows of each class
 (``common.labelled_sample``): the lexicon is mined from their labels, the
@@ -37,8 +38,8 @@ from shiftmetrics.llm.common import py_fold
 
 SAMPLE_PER_CLASS = 1500
 THRESHOLD = 0.7
-#: Entries of the mined lexicon and its shards (a voter each).
-LEXICON_ENTRIES, LEXICON_SHARDS = 400, 8
+#: Different surroundings in the sample's toxic rows that make an entry, and shards of the mined lexicon (a voter each).
+LEAST_PLACES, LEXICON_SHARDS = 8, 8
 #: Lengths of the word beginnings that may become entries (noted with a star).
 BEGINNINGS = range(4, 9)
 #: Limits of the bins of distinct words hit, and of the share of a text's words that are hit.
@@ -106,6 +107,11 @@ class Look(NamedTuple):
         return {*self.hits.values(), *(f"number {n}" for n in NUMBERS if len(self.hits) >= n),
                 *(f"density {i}" for i, d in enumerate(DENSITIES) if self.density >= d)}
 
+    def fixed(self) -> set[str]:
+        """Names of the fixed lexicons and patterns that the text hits (no entry holds a blank)."""
+        return {*(f"lexicon {name}" for name, lexicon in _LEXICON_SETS.items() if not self.words.isdisjoint(lexicon)),
+                *(f"pattern {name}" for name, p in PATTERNS.items() if p.search(self.text))}
+
 
 def voters() -> list[str]:
     return [*(f"shard {i}" for i in range(LEXICON_SHARDS)), *(f"density {i}" for i in range(len(DENSITIES))),
@@ -117,12 +123,13 @@ def votes_of(look: Look) -> list[int]:
     shards = {zlib.crc32(e.encode()) % LEXICON_SHARDS for e in look.hits.values()}
     votes = [int(i in shards) for i in range(LEXICON_SHARDS)]
     votes += [1 if look.density >= d else -1 for d in DENSITIES]
-    votes += [int(not look.words.isdisjoint(lexicon)) for lexicon in _LEXICON_SETS]
-    votes += [int(bool(p.search(look.text))) for p in PATTERNS.values()]
+    fixed = look.fixed()
+    votes += [int(f"lexicon {name}" in fixed) for name in LEXICONS]
+    votes += [int(f"pattern {name}" in fixed) for name in PATTERNS]
     return [*votes, 0 if look.hits else -1]
 
 
-_LEXICON_SETS = [frozenset(x.split()) for x in LEXICONS.values()]
+_LEXICON_SETS = {name: frozenset(x.split()) for name, x in LEXICONS.items()}
 
 
 def hash_of(*words: str) -> int:
@@ -132,7 +139,7 @@ def hash_of(*words: str) -> int:
 def mine(sample: list[tuple[str, int]]) -> Lexicon:
     """Entries that toxic rows use far more often than clean rows, by rate among all words."""
     # Counted by distinct neighbours: what only copies of a few texts repeat is no entry.
-    least = max(8, 0.01 * sum(y for _, y in sample))
+    least = LEAST_PLACES
     often = Counter()
     for text, y in sample:
         if y:
@@ -162,8 +169,6 @@ def mine(sample: list[tuple[str, int]]) -> Lexicon:
         stem = e.rstrip("*")
         if not any(stem.startswith(c.rstrip("*")) or c.startswith(stem) for c in chosen):
             chosen.append(e)
-            if len(chosen) == LEXICON_ENTRIES:
-                break
     return Lexicon(chosen)
 
 
@@ -246,7 +251,7 @@ def fit(sample: list[tuple[str, int]]) -> Classifier:
     """The classifier from labelled rows (text, 0/1)."""
     y = np.array([y for _, y in sample])
     if len(set(y.tolist())) < 2:
-        hits = sorted(set().union(*_LEXICON_SETS[:2]))
+        hits = sorted(_LEXICON_SETS["insult"] | _LEXICON_SETS["contempt"])
         return Classifier(Lexicon(hits), dict.fromkeys(hits, 2.0), -3.0)
     lexicon = mine(sample)
     looks = [lexicon.look(t) for t, _ in sample]

@@ -136,3 +136,10 @@ def test_filter_keeps_rows_and_columns(clashing):
     df = clashing([(1, clean), (2, bad), (3, None), (3, None), (4, "")])
     out = toxicity.keep_clean(df, model)
     assert out.columns == df.columns and sorted(x["doc_id"] for x in out.collect()) == [1, 3, 3, 4]
+
+
+def test_sample_reads_one_text_of_a_repeated_id(spark, documents):
+    docs = documents([(0, "b")] * 50 + [(0, "a"), (0, None), (2, "c"), (3, None)])
+    labels = spark.createDataFrame([(0, 1)] * 30 + [(2, 0), (3, 0)], "doc_id long, toxic int")
+    want = sorted(("a" if i == 0 else t or "", y) for i, t, y in [(0, "a", 1), (2, "c", 0), (3, None, 0)] if fold(i, 3) != 1)
+    assert sorted(labelled_sample(docs, labels, "toxic", 2)) == want
