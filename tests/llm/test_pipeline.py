@@ -65,4 +65,4 @@ def test_queries_are_registered():
 
     found = __spark_entry__.queries()
     assert [n for n in found if n in queries.QUERIES] == list(queries.QUERIES)
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)] and "pipeline" in found
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)] and "pipeline" in found
