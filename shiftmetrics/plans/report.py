@@ -29,7 +29,8 @@ from shiftmetrics.functions.formatting import (
     cycles_status, hhmmss, idle_status, kg_text, oee_status, pct_text,
 )
 from shiftmetrics.plans import calibration, disinfection, grinding
-from shiftmetrics.plans.scope import Scope, extended
+from shiftmetrics.plans.facts import FactStore, shared_facts
+from shiftmetrics.plans.scope import Scope
 from shiftmetrics.sources import versions
 from shiftmetrics.sources.tables import SensorTables
 
@@ -172,31 +173,6 @@ def mart_inputs(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
     return materialize(res) if materialized else res
 
 
-def shared_facts(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[str, DataFrame]:
-    """Per-shift facts shared by several report queries.
-
-    ``*_ext`` facts cover the scope plus one day, so that the "current"
-    (following day 00-08) queries are their shift 1 of the next date.
-    """
-    ext = extended(scope)
-    both = VAPEX_VINC + VAPEX_GRINDING
-    return {
-        "md_ext": grinding.md_shift_facts(t, ext, cfg),                         # Q02, Q14
-        "mill_ext": grinding.mill_shift_facts(t, ext, cfg),                     # Q03, Q15, Q05
-        "silo_a": grinding.silo_gain_facts(t.silos_a, scope, cfg),              # Q04, Q05
-        "silo_b_ext": grinding.silo_gain_facts(t.silos_b, ext, cfg),            # Q07, Q17
-        "counters_cal": calibration.calibration_counter_gain(t, scope),         # Q09, Q11
-        "counters_next": calibration.next_day_counter_gain(t, scope),           # Q18, Q19
-        "sieves": calibration.sieve_time(t, scope, cfg),                        # Q11, Q19
-        "cycles_day": disinfection.day_cycles(t, scope, both, cfg),             # Q10, Q12
-        "cycles_cur": disinfection.current_cycles(t, scope, both, cfg),         # Q20, Q21
-        "silo_kg_grinding_current": grinding.silo_kg_grinding_current(t, scope, cfg),      # Q16
-        "silo_total_8h_grinding": grinding.silo_total_8h_grinding(t, scope, cfg),          # Q06
-        "silo_total_8h_disinfection": grinding.silo_total_8h_disinfection(t, scope, cfg),  # Q08
-        "silo_snapshot_vinc": grinding.silo_snapshot_vinc(t, scope, cfg),                  # Q13
-    }
-
-
 def derived_inputs(f: dict[str, DataFrame], scope: Scope, cfg: Config = DEFAULT_CONFIG) -> dict[str, DataFrame]:
     g, c, d = grinding, calibration, disinfection
     silo_a = f["silo_a"].groupBy("report_date", "shift").agg(
@@ -229,8 +205,13 @@ def derived_inputs(f: dict[str, DataFrame], scope: Scope, cfg: Config = DEFAULT_
 
 
 def report_cells(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG,
-                 materialized: bool = True) -> DataFrame:
-    """All report blocks of every report date as one long table (K1-K7)."""
+                 materialized: bool = True, store: FactStore | None = None) -> DataFrame:
+    """All report blocks of every report date as one long table (K1-K7).
+
+    With a ``store``, facts are computed for the dates it does not hold and kept there.
+    """
+    if store is not None:
+        return cells_from(derived_inputs(store.facts(t, scope), scope, cfg), cfg)
     m = mart_inputs(t, scope, cfg, materialized=materialized)
     return cells_from(m, cfg)
 

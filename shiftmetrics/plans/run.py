@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shiftmetrics.config import DEFAULT_CONFIG, Config
 from shiftmetrics.plans.activity import report_activity
+from shiftmetrics.plans.facts import FactStore, consecutive
 from shiftmetrics.plans.opcalendar import operational_calendar, report_days
 from shiftmetrics.plans.report import publish, read_runs, report_cells, write_run
 from shiftmetrics.plans.scope import Scope
@@ -59,24 +60,15 @@ def selected_dates(t: SensorTables, scope: Scope, cfg: Config = DEFAULT_CONFIG)
     return {r["report_date"]: (bool(r["send"]), bool(r["is_ready"])) for r in rows}
 
 
-def consecutive(dates: list[date]) -> list[tuple[date, date]]:
-    """First and last date of each run of consecutive dates."""
-    runs: list[list[date]] = []
-    for d in sorted(dates):
-        if runs and d - runs[-1][-1] == timedelta(days=1):
-            runs[-1].append(d)
-        else:
-            runs.append([d])
-    return [(r[0], r[-1]) for r in runs]
-
-
 def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_path: str,
              as_of: datetime | None = None, cfg: Config = DEFAULT_CONFIG,
-             state_dir: str | None = None) -> DataFrame:
+             state_dir: str | None = None, facts_dir: str | None = None) -> DataFrame:
     """Produce and write the reports of ``first..last`` (those to be sent); returns their cells.
 
     With ``state_dir`` (a shared folder), unbounded as-of inputs read a
-    stored prior plus recent rows instead of their whole history.
+    stored prior plus recent rows instead of their whole history.  With
+    ``facts_dir`` (another one), final facts of the mart are kept by date and
+    computed again only after late rows (``FactStore.forget``).
     """
     scope = Scope.for_range(spark, first, last, as_of=as_of, tz=cfg.tz)
     if state_dir is not None:
@@ -84,12 +76,13 @@ def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_
         t = with_prior(t, prior_for_run(spark, t, state_dir, cut), cut)
     selected = selected_dates(t, scope, cfg)
     ensure_checkpoint_dir(spark)
+    store = FactStore(spark, facts_dir, cfg) if facts_dir is not None else None
     written: dict[date, int] = {}
     errors: dict[date, Exception] = {}
 
     def produce(a: date, b: date) -> None:
         dates = [a + timedelta(days=k) for k in range((b - a).days + 1)]
-        cells = report_cells(t, Scope.for_range(spark, a, b, as_of=as_of, tz=cfg.tz), cfg)
+        cells = report_cells(t, Scope.for_range(spark, a, b, as_of=as_of, tz=cfg.tz), cfg, store=store)
         n, missing = write_run(cells, out_path, dates)
         if missing:
             raise IncompleteReport("blocks are missing on " + ", ".join(map(str, missing)))
@@ -118,8 +111,8 @@ def backfill(spark: SparkSession, t: SensorTables, first: date, last: date, out_
 
 
 def daily_run(spark: SparkSession, t: SensorTables, out_path: str, as_of: datetime | None = None,
-              cfg: Config = DEFAULT_CONFIG, state_dir: str | None = None) -> DataFrame:
+              cfg: Config = DEFAULT_CONFIG, state_dir: str | None = None, facts_dir: str | None = None) -> DataFrame:
     """The scheduled run: yesterday's report if it is ready and to be sent."""
     as_of = as_of or datetime.now(timezone.utc)
     d = report_date_for(as_of, cfg.tz)
-    return backfill(spark, t, d, d, out_path, as_of=as_of, cfg=cfg, state_dir=state_dir)
+    return backfill(spark, t, d, d, out_path, as_of=as_of, cfg=cfg, state_dir=state_dir, facts_dir=facts_dir)

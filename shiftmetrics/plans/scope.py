@@ -40,6 +40,7 @@ class Scope:
     first: date | None = None        # literal bounds, when known
     last: date | None = None
     tz: str = LOCAL_TZ
+    now: datetime | None = None      # ``as_of`` as a value, when known
 
     # -- constructors ---------------------------------------------------------
     @classmethod
@@ -55,7 +56,7 @@ class Scope:
             as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
         dates = (spark.range(n)
                  .select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("report_date")))
-        return cls(dates, ntz_literal(as_of), first, last, tz)
+        return cls(dates, ntz_literal(as_of), first, last, tz, as_of)
 
     @classmethod
     def spanning(cls, samples: DataFrame, ts: str = "ts", tz: str = LOCAL_TZ) -> "Scope":
@@ -146,7 +147,7 @@ def next_day(scope: Scope) -> Scope:
     one = timedelta(days=1)
     return Scope(dates, scope.as_of,
                  scope.first + one if scope.first else None,
-                 scope.last + one if scope.last else None, scope.tz)
+                 scope.last + one if scope.last else None, scope.tz, scope.now)
 
 
 def with_dates(scope: Scope, facts: DataFrame) -> DataFrame:
@@ -162,4 +163,4 @@ def extended(scope: Scope, days: int = 1) -> Scope:
     last = scope.last + timedelta(days=days)
     n = (last - scope.first).days + 1
     dates = spark.range(n).select(F.date_add(F.lit(scope.first), F.col("id").cast("int")).alias("report_date"))
-    return Scope(dates, scope.as_of, scope.first, last, scope.tz)
+    return Scope(dates, scope.as_of, scope.first, last, scope.tz, scope.now)

@@ -56,23 +56,29 @@ def affected_dates(batch: DataFrame, table: str, t: SensorTables, tz: str = DEFA
 def refresh_on_arrival(spark: SparkSession, trigger_dir: str, trigger_schema: str,
                        tables: Callable[[], SensorTables], out_path: str, checkpoint: str,
                        cfg: Config = DEFAULT_CONFIG, available_now: bool = True,
-                       table: str = "md", state_dir: str | None = None, as_of=None) -> StreamingQuery:
+                       table: str = "md", state_dir: str | None = None, as_of=None,
+                       facts_dir: str | None = None) -> StreamingQuery:
     """Watch ``trigger_dir`` (Parquet files of the sensor table ``table``); for
     each micro-batch, write the reports of the affected dates.
 
     ``checkpoint`` must be a shared, durable folder (the stream's progress
     lives there, so a restarted driver resumes where it stopped).  With
     ``state_dir`` runs read the stored prior, into which late samples of the
-    batch are taken up first.
+    batch are taken up first; with ``facts_dir`` only the facts that the batch
+    can have changed are computed again.
     """
-    from shiftmetrics.plans.run import backfill, consecutive
+    from shiftmetrics.plans.facts import FactStore, consecutive
+    from shiftmetrics.plans.run import backfill
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         t = tables()
         if state_dir is not None:
             absorb_late(spark, state_dir, table, batch)
-        for first, last in consecutive(affected_dates(batch, table, t, cfg.tz)):
-            backfill(spark, t, first, last, out_path, as_of=as_of, cfg=cfg, state_dir=state_dir)
+        dates = affected_dates(batch, table, t, cfg.tz)
+        if facts_dir is not None:
+            FactStore(spark, facts_dir, cfg).forget(table, dates)
+        for first, last in consecutive(dates):
+            backfill(spark, t, first, last, out_path, as_of=as_of, cfg=cfg, state_dir=state_dir, facts_dir=facts_dir)
 
     stream = spark.readStream.schema(trigger_schema).parquet(trigger_dir)
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
