@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftmetrics.llm import (
-    chat_format, context_mixing, decontaminate, filter_audit, fingerprint, packing, pii, quality, resharding, secret_scan, spelling,
-    toxicity, trie_join,
+    chat_format, context_mixing, decontaminate, filter_audit, fingerprint, oracle_sql, packing, pii, quality, resharding, secret_scan,
+    spelling, toxicity, trie_join,
 )
 from shiftmetrics.llm.common import labelled_sample, read_table
 
@@ -116,6 +116,9 @@ QUERIES: dict[str, Query] = {
 
 #: DuckDB SQL of the queries that SQL can express in reasonable time over whole tables.
 ORACLE_SQL: dict[str, str] = {
+    "op6_decontamination": oracle_sql.DECONTAMINATION,
+    "op7_ngram_join": oracle_sql.NGRAM_JOIN,
+    "op11_spelling": oracle_sql.SPELLING,
     "op12_filter_audit": filter_audit.ORACLE_SQL,
     "op13_chat_format": chat_format.ORACLE_SQL,
 }
