@@ -2,17 +2,17 @@
 
 A document is its token ids and one end id.  It is cut into full windows and
 one remainder; a full window is a sequence of its own.  Remainders are dealt
-by a hash into groups of about ``GROUP_PIECES``, and each group is packed by
-multiway differencing: every piece starts as a partial partition over k
-windows, and the two partial partitions with the largest spread are merged,
-the fullest windows of one with the emptiest of the other, until one is left.
-Its windows are nearly equal.  If they exceed the window size by more than the
-share ``GIVE`` of the tokens, k rises; the excess that remains is cut off and
-put where there is room, so a group pads less than one window.
-
-Groups are bounded whatever the corpus; a source or a group of copies that
-holds many rows is spread over all groups, as a piece's hash is that of its
-document's id and place.
+by a hash into groups of about ``GROUP_PIECES``; some of them (one in three, or
+more where that pads too much) are halved again and again, down to pieces of a
+few tokens, which even out what the others leave.  Each group is packed by multiway differencing: every piece starts
+as a partial partition over k windows, and the two partial partitions with the
+largest spread are merged, the fullest windows of one with the emptiest of the
+other, until one is left.  Its windows are nearly equal.  Whenever one of them
+exceeds the window size, k rises.
+
+A source or a group of copies that holds many rows is spread over all groups: a
+piece's hash is that of its document's id, its place, and the document's number
+among those of its task, so repeated rows part as well.
 
 Defined results: a null text counts as empty and gives one piece with the end
 id alone; repeated rows are packed one by one; an empty table gives no rows.
@@ -36,8 +36,10 @@ from pyspark.sql import functions as F
 WINDOW = 1024
 #: Pieces that are packed together (bound of a task's work, not of the result).
 GROUP_PIECES = 2000
-#: Share of a group's tokens that windows may give up by cutting a piece, before their number rises.
-GIVE = 0.03
+#: Remainders are halved down to pieces of less than twice so many tokens.
+LEAST_PIECE = 4
+#: One remainder in so many is halved; the next share is tried while windows exceed the least number by more than ``SPARE``.
+CUT_EVERY, SPARE = (3, 2, 1), 0.01
 END_ID = 0
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 400_000
@@ -178,49 +180,47 @@ def difference(lengths: np.ndarray, k: int) -> np.ndarray:
     return window
 
 
-def pack(lengths: np.ndarray, size: int = WINDOW, give: float = GIVE) -> np.ndarray:
-    """The window of each piece; windows are nearly equal.
+def pack(lengths: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    """The window of each piece (none longer than ``size``); windows are nearly equal, and none exceeds ``size``.
 
-    Starts from as few windows as hold all tokens.  While the windows' excess
-    over ``size`` is more than the share ``give`` of all tokens, their number
-    rises; with ``give`` 0 no window exceeds ``size``.
+    Starts from as few windows as hold all tokens; their number rises whenever one exceeds ``size``.
     """
     if not len(lengths):
         return np.zeros(0, np.int64)
-    total = int(lengths.sum())
-    k = -(-total // size)
+    k, step = -(-int(lengths.sum()) // size), 1
     while True:
         window = difference(lengths, k)
-        excess = np.maximum(np.bincount(window, lengths, k) - size, 0).sum()
-        if excess <= give * total or k >= len(lengths):
+        if k >= len(lengths) or np.bincount(window, lengths, k).max() <= size:
             return window
-        k += max(1, k // 200)
-
-
-def level(lengths: np.ndarray, window: np.ndarray, size: int = WINDOW) -> list[tuple[int, int, int, int]]:
-    """(piece, its first token, tokens, window): windows over ``size`` give the tail of their
-    longest pieces to windows with room, so that none exceeds ``size``."""
-    k = int(window.max()) + 1 if len(window) else 0
-    filled = np.bincount(window, lengths, k).astype(np.int64)
-    left, spare, out = lengths.astype(np.int64).copy(), [], []
-    for i in np.lexsort((np.arange(len(lengths)), -lengths)):
-        over = filled[window[i]] - size
-        if over > 0:
-            given = min(int(over), int(left[i]))
-            left[i] -= given
-            filled[window[i]] -= given
-            spare.append((int(i), int(left[i]), given))
-    out = [(int(i), 0, int(n), int(w)) for i, (n, w) in enumerate(zip(left, window, strict=True)) if n]
-    room = [(int(w), int(size - f)) for w, f in enumerate(filled) if f < size]
-    while spare:
-        i, first, n = spare.pop()
-        w, free = room.pop()
-        out.append((i, first, min(n, free), w))
-        if n < free:
-            room.append((w, free - n))
-        elif n > free:
-            spare.append((i, first + free, n - free))
-    return out
+        k, step = min(k + step, len(lengths)), 2 * step
+
+
+def halved(lengths: np.ndarray, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(remainder, its first token, tokens) of all pieces, with one remainder in ``every`` halved."""
+    row, first, size = [], [], []
+    for i, n in enumerate(lengths.tolist()):
+        at = 0
+        while i % every == 0 and n >= 2 * LEAST_PIECE:
+            half = n - n // 2
+            row.append(i)
+            first.append(at)
+            size.append(half)
+            at, n = at + half, n - half
+        row.append(i)
+        first.append(at)
+        size.append(n)
+    return np.array(row, np.int64), np.array(first, np.int64), np.array(size, np.int64)
+
+
+def spread(lengths: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(remainder, its first token, tokens, window) of the pieces of a group's remainders."""
+    least = -(-int(lengths.sum()) // size)
+    for every in CUT_EVERY:
+        row, first, own = halved(lengths, every)
+        window = pack(own, size)
+        if not len(window) or window.max() + 1 <= least * (1 + SPARE) + 1:
+            break
+    return row, first, own, window
 
 
 def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "text", key: str = "doc_id",
@@ -228,16 +228,16 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "
     """Full windows and remainders of all documents.
 
     ``ids`` holds the ids as little-endian integers of ``id_bytes`` bytes; full
-    windows keep theirs only if ``with_ids``.
+    windows keep theirs only if ``with_ids``.  ``number`` counts the documents of a task.
     """
     key_type = docs.schema[key].dataType.simpleString()
     narrow = vocabulary_size(tokenizer) <= 1 << 16
-    names = [key, "start", "length", "ids_crc32", "doc_tokens", "ids"]
+    names = [key, "start", "length", "ids_crc32", "doc_tokens", "ids", "number"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer_for(tokenizer)
         encode = words.ids
-        end, step = np.uint32(END_ID).tobytes(), 4 * window
+        end, step, before = np.uint32(END_ID).tobytes(), 4 * window, 0
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -255,11 +255,13 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "
                         ids.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())),
-                 *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), pa.array(ids, pa.binary())], names)
+                 *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), pa.array(ids, pa.binary()),
+                 pa.array([before + i for i in row], pa.int64())], names)
+            before += batch.num_rows
         words.forget()
 
     out = docs.select(key, text_col).mapInArrow(
-        pieces, f"`{key}` {key_type}, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+        pieces, f"`{key}` {key_type}, start long, length long, ids_crc32 long, doc_tokens long, ids binary, number long")
     return out.withColumn("id_bytes", F.lit(2 if narrow else 4))
 
 
@@ -279,8 +281,8 @@ def assign(pieces: DataFrame, documents: int, window: int = WINDOW, key: str = "
         lengths = rows["length"].to_numpy()
         full = np.flatnonzero(lengths == window)
         rest = np.flatnonzero(lengths != window)
-        own = lengths[rest]
-        placed = [(int(rest[i]), a, n, w) for i, a, n, w in level(own, pack(own, window), window)]
+        row, first, own, at = spread(lengths[rest], window)
+        placed = list(zip(rest[row].tolist(), first.tolist(), own.tolist(), at.tolist(), strict=True))
         first_full = max((w for *_, w in placed), default=-1) + 1
         placed += [(int(i), 0, window, first_full + j) for j, i in enumerate(full)]
         placed.sort(key=lambda x: (x[3], x[0], x[1]))
@@ -294,11 +296,11 @@ def assign(pieces: DataFrame, documents: int, window: int = WINDOW, key: str = "
             else:
                 crc = int(rows["ids_crc32"].iat[i])
             out.append((rows[key].iat[i], int(rows["start"].iat[i]) + first, n, crc, int(rows["doc_tokens"].iat[i]),
-                        int(group_key[0]) * (1 << 20) + w, at, *([data] if with_ids else [])))
+                        (int(group_key[0]) << 32) + w, at, *([data] if with_ids else [])))
             at, before = at + n, w
         return pd.DataFrame(out, columns=names)
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(key, "start", "length", "ids_crc32"), F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(key, "start", "length", "ids_crc32", "number"), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(packed, types)
 
 

@@ -56,23 +56,32 @@ def test_differencing_known_cases():
 
 def test_window_count_rises_beyond_capacity():
     lengths = np.array([600] * 10)                      # two never fit together
-    window = packing.pack(lengths, 1024, give=0)
+    window = packing.pack(lengths, 1024)
     assert len(set(window.tolist())) == 10
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 16), max_size=60))
-def test_levelling_keeps_every_token_once(lengths):
-    lengths = np.array(lengths, np.int64)
-    placed = packing.level(lengths, packing.pack(lengths, 16), 16)
+def test_halving_and_packing_keep_every_token_once(lengths):
+    row, first, size, window = packing.spread(np.array(lengths, np.int64), 16)
     seen = {i: [] for i in range(len(lengths))}
-    filled = {}
-    for i, first, n, w in placed:
+    for i, at, n in zip(row.tolist(), first.tolist(), size.tolist()):
         assert n > 0
-        seen[i].extend(range(first, first + n))
-        filled[w] = filled.get(w, 0) + n
-    assert all(sorted(seen[i]) == list(range(n)) for i, n in enumerate(lengths.tolist()))
-    assert all(f <= 16 for f in filled.values())
+        seen[i].extend(range(at, at + n))
+    assert all(seen[i] == list(range(n)) for i, n in enumerate(lengths))
+    assert len(window) == len(size) and (not lengths or np.bincount(window, size).max() <= 16)
+
+
+@pytest.mark.parametrize("lengths", [
+    np.random.default_rng(1).integers(1, 1024, 2000),
+    np.minimum(1023, np.random.default_rng(2).lognormal(5.3, 1.0, 2000).astype(int) + 1),
+    np.array([600, 40] * 1000),
+    np.full(2000, 1023),
+])
+def test_a_group_pads_little(lengths):
+    _, _, size, window = packing.spread(np.asarray(lengths, np.int64))
+    assert size.sum() == np.sum(lengths) and np.bincount(window, size).max() <= 1024
+    assert 1 - size.sum() / (1024 * (window.max() + 1)) < 0.012
 
 
 def check(rows, texts, reference):
@@ -157,3 +166,18 @@ def test_pieces_hold_the_ids_of_added_tokens(documents, unmodified):
     texts = dict(enumerate([*SPECIAL, "many <|endoftext|> words " * 700]))
     rows = packing.assign(packing.cut(documents(list(texts.items())), tokenizer_path()), len(texts)).collect()
     check(rows, texts, lambda text: [*unmodified.encode(text or "", add_special_tokens=False).ids, 0])
+
+
+def test_a_third_of_all_rows_repeated(documents, reference, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 20)
+    df = documents([(7, "the same words " * 20)] * 100 + [(100 + i, f"text {i} " * (i % 90)) for i in range(200)]).repartition(4)
+    pieces = packing.cut(df, tokenizer_path())
+    rows = packing.assign(pieces, df.count()).collect()
+    tokens = len(reference("the same words " * 20))
+    same = [r for r in rows if r["doc_id"] == 7]
+    assert sum(r["length"] for r in same) == 100 * tokens
+    assert len({r["sequence_id"] >> 32 for r in same}) >= 12          # spread over the 15 groups
+    filled = {}
+    for r in rows:
+        filled[r["sequence_id"]] = filled.get(r["sequence_id"], 0) + r["length"]
+    assert max(filled.values()) <= 1024
