@@ -286,17 +286,18 @@ def assign(pieces: DataFrame, documents: int, window: int = WINDOW, key: str = "
         first_full = max((w for *_, w in placed), default=-1) + 1
         placed += [(int(i), 0, window, first_full + j) for j, i in enumerate(full)]
         placed.sort(key=lambda x: (x[3], x[0], x[1]))
+        keys, starts, crcs, totals, ids = (rows[c].tolist() for c in (key, "start", "ids_crc32", "doc_tokens", "ids"))
+        whole, base = lengths.tolist(), int(group_key[0]) << 32
         out, at, before = [], 0, -1
         for i, first, n, w in placed:
             at = at if w == before else 0
-            data = rows["ids"].iat[i]
-            if n < lengths[i]:
+            data = ids[i]
+            if n < whole[i]:
                 data = data[first * size:(first + n) * size]
                 crc = zlib.crc32(np.frombuffer(data, f"<u{size}").astype("<u4").tobytes())
             else:
-                crc = int(rows["ids_crc32"].iat[i])
-            out.append((rows[key].iat[i], int(rows["start"].iat[i]) + first, n, crc, int(rows["doc_tokens"].iat[i]),
-                        (int(group_key[0]) << 32) + w, at, *([data] if with_ids else [])))
+                crc = crcs[i]
+            out.append((keys[i], starts[i] + first, n, crc, totals[i], base + w, at, *([data] if with_ids else [])))
             at, before = at + n, w
         return pd.DataFrame(out, columns=names)
 
