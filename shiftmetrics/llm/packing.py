@@ -25,7 +25,7 @@ import heapq
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,6 +45,20 @@ END_ID = 0
 CACHE_WORDS = 400_000
 
 
+class Memo(dict):
+    """Ids of words after a blank, at most ``CACHE_WORDS`` of them."""
+
+    def __init__(self, plain: Callable[[str], bytes]):
+        super().__init__()
+        self._plain = plain
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        ids = self[word] = self._plain(" " + word)
+        return ids
+
+
 class WordTokenizer:
     """Ids of texts by a byte-level BPE vocabulary file of the ``tokenizers`` library.
 
@@ -71,7 +85,7 @@ class WordTokenizer:
         # Fixed value: the pre-tokenizing pattern of this kind of file ("ByteLevel" with use_regex).
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self._encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self._memo: dict[str, bytes] = {}
+        self._memo = Memo(self._plain)
         added = spec.get("added_tokens", ())
         if spec.get("normalizer") or any(t.get(x) for t in added for x in ("lstrip", "rstrip", "single_word")):
             raise ValueError(f"{path}: added tokens that take in blanks or need whole words, and normalizers, are not supported")
@@ -94,15 +108,7 @@ class WordTokenizer:
         if self._apart.search(text):
             return self._plain(text)
         first, *rest = text.split(" ")
-        memo, out = self._memo, [self._plain(first)]
-        for word in rest:
-            ids = memo.get(word)
-            if ids is None:
-                if len(memo) >= CACHE_WORDS:
-                    memo.clear()
-                ids = memo[word] = self._plain(" " + word)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([self._plain(first), *map(self._memo.__getitem__, rest)])
 
     def forget(self) -> None:
         """Give the memo's memory back (workers live on, and serve other operators too)."""
