@@ -24,12 +24,17 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +78,8 @@ class WordTokenizer:
     between them is encoded part by part.
     """
 
-    _apart = re.compile(r"\s \s|\s $|^\s")
+    # A blank with white space on both sides (or at the end behind white space): the next letter, the rarer case, is looked at first.
+    _apart = re.compile(r" (?=\s|$)(?<=\s\s)")
 
     def __init__(self, path: str):
         import tiktoken
@@ -85,6 +91,8 @@ class WordTokenizer:
         # Fixed value: the pre-tokenizing pattern of this kind of file ("ByteLevel" with use_regex).
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self._encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._bytes_of = np.zeros(1 + max(ranks.values()), np.int64)
+        self._bytes_of[list(ranks.values())] = [*map(len, ranks)]
         self._memo = Memo(self._plain)
         added = spec.get("added_tokens", ())
         if spec.get("normalizer") or any(t.get(x) for t in added for x in ("lstrip", "rstrip", "single_word")):
@@ -103,9 +111,48 @@ class WordTokenizer:
             at = m.end()
         return b"".join([*out, self.encode(text[at:]) if at < len(text) else b""])
 
+    def ids_of(self, texts: pa.Array) -> list[bytes]:
+        """``ids`` of all texts (null: empty); each distinct word of them is encoded once."""
+        values = [t or "" for t in texts.to_pylist()]
+        whole = [self._whole(t) or bool(self._split and self._split.search(t)) for t in values]
+        plain = [t for t, w in zip(values, whole, strict=True) if not w]
+        if not plain:
+            return [self.ids(t) for t in values]
+        words = pc.split_pattern(pa.array(plain, pa.string()), " ")
+        first = words.offsets.to_numpy()
+        known = words.values.dictionary_encode()
+        # A text's first word has no blank before it, so it has its own entry behind those of the distinct words.
+        which = known.indices.to_numpy().astype(np.int64)
+        which[first[:-1]] = len(known.dictionary) + np.arange(len(plain))
+        pool, long = self._words(known.dictionary.to_pylist())
+        firsts = [self._plain(t[:t.find(" ")] if " " in t else t) for t in plain]
+        pool = np.concatenate([pool, np.frombuffer(b"".join(firsts), "<u4")])
+        long = np.concatenate([long, np.fromiter(map(len, firsts), np.int64, len(firsts)) // 4])
+        own, at = long[which], np.concatenate([[0], np.cumsum(long)])[which]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        at = np.repeat(at - ends[:-1], own) + np.arange(ends[-1])
+        ids, bounds = pool[at], ends[first]
+        split = (ids[a:b].tobytes() for a, b in pairwise(bounds.tolist()))
+        return [self.ids(t) if w else next(split) for t, w in zip(values, whole, strict=True)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words after a blank, one word after another, and how many each has."""
+        joined = " " + " ".join(words)
+        if not words or self._apart.search(joined):
+            found = [*map(self._memo.__getitem__, words)]
+            return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        # As one text: no id reaches over a blank, so a word's ids end where its bytes do.
+        ids = self._encoding.encode_to_numpy(joined, disallowed_special=()).astype("<u4")
+        ends = np.cumsum(1 + pc.binary_length(pa.array(words, pa.string())).to_numpy())
+        return ids, np.diff(np.searchsorted(np.cumsum(self._bytes_of[ids]), ends, side="right"), prepend=0)
+
+    def _whole(self, text: str) -> bool:
+        """Whether a text is encoded whole."""
+        return text[:1].isspace() or self._apart.search(text) is not None
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if self._apart.search(text):
+        if self._whole(text):
             return self._plain(text)
         first, *rest = text.split(" ")
         return b"".join([self._plain(first), *map(self._memo.__getitem__, rest)])
@@ -115,7 +162,8 @@ class WordTokenizer:
         self._memo.clear()
 
     def _plain(self, text: str) -> bytes:
-        return np.asarray(self._encoding.encode_ordinary(text), "<u4").tobytes()
+        ids = self._encoding.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_letters() -> list[str]:
@@ -141,41 +189,56 @@ def tokenizer_for(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
+def _merged(a: list[int], at: list[int], b: list[int], bt: list[int], k: int, n: int, left: list[int],
+            right: list[int]) -> tuple[list[int], list[int]]:
+    """Two partial partitions as one: the fullest windows of one with the emptiest of the other."""
+    shared = max(len(a) + len(b) - k, 0)
+    apart = len(a) - shared
+    sums, nodes = a[:apart], at[:apart]
+    if shared:
+        b, bt = b[::-1], bt[::-1]
+        left += at[apart:]
+        right += bt[:shared]
+        sums += map(add, a[apart:], b)
+        nodes += range(n + 1 + len(left) - shared, n + 1 + len(left))
+    sums += b[shared:]
+    nodes += bt[shared:]
+    order = sorted(range(len(sums)), key=sums.__getitem__)
+    return [sums[i] for i in order], [nodes[i] for i in order]
+
+
 def difference(lengths: np.ndarray, k: int) -> np.ndarray:
     """The window (0 to k - 1) of each piece, by largest differencing over k windows."""
     if k == 1 or not len(lengths):
         return np.zeros(len(lengths), np.int64)
     n = len(lengths)
     left, right = [], []                  # inner nodes: two merged windows; leaves are 1..n, 0 is empty
-    heap = []
-    for i, length in enumerate(lengths.tolist()):
-        heap.append((-length, i, np.array([length]), np.array([i + 1])))
+    # Partial partitions keep their non-empty windows only, fullest first (sums are negative); the rest are empty.
+    heap = [(-length, i, [-length], [i + 1]) for i, length in enumerate(lengths.tolist())]
     heapq.heapify(heap)
     count = n
     while len(heap) > 1:
-        _, _, a, at = heapq.heappop(heap)
+        _, _, sums, nodes = heapq.heappop(heap)
         _, _, b, bt = heapq.heappop(heap)
-        # Partial partitions keep their non-empty windows only, fullest first; the rest are empty.
-        sums, nodes = np.zeros(k, np.int64), np.zeros(k, np.int64)
-        width = len(a) + len(b)
-        if width <= k:
-            sums, nodes = np.concatenate([a, b]), np.concatenate([at, bt])
+        if len(b) == 1:
+            # One piece: a window of its own, or on top of the emptiest one.
+            (own,), (node,) = b, bt
+            if len(sums) == k:
+                own += sums.pop()
+                left.append(nodes.pop())
+                right.append(node)
+                node = n + len(left)
+            at = bisect_right(sums, own)
+            sums.insert(at, own)
+            nodes.insert(at, node)
         else:
-            sums[:len(a)], nodes[:len(a)] = a, at
-            sums[k - len(b):] += b[::-1]
-            shared = np.arange(k - len(b), len(a))
-            left.extend(nodes[shared].tolist())
-            right.extend(bt[::-1][:len(shared)].tolist())
-            nodes[k - len(b):] = bt[::-1]
-            nodes[shared] = n + 1 + len(left) - len(shared) + np.arange(len(shared))
-        order = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
+            sums, nodes = _merged(sums, nodes, b, bt, k, n, left, right)
         low = sums[-1] if len(sums) == k else 0
         count += 1
-        heapq.heappush(heap, (int(low - sums[0]), count, sums, nodes))
+        heapq.heappush(heap, (sums[0] - low, count, sums, nodes))
     _, _, _, nodes = heap[0]
     window = np.zeros(n, np.int64)
-    for w, node in enumerate(nodes.tolist()):
+    for w, node in enumerate(nodes):
         stack = [node]
         while stack:
             x = stack.pop()
@@ -242,12 +305,11 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, text_col: str = "
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer_for(tokenizer)
-        encode = words.ids
         end, step, before = np.uint32(END_ID).tobytes(), 4 * window, 0
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                data = encode(text or "") + end
+            for i, data in enumerate(words.ids_of(batch.column(1))):
+                data += end
                 for at in range(0, len(data), step):
                     piece = data[at:at + step]
                     row.append(i)

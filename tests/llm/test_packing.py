@@ -181,3 +181,49 @@ def test_a_third_of_all_rows_repeated(documents, reference, monkeypatch):
     for r in rows:
         filled[r["sequence_id"]] = filled.get(r["sequence_id"], 0) + r["length"]
     assert max(filled.values()) <= 1024
+
+
+def test_ids_of_many_texts_equal_those_of_each(unmodified):
+    import pyarrow as pa
+
+    r = random.Random(4)
+    parts = ["<|endoftext|>", "<|endof", " ", "  ", "\n", "a", "word", "é", "'s", "1", " b", "\t", "x y z", "\xa0", "日本"]
+    texts = [None, "", " ", "a", *SPECIAL, *EDGE_TEXTS[:7], *("".join(r.choices(parts, k=r.randrange(12))) for _ in range(2000))]
+    words = packing.tokenizer_for(tokenizer_path())
+    for some in (texts, texts[:1], [], [t for t in texts if t and "\n" not in t and "\t" not in t and "\xa0" not in t]):
+        got = [np.frombuffer(x, "<u4").tolist() for x in words.ids_of(pa.array(some, pa.string()))]
+        assert got == [unmodified.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
+def test_each_distinct_word_of_a_batch_is_encoded_once(monkeypatch):
+    import pyarrow as pa
+
+    words = packing.tokenizer_for(tokenizer_path())
+    seen, encode = [], words._words
+    monkeypatch.setattr(words, "_words", lambda some: seen.extend(some) or encode(some))
+    texts = [f"once {i % 7} again and again" for i in range(100)]
+    assert words.ids_of(pa.array(texts)) == [words.ids(t) for t in texts]
+    assert sorted(seen) == sorted({w for t in texts for w in t.split(" ")})
+
+
+def plain_difference(lengths, k):
+    """Sums of the windows after largest differencing, by loops over whole windows; the two partial partitions that were merged
+    are the two with the largest spread, the older one first."""
+    parts = [(n, i, [n] + [0] * (k - 1)) for i, n in enumerate(lengths)]
+    made = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda x: (-x[0], x[1]))
+        (_, _, a), (_, _, b), *parts = parts
+        sums = sorted((x + y for x, y in zip(a, reversed(b), strict=True)), reverse=True)
+        made += 1
+        parts.append((sums[0] - sums[-1], made, sums))
+    return sorted(parts[0][2])
+
+
+def test_differencing_equals_plain_loops():
+    r = random.Random(6)
+    for _ in range(150):
+        lengths = [r.randrange(1, r.choice([4, 20, 1024])) for _ in range(r.randrange(1, 40))]
+        k = r.randrange(2, len(lengths) + 3)
+        window = packing.difference(np.array(lengths), k)
+        assert sorted(np.bincount(window, lengths, k).astype(int).tolist()) == plain_difference(lengths, k)
