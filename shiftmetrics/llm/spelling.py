@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftmetrics.llm.common import write_table
+from shiftmetrics.llm.common import never_sent, write_table
 from shiftmetrics.llm.hashing import mix
 
 #: Words of fewer code points, or fewer occurrences, are left out.
@@ -206,14 +206,14 @@ def build_tries(words: DataFrame) -> DataFrame:
     inner = _inner_nodes(words)
     # A node branches if its words go on differently.
     branching = inner.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("b")).where("a <> b").select("node")
-    depths = inner.join(branching, "node", "left_semi").groupBy("key").agg(
+    depths = inner.join(never_sent(branching), "node", "left_semi").groupBy("key").agg(
         *[F.collect_set(F.when(F.col("back") == back, F.col("depth"))).alias(name) for name, back in (("ahead", False), ("behind", True))])
-    return _edges(words.join(depths, "key", "left").select("word", "ahead", "behind"))
+    return _edges(words.join(never_sent(depths), "key", "left").select("word", "ahead", "behind"))
 
 
 def _step(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     """The states after one more edge."""
-    joined = frontier.join(edges, F.col("node") == F.col("parent"))
+    joined = frontier.join(never_sent(edges), F.col("node") == F.col("parent"))
     longer = F.col("longer").cast("int")
     size, depth = F.length("label"), F.length("path")
 
@@ -258,13 +258,13 @@ def variants(counts: DataFrame) -> DataFrame:
     ns = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
     # The most frequent near word; of equals the smallest.
     best = F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word")))
-    near = both.join(ns, "other").groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
-    known = words.select("word", "n").join(near, "word", "left")
+    near = both.join(never_sent(ns), "other").groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
+    known = words.select("word", "n").join(never_sent(near), "word", "left")
     is_form = -F.col("best.n") >= FORM_RATIO * F.col("n")
     known = write_table(known.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(is_form, F.col("best.word")).alias("form"),
                                      F.when(is_form, -F.col("best.n")).alias("form_n")))
     roots = follow(known.where("form is not null").select("word", "form"))
-    return known.join(roots, "word", "left").select(
+    return known.join(never_sent(roots), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -275,7 +275,7 @@ def follow(forms: DataFrame) -> DataFrame:
     """
     links = write_table(forms.select("word", F.col("form").alias("root")))
     while True:
-        on = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
+        on = never_sent(links.select(F.col("word").alias("root"), F.col("root").alias("next")))
         if links.join(on, "root", "left_semi").isEmpty():
             return links
         links = write_table(links.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root")))

@@ -126,3 +126,25 @@ def test_counts_do_not_depend_on_flushes(documents, monkeypatch):
     rows = [(i, f"number{'abcdefghij'[i % 10]} number{'klmnopqrst'[i % 7]}") for i in range(50)]
     monkeypatch.setattr(S, "FLUSH", 3)
     assert {r["word"]: r["n"] for r in S.count_words(documents(rows).repartition(F.col("doc_id"))).collect()} == counts(rows)
+
+
+def test_no_join_collects_a_table_in_the_driver(spark, monkeypatch):
+    """Written words are small as files and large in memory: whatever Spark takes their size for, they are shuffled."""
+    plans, frame, written, is_empty = [], type(spark.range(0)), S.write_table, type(spark.range(0)).isEmpty
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(S, "write_table", lambda df: written(seen(df)))
+    monkeypatch.setattr(frame, "isEmpty", lambda df: is_empty(seen(df)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        words = {"abcdefg": 1000, "abcdefh": 50, "abcdefhi": 3, "zzzzzzz": 2}
+        rows = seen(S.variants(spark.createDataFrame(list(words.items()), "word string, n long")))
+        assert found(rows) == expected(words)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 7
+    assert not [p for p in plans if "Broadcast" in p]
